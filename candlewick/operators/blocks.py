@@ -1,9 +1,9 @@
 """Ordered blocks: row windows over a long series without one task per series.
 
-``Window.partitionBy(keys).orderBy(time)`` sends a whole series to one task,
-which fails once a single key holds a large share of the rows. All windows of
-this engine look back a bounded number of rows (exactly, or to the limit of
-double precision for exponential averages), so a series can be cut into blocks:
+``partition by keys order by time`` sends a whole series to one task, which
+fails once a single key holds a large share of the rows. All windows of this
+engine look back a bounded number of rows (exactly, or to the limit of double
+precision for exponential averages), so a series can be cut into blocks:
 
 1. Count the rows per (keys, time cell). Partial aggregation makes this a
    narrow scan plus a shuffle of the counts only.
@@ -19,52 +19,40 @@ The positions are counts, not times, so gaps in a series do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+from pyspark.sql import DataFrame
+
+from candlewick.functions.columns import add
 
 CELL_ROWS = 256
 SUPER_CELLS = 4096
 BLOCK_ROWS = 16384
 
-BLOCK = "_block"
-_OWNED = "_owned"
-_START = "_cell_start"
-_CELL = "_cell"
-
-
-def time_cell(time: str, step_seconds: Column, cell_rows: int = CELL_ROWS) -> Column:
-    """Number of the time cell of ``time``: about ``cell_rows`` steps of a regular series."""
-    span = step_seconds * F.lit(cell_rows * 1_000_000).cast("bigint")
-    return F.floor(F.unix_micros(F.col(time)) / span)
 
-
-def cell_positions(
-    rows: DataFrame, keys: Sequence[str], super_cells: int = SUPER_CELLS
-) -> DataFrame:
-    """Per (keys, cell): its row count ``_n`` and the rows of the series ahead of it."""
-    keys = list(keys)
-    counts = (
-        rows.groupBy(*keys, _CELL)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_super", F.floor(F.col(_CELL) / super_cells))
-    )
-    inside = Window.partitionBy(*keys, "_super").orderBy(_CELL)
-    across = Window.partitionBy(*keys).orderBy("_super")
-    totals = (
-        counts.groupBy(*keys, "_super")
-        .agg(F.sum("_n").alias("_total"))
-        .select(*keys, "_super", (F.sum("_total").over(across) - F.col("_total")).alias("_ahead"))
+def cell_positions(cells: DataFrame, keys: Sequence[str], super_cells: int) -> DataFrame:
+    """Per (keys, _cell): its row count ``_n`` and ``_ahead``, the rows of the series before it."""
+    names = ", ".join(keys)
+    counts = cells.groupBy(*keys, "_cell").count()
+    counts = counts.selectExpr(*keys, "_cell", "count as _n", f"floor(_cell / {super_cells}) as _super")
+    totals = counts.groupBy(*keys, "_super").sum("_n").selectExpr(
+        *keys,
+        "_super",
+        f"sum(`sum(_n)`) over (partition by {names} order by _super) - `sum(_n)` as _before",
     )
+    inside = f"sum(_n) over (partition by {names}, _super order by _cell) - _n"
     return (
-        counts.withColumn("_inside", F.sum("_n").over(inside) - F.col("_n"))
+        counts.selectExpr("*", f"{inside} as _inside")
         .join(totals, [*keys, "_super"])
-        .select(*keys, _CELL, "_n", (F.col("_ahead") + F.col("_inside")).alias(_START))
+        .selectExpr(*keys, "_cell", "_n", "_before + _inside as _ahead")
     )
 
 
 class OrderedBlocks:
-    """Rows of one or more series, cut into overlapping ordered blocks."""
+    """Rows of many series, cut into overlapping ordered blocks.
+
+    ``rows`` carries ``_block``, ``_owned`` and ``_ahead`` besides the input columns.
+    """
 
     def __init__(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]):
         self.rows = rows
@@ -78,41 +66,47 @@ class OrderedBlocks:
         keys: Sequence[str],
         time: str,
         tie: str,
-        step_seconds: Column,
+        step_seconds: str,
         halo_rows: int,
         block_rows: int = BLOCK_ROWS,
         cell_rows: int = CELL_ROWS,
+        super_cells: int = SUPER_CELLS,
     ) -> "OrderedBlocks":
-        keys = list(keys)
-        celled = df.withColumn(_CELL, time_cell(time, step_seconds, cell_rows))
-        positions = cell_positions(celled.select(*keys, _CELL), keys)
-        first = F.floor(F.col(_START) / block_rows)
-        last = F.floor((F.col(_START) + F.col("_n") + (halo_rows - 1)) / block_rows)
-        rows = (
-            celled.join(
-                positions.select(
-                    *keys, _CELL, _START,
-                    first.alias("_home"), F.sequence(first, last).alias("_blocks"),
-                ),
-                [*keys, _CELL],
-            )
-            .withColumn(BLOCK, F.explode("_blocks"))
-            .withColumn(_OWNED, F.col(BLOCK) == F.col("_home"))
-            .drop("_blocks", "_home", _CELL)
+        """Cut ``df`` by ``time``; ``step_seconds`` is the usual distance of two rows."""
+        cell = f"floor(unix_micros({time}) / ({step_seconds} * {cell_rows * 1_000_000}L))"
+        celled = add(df, {"_cell": cell})
+        positions = cell_positions(celled.select(*keys, "_cell"), keys, super_cells).selectExpr(
+            *keys,
+            "_cell",
+            "_ahead",
+            f"sequence(floor(_ahead / {block_rows}), "
+            f"floor((_ahead + _n + {halo_rows - 1}L) / {block_rows})) as _blocks",
+        )
+        rows = celled.join(positions, [*keys, "_cell"]).selectExpr(
+            "* except (_cell, _blocks)", "_blocks[0] as _home", "explode(_blocks) as _block"
         )
+        rows = rows.selectExpr("* except (_home)", "_block = _home as _owned")
         return cls(rows, keys, [time, tie])
 
-    @property
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order)
+    def over(self, frame: str = "") -> str:
+        """Window clause of a block, optionally with a row frame."""
+        keys, order = ", ".join([*self.keys, "_block"]), ", ".join(self.order)
+        return f"over (partition by {keys} order by {order} {frame})"
 
-    def row_num(self) -> Column:
+    def row_num(self) -> str:
         """Position of a row in its whole series, from 1."""
-        return F.first(_START).over(self.window) + F.row_number().over(self.window)
+        return f"first(_ahead) {self.over()} + row_number() {self.over()}"
+
+    def add(self, columns: Mapping[str, str]) -> "OrderedBlocks":
+        return OrderedBlocks(add(self.rows, columns), self.keys, self.order)
+
+    def drop(self, names: Sequence[str]) -> "OrderedBlocks":
+        return OrderedBlocks(self.rows.drop(*names), self.keys, self.order)
 
-    def with_rows(self, rows: DataFrame, order: Sequence[str] | None = None) -> "OrderedBlocks":
-        return OrderedBlocks(rows, self.keys, order or self.order)
+    def ordered_first_by(self, column: str) -> "OrderedBlocks":
+        """The same row order, stated with a leading column that never decreases along it."""
+        return OrderedBlocks(self.rows, self.keys, [column, *self.order])
 
     def owned(self) -> DataFrame:
         """The input rows, each once, with the columns added since the cut."""
-        return self.rows.filter(_OWNED).drop(BLOCK, _OWNED, _START)
+        return self.rows.filter("_owned").drop("_block", "_owned", "_ahead")

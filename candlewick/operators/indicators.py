@@ -13,191 +13,135 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from candlewick.operators.blocks import BLOCK, BLOCK_ROWS, CELL_ROWS, OrderedBlocks
-from candlewick.schemas import AMOUNT_SQL, interval_seconds
+from candlewick.functions.columns import add, pct_of
+from candlewick.operators.blocks import OrderedBlocks
+from candlewick.schemas import AMOUNT_SQL, INTERVAL_SECONDS_SQL
 
 SERIES = ("symbol", "interval")
-RSI_ROWS = 14
-ATR_ROWS = 14
-
-_SEGMENT = "_segment"
-
-
-def candle_blocks(
-    candles: DataFrame,
-    halo_rows: int,
-    block_rows: int = BLOCK_ROWS,
-    cell_rows: int = CELL_ROWS,
-) -> OrderedBlocks:
-    return OrderedBlocks.cut(
-        candles, SERIES, "close_time", "event_id", interval_seconds(), halo_rows,
-        block_rows, cell_rows,
-    )
-
-
-# --- rolling averages and extremes -------------------------------------------------
-
-
-def with_averages(
-    blocks: OrderedBlocks, averages: Mapping[str, tuple[str, int]]
-) -> OrderedBlocks:
-    """Add ``name: avg(column) over the last n rows`` for each entry ``name: (column, n)``.
-
-    Needs ``row_num`` in the rows and a halo of more than n rows.
-    """
-    window = blocks.window
-    columns = sorted({column for column, _ in averages.values()})
-    rows = blocks.rows.withColumns(
-        {f"_run_{c}": F.sum(c).over(window).cast(AMOUNT_SQL) for c in columns}
-    )
-    rows = rows.withColumns(
-        {
-            f"_before_{name}": F.lag(f"_run_{column}", size).over(window)
-            for name, (column, size) in averages.items()
-        }
-    )
-    rows = rows.withColumns(
-        {
-            name: F.when(
-                F.col(f"_before_{name}").isNull(), F.col(f"_run_{column}").cast("double")
-            ).otherwise((F.col(f"_run_{column}") - F.col(f"_before_{name}")).cast("double"))
-            / F.least(F.col("row_num"), F.lit(size))
-            for name, (column, size) in averages.items()
-        }
-    )
-    helpers = [f"_run_{c}" for c in columns] + [f"_before_{n}" for n in averages]
-    return blocks.with_rows(rows.drop(*helpers))
-
-
-def with_row_num(blocks: OrderedBlocks) -> OrderedBlocks:
-    return blocks.with_rows(blocks.rows.withColumn("row_num", blocks.row_num()))
-
-
-def with_extremes(blocks: OrderedBlocks, size: int = 20) -> OrderedBlocks:
-    frame = blocks.window.rowsBetween(1 - size, Window.currentRow)
-    return blocks.with_rows(
-        blocks.rows.withColumns(
-            {
-                f"rolling_high_{size}": F.max("high_price").over(frame),
-                f"rolling_low_{size}": F.min("low_price").over(frame),
-            }
-        )
-    )
-
-
-def rolling_averages(candles: DataFrame, **layout) -> DataFrame:
-    """Row number, previous close, 20- and 50-row close averages, 20-row volume average."""
-    blocks = with_row_num(candle_blocks(candles, 51, **layout))
-    blocks = blocks.with_rows(
-        blocks.rows.withColumn("previous_close", F.lag("close_price").over(blocks.window))
-    )
-    return with_averages(blocks, PRICE_AVERAGES).owned()
-
-
-def rolling_extremes(candles: DataFrame, size: int = 20, **layout) -> DataFrame:
-    return with_extremes(candle_blocks(candles, size, **layout), size).owned()
-
 
+# name: (column, rows)
 PRICE_AVERAGES = {
     "sma_20": ("close_price", 20),
     "sma_50": ("close_price", 50),
     "volume_ma_20": ("volume", 20),
 }
-
+MOVEMENT_AVERAGES = {
+    "atr_14": ("true_range", 14),
+    "avg_gain_14": ("gain", 14),
+    "avg_loss_14": ("loss", 14),
+}
 
 # --- row-wise metrics --------------------------------------------------------------
 
+_BASE_CLOSE = "coalesce(previous_close, close_price)"
+_NOTHING = f"cast(0 as {AMOUNT_SQL})"
+
+TRUE_RANGE = (
+    f"greatest(high_price - low_price, abs(high_price - {_BASE_CLOSE}), abs(low_price - {_BASE_CLOSE}))"
+)
+GAIN = f"greatest(close_price - {_BASE_CLOSE}, {_NOTHING})"
+LOSS = f"greatest({_BASE_CLOSE} - close_price, {_NOTHING})"
+CANDLE_RANGE_PCT = pct_of("(high_price - low_price)", "open_price")
+RSI_14 = """
+    case when avg_loss_14 = 0 and avg_gain_14 > 0 then 100d
+         when avg_loss_14 = 0 then 50d
+         else 100d - 100d / (1d + avg_gain_14 / nullif(avg_loss_14, 0d)) end"""
+TREND_REGIME = """
+    case when ema_20 > ema_50 and cast(close_price as double) > sma_20 then 'bullish'
+         when ema_20 < ema_50 and cast(close_price as double) < sma_20 then 'bearish'
+         else 'ranging' end"""
 
-def _reference_close() -> Column:
-    return F.coalesce(F.col("previous_close"), F.col("close_price"))
 
+def candle_range(candles: DataFrame) -> DataFrame:
+    """Height of each candle in percent of its open; null for a zero open."""
+    return add(candles, {"candle_range_pct": CANDLE_RANGE_PCT})
 
-def true_range() -> Column:
-    base = _reference_close()
-    return F.greatest(
-        F.col("high_price") - F.col("low_price"),
-        F.abs(F.col("high_price") - base),
-        F.abs(F.col("low_price") - base),
-    )
 
+# --- windows -----------------------------------------------------------------------
 
-def gain() -> Column:
-    return F.greatest(F.col("close_price") - _reference_close(), F.lit(0).cast(AMOUNT_SQL))
 
+def candle_blocks(candles: DataFrame, halo_rows: int, **layout: int) -> OrderedBlocks:
+    return OrderedBlocks.cut(
+        candles, SERIES, "close_time", "event_id", INTERVAL_SECONDS_SQL, halo_rows, **layout
+    )
 
-def loss() -> Column:
-    return F.greatest(_reference_close() - F.col("close_price"), F.lit(0).cast(AMOUNT_SQL))
 
+def with_position(blocks: OrderedBlocks) -> OrderedBlocks:
+    """Add ``row_num`` and ``previous_close``."""
+    return blocks.add(
+        {"row_num": blocks.row_num(), "previous_close": f"lag(close_price) {blocks.over()}"}
+    )
 
-def candle_range_pct() -> Column:
-    """Height of the candle in percent of its open; null for a zero open."""
-    height = (F.col("high_price") - F.col("low_price")).cast("double")
-    base = F.col("open_price").cast("double")
-    return F.when(base != 0, height / base * 100)
 
+def with_averages(
+    blocks: OrderedBlocks, averages: Mapping[str, tuple[str, int]]
+) -> OrderedBlocks:
+    """Add ``name: average of column over the last n rows`` for ``name: (column, n)``.
 
-def rsi(avg_gain: Column, avg_loss: Column) -> Column:
-    strength = avg_gain / F.nullif(avg_loss, F.lit(0.0))
-    return (
-        F.when((avg_loss == 0) & (avg_gain > 0), F.lit(100.0))
-        .when(avg_loss == 0, F.lit(50.0))
-        .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + strength))
-    )
+    Needs ``row_num`` and a halo of more than n rows.
+    """
+    columns = sorted({column for column, _ in averages.values()})
+    running = {f"_run_{c}": f"cast(sum({c}) {blocks.over()} as {AMOUNT_SQL})" for c in columns}
+    before = {
+        f"_before_{name}": f"lag(_run_{column}, {size}) {blocks.over()}"
+        for name, (column, size) in averages.items()
+    }
+    means = {
+        name: f"cast(coalesce(_run_{column} - _before_{name}, _run_{column}) as double)"
+        f" / least(row_num, {size})"
+        for name, (column, size) in averages.items()
+    }
+    return blocks.add(running).add(before).add(means).drop([*running, *before])
 
 
-def trend_regime() -> Column:
-    close = F.col("close_price").cast("double")
-    fast, slow, mean = F.col("ema_20"), F.col("ema_50"), F.col("sma_20")
-    return (
-        F.when((fast > slow) & (close > mean), F.lit("bullish"))
-        .when((fast < slow) & (close < mean), F.lit("bearish"))
-        .otherwise(F.lit("ranging"))
+def with_extremes(blocks: OrderedBlocks, size: int = 20) -> OrderedBlocks:
+    frame = blocks.over(f"rows between {size - 1} preceding and current row")
+    return blocks.add(
+        {
+            f"rolling_high_{size}": f"max(high_price) {frame}",
+            f"rolling_low_{size}": f"min(low_price) {frame}",
+        }
     )
 
 
-def candle_range(candles: DataFrame) -> DataFrame:
-    return candles.withColumn("candle_range_pct", candle_range_pct())
-
+def with_movement(blocks: OrderedBlocks) -> OrderedBlocks:
+    """Add true range, gain and loss; the first row of a series moves by nothing."""
+    return blocks.add(
+        {
+            "true_range": f"cast({TRUE_RANGE} as {AMOUNT_SQL})",
+            "gain": f"cast({GAIN} as {AMOUNT_SQL})",
+            "loss": f"cast({LOSS} as {AMOUNT_SQL})",
+        }
+    )
 
-# --- movement: true range, gain and loss -------------------------------------------
 
-MOVEMENT_AVERAGES = {
-    f"atr_{ATR_ROWS}": ("true_range", ATR_ROWS),
-    f"avg_gain_{RSI_ROWS}": ("gain", RSI_ROWS),
-    f"avg_loss_{RSI_ROWS}": ("loss", RSI_ROWS),
-}
+def rolling_averages(candles: DataFrame, **layout: int) -> DataFrame:
+    """Row number, previous close, 20- and 50-row close averages, 20-row volume average."""
+    blocks = with_position(candle_blocks(candles, 51, **layout))
+    return with_averages(blocks, PRICE_AVERAGES).owned()
 
 
-def with_movement(blocks: OrderedBlocks) -> OrderedBlocks:
-    """Add previous close, true range, gain and loss; the first row of a series moves by nothing."""
-    rows = blocks.rows.withColumn("previous_close", F.lag("close_price").over(blocks.window))
-    return blocks.with_rows(
-        rows.withColumns(
-            {
-                "true_range": true_range().cast(AMOUNT_SQL),
-                "gain": gain().cast(AMOUNT_SQL),
-                "loss": loss().cast(AMOUNT_SQL),
-            }
-        )
-    )
+def rolling_extremes(candles: DataFrame, size: int = 20, **layout: int) -> DataFrame:
+    return with_extremes(candle_blocks(candles, size, **layout), size).owned()
 
 
-def true_range_atr(candles: DataFrame, **layout) -> DataFrame:
-    blocks = with_movement(with_row_num(candle_blocks(candles, ATR_ROWS + 2, **layout)))
-    wanted = {"atr_14": MOVEMENT_AVERAGES["atr_14"]}
+def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -> DataFrame:
+    # One halo row more than the frame, for the previous close of its first row.
+    wanted = {name: MOVEMENT_AVERAGES[name] for name in names}
+    halo = max(size for _, size in wanted.values()) + 2
+    blocks = with_movement(with_position(candle_blocks(candles, halo, **layout)))
     return with_averages(blocks, wanted).owned()
 
 
-def relative_strength(candles: DataFrame, **layout) -> DataFrame:
-    blocks = with_movement(with_row_num(candle_blocks(candles, RSI_ROWS + 2, **layout)))
-    wanted = {n: MOVEMENT_AVERAGES[n] for n in ("avg_gain_14", "avg_loss_14")}
-    return (
-        with_averages(blocks, wanted)
-        .owned()
-        .withColumn("rsi_14", rsi(F.col("avg_gain_14"), F.col("avg_loss_14")))
-    )
+def true_range_atr(candles: DataFrame, **layout: int) -> DataFrame:
+    return _movement_averages(candles, ["atr_14"], layout)
+
+
+def relative_strength(candles: DataFrame, **layout: int) -> DataFrame:
+    means = _movement_averages(candles, ["avg_gain_14", "avg_loss_14"], layout)
+    return add(means, {"rsi_14": RSI_14})
 
 
 # --- exponential averages ----------------------------------------------------------
@@ -205,108 +149,69 @@ def relative_strength(candles: DataFrame, **layout) -> DataFrame:
 
 def memory_rows(span: int) -> int:
     """Rows after which the weight of older values falls below 1e-18, beyond a double."""
-    if span <= 1:
-        return 1
+    if span < 2:
+        raise ValueError("An exponential average needs a span of at least 2.")
     return math.ceil(18 * math.log(10) / math.log((span + 1) / (span - 1)))
 
 
+def ema_halo(spans: Sequence[int]) -> int:
+    return max(memory_rows(span) for span in spans) + 1
+
+
 def with_ema(
-    blocks: OrderedBlocks,
-    spans: Mapping[str, int],
-    value: str = "close_price",
+    blocks: OrderedBlocks, spans: Mapping[str, int], value: str = "close_price"
 ) -> OrderedBlocks:
-    """Add ``name: exponential average`` of ``value`` for each entry ``name: span``.
+    """Add ``name: exponential average`` of ``value`` for each ``name: span``.
 
     The recursion ``e = a*x + (1-a)*e'`` with ``a = 2/(span+1)``, seeded with the
     first value, unrolls to a weighted sum. Within a segment of ``memory_rows``
-    rows that sum is a running window sum of ``x * (1-a)^-j``, scaled back by
-    ``(1-a)^j``; what came before enters through the end value of the previous
+    rows that sum is a running window sum of ``x * (1-a)^-k``, scaled back by
+    ``(1-a)^k``; what came before enters through the end value of the previous
     segment alone, as older segments weigh less than double precision. Values
-    are taken relative to the first close of the block, which leaves a constant
+    are taken relative to the first one of the block, which leaves a constant
     series exactly constant. The block's halo must hold ``memory_rows`` rows.
-
-    The returned blocks are ordered by segment first, the same row order.
     """
-    if max(spans.values()) > 20 * max(min(spans.values()), 1):
+    if max(spans.values()) > 10 * min(spans.values()):
         raise ValueError("Spans this far apart need separate calls.")
     length = max(memory_rows(span) for span in spans.values())
-    window = blocks.window
-    rows = blocks.rows.withColumns(
-        {
-            "_j": F.row_number().over(window) - 1,
-            "_base": F.first(F.col(value).cast("double")).over(window),
-        }
-    )
-    rows = rows.withColumns(
-        {
-            "_x": F.col(value).cast("double") - F.col("_base"),
-            _SEGMENT: F.floor(F.col("_j") / length),
-            "_k": (F.col("_j") % length).cast("double"),
-        }
-    )
-    order = [_SEGMENT, *blocks.order]
-    in_segment = Window.partitionBy(*blocks.keys, BLOCK, _SEGMENT).orderBy(*blocks.order)
-    earlier = (
-        Window.partitionBy(*blocks.keys, BLOCK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    helpers = ["_j", "_base", "_x", "_k"]
-    # A span of 1 follows the value itself.
-    moving = {name: span for name, span in spans.items() if span > 1}
-    plain = {name: F.col(value).cast("double") for name, span in spans.items() if span <= 1}
-    rows = rows.withColumns(
-        {
-            f"_sum_{name}": F.sum(
-                F.when(F.col("_j") == 0, F.col("_x")).otherwise(F.col("_x") * (2.0 / (span + 1)))
-                * F.pow(F.lit(_decay(span)), -F.col("_k"))
-            ).over(in_segment)
-            for name, span in moving.items()
-        }
-    )
-    rows = rows.withColumns(
-        {
-            f"_local_{name}": F.col(f"_sum_{name}") * F.pow(F.lit(_decay(span)), F.col("_k"))
-            for name, span in moving.items()
-        }
-    )
-    rows = rows.withColumns(
+    decay = {name: repr((span - 1) / (span + 1)) + "d" for name, span in spans.items()}
+    weight = {name: repr(2 / (span + 1)) + "d" for name, span in spans.items()}
+
+    blocks = blocks.add(
         {
-            f"_carry_{name}": F.last(
-                F.when(F.col("_k") == length - 1, F.col(f"_local_{name}")), ignorenulls=True
-            ).over(earlier)
-            for name in moving
+            "_j": f"row_number() {blocks.over()} - 1",
+            "_base": f"first(cast({value} as double)) {blocks.over()}",
         }
-    )
-    rows = rows.withColumns(
+    ).add(
         {
-            **plain,
-            **{
-                name: F.col(f"_local_{name}")
-                + F.coalesce(
-                    F.col(f"_carry_{name}") * F.pow(F.lit(_decay(span)), F.col("_k") + 1),
-                    F.lit(0.0),
-                )
-                + F.col("_base")
-                for name, span in moving.items()
-            },
+            "_x": f"cast({value} as double) - _base",
+            "_segment": f"floor(_j / {length})",
+            "_k": f"cast(_j % {length} as double)",
         }
     )
-    helpers += [f"{part}{name}" for name in moving for part in ("_sum_", "_local_", "_carry_")]
-    return blocks.with_rows(rows.drop(*helpers), order)
-
-
-def _decay(span: int) -> float:
-    return (span - 1) / (span + 1)
-
-
-def ema_halo(spans: Sequence[int]) -> int:
-    return max(memory_rows(span) for span in spans) + 1
-
-
-def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout) -> DataFrame:
+    # Segments follow the row order, so both windows below share one sort.
+    keys, order = ", ".join([*blocks.keys, "_block", "_segment"]), ", ".join(blocks.order)
+    in_segment = f"over (partition by {keys} order by {order})"
+    blocks = blocks.ordered_first_by("_segment")
+    earlier = blocks.over("rows between unbounded preceding and 1 preceding")
+    sums = {
+        f"_sum_{name}": f"sum(if(_j = 0, _x, _x * {weight[name]}) * pow({decay[name]}, -_k)) {in_segment}"
+        for name in spans
+    }
+    local = {f"_local_{name}": f"_sum_{name} * pow({decay[name]}, _k)" for name in spans}
+    carry = {
+        f"_carry_{name}": f"last(if(_k = {length - 1}, _local_{name}, null), true) {earlier}"
+        for name in spans
+    }
+    total = {
+        name: f"_local_{name} + coalesce(_carry_{name} * pow({decay[name]}, _k + 1), 0d) + _base"
+        for name in spans
+    }
+    helpers = ["_j", "_base", "_x", "_k", *sums, *local, *carry]
+    return blocks.add(sums).add(local).add(carry).add(total).drop(helpers)
+
+
+def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout: int) -> DataFrame:
     """Candles with ``ema_<span>`` of the close for each span."""
-    blocks = with_ema(
-        candle_blocks(candles, ema_halo(spans), **layout), {f"ema_{s}": s for s in spans}
-    )
-    return blocks.owned().drop(_SEGMENT)
+    blocks = candle_blocks(candles, ema_halo(spans), **layout)
+    return with_ema(blocks, {f"ema_{span}": span for span in spans}).owned().drop("_segment")

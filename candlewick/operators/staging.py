@@ -6,26 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from candlewick.functions.columns import choose
 from candlewick.schemas import KLINE, TICKER
 
 
-def _staged(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(
-        *[F.upper("symbol").alias("symbol") if name == "symbol" else F.col(name) for name in names]
-    )
-
-
 def stg_ticker(raw: DataFrame) -> DataFrame:
-    return _staged(raw, TICKER.names)
+    return choose(raw, TICKER.names, {"symbol": "upper(symbol)"})
 
 
 def stg_klines(raw: DataFrame) -> DataFrame:
-    return _staged(raw, KLINE.names)
+    return choose(raw, KLINE.names, {"symbol": "upper(symbol)"})
 
 
 def closed_candles(klines: DataFrame) -> DataFrame:
     """Candles that had ended when they were read; a live candle is left out."""
-    return klines.filter(F.col("close_time") <= F.col("ingest_time"))
+    return klines.filter("close_time <= ingest_time")
 
 
 def in_intervals(df: DataFrame, intervals: Sequence[str] | None) -> DataFrame:

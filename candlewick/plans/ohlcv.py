@@ -2,41 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from candlewick.functions.columns import choose
 from candlewick.operators import indicators as ind
 from candlewick.operators.staging import closed_candles
 from candlewick.schemas import OHLCV_COLUMNS
 
 EMA_SPANS = {"ema_20": 20, "ema_50": 50}
 
-_RENAMED = {
-    "close_time": "candle_time",
-    "open_price": "open",
-    "high_price": "high",
-    "low_price": "low",
-    "close_price": "close",
+_EXPRESSIONS = {
+    "candle_time": "close_time",
+    "open": "open_price",
+    "high": "high_price",
+    "low": "low_price",
+    "close": "close_price",
+    "candle_range_pct": ind.CANDLE_RANGE_PCT,
+    "rsi_14": ind.RSI_14,
+    "trend_regime": ind.TREND_REGIME,
 }
 
 
-def ohlcv_indicators(klines: DataFrame, **layout) -> DataFrame:
+def ohlcv_indicators(klines: DataFrame, **layout: int) -> DataFrame:
     """Build the mart from staged candles in one pass of windows over ordered blocks."""
     candles = closed_candles(klines).drop("open_time", "raw_payload")
-    halo = ind.ema_halo(list(EMA_SPANS.values()))
-    blocks = ind.with_row_num(ind.candle_blocks(candles, halo, **layout))
-    blocks = ind.with_movement(blocks)
+    blocks = ind.candle_blocks(candles, ind.ema_halo(list(EMA_SPANS.values())), **layout)
+    blocks = ind.with_movement(ind.with_position(blocks))
     blocks = ind.with_extremes(blocks)
     blocks = ind.with_averages(blocks, {**ind.PRICE_AVERAGES, **ind.MOVEMENT_AVERAGES})
     blocks = ind.with_ema(blocks, EMA_SPANS)
-    return (
-        blocks.owned()
-        .withColumns(
-            {
-                "candle_range_pct": ind.candle_range_pct(),
-                "rsi_14": ind.rsi(F.col("avg_gain_14"), F.col("avg_loss_14")),
-                "trend_regime": ind.trend_regime(),
-            }
-        )
-        .withColumnsRenamed(_RENAMED)
-        .select(*OHLCV_COLUMNS)
-    )
+    return choose(blocks.owned(), OHLCV_COLUMNS, _EXPRESSIONS)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from candlewick.functions.columns import add, choose, pct_of
 from candlewick.schemas import SNAPSHOT_COLUMNS
 
 SERIES = ["symbol", "interval"]
@@ -17,8 +18,32 @@ LAGS = {
     "24h": "INTERVAL 1 DAY",
     "1w": "INTERVAL 7 DAYS",
 }
+RETURN_COLUMNS = [f"price_change_pct_{name}" for name in LAGS]
 ATR_BASELINE_ROWS = 20
 
+MOMENTUM_REGIME = """
+    case when rsi_14 >= 60 then 'strengthening'
+         when rsi_14 <= 40 then 'weakening'
+         else 'neutral' end"""
+VOLATILITY_REGIME = """
+    case when atr_14 > coalesce(atr_rolling_avg_20, atr_14) * 1.5d then 'extreme'
+         when atr_14 > coalesce(atr_rolling_avg_20, atr_14) * 1.1d then 'elevated'
+         else 'normal' end"""
+INTRADAY_VOLATILITY = pct_of("atr_14", "close")
+BREAKOUT = "(close >= rolling_high_20)"
+PULLBACK = "(cast(close as double) > ema_50 and cast(close as double) <= ema_20)"
+SIGNAL_STRENGTH = f"""
+    case trend_regime when 'bullish' then 40 when 'bearish' then 25 else 10 end
+    + case when rsi_14 between 55 and 70 then 20 when rsi_14 between 45 and 55 then 10 else 5 end
+    + if({BREAKOUT}, 20, 0) + if({PULLBACK}, 20, 0)"""
+
+_RETURNS = {
+    f"price_change_pct_{name}": pct_of(
+        f"(cast(close as double) - cast(close_{name}_ago as double))", f"close_{name}_ago"
+    )
+    for name in LAGS
+}
+
 
 def newest_rows(df: DataFrame, keys: list[str], time: str, count: int) -> DataFrame:
     """The newest ``count`` rows per key, numbered from the newest in ``reverse_row_num``.
@@ -26,9 +51,9 @@ def newest_rows(df: DataFrame, keys: list[str], time: str, count: int) -> DataFr
     Spark limits each map task to ``count`` rows per key ahead of the shuffle
     (WindowGroupLimit), so a key with most of the rows costs no more than others.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.desc(time), F.desc("event_id"))
-    return df.withColumn("reverse_row_num", F.row_number().over(newest)).filter(
-        F.col("reverse_row_num") <= count
+    newest = f"over (partition by {', '.join(keys)} order by {time} desc, event_id desc)"
+    return add(df, {"reverse_row_num": f"row_number() {newest}"}).filter(
+        f"reverse_row_num <= {count}"
     )
 
 
@@ -39,11 +64,13 @@ def latest_ticker(ticker: DataFrame) -> DataFrame:
 def latest_candles(ohlcv: DataFrame) -> DataFrame:
     """Newest mart row per series with the mean of its last 20 ``atr_14``."""
     recent = newest_rows(ohlcv, SERIES, "candle_time", ATR_BASELINE_ROWS)
-    back = Window.partitionBy(*SERIES).orderBy(F.desc("candle_time"), F.desc("event_id"))
-    whole = back.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    whole = (
+        f"over (partition by {', '.join(SERIES)} order by candle_time desc, event_id desc"
+        " rows between current row and unbounded following)"
+    )
     return (
-        recent.withColumn("atr_rolling_avg_20", F.avg("atr_14").over(whole))
-        .filter(F.col("reverse_row_num") == 1)
+        add(recent, {"atr_rolling_avg_20": f"avg(atr_14) {whole}"})
+        .filter("reverse_row_num = 1")
         .drop("reverse_row_num")
     )
 
@@ -56,88 +83,31 @@ def asof_closes(latest: DataFrame, history: DataFrame) -> DataFrame:
     join, combined map-side. ``latest`` has one row per series; Spark broadcasts
     it if its size allows and else splits hot series of the sort-merge join.
     """
-    targets = latest.select(*SERIES, "as_of_time")
-    candidates = history.select(*SERIES, "candle_time", F.col("close").alias("_close"))
-    smallest = F.expr(LAGS["5m"])
-    found = (
-        candidates.join(targets, SERIES)
-        .filter(F.col("candle_time") <= F.col("as_of_time") - smallest)
-        .groupBy(*SERIES)
-        .agg(
-            *[
-                F.max_by(
-                    "_close",
-                    F.when(F.col("candle_time") <= F.col("as_of_time") - F.expr(lag), F.col("candle_time")),
-                ).alias(f"close_{name}_ago")
-                for name, lag in LAGS.items()
-            ]
-        )
+    found = history.selectExpr(*SERIES, "candle_time", "close as _close").join(
+        latest.select(*SERIES, "as_of_time"), SERIES
     )
-    return latest.join(found, SERIES, "left")
-
-
-def pct_of(part: Column, base: Column) -> Column:
-    """``part`` in percent of ``base``; null for a null or zero base."""
-    return part.cast("double") / F.nullif(base.cast("double"), F.lit(0.0)) * 100
-
-
-def _return_columns() -> dict[str, Column]:
-    close = F.col("close")
-    return {
-        f"price_change_pct_{name}": pct_of(
-            close.cast("double") - F.col(f"close_{name}_ago").cast("double"), F.col(f"close_{name}_ago")
-        )
-        for name in LAGS
+    found = found.filter(f"candle_time <= as_of_time - {LAGS['5m']}").groupBy(*SERIES)
+    closes = {
+        f"close_{name}_ago": f"max_by(_close, if(candle_time <= as_of_time - {lag}, candle_time, null))"
+        for name, lag in LAGS.items()
     }
+    return latest.join(found.agg(*[F.expr(text).alias(name) for name, text in closes.items()]), SERIES, "left")
 
 
 def asof_returns(latest: DataFrame, history: DataFrame) -> DataFrame:
     """Returns over each lag for ``latest`` (symbol, interval, as_of_time, close)."""
-    return asof_closes(latest, history).withColumns(_return_columns())
-
-
-def momentum_regime(rsi: Column) -> Column:
-    return (
-        F.when(rsi >= 60, F.lit("strengthening"))
-        .when(rsi <= 40, F.lit("weakening"))
-        .otherwise(F.lit("neutral"))
-    )
-
-
-def volatility_regime(atr: Column, baseline: Column) -> Column:
-    usual = F.coalesce(baseline, atr)
-    return (
-        F.when(atr > usual * 1.5, F.lit("extreme"))
-        .when(atr > usual * 1.1, F.lit("elevated"))
-        .otherwise(F.lit("normal"))
-    )
-
-
-def signal_strength() -> Column:
-    rsi = F.col("rsi_14")
-    trend = (
-        F.when(F.col("trend_regime") == "bullish", 40)
-        .when(F.col("trend_regime") == "bearish", 25)
-        .otherwise(10)
-    )
-    momentum = F.when(rsi.between(55, 70), 20).when(rsi.between(45, 55), 10).otherwise(5)
-    return (
-        trend
-        + momentum
-        + F.when(F.col("breakout_flag"), 20).otherwise(0)
-        + F.when(F.col("pullback_flag"), 20).otherwise(0)
-    )
+    return add(asof_closes(latest, history), _RETURNS)
 
 
 def atr_baseline(ohlcv: DataFrame) -> DataFrame:
     """Newest ATR per series against its 20-row mean."""
-    return latest_candles(ohlcv).select(
+    return latest_candles(ohlcv).selectExpr(
         *SERIES,
-        F.col("candle_time").alias("as_of_time"),
+        "candle_time as as_of_time",
         "atr_14",
         "atr_rolling_avg_20",
-        pct_of(F.col("atr_14"), F.col("close")).alias("intraday_volatility"),
-        volatility_regime(F.col("atr_14"), F.col("atr_rolling_avg_20")).alias("volatility_regime"),
+        f"{INTRADAY_VOLATILITY} as intraday_volatility",
+        f"{VOLATILITY_REGIME} as volatility_regime",
     )
 
 
@@ -150,31 +120,27 @@ def market_snapshot(
     it defaults to ``ohlcv`` and can be the plain closed candles where the mart
     is not stored, to keep the windows out of that branch.
     """
-    close = F.col("close").cast("double")
-    latest = latest_candles(ohlcv).withColumn("as_of_time", F.col("candle_time"))
-    exchange = latest_ticker(ticker).select(
+    latest = add(latest_candles(ohlcv), {"as_of_time": "candle_time"})
+    exchange = latest_ticker(ticker).selectExpr(
         "symbol",
-        F.col("price_change_pct_24h").alias("price_change_pct_24h_exchange"),
+        "price_change_pct_24h as price_change_pct_24h_exchange",
         "volume_24h",
         "quote_volume_24h",
     )
-    return (
-        asof_returns(latest, ohlcv if history is None else history)
-        .join(exchange, "symbol")
-        .withColumns(
-            {
-                "last_price": F.col("close"),
-                "intraday_volatility": pct_of(F.col("atr_14"), close),
-                "momentum_regime": momentum_regime(F.col("rsi_14")),
-                "volatility_regime": volatility_regime(
-                    F.col("atr_14"), F.col("atr_rolling_avg_20")
-                ),
-                "breakout_flag": F.col("close") >= F.col("rolling_high_20"),
-                "pullback_flag": (close > F.col("ema_50")) & (close <= F.col("ema_20")),
-                "distance_to_resistance_pct": pct_of(F.col("rolling_high_20") - F.col("close"), close),
-                "distance_to_support_pct": pct_of(F.col("close") - F.col("rolling_low_20"), close),
-            }
-        )
-        .withColumn("signal_strength_score", signal_strength())
-        .select(*SNAPSHOT_COLUMNS)
+    placed = asof_closes(latest, ohlcv if history is None else history).join(exchange, "symbol")
+    return choose(
+        placed,
+        SNAPSHOT_COLUMNS,
+        {
+            **_RETURNS,
+            "last_price": "close",
+            "intraday_volatility": INTRADAY_VOLATILITY,
+            "momentum_regime": MOMENTUM_REGIME,
+            "volatility_regime": VOLATILITY_REGIME,
+            "breakout_flag": BREAKOUT,
+            "pullback_flag": PULLBACK,
+            "distance_to_resistance_pct": pct_of("(rolling_high_20 - close)", "close"),
+            "distance_to_support_pct": pct_of("(close - rolling_low_20)", "close"),
+            "signal_strength_score": SIGNAL_STRENGTH,
+        },
     )

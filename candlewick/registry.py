@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from candlewick.operators import indicators as ind
 from candlewick.operators.staging import closed_candles, stg_klines, stg_ticker
@@ -32,19 +32,19 @@ def queries() -> dict[str, Query]:
 
 def report(df: DataFrame, rounded: Sequence[str] = (), drop: Sequence[str] = ()) -> DataFrame:
     """Engine-neutral output: decimals as double, instants as UTC wall time, ``rounded`` to 8 places."""
-    columns = []
+    texts = []
     for field in df.schema:
         if field.name in drop:
             continue
-        column = F.col(field.name)
+        text = field.name
         if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
+            text = f"cast({text} as double)"
         elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
+            text = f"cast({text} as timestamp_ntz)"
         if field.name in rounded:
-            column = F.round(column, 8)
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            text = f"round({text}, 8)"
+        texts.append(f"{text} as {field.name}")
+    return df.selectExpr(*texts)
 
 
 def _klines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,8 +60,8 @@ def _closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _closed(spark, sf_dir).select(
-        "symbol", "interval", F.col("close_time").alias("candle_time"), F.col("close_price").alias("close")
+    return _closed(spark, sf_dir).selectExpr(
+        "symbol", "interval", "close_time as candle_time", "close_price as close"
     )
 
 
@@ -75,9 +75,6 @@ def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_RETURNS = [f"price_change_pct_{name}" for name in snap.LAGS]
-
-
 # --- staging -----------------------------------------------------------------------
 
 
@@ -142,7 +139,7 @@ def candle_range(spark, sf_dir):
 _MART_ROUNDED = [
     "sma_20", "sma_50", "ema_20", "ema_50", "volume_ma_20", "rsi_14", "atr_14", "candle_range_pct",
 ]
-_SNAPSHOT_ROUNDED = _RETURNS + [
+_SNAPSHOT_ROUNDED = snap.RETURN_COLUMNS + [
     "intraday_volatility", "distance_to_resistance_pct", "distance_to_support_pct",
     "rsi_14", "atr_14", "volume_ma_20", "sma_20", "sma_50", "ema_20", "ema_50",
 ]
@@ -156,18 +153,14 @@ def ohlcv_indicators_(spark, sf_dir):
 @query
 def asof_returns(spark, sf_dir):
     history = _history(spark, sf_dir)
-    newest = snap.newest_rows(
-        _closed(spark, sf_dir).select(
-            "event_id", "symbol", "interval",
-            F.col("close_time").alias("as_of_time"), F.col("close_price").alias("close"),
-        ),
-        snap.SERIES, "as_of_time", 1,
+    candles = _closed(spark, sf_dir).selectExpr(
+        "event_id", "symbol", "interval", "close_time as as_of_time", "close_price as close"
     )
-    out = snap.asof_returns(newest.drop("event_id", "reverse_row_num"), history)
-    return report(
-        out.select("symbol", "interval", "as_of_time", F.col("close").alias("last_price"), *_RETURNS),
-        rounded=_RETURNS,
+    latest = snap.newest_rows(candles, snap.SERIES, "as_of_time", 1)
+    out = snap.asof_returns(latest, history).selectExpr(
+        "symbol", "interval", "as_of_time", "close as last_price", *snap.RETURN_COLUMNS
     )
+    return report(out, rounded=snap.RETURN_COLUMNS)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import types as T
 
 # Prices and volumes. One digit short of Spark's maximum, so that the
 # difference of two values still fits decimal(38,18) without losing scale.
@@ -22,6 +22,13 @@ INTERVAL_SECONDS = {
 INTERVALS = tuple(INTERVAL_SECONDS)
 DEFAULT_INTERVAL = "5m"
 
+# Candle length as an expression; a minute for a name outside the enumeration.
+INTERVAL_SECONDS_SQL = (
+    "(case interval "
+    + " ".join(f"when '{name}' then {seconds}" for name, seconds in INTERVAL_SECONDS.items())
+    + " else 60 end)"
+)
+
 # The label sets of the regime columns.
 TREND_REGIMES = ("bullish", "bearish", "ranging")
 MOMENTUM_REGIMES = ("strengthening", "weakening", "neutral")
@@ -93,16 +100,6 @@ SNAPSHOT_COLUMNS = (
 )
 
 
-def interval_seconds(interval: Column | str = "interval") -> Column:
-    """Length of a candle in seconds; one minute for a name outside the enumeration."""
-    name = F.col(interval) if isinstance(interval, str) else interval
-    length = None
-    for label, seconds in INTERVAL_SECONDS.items():
-        branch = name == label
-        length = F.when(branch, seconds) if length is None else length.when(branch, seconds)
-    return length.otherwise(60).cast("bigint")
-
-
 def parse_intervals(text: str | None) -> tuple[str, ...]:
     """Split a comma-separated interval list, dropping blanks and rejecting unknown names."""
     if text is None:

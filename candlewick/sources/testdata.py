@@ -6,162 +6,154 @@ and tickers, so that the operators can be checked on the given data.
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.schemas import AMOUNT_SQL, KLINE, TICKER
+from candlewick.functions.columns import add, choose
+from candlewick.schemas import KLINE, TICKER
 
 SOURCE_NAME = "testdata"
 
-# Candle intervals in use, with the offset of their buckets from the epoch
-# (weeks start on Monday). Each length is a multiple of the first one.
-BUCKETS = {"5m": (300, 0), "1h": (3600, 0), "4h": (14400, 0), "1d": (86400, 0), "1w": (604800, 345600)}
-_FINEST = "5m"
+# Candle intervals in use: length and offset of their buckets from the epoch in
+# seconds (weeks start on Monday). Each length is a multiple of the first one.
+BUCKETS = {
+    "5m": (300, 0),
+    "1h": (3600, 0),
+    "4h": (14400, 0),
+    "1d": (86400, 0),
+    "1w": (604800, 345600),
+}
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.upper("event_type").alias("symbol"),
-        F.col("value").cast("decimal(18,2)").alias("value"),
+        "cast(ts as timestamp) as ts",
+        "upper(event_type) as symbol",
+        "cast(value as decimal(18,2)) as value",
     )
 
 
-def _bucket(seconds: Column, width: int, offset: int) -> Column:
-    return F.floor((seconds - offset) / width) * width + offset
+def _bucket(seconds: str, interval: str) -> str:
+    width, offset = BUCKETS[interval]
+    return f"floor(({seconds} - {offset}) / {width}) * {width} + {offset}"
 
 
 def _fine_candles(source: DataFrame) -> DataFrame:
     # (ts, event_id) as one number: a fixed-width ordering keeps min_by/max_by
     # in the hash aggregate, where a struct would force a sort.
-    order = F.unix_micros("ts").cast("decimal(19,0)") * F.lit(Decimal(10**19)) + F.col(
-        "event_id"
-    ).cast("decimal(19,0)")
-    width, offset = BUCKETS[_FINEST]
-    return (
-        source.withColumn("bucket", _bucket(F.unix_seconds("ts"), width, offset))
-        .withColumn("_order", order.cast("decimal(38,0)"))
-        .groupBy("symbol", "bucket")
-        .agg(
-            F.min_by("value", "_order").alias("open_price"),
-            F.max("value").alias("high_price"),
-            F.min("value").alias("low_price"),
-            F.max_by("value", "_order").alias("close_price"),
-            F.sum("value").alias("volume"),
-            F.sum(F.col("value") * F.col("value")).alias("quote_asset_volume"),
-            F.count(F.lit(1)).alias("trade_count"),
-        )
+    placed = add(
+        source,
+        {
+            "bucket": _bucket("unix_seconds(ts)", "5m"),
+            "at": "cast(cast(unix_micros(ts) as decimal(19,0)) * 10000000000000000000 + event_id"
+            " as decimal(38,0))",
+        },
     )
-
-
-def _coarser_buckets() -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("interval"),
-                F.lit(width).cast("bigint").alias("width"),
-                _bucket(F.col("bucket"), width, offset).alias("open_s"),
-            )
-            for name, (width, offset) in BUCKETS.items()
-        ]
+    return placed.sparkSession.sql(
+        """
+        select symbol, bucket,
+               min_by(value, at) as open_price, max(value) as high_price, min(value) as low_price,
+               max_by(value, at) as close_price, sum(value) as volume,
+               sum(value * value) as quote_asset_volume, count(*) as trade_count
+        from {ticks} group by symbol, bucket
+        """,
+        ticks=placed,
     )
 
 
-def candles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Candles of five intervals per event type, with the columns of the kline table.
+def candles(
+    spark: SparkSession, sf_dir: str, intervals: Sequence[str] = tuple(BUCKETS)
+) -> DataFrame:
+    """Candles of the intervals per event type, with the columns of the kline table.
 
     The coarse candles roll up the five-minute ones, so the raw events are
     aggregated once. The newest candle per symbol and interval is still open:
     its ingest time is its open time.
     """
     source = events(spark, sf_dir)
-    rolled = (
-        _fine_candles(source)
-        .withColumn("_b", F.explode(_coarser_buckets()))
-        .select("*", "_b.*")
-        .groupBy("symbol", "interval", "width", "open_s")
-        .agg(
-            F.min_by("open_price", "bucket").alias("open_price"),
-            F.max("high_price").alias("high_price"),
-            F.min("low_price").alias("low_price"),
-            F.max_by("close_price", "bucket").alias("close_price"),
-            F.sum("volume").alias("volume"),
-            F.sum("quote_asset_volume").alias("quote_asset_volume"),
-            F.sum("trade_count").alias("trade_count"),
-        )
+    coarser = ", ".join(
+        f"struct('{name}' as interval, {BUCKETS[name][0]}L as width, {_bucket('bucket', name)} as open_s)"
+        for name in intervals
+    )
+    rolled = spark.sql(
+        """
+        select symbol, interval, open_s, open_s + width as end_s,
+               min_by(open_price, bucket) as open_price, max(high_price) as high_price,
+               min(low_price) as low_price, max_by(close_price, bucket) as close_price,
+               sum(volume) as volume, sum(quote_asset_volume) as quote_asset_volume,
+               sum(trade_count) as trade_count
+        from {fine} group by symbol, interval, width, open_s
+        """,
+        fine=_fine_candles(source).selectExpr("*", f"inline(array({coarser}))"),
     )
-    newest = source.groupBy("symbol").agg(F.max("ts").alias("newest_ts"))
-    close_ms = (F.col("open_s") + F.col("width")) * 1000 - 1
-    live = F.unix_seconds("newest_ts") < F.col("open_s") + F.col("width")
-    return (
-        rolled.join(newest, "symbol")
-        .withColumns(
-            {
-                "event_id": F.concat_ws(
-                    "-", F.lit("kline"), "symbol", "interval", (F.col("open_s") * 1000).cast("string")
-                ),
-                "source": F.lit(SOURCE_NAME),
-                "open_time": F.timestamp_seconds("open_s"),
-                "close_time": F.timestamp_millis(close_ms),
-                "is_closed": F.lit(True),
-                "ingest_time": F.when(live, F.timestamp_seconds("open_s")).otherwise(
-                    F.timestamp_millis(close_ms + 5000)
-                ),
-                "raw_payload": F.lit("{}"),
-            }
-        )
-        .select(*[F.col(f.name).cast(f.dataType) for f in KLINE])
+    placed = spark.sql(
+        """
+        select rolled.*, newest_ts
+        from {rolled} as rolled
+        join (select symbol, max(ts) as newest_ts from {source} group by symbol) using (symbol)
+        """,
+        rolled=rolled,
+        source=source,
+    )
+    columns = {
+        "event_id": "concat_ws('-', 'kline', symbol, interval, open_s * 1000)",
+        "source": f"'{SOURCE_NAME}'",
+        "open_time": "timestamp_seconds(open_s)",
+        "close_time": "timestamp_millis(end_s * 1000 - 1)",
+        "is_closed": "true",
+        "ingest_time": "if(newest_ts < timestamp_seconds(end_s), timestamp_seconds(open_s),"
+        " timestamp_millis(end_s * 1000 + 4999))",
+        "raw_payload": "'{}'",
+    }
+    return _typed(placed, KLINE, columns)
+
+
+def _typed(df: DataFrame, schema, columns: dict[str, str]) -> DataFrame:
+    return choose(
+        df,
+        schema.names,
+        {f.name: f"cast({columns.get(f.name, f.name)} as {f.dataType.simpleString()})" for f in schema},
     )
 
 
 def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 24-hour ticker per one-hour candle, with the columns of the ticker table.
 
-    The trailing day is a range frame over a regular clock, so whole months of
-    a symbol form a window partition, each with the 23 hours ahead of it.
+    The trailing day is a range frame over a regular clock, so a month of a
+    symbol forms a window partition, together with the 23 hours ahead of it.
     """
-    hourly = candles(spark, sf_dir).filter(F.col("interval") == "1h")
-    month_s, halo_s = 32 * 86400, 23 * 3600
-    at = F.unix_seconds("open_time")
-    first, last = F.floor(at / month_s), F.floor((at + halo_s) / month_s)
-    day = (
-        Window.partitionBy("symbol", "_month")
-        .orderBy("_at")
-        .rangeBetween(-halo_s, Window.currentRow)
+    month, halo = 32 * 86400, 23 * 3600
+    hourly = add(candles(spark, sf_dir, ["1h"]), {"at": "unix_seconds(open_time)"})
+    hourly = hourly.selectExpr(
+        "*",
+        f"floor(at / {month}) as home",
+        f"explode(sequence(floor(at / {month}), floor((at + {halo}) / {month}))) as part",
     )
-    opened = F.first("open_price").over(day)
-    change = F.col("last_price") - F.col("open_price_24h")
-    return (
-        hourly.withColumns({"_at": at, "_home": first, "_month": F.explode(F.sequence(first, last))})
-        .withColumns(
-            {
-                "last_price": F.col("close_price"),
-                "open_price_24h": opened,
-                "high_price_24h": F.max("high_price").over(day),
-                "low_price_24h": F.min("low_price").over(day),
-                "volume_24h": F.sum("volume").over(day),
-                "quote_volume_24h": F.sum("quote_asset_volume").over(day),
-                "trade_count_24h": F.sum("trade_count").over(day),
-            }
-        )
-        .filter(F.col("_month") == F.col("_home"))
-        .withColumns(
-            {
-                "price_change_24h": change,
-                "price_change_pct_24h": F.round(
-                    change.cast("double")
-                    / F.nullif(F.col("open_price_24h").cast("double"), F.lit(0.0))
-                    * 100,
-                    4,
-                ),
-                "event_time": F.col("close_time"),
-                "ingest_time": F.timestamp_millis(F.unix_millis("close_time") + 5000),
-                "event_id": F.concat_ws(
-                    "-", F.lit("ticker"), "symbol", F.unix_millis("close_time").cast("string")
-                ),
-            }
-        )
-        .select(*[F.col(f.name).cast(f.dataType) for f in TICKER])
+    day = (
+        "over (partition by symbol, part order by at"
+        f" range between {halo} preceding and current row)"
     )
+    trailing = add(
+        hourly,
+        {
+            "last_price": "close_price",
+            "open_price_24h": f"first(open_price) {day}",
+            "high_price_24h": f"max(high_price) {day}",
+            "low_price_24h": f"min(low_price) {day}",
+            "volume_24h": f"sum(volume) {day}",
+            "quote_volume_24h": f"sum(quote_asset_volume) {day}",
+            "trade_count_24h": f"sum(trade_count) {day}",
+        },
+    ).filter("part = home")
+    change = "(last_price - open_price_24h)"
+    columns = {
+        "event_id": "concat_ws('-', 'ticker', symbol, unix_millis(close_time))",
+        "event_time": "close_time",
+        "ingest_time": "close_time + interval 5 seconds",
+        "price_change_24h": change,
+        "price_change_pct_24h": f"round(cast({change} as double)"
+        " / nullif(cast(open_price_24h as double), 0d) * 100, 4)",
+    }
+    return _typed(trailing, TICKER, columns)
