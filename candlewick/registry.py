@@ -6,10 +6,15 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from candlewick.operators import indicators as ind
+from candlewick.functions.columns import choose
+from candlewick.operators import indicators as ind, quality
+from candlewick.operators.normalize import normalize_klines, normalize_ticker
 from candlewick.operators.staging import closed_candles, stg_klines, stg_ticker
-from candlewick.plans import snapshot as snap
+from candlewick.operators.upsert import latest_by_key
+from candlewick.operators.validate import invalid_rows, validate
+from candlewick.plans import panels, snapshot as snap
 from candlewick.plans.ohlcv import ohlcv_indicators
+from candlewick.schemas import AMOUNT, KLINE, OHLCV_COLUMNS, TICKER
 from candlewick.session import configure
 from candlewick.sources import testdata
 
@@ -177,3 +182,217 @@ def atr_baseline(spark, sf_dir):
 @query
 def market_snapshot(spark, sf_dir):
     return report(_snapshot(spark, sf_dir), rounded=_SNAPSHOT_ROUNDED)
+
+
+# --- events: normalization, validation, upsert -------------------------------------
+
+_INGEST = "timestamp'2024-02-01 00:00:00'"
+_TICKER_AMOUNTS = [f.name for f in TICKER if f.dataType == AMOUNT]
+_KLINE_AMOUNTS = [f.name for f in KLINE if f.dataType == AMOUNT]
+
+
+def _payload(events: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """Normalized events with fields read back from their payload."""
+    opened = events.selectExpr("*", "parse_json(payload) as _p")
+    return opened.selectExpr(
+        "event_id", "event_type", "source", "symbol",
+        "cast(cast(event_time as timestamp) as timestamp_ntz) as event_time",
+        "cast(cast(ingest_time as timestamp) as timestamp_ntz) as ingest_time",
+        *[f"variant_get(_p, '$.{name}', '{kind}') as {name}" for name, kind in fields.items()],
+    )
+
+
+@query
+def normalize_ticker_(spark, sf_dir):
+    events = normalize_ticker(testdata.raw_ticker_json(spark, sf_dir), "testdata", _INGEST)
+    return _payload(events, {**dict.fromkeys(_TICKER_AMOUNTS, "double"), "trade_count_24h": "bigint"})
+
+
+@query
+def normalize_klines_(spark, sf_dir):
+    events = normalize_klines(testdata.raw_klines_json(spark, sf_dir), "testdata", _INGEST)
+    out = _payload(
+        events,
+        {
+            "interval": "string", "open_time": "timestamp", "close_time": "timestamp",
+            **dict.fromkeys(_KLINE_AMOUNTS, "double"),
+            "trade_count": "bigint", "is_closed": "boolean",
+        },
+    )
+    return report(out)
+
+
+def _validated(spark, sf_dir, event_type):
+    dirty = testdata.dirty_ticker_events if event_type == "ticker" else testdata.dirty_kline_events
+    return validate(dirty(spark, sf_dir), event_type, keep=["key"])
+
+
+def _checked(validated: DataFrame) -> DataFrame:
+    """All rows: key and reason, and the typed columns where the row is valid."""
+    names = [c for c in validated.columns if c not in ("key", "reason", "value")]
+    return report(
+        validated.selectExpr("key", "reason", *[f"if(reason is null, {n}, null) as {n}" for n in names])
+    )
+
+
+@query
+def validate_ticker(spark, sf_dir):
+    return _checked(_validated(spark, sf_dir, "ticker"))
+
+
+@query
+def validate_kline(spark, sf_dir):
+    return _checked(_validated(spark, sf_dir, "kline"))
+
+
+@query
+def dead_letter(spark, sf_dir):
+    rejected = [
+        invalid_rows(_validated(spark, sf_dir, kind), keep=["key"]).selectExpr(
+            f"'{kind}' as event_type", "key", "reason"
+        )
+        for kind in ("ticker", "kline")
+    ]
+    return rejected[0].unionByName(rejected[1])
+
+
+@query
+def upsert_latest(spark, sf_dir):
+    return report(latest_by_key(testdata.versions(spark, sf_dir)), drop=["raw_payload", "log_position"])
+
+
+# --- panels ------------------------------------------------------------------------
+
+
+@query
+def panel_snapshot(spark, sf_dir):
+    names = [c for c in panels.SNAPSHOT_PANEL if c in _SNAPSHOT_ROUNDED]
+    return report(panels.panel_snapshot(_snapshot(spark, sf_dir)), rounded=names)
+
+
+@query
+def panel_trend_vs_ema(spark, sf_dir):
+    return panels.panel_trend_vs_ema(_ohlcv(spark, sf_dir))
+
+
+@query
+def panel_rsi_bands(spark, sf_dir):
+    return report(panels.panel_rsi_bands(_ohlcv(spark, sf_dir)), rounded=["rsi_14"])
+
+
+@query
+def panel_ema_distance(spark, sf_dir):
+    return panels.panel_ema_distance(_ohlcv(spark, sf_dir))
+
+
+@query
+def panel_volume_spike(spark, sf_dir):
+    return panels.panel_volume_spike(_ohlcv(spark, sf_dir))
+
+
+@query
+def panel_returns_long(spark, sf_dir):
+    out = panels.panel_returns_long(_snapshot(spark, sf_dir), intervals=None)
+    return report(out, rounded=["return_pct"])
+
+
+# --- quality -----------------------------------------------------------------------
+
+_AS_OF = "timestamp'2024-01-31 00:10:00'"
+
+
+def _defective(spark, sf_dir):
+    raw_ticker = testdata.defective_tickers(spark, sf_dir)
+    raw_kline = testdata.defective_klines(spark, sf_dir)
+    return {
+        "raw_ticker": raw_ticker,
+        "raw_kline": raw_kline,
+        "stg_ticker": stg_ticker(raw_ticker),
+        "stg_klines": stg_klines(raw_kline),
+    }
+
+
+def _relabelled(spark, sf_dir):
+    """The candle mart with some labels that are not accepted."""
+    return choose(
+        _ohlcv(spark, sf_dir),
+        OHLCV_COLUMNS,
+        {
+            "interval": "if(hour(candle_time) = 4, '2m', interval)",
+            "trend_regime": "case hour(candle_time) when 5 then 'sideways' when 6 then null"
+            " else trend_regime end",
+        },
+    )
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    tables = {**_defective(spark, sf_dir), "ohlcv": _relabelled(spark, sf_dir)}
+    return quality.union(
+        [quality.count_failures(df, name, quality.NOT_NULL[name]) for name, df in tables.items()]
+    )
+
+
+@query
+def dq_unique(spark, sf_dir):
+    tables = _defective(spark, sf_dir)
+    return quality.union([quality.count_duplicates(df, name) for name, df in tables.items()])
+
+
+@query
+def dq_accepted_values(spark, sf_dir):
+    tables = {"ohlcv": _relabelled(spark, sf_dir), "snapshot": _snapshot(spark, sf_dir)}
+    return quality.union(
+        [quality.count_failures(df, name, quality.ACCEPTED[name]) for name, df in tables.items()]
+    )
+
+
+@query
+def dq_freshness(spark, sf_dir):
+    raw = {"raw_ticker": testdata.tickers(spark, sf_dir), "raw_kline": testdata.candles(spark, sf_dir)}
+    return report(quality.union([quality.freshness(df, name, _AS_OF) for name, df in raw.items()]))
+
+
+@query
+def dq_ticker_assert(spark, sf_dir):
+    bad = quality.assert_rows(testdata.defective_tickers(spark, sf_dir), quality.TICKER_ASSERTION)
+    return report(bad, drop=["raw_payload"])
+
+
+@query
+def dq_kline_assert(spark, sf_dir):
+    mart = choose(
+        _ohlcv(spark, sf_dir),
+        OHLCV_COLUMNS,
+        {
+            "high": "if(hour(candle_time) = 7, low - 1, high)",
+            "rsi_14": "if(hour(candle_time) = 8, rsi_14 + 100, rsi_14)",
+            "atr_14": "if(hour(candle_time) = 9, -1d, atr_14)",
+            "volume": "if(hour(candle_time) = 10, -volume - 1, volume)",
+        },
+    )
+    return report(quality.assert_rows(mart, quality.CANDLE_ASSERTION), rounded=_MART_ROUNDED)
+
+
+def _panel_checks(spark, sf_dir):
+    mart = _ohlcv(spark, sf_dir)
+    return [
+        quality.nonempty(panels.panel_snapshot(_snapshot(spark, sf_dir)), "panel_snapshot"),
+        quality.nonempty(panels.panel_trend_vs_ema(mart), "panel_trend_vs_ema"),
+        quality.nonempty(panels.panel_rsi_bands(mart), "panel_rsi_bands"),
+    ]
+
+
+@query
+def dq_panels_nonempty(spark, sf_dir):
+    return quality.union(_panel_checks(spark, sf_dir))
+
+
+@query
+def dq_suite(spark, sf_dir):
+    tables = {
+        **_defective(spark, sf_dir),
+        "ohlcv": _relabelled(spark, sf_dir),
+        "snapshot": _snapshot(spark, sf_dir),
+    }
+    return quality.suite(tables, _AS_OF)

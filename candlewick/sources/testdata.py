@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewick.functions.columns import add, choose
 from candlewick.schemas import KLINE, TICKER
@@ -157,3 +157,176 @@ def tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
         " / nullif(cast(open_price_24h as double), 0d) * 100, 4)",
     }
     return _typed(trailing, TICKER, columns)
+
+
+# --- raw responses -----------------------------------------------------------------
+
+RESPONSE_CANDLES = 500
+
+
+def raw_ticker_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed ticker responses: one JSON object per row in ``value``."""
+    return tickers(spark, sf_dir).selectExpr(
+        """to_json(named_struct(
+            'symbol', symbol, 'closeTime', unix_millis(event_time),
+            'lastPrice', cast(last_price as string),
+            'priceChange', cast(price_change_24h as string),
+            'priceChangePercent', cast(price_change_pct_24h as string),
+            'volume', cast(volume_24h as string), 'quoteVolume', cast(quote_volume_24h as string),
+            'openPrice', cast(open_price_24h as string), 'highPrice', cast(high_price_24h as string),
+            'lowPrice', cast(low_price_24h as string), 'count', trade_count_24h)) as value"""
+    )
+
+
+def raw_klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed candle responses: a JSON array of at most 500 candles per row."""
+    width = "unix_seconds(close_time) + 1 - unix_seconds(open_time)"
+    items = candles(spark, sf_dir).selectExpr(
+        "symbol",
+        "interval",
+        f"floor(unix_seconds(open_time) / (({width}) * {RESPONSE_CANDLES})) as response",
+        """concat('[', unix_millis(open_time), ',"', open_price, '","', high_price, '","', low_price,
+            '","', close_price, '","', volume, '",', unix_millis(close_time), ',"',
+            quote_asset_volume, '",', trade_count, ',"0","0","0"]') as item""",
+    )
+    return items.groupBy("symbol", "interval", "response").agg(
+        F.expr("concat('[', concat_ws(',', array_sort(collect_list(item))), ']')").alias("value")
+    ).drop("response")
+
+
+# --- events with defects -----------------------------------------------------------
+
+# One defect per slot of 16 consecutive buckets; slots not named are clean.
+_TICKER_DEFECTS = {
+    0: {"event_type": "'trade'"},
+    1: {"symbol": "'  '"},
+    2: {"source": "null", "volume_24h": "null"},
+    3: {"last_price": "'-1'"},
+    4: {"high_price_24h": "'1'", "low_price_24h": "'2'"},
+    5: {"event_time": "'10:00'"},
+    6: {"last_price": "'NaN'"},
+    7: {"trade_count_24h": "'-1'"},
+    11: {"event_type": "null"},
+    12: {"trade_count_24h": "'12.0'"},
+    13: {"symbol": "concat(' ', lower(symbol), '\\t')"},
+}
+_KLINE_DEFECTS = {
+    0: {"event_type": "'ticker'"},
+    1: {"symbol": "'  '"},
+    2: {"source": "null", "volume": "null"},
+    3: {"close_price": "'-1'"},
+    4: {"open_price": "'1.5'", "high_price": "'1'", "low_price": "'2'", "close_price": "'1.5'"},
+    5: {"open_time": "'10:00'"},
+    6: {"close_price": "'NaN'"},
+    7: {"trade_count": "'-1'"},
+    10: {"open_time": "'2030-01-01T00:00:00Z'"},
+    11: {"open_price": "'5'", "high_price": "'9'", "low_price": "'5.5'", "close_price": "'6'"},
+    12: {"is_closed": "'false'"},
+}
+
+
+def _dirty(df: DataFrame, schema, slot: str, defects: dict, event_type: str, extra: str) -> DataFrame:
+    iso = "yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSSxxx"
+    good = {"event_type": f"'{event_type}'"}
+    for field in schema:
+        if field.name == "raw_payload":
+            continue
+        kind = field.dataType.simpleString()
+        good[field.name] = (
+            f"date_format({field.name}, '{iso}')" if kind == "timestamp" else f"cast({field.name} as string)"
+        )
+    bad = {
+        name: " ".join(f"when {n} then {changes[name]}" for n, changes in defects.items() if name in changes)
+        for name in good
+    }
+    fields = ", ".join(
+        f"'{name}', " + (f"case slot {bad[name]} else {text} end" if bad[name] else text)
+        for name, text in good.items()
+        if name != "is_closed" or not extra
+    )
+    return add(df, {"slot": f"pmod({slot}, 16)"}).selectExpr(
+        "event_id as key",
+        f"""case slot when 8 then '{{"event_type":' when 9 then '[1,2]'
+            when 14 then replace(to_json(named_struct({fields})), '"event_type"', '"was":1,"event_type"')
+            else to_json(named_struct({fields})) end as text""",
+        "slot",
+    )
+
+
+def dirty_ticker_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticker events as logged (``key``, ``value``), with one defect per row."""
+    events_ = _dirty(
+        tickers(spark, sf_dir), TICKER, "floor((unix_seconds(event_time) + 1) / 3600)",
+        _TICKER_DEFECTS, "ticker", "",
+    )
+    # An explicit null type, which a struct cannot write.
+    return events_.selectExpr(
+        "key", "if(slot = 10, replace(text, '\"event_type\":\"ticker\"', '\"event_type\":null'), text) as value"
+    )
+
+
+def dirty_kline_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kline events as logged (``key``, ``value``), with one defect per row."""
+    width = "unix_seconds(close_time) + 1 - unix_seconds(open_time)"
+    events_ = _dirty(
+        candles(spark, sf_dir), KLINE, f"floor(unix_seconds(open_time) / ({width}))",
+        _KLINE_DEFECTS, "kline", "typed",
+    )
+    flag = "case slot when 12 then '\"false\"' when 13 then 'false' when 14 then '0' else 'true' end"
+    return events_.selectExpr(
+        "key",
+        f"if(text like '{{%' and slot != 8, concat('{{\"is_closed\":', {flag}, ',', substr(text, 2)), text) as value",
+    )
+
+
+# --- versions and rows that break the quality rules --------------------------------
+
+
+def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candle as batch 1; each rising one again as batch 2 with a close one higher."""
+    rows = candles(spark, sf_dir)
+    again = "filter(array(1L, 2L), b -> b = 1 or close_price > open_price)"
+    return rows.selectExpr("*", f"explode({again}) as batch_id").selectExpr(
+        *[
+            f"cast(close_price + (batch_id - 1) as {KLINE['close_price'].dataType.simpleString()}) as close_price"
+            if name == "close_price"
+            else name
+            for name in KLINE.names
+        ],
+        "batch_id",
+        "0L as log_position",
+    )
+
+
+def defective_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickers of which some break a quality rule, by hour of the day."""
+    hour = "hour(event_time)"
+    return choose(
+        tickers(spark, sf_dir),
+        TICKER.names,
+        {
+            "event_id": f"if({hour} = 1, null, event_id)",
+            "symbol": f"case {hour} when 2 then null when 3 then '  ' else symbol end",
+            "last_price": f"case {hour} when 4 then null when 5 then 0 else last_price end",
+            "ingest_time": f"if({hour} = 6, null, ingest_time)",
+            "volume_24h": f"if({hour} = 7, -volume_24h - 1, volume_24h)",
+            "trade_count_24h": f"if({hour} = 8, -1, trade_count_24h)",
+            "high_price_24h": f"if({hour} = 9, low_price_24h - 1, high_price_24h)",
+        },
+    )
+
+
+def defective_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candles of which some break a quality rule, by hour of the day; rising ones come twice."""
+    hour = "hour(open_time)"
+    return choose(
+        versions(spark, sf_dir),
+        KLINE.names,
+        {
+            "event_id": f"if({hour} = 1, null, event_id)",
+            "symbol": f"if({hour} = 2, null, symbol)",
+            "interval": f"case {hour} when 3 then null when 4 then '2m' else interval end",
+            "open_time": f"if({hour} = 5, null, open_time)",
+            "close_price": f"if({hour} = 6, null, close_price)",
+        },
+    )
