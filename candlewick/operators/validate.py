@@ -92,7 +92,7 @@ def validate(
     required = REQUIRED[event_type]
     parsed = add(
         events.selectExpr(*keep, f"{value} as value"), {"_event": "try_parse_json(value)"}
-    ).filter(f"_event is null or {is_object('value')}")
+    )
     texts = {f"_{name}": field("_event", f"$.{name}") for name in ("event_type", *required)}
     typed = {f.name: _typed(f.name, f.dataType) for f in table if f.name != "raw_payload"}
     rows = add(add(parsed, texts), typed)
@@ -109,7 +109,13 @@ def validate(
         *[f"when {test} then '{reason}'" for reason, test in _TYPED_RULES[event_type].items()],
     ]
     rows = add(rows, {"_missing": f"concat_ws(', ', {absent})"})
-    rows = add(rows, {"reason": f"case {' '.join(rules)} end"})
+    # The verdict comes out of a generator: a filter on it stays above, instead
+    # of being pushed down with every expression behind it written out again.
+    verdict = (
+        f"struct(case {' '.join(rules)} end as reason,"
+        f" _event is not null and not {is_object('value')} as _dropped)"
+    )
+    rows = rows.selectExpr("*", f"inline(array({verdict}))").filter("not _dropped")
     return choose(rows, [*keep, *typed, "reason", "value"])
 
 

@@ -272,6 +272,190 @@ def _rounded(*names: str) -> str:
     return ", ".join(f"round({name}, 8) as {name}" for name in names)
 
 
+# --- events with defects -----------------------------------------------------------
+
+_TICKER_SLOTS = """
+slotted as (
+  select *, ((epoch_us(event_time) // 1000 + 1) // 3600000) % 16 as slot from ticker
+),
+judged as (
+  select *, case slot
+      when 0 then 'Unexpected event_type ''trade''. Expected ''ticker''.'
+      when 1 then 'Missing required ticker fields: symbol'
+      when 2 then 'Missing required ticker fields: source, volume_24h'
+      when 3 then 'Ticker payload contains negative values.'
+      when 4 then 'Ticker high_price_24h is lower than low_price_24h.'
+      when 5 then 'Ticker payload contains invalid typed values.'
+      when 6 then 'Ticker payload contains invalid typed values.'
+      when 7 then 'Ticker trade_count_24h must be zero or greater.'
+      when 8 then 'Malformed JSON.'
+      when 10 then 'Unexpected event_type ''none''. Expected ''ticker''.'
+      when 11 then 'Unexpected event_type ''missing''. Expected ''ticker''.'
+      when 12 then 'Ticker payload contains invalid typed values.' end as reason
+  from slotted where slot <> 9
+)"""
+
+_KLINE_SLOTS = """
+slotted as (select *, (open_s // width) % 16 as slot from candles),
+judged as (
+  select * replace (slot not in (13, 14) as is_closed), case slot
+      when 0 then 'Unexpected event_type ''ticker''. Expected ''kline''.'
+      when 1 then 'Missing required kline fields: symbol'
+      when 2 then 'Missing required kline fields: source, volume'
+      when 3 then 'Kline payload contains negative values.'
+      when 4 then 'Kline high_price is inconsistent with candle values.'
+      when 5 then 'Kline payload contains invalid typed values.'
+      when 6 then 'Kline payload contains invalid typed values.'
+      when 7 then 'Kline trade_count must be zero or greater.'
+      when 8 then 'Malformed JSON.'
+      when 10 then 'Kline close_time is earlier than open_time.'
+      when 11 then 'Kline low_price is inconsistent with candle values.' end as reason
+  from slotted where slot <> 9
+)"""
+
+
+def _judged(columns: str) -> str:
+    """All rows with their reason; the typed columns only where there is none."""
+    named = [part.strip().rpartition(" as ")[2] for part in columns.split(",")]
+    fields = ", ".join(f"case when reason is null then {name} end as {name}" for name in named)
+    return f"select event_id as key, reason, {fields} from (select {columns}, reason from judged)"
+
+
+_VERSIONS = """
+versions as (
+  select *, 1 as batch_id from candles
+  union all
+  select * replace (close_price + 1 as close_price), 2 as batch_id from candles
+  where close_price > open_price
+)"""
+
+_BAD_TICKER = """
+bad_ticker as (
+  select * replace (
+    case when hour(event_time) <> 1 then event_id end as event_id,
+    case hour(event_time) when 2 then null when 3 then '  ' else symbol end as symbol,
+    case hour(event_time) when 4 then null when 5 then 0 else last_price end as last_price,
+    case when hour(event_time) <> 6 then ingest_time end as ingest_time,
+    case when hour(event_time) = 7 then -volume_24h - 1 else volume_24h end as volume_24h,
+    case when hour(event_time) = 8 then -1 else trade_count_24h end as trade_count_24h,
+    case when hour(event_time) = 9 then low_price_24h - 1 else high_price_24h end as high_price_24h)
+  from ticker
+)"""
+
+_BAD_KLINE = """
+bad_kline as (
+  select * replace (
+    case when hour(open_time) <> 1 then event_id end as event_id,
+    case when hour(open_time) <> 2 then symbol end as symbol,
+    case hour(open_time) when 3 then null when 4 then '2m' else interval end as interval,
+    case when hour(open_time) <> 5 then open_time end as open_time,
+    case when hour(open_time) <> 6 then close_price end as close_price)
+  from versions
+)"""
+
+_BAD_MART = """
+bad_mart as (
+  select * replace (
+    case when hour(candle_time) = 4 then '2m' else interval end as interval,
+    case hour(candle_time) when 5 then 'sideways' when 6 then null else trend_regime end as trend_regime)
+  from mart
+)"""
+
+_TICKER_BREAKS = (
+    "trim(symbol) = '' or last_price <= 0 or volume_24h < 0 or quote_volume_24h < 0 "
+    "or trade_count_24h < 0 or high_price_24h < low_price_24h"
+)
+_CANDLE_BREAKS = (
+    "open <= 0 or high <= 0 or low <= 0 or close <= 0 or high < low or volume < 0 "
+    "or quote_asset_volume < 0 or rsi_14 < 0 or rsi_14 > 100 or atr_14 < 0"
+)
+
+_PARTS |= {
+    "judged_ticker": (_TICKER_SLOTS, ("ticker",)),
+    "judged_kline": (_KLINE_SLOTS, ("candles",)),
+    "versions": (_VERSIONS, ("candles",)),
+    "bad_ticker": (_BAD_TICKER, ("ticker",)),
+    "bad_kline": (_BAD_KLINE, ("versions",)),
+    "bad_mart": (_BAD_MART, ("mart",)),
+}
+
+_CHECKED_COLUMNS = {
+    "raw_ticker": ("bad_ticker", ("event_id", "symbol", "event_time", "last_price")),
+    "raw_kline": ("bad_kline", ("event_id", "symbol", "interval", "open_time", "close_price")),
+    "stg_ticker": ("bad_ticker", ("event_id", "symbol", "last_price", "ingest_time")),
+    "stg_klines": ("bad_kline", ("event_id", "symbol", "interval", "open_time", "close_price")),
+    "ohlcv": ("bad_mart", ("event_id", "symbol", "interval", "candle_time", "close", "trend_regime")),
+    "snapshot": ("snapshot", ("symbol", "interval", "as_of_time", "last_price",
+                              "trend_regime", "momentum_regime", "volatility_regime")),
+}
+_LABELS = (
+    ("ohlcv", "bad_mart", "interval", "'1m','5m','15m','1h','4h','1d','1w'"),
+    ("ohlcv", "bad_mart", "trend_regime", "'bullish','bearish','ranging'"),
+    ("snapshot", "snapshot", "trend_regime", "'bullish','bearish','ranging'"),
+    ("snapshot", "snapshot", "momentum_regime", "'strengthening','weakening','neutral'"),
+    ("snapshot", "snapshot", "volatility_regime", "'extreme','elevated','normal'"),
+)
+
+
+def _check(table: str, check: str, column: str, source: str, test: str) -> str:
+    return (
+        f"select '{table}' as table_name, '{check}' as check_name, '{column}' as column_name, "
+        f"count(*) as failing_rows from {source} where {test}"
+    )
+
+
+def _not_null_checks(tables: tuple[str, ...]) -> list[str]:
+    return [
+        _check(table, "not_null", column, _CHECKED_COLUMNS[table][0], f"{column} is null")
+        for table in tables
+        for column in _CHECKED_COLUMNS[table][1]
+    ]
+
+
+def _unique_checks(tables: tuple[str, ...]) -> list[str]:
+    return [
+        _check(
+            table, "unique", "event_id",
+            f"(select event_id from {_CHECKED_COLUMNS[table][0]} where event_id is not null "
+            "group by event_id having count(*) > 1)", "true",
+        )
+        for table in tables
+    ]
+
+
+def _label_checks() -> list[str]:
+    return [
+        _check(table, "accepted_values", column, source, f"{column} not in ({values})")
+        for table, source, column, values in _LABELS
+    ]
+
+
+def _results(checks: list[str]) -> str:
+    return (
+        "select *, case when failing_rows > 0 then 'error' else 'pass' end as status from ("
+        + " union all ".join(checks)
+        + ")"
+    )
+
+
+_AGES = """
+    select 'raw_ticker' as table_name, max(ingest_time) as newest from {ticker}
+    union all select 'raw_kline', max(ingest_time) from {kline}"""
+
+
+def _freshness(ticker: str, kline: str) -> str:
+    ages = _AGES.format(ticker=ticker, kline=kline)
+    return f"""
+    select *, case when age_seconds > 86400 then 'error' when age_seconds > 1800 then 'warn' else 'pass' end as status
+    from (select *, epoch_us(timestamp '2024-01-31 00:10:00') // 1000000 - epoch_us(newest) // 1000000 as age_seconds
+          from ({ages}))"""
+
+
+_LOCAL = "({} at time zone 'UTC') at time zone 'Asia/Ho_Chi_Minh'"
+_RECENT = "where interval = '5m' order by candle_time desc, event_id desc limit"
+_FIRST = "(select {} from mart where interval = '5m' order by candle_time, event_id limit 1)"
+
+
 def statements() -> dict[str, str]:
     return {
         "stg_klines": _statement(("candles",), f"select {_KLINE_COLUMNS} from candles"),
@@ -330,4 +514,125 @@ def statements() -> dict[str, str]:
                 "rsi_14", "atr_14", "volume_ma_20", "sma_20", "sma_50", "ema_20", "ema_50",
             ) + ") from snapshot",
         ),
+        "normalize_ticker": _statement(
+            ("ticker",),
+            "select event_id, 'ticker' as event_type, source, symbol, event_time, "
+            "timestamp '2024-02-01 00:00:00' as ingest_time, "
+            + _TICKER_COLUMNS.split("ingest_time,")[1] + " from ticker",
+        ),
+        "normalize_klines": _statement(
+            ("candles",),
+            "select 'kline' as event_type, close_time as event_time, "
+            + _KLINE_COLUMNS.replace("ingest_time", "timestamp '2024-02-01 00:00:00' as ingest_time")
+            + " from candles",
+        ),
+        "validate_ticker": _statement(("judged_ticker",), _judged(_TICKER_COLUMNS)),
+        "validate_kline": _statement(("judged_kline",), _judged(_KLINE_COLUMNS)),
+        "dead_letter": _statement(
+            ("candles", "ticker"),
+            "select 'ticker' as event_type, event_id as key, reason from judged_t where reason is not null "
+            "union all select 'kline', event_id, reason from judged_k where reason is not null",
+            _TICKER_SLOTS.replace("slotted", "slotted_t").replace("judged", "judged_t") + ","
+            + _KLINE_SLOTS.replace("slotted", "slotted_k").replace("judged", "judged_k"),
+        ),
+        "upsert_latest": _statement(
+            ("versions",),
+            f"select {_KLINE_COLUMNS}, cast(batch_id as bigint) as batch_id from versions v "
+            "where batch_id = (select max(batch_id) from versions w where w.event_id = v.event_id)",
+        ),
+        "panel_snapshot": _statement(
+            ("snapshot",),
+            f"select symbol, {_LOCAL.format('as_of_time')} as as_of_time, interval, last_price, "
+            "price_change_pct_5m, price_change_pct_15m, price_change_pct_1h, price_change_pct_4h, "
+            "price_change_pct_24h, price_change_pct_1w, volume_24h, "
+            "round(intraday_volatility, 8) as intraday_volatility, trend_regime, momentum_regime, "
+            "volatility_regime, signal_strength_score, breakout_flag, pullback_flag "
+            "from snapshot where interval = '5m'",
+        ),
+        "panel_trend_vs_ema": _statement(
+            ("mart",),
+            f"select {_LOCAL.format('candle_time')} as candle_time, "
+            f"round((close / nullif({_FIRST.format('close')}, 0) - 1) * 100, 4) as close_change_pct, "
+            f"round((ema_20 / nullif({_FIRST.format('ema_20')}, 0) - 1) * 100, 4) as ema_change_pct "
+            f"from (select * from mart {_RECENT} 120)",
+        ),
+        "panel_rsi_bands": _statement(
+            ("mart",),
+            f"select {_LOCAL.format('candle_time')} as candle_time, round(rsi_14, 8) as rsi_14, "
+            "cast(30 as double) as oversold_band, cast(70 as double) as overbought_band "
+            f"from (select * from mart {_RECENT} 120)",
+        ),
+        "panel_ema_distance": _statement(
+            ("mart",),
+            f"select {_LOCAL.format('candle_time')} as candle_time, "
+            "round((close - ema_20) / nullif(ema_20, 0) * 100, 4) as distance_to_ema_pct, "
+            "round(candle_range_pct, 4) as candle_range_pct "
+            f"from (select * from mart {_RECENT} 120)",
+        ),
+        "panel_volume_spike": _statement(
+            ("mart",),
+            f"select {_LOCAL.format('candle_time')} as candle_time, "
+            "round(volume / nullif(volume_ma_20, 0), 4) as volume_spike_ratio, "
+            f"cast(1 as double) as baseline_ratio from (select * from mart {_RECENT} 48)",
+        ),
+        "panel_returns_long": _statement(
+            ("snapshot",),
+            " union all ".join(
+                f"select '{label}' as timeframe, price_change_pct_{name} as return_pct from snapshot"
+                for label, name in (
+                    ("5m", "5m"), ("15m", "15m"), ("1h", "1h"), ("4h", "4h"), ("1d", "24h"), ("1w", "1w")
+                )
+            ),
+        ),
+        "dq_not_null": _statement(
+            ("bad_ticker", "bad_kline", "bad_mart"),
+            _results(_not_null_checks(("raw_ticker", "raw_kline", "stg_ticker", "stg_klines", "ohlcv"))),
+        ),
+        "dq_unique": _statement(
+            ("bad_ticker", "bad_kline"),
+            _results(_unique_checks(("raw_ticker", "raw_kline", "stg_ticker", "stg_klines"))),
+        ),
+        "dq_accepted_values": _statement(("bad_mart", "snapshot"), _results(_label_checks())),
+        "dq_freshness": _statement(("ticker",), _freshness("ticker", "candles")),
+        "dq_ticker_assert": _statement(
+            ("bad_ticker",), f"select {_TICKER_COLUMNS} from bad_ticker where {_TICKER_BREAKS}"
+        ),
+        "dq_kline_assert": _statement(
+            ("mart",),
+            "select * replace (" + _rounded(
+                "sma_20", "sma_50", "ema_20", "ema_50", "volume_ma_20", "rsi_14", "atr_14", "candle_range_pct"
+            ) + f") from worse where {_CANDLE_BREAKS}",
+            """
+worse as (
+  select * replace (
+    case when hour(candle_time) = 7 then 0 else high end as high,
+    case when hour(candle_time) = 8 then rsi_14 + 100 else rsi_14 end as rsi_14,
+    case when hour(candle_time) = 9 then -1 else atr_14 end as atr_14,
+    case when hour(candle_time) = 10 then -volume else volume end as volume)
+  from mart
+)""",
+        ),
+        "dq_panels_nonempty": _statement(
+            ("mart",),
+            "select name as table_name, 'nonempty' as check_name, '*' as column_name, "
+            "cast(case when found then 0 else 1 end as bigint) as failing_rows, "
+            "case when found then 'pass' else 'error' end as status "
+            "from (select unnest(['panel_snapshot', 'panel_trend_vs_ema', 'panel_rsi_bands']) as name, "
+            "(select count(*) > 0 from mart where interval = '5m') as found)",
+        ),
+        "dq_suite": _statement(
+            ("bad_ticker", "bad_kline", "bad_mart", "snapshot"),
+            _results(
+                _not_null_checks(tuple(_CHECKED_COLUMNS))
+                + _label_checks()
+                + _unique_checks(("raw_ticker", "raw_kline", "stg_ticker", "stg_klines", "ohlcv"))
+                + [
+                    _check("raw_ticker", "assertion", "ticker_values", "bad_ticker", _TICKER_BREAKS),
+                    _check("ohlcv", "assertion", "candle_values", "bad_mart", _CANDLE_BREAKS),
+                ]
+            )
+            + " union all select table_name, 'freshness', 'ingest_time', "
+            "cast(case when status = 'pass' then 0 else 1 end as bigint), status "
+            f"from ({_freshness('bad_ticker', 'bad_kline')})",
+        ),
     }

@@ -365,10 +365,10 @@ def dq_kline_assert(spark, sf_dir):
         _ohlcv(spark, sf_dir),
         OHLCV_COLUMNS,
         {
-            "high": "if(hour(candle_time) = 7, low - 1, high)",
+            "high": "if(hour(candle_time) = 7, 0, high)",
             "rsi_14": "if(hour(candle_time) = 8, rsi_14 + 100, rsi_14)",
             "atr_14": "if(hour(candle_time) = 9, -1d, atr_14)",
-            "volume": "if(hour(candle_time) = 10, -volume - 1, volume)",
+            "volume": "if(hour(candle_time) = 10, -volume, volume)",
         },
     )
     return report(quality.assert_rows(mart, quality.CANDLE_ASSERTION), rounded=_MART_ROUNDED)
