@@ -78,27 +78,66 @@ KLINE = _table(
 
 TABLES = {"ticker": TICKER, "kline": KLINE}
 
-OHLCV_COLUMNS = (
-    "event_id", "source", "symbol", "interval", "candle_time",
-    "open", "high", "low", "close", "volume", "quote_asset_volume",
-    "trade_count", "is_closed", "ingest_time",
-    "sma_20", "sma_50", "ema_20", "ema_50", "volume_ma_20", "rsi_14", "atr_14",
-    "candle_range_pct", "rolling_high_20", "rolling_low_20", "trend_regime",
+_TEXT, _TIME, _REAL = T.StringType(), T.TimestampType(), T.DoubleType()
+
+OHLCV = T.StructType(
+    [
+        *[T.StructField(name, _TEXT) for name in ("event_id", "source", "symbol", "interval")],
+        T.StructField("candle_time", _TIME),
+        *[
+            T.StructField(name, AMOUNT)
+            for name in ("open", "high", "low", "close", "volume", "quote_asset_volume")
+        ],
+        T.StructField("trade_count", T.LongType()),
+        T.StructField("is_closed", T.BooleanType()),
+        T.StructField("ingest_time", _TIME),
+        *[
+            T.StructField(name, _REAL)
+            for name in (
+                "sma_20", "sma_50", "ema_20", "ema_50", "volume_ma_20",
+                "rsi_14", "atr_14", "candle_range_pct",
+            )
+        ],
+        T.StructField("rolling_high_20", AMOUNT),
+        T.StructField("rolling_low_20", AMOUNT),
+        T.StructField("trend_regime", _TEXT),
+    ]
 )
 
-SNAPSHOT_COLUMNS = (
-    "symbol", "interval", "as_of_time", "last_price",
-    "price_change_pct_24h_exchange",
-    "price_change_pct_5m", "price_change_pct_15m", "price_change_pct_1h",
-    "price_change_pct_4h", "price_change_pct_24h", "price_change_pct_1w",
-    "volume_24h", "quote_volume_24h", "intraday_volatility",
-    "trend_regime", "momentum_regime", "volatility_regime",
-    "breakout_flag", "pullback_flag",
-    "distance_to_resistance_pct", "distance_to_support_pct",
-    "rsi_14", "atr_14", "volume_ma_20", "sma_20", "sma_50", "ema_20", "ema_50",
-    "signal_strength_score",
+SNAPSHOT = T.StructType(
+    [
+        T.StructField("symbol", _TEXT),
+        T.StructField("interval", _TEXT),
+        T.StructField("as_of_time", _TIME),
+        T.StructField("last_price", AMOUNT),
+        T.StructField("price_change_pct_24h_exchange", AMOUNT),
+        *[
+            T.StructField(f"price_change_pct_{lag}", _REAL)
+            for lag in ("5m", "15m", "1h", "4h", "24h", "1w")
+        ],
+        T.StructField("volume_24h", AMOUNT),
+        T.StructField("quote_volume_24h", AMOUNT),
+        T.StructField("intraday_volatility", _REAL),
+        *[
+            T.StructField(name, _TEXT)
+            for name in ("trend_regime", "momentum_regime", "volatility_regime")
+        ],
+        T.StructField("breakout_flag", T.BooleanType()),
+        T.StructField("pullback_flag", T.BooleanType()),
+        *[
+            T.StructField(name, _REAL)
+            for name in (
+                "distance_to_resistance_pct", "distance_to_support_pct", "rsi_14", "atr_14",
+                "volume_ma_20", "sma_20", "sma_50", "ema_20", "ema_50",
+            )
+        ],
+        T.StructField("signal_strength_score", T.IntegerType()),
+    ]
 )
 
+OHLCV_COLUMNS = tuple(OHLCV.names)
+SNAPSHOT_COLUMNS = tuple(SNAPSHOT.names)
+
 
 def parse_intervals(text: str | None) -> tuple[str, ...]:
     """Split a comma-separated interval list, dropping blanks and rejecting unknown names."""
