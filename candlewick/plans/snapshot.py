@@ -75,28 +75,41 @@ def latest_candles(ohlcv: DataFrame) -> DataFrame:
     )
 
 
-def asof_closes(latest: DataFrame, history: DataFrame) -> DataFrame:
-    """``latest`` (symbol, interval, as_of_time) with the close of the newest candle
-    at least each lag older, ``close_<lag>_ago``; null where there is none.
+def newest_times(history: DataFrame) -> DataFrame:
+    """``as_of_time`` per series: the time of its newest candle."""
+    return history.groupBy(*SERIES).agg(F.max("candle_time").alias("as_of_time"))
+
+
+def asof_closes(targets: DataFrame, history: DataFrame) -> DataFrame:
+    """Per series of ``targets`` (symbol, interval, as_of_time): the close of the newest
+    candle at least each lag older, as ``close_<lag>_ago``. Null where there is none;
+    a series without any is left out.
 
     One pass over the history: all lags are filtered aggregates of the same
-    join, combined map-side. ``latest`` has one row per series; Spark broadcasts
+    join, combined map-side. ``targets`` has one row per series; Spark broadcasts
     it if its size allows and else splits hot series of the sort-merge join.
     """
-    found = history.selectExpr(*SERIES, "candle_time", "close as _close").join(
-        latest.select(*SERIES, "as_of_time"), SERIES
-    )
-    found = found.filter(f"candle_time <= as_of_time - {LAGS['5m']}").groupBy(*SERIES)
+    candidates = history.selectExpr(*SERIES, "candle_time", "close as _close")
     closes = {
         f"close_{name}_ago": f"max_by(_close, if(candle_time <= as_of_time - {lag}, candle_time, null))"
         for name, lag in LAGS.items()
     }
-    return latest.join(found.agg(*[F.expr(text).alias(name) for name, text in closes.items()]), SERIES, "left")
+    return (
+        candidates.join(targets.select(*SERIES, "as_of_time"), SERIES)
+        .filter(f"candle_time <= as_of_time - {LAGS['5m']}")
+        .groupBy(*SERIES)
+        .agg(*[F.expr(text).alias(name) for name, text in closes.items()])
+    )
+
+
+def with_asof_closes(latest: DataFrame, history: DataFrame) -> DataFrame:
+    """The newest row of each series with the closes the returns compare to."""
+    return latest.join(asof_closes(newest_times(history), history), SERIES, "left")
 
 
 def asof_returns(latest: DataFrame, history: DataFrame) -> DataFrame:
-    """Returns over each lag for ``latest`` (symbol, interval, as_of_time, close)."""
-    return add(asof_closes(latest, history), _RETURNS)
+    """Returns over each lag for the newest rows (symbol, interval, close, ...) of ``history``."""
+    return add(with_asof_closes(latest, history), _RETURNS)
 
 
 def atr_baseline(ohlcv: DataFrame) -> DataFrame:
@@ -127,7 +140,8 @@ def market_snapshot(
         "volume_24h",
         "quote_volume_24h",
     )
-    placed = asof_closes(latest, ohlcv if history is None else history).join(exchange, "symbol")
+    history = ohlcv if history is None else history
+    placed = with_asof_closes(latest, history).join(exchange, "symbol")
     return choose(
         placed,
         SNAPSHOT_COLUMNS,

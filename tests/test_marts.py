@@ -107,12 +107,11 @@ def test_signal_strength(spark, trend, rsi, close, high, fast, slow, score):
 
 
 def test_zero_prices_give_null(spark):
-    latest = spark.sql(
-        "select 'A' symbol, '5m' `interval`, timestamp'2026-01-01 10:00:00' as_of_time, cast(3 as decimal(37,18)) close"
-    )
     history = spark.sql(
-        "select 'A' symbol, '5m' `interval`, timestamp'2026-01-01 09:55:00' candle_time, cast(0 as decimal(37,18)) close"
+        "select 'A' symbol, '5m' `interval`, candle_time, cast(close as decimal(37,18)) close from values "
+        "(timestamp'2026-01-01 10:00:00', 3), (timestamp'2026-01-01 09:55:00', 0) as t(candle_time, close)"
     )
+    latest = history.filter("close = 3")
     row = snap.asof_returns(latest, history).first()
     assert row.close_5m_ago == 0 and row.price_change_pct_5m is None
     assert row.close_15m_ago is None and row.price_change_pct_15m is None
