@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from candlewick.functions.columns import add
 
-CELL_ROWS = 256
+CELL_ROWS = 512
 SUPER_CELLS = 4096
 BLOCK_ROWS = 16384
 
@@ -34,7 +34,7 @@ def cell_positions(cells: DataFrame, keys: Sequence[str], super_cells: int) -> D
     """Per (keys, _cell): its row count ``_n`` and ``_ahead``, the rows of the series before it."""
     names = ", ".join(keys)
     counts = cells.groupBy(*keys, "_cell").count()
-    counts = counts.selectExpr(*keys, "_cell", "count as _n", f"floor(_cell / {super_cells}) as _super")
+    counts = counts.selectExpr(*keys, "_cell", "count as _n", f"coalesce(floor(_cell / {super_cells}), 0L) as _super")
     totals = counts.groupBy(*keys, "_super").sum("_n").selectExpr(
         *keys,
         "_super",
@@ -51,13 +51,24 @@ def cell_positions(cells: DataFrame, keys: Sequence[str], super_cells: int) -> D
 class OrderedBlocks:
     """Rows of many series, cut into overlapping ordered blocks.
 
-    ``rows`` carries ``_block``, ``_owned`` and ``_ahead`` besides the input columns.
+    ``rows`` carries ``_block``, ``_owned`` and ``_ahead``. Columns the windows do
+    not touch travel packed in a struct, which a window copies as it is; loose
+    wide decimals would be decoded and encoded again by every window.
     """
 
-    def __init__(self, rows: DataFrame, keys: Sequence[str], order: Sequence[str]):
+    def __init__(
+        self,
+        rows: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        columns: Sequence[str],
+        packs: Sequence[str] = (),
+    ):
         self.rows = rows
         self.keys = list(keys)
         self.order = list(order)
+        self.columns = list(columns)
+        self.packs = list(packs)
 
     @classmethod
     def cut(
@@ -68,12 +79,18 @@ class OrderedBlocks:
         tie: str,
         step_seconds: str,
         halo_rows: int,
+        loose: Sequence[str] = (),
         block_rows: int = BLOCK_ROWS,
         cell_rows: int = CELL_ROWS,
         super_cells: int = SUPER_CELLS,
     ) -> "OrderedBlocks":
-        """Cut ``df`` by ``time``; ``step_seconds`` is the usual distance of two rows."""
-        cell = f"floor(unix_micros({time}) / ({step_seconds} * {cell_rows * 1_000_000}L))"
+        """Cut ``df`` by ``time``; ``step_seconds`` is the usual distance of two rows.
+
+        The windows may use the keys, ``time``, ``tie`` and the ``loose`` columns.
+        """
+        # Never null, so that joins on it infer no filters: both uses of the
+        # counts then stay the same plan, and Spark runs it once.
+        cell = f"coalesce(floor(unix_micros({time}) / ({step_seconds} * {cell_rows * 1_000_000}L)), 0L)"
         celled = add(df, {"_cell": cell})
         positions = cell_positions(celled.select(*keys, "_cell"), keys, super_cells).selectExpr(
             *keys,
@@ -86,27 +103,49 @@ class OrderedBlocks:
             "* except (_cell, _blocks)", "_blocks[0] as _home", "explode(_blocks) as _block"
         )
         rows = rows.selectExpr("* except (_home)", "_block = _home as _owned")
-        return cls(rows, keys, [time, tie])
+        blocks = cls(rows, keys, [time, tie], df.columns)
+        return blocks.pack([c for c in df.columns if c not in (*keys, time, tie, *loose)])
 
-    def over(self, frame: str = "") -> str:
-        """Window clause of a block, optionally with a row frame."""
-        keys, order = ", ".join([*self.keys, "_block"]), ", ".join(self.order)
+    def over(self, frame: str = "", within: Sequence[str] = ()) -> str:
+        """Window clause of a block (``within``: of a part of it), optionally with a row frame."""
+        keys, order = ", ".join([*self.keys, "_block", *within]), ", ".join(self.order)
         return f"over (partition by {keys} order by {order} {frame})"
 
+    def so_far(self, within: Sequence[str] = ()) -> str:
+        """Window clause from the first row of a block to the current one."""
+        return self.over("rows between unbounded preceding and current row", within)
+
     def row_num(self) -> str:
         """Position of a row in its whole series, from 1."""
-        return f"first(_ahead) {self.over()} + row_number() {self.over()}"
+        return f"first(_ahead) {self.so_far()} + row_number() {self.over()}"
+
+    def _with(self, rows: DataFrame, **changes: list[str]) -> "OrderedBlocks":
+        state = {"order": self.order, "packs": self.packs, **changes}
+        return OrderedBlocks(rows, self.keys, state["order"], self.columns, state["packs"])
 
     def add(self, columns: Mapping[str, str]) -> "OrderedBlocks":
-        return OrderedBlocks(add(self.rows, columns), self.keys, self.order)
+        return self._with(add(self.rows, columns))
 
     def drop(self, names: Sequence[str]) -> "OrderedBlocks":
-        return OrderedBlocks(self.rows.drop(*names), self.keys, self.order)
+        return self._with(self.rows.drop(*names))
+
+    def pack(self, names: Sequence[str]) -> "OrderedBlocks":
+        """Put columns that no later window uses into a struct."""
+        if not names:
+            return self
+        pack, listed = f"_pack{len(self.packs)}", ", ".join(names)
+        rows = self.rows.selectExpr(f"* except ({listed})", f"struct({listed}) as {pack}")
+        return self._with(rows, packs=[*self.packs, pack])
 
     def ordered_first_by(self, column: str) -> "OrderedBlocks":
         """The same row order, stated with a leading column that never decreases along it."""
-        return OrderedBlocks(self.rows, self.keys, [column, *self.order])
+        return self._with(self.rows, order=[column, *self.order])
 
     def owned(self) -> DataFrame:
-        """The input rows, each once, with the columns added since the cut."""
-        return self.rows.filter("_owned").drop("_block", "_owned", "_ahead")
+        """The input rows, each once, with the columns added since the cut.
+
+        Added columns whose names start with an underscore are left out.
+        """
+        rows = self.rows.filter("_owned").selectExpr("*", *[f"{pack}.*" for pack in self.packs])
+        added = [c for c in rows.columns if c not in self.columns and not c.startswith("_")]
+        return rows.select(*self.columns, *added)

@@ -48,9 +48,10 @@ RSI_14 = """
     case when avg_loss_14 = 0 and avg_gain_14 > 0 then 100d
          when avg_loss_14 = 0 then 50d
          else 100d - 100d / (1d + avg_gain_14 / nullif(avg_loss_14, 0d)) end"""
+# ``_value`` is the close in double.
 TREND_REGIME = """
-    case when ema_20 > ema_50 and cast(close_price as double) > sma_20 then 'bullish'
-         when ema_20 < ema_50 and cast(close_price as double) < sma_20 then 'bearish'
+    case when ema_20 > ema_50 and _value > sma_20 then 'bullish'
+         when ema_20 < ema_50 and _value < sma_20 then 'bearish'
          else 'ranging' end"""
 
 
@@ -60,19 +61,37 @@ def candle_range(candles: DataFrame) -> DataFrame:
 
 
 # --- windows -----------------------------------------------------------------------
+# Functions named *_columns give the expressions of one step over a block; steps
+# that do not depend on each other are added together and share a window.
 
 
-def candle_blocks(candles: DataFrame, halo_rows: int, **layout: int) -> OrderedBlocks:
+def candle_blocks(
+    candles: DataFrame, halo_rows: int, loose: Sequence[str], **layout: int
+) -> OrderedBlocks:
     return OrderedBlocks.cut(
-        candles, SERIES, "close_time", "event_id", INTERVAL_SECONDS_SQL, halo_rows, **layout
+        candles, SERIES, "close_time", "event_id", INTERVAL_SECONDS_SQL, halo_rows, loose, **layout
     )
 
 
-def with_position(blocks: OrderedBlocks) -> OrderedBlocks:
-    """Add ``row_num`` and ``previous_close``."""
-    return blocks.add(
-        {"row_num": blocks.row_num(), "previous_close": f"lag(close_price) {blocks.over()}"}
-    )
+def position_columns(blocks: OrderedBlocks) -> dict[str, str]:
+    return {"row_num": blocks.row_num(), "previous_close": f"lag(close_price) {blocks.over()}"}
+
+
+def extreme_columns(blocks: OrderedBlocks, size: int = 20) -> dict[str, str]:
+    frame = blocks.over(f"rows between {size - 1} preceding and current row")
+    return {
+        f"rolling_high_{size}": f"max(high_price) {frame}",
+        f"rolling_low_{size}": f"min(low_price) {frame}",
+    }
+
+
+def movement_columns() -> dict[str, str]:
+    """True range, gain and loss; the first row of a series moves by nothing."""
+    return {
+        "true_range": f"cast({TRUE_RANGE} as {AMOUNT_SQL})",
+        "gain": f"cast({GAIN} as {AMOUNT_SQL})",
+        "loss": f"cast({LOSS} as {AMOUNT_SQL})",
+    }
 
 
 def with_averages(
@@ -80,58 +99,45 @@ def with_averages(
 ) -> OrderedBlocks:
     """Add ``name: average of column over the last n rows`` for ``name: (column, n)``.
 
-    Needs ``row_num`` and a halo of more than n rows.
+    Needs ``row_num`` and a halo of more than n rows. Packs the columns.
     """
     columns = sorted({column for column, _ in averages.values()})
-    running = {f"_run_{c}": f"cast(sum({c}) {blocks.over()} as {AMOUNT_SQL})" for c in columns}
-    before = {
-        f"_before_{name}": f"lag(_run_{column}, {size}) {blocks.over()}"
-        for name, (column, size) in averages.items()
+    sizes = sorted({size for _, size in averages.values()})
+    running = {f"_run_{c}": f"cast(sum({c}) {blocks.so_far()} as {AMOUNT_SQL})" for c in columns}
+    blocks = blocks.add(running).pack(columns)
+    sums = {
+        f"_sums_{size}": "struct("
+        + ", ".join(f"_run_{c}" for c in columns if (c, size) in averages.values())
+        + ")"
+        for size in sizes
     }
+    blocks = blocks.add(sums).drop(list(running))
+    before = {f"_before_{n}": f"lag(_sums_{n}, {n}) {blocks.over()}" for n in sizes}
     means = {
-        name: f"cast(coalesce(_run_{column} - _before_{name}, _run_{column}) as double)"
-        f" / least(row_num, {size})"
-        for name, (column, size) in averages.items()
+        name: f"cast(coalesce(_sums_{n}._run_{c} - _before_{n}._run_{c}, _sums_{n}._run_{c})"
+        f" as double) / least(row_num, {n})"
+        for name, (c, n) in averages.items()
     }
-    return blocks.add(running).add(before).add(means).drop([*running, *before])
-
-
-def with_extremes(blocks: OrderedBlocks, size: int = 20) -> OrderedBlocks:
-    frame = blocks.over(f"rows between {size - 1} preceding and current row")
-    return blocks.add(
-        {
-            f"rolling_high_{size}": f"max(high_price) {frame}",
-            f"rolling_low_{size}": f"min(low_price) {frame}",
-        }
-    )
-
-
-def with_movement(blocks: OrderedBlocks) -> OrderedBlocks:
-    """Add true range, gain and loss; the first row of a series moves by nothing."""
-    return blocks.add(
-        {
-            "true_range": f"cast({TRUE_RANGE} as {AMOUNT_SQL})",
-            "gain": f"cast({GAIN} as {AMOUNT_SQL})",
-            "loss": f"cast({LOSS} as {AMOUNT_SQL})",
-        }
-    )
+    return blocks.add(before).add(means).drop([*sums, *before])
 
 
 def rolling_averages(candles: DataFrame, **layout: int) -> DataFrame:
     """Row number, previous close, 20- and 50-row close averages, 20-row volume average."""
-    blocks = with_position(candle_blocks(candles, 51, **layout))
-    return with_averages(blocks, PRICE_AVERAGES).owned()
+    blocks = candle_blocks(candles, 51, ["close_price", "volume"], **layout)
+    return with_averages(blocks.add(position_columns(blocks)), PRICE_AVERAGES).owned()
 
 
 def rolling_extremes(candles: DataFrame, size: int = 20, **layout: int) -> DataFrame:
-    return with_extremes(candle_blocks(candles, size, **layout), size).owned()
+    blocks = candle_blocks(candles, size, ["high_price", "low_price"], **layout)
+    return blocks.add(extreme_columns(blocks, size)).owned()
 
 
 def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -> DataFrame:
     # One halo row more than the frame, for the previous close of its first row.
     wanted = {name: MOVEMENT_AVERAGES[name] for name in names}
     halo = max(size for _, size in wanted.values()) + 2
-    blocks = with_movement(with_position(candle_blocks(candles, halo, **layout)))
+    blocks = candle_blocks(candles, halo, ["close_price", "high_price", "low_price"], **layout)
+    blocks = blocks.add(position_columns(blocks)).add(movement_columns())
     return with_averages(blocks, wanted).owned()
 
 
@@ -158,10 +164,16 @@ def ema_halo(spans: Sequence[int]) -> int:
     return max(memory_rows(span) for span in spans) + 1
 
 
-def with_ema(
-    blocks: OrderedBlocks, spans: Mapping[str, int], value: str = "close_price"
-) -> OrderedBlocks:
-    """Add ``name: exponential average`` of ``value`` for each ``name: span``.
+def offset_columns(blocks: OrderedBlocks) -> dict[str, str]:
+    """Row offset in the block and the block's first ``_value``."""
+    return {
+        "_j": f"row_number() {blocks.over()} - 1",
+        "_base": f"first(_value) {blocks.so_far()}",
+    }
+
+
+def with_ema(blocks: OrderedBlocks, spans: Mapping[str, int]) -> OrderedBlocks:
+    """Add ``name: exponential average`` of ``_value``, a double, for each ``name: span``.
 
     The recursion ``e = a*x + (1-a)*e'`` with ``a = 2/(span+1)``, seeded with the
     first value, unrolls to a weighted sum. Within a segment of ``memory_rows``
@@ -169,7 +181,7 @@ def with_ema(
     ``(1-a)^k``; what came before enters through the end value of the previous
     segment alone, as older segments weigh less than double precision. Values
     are taken relative to the first one of the block, which leaves a constant
-    series exactly constant. The block's halo must hold ``memory_rows`` rows.
+    series exactly constant. Needs ``offset_columns`` and a halo of ``memory_rows``.
     """
     if max(spans.values()) > 10 * min(spans.values()):
         raise ValueError("Spans this far apart need separate calls.")
@@ -179,19 +191,13 @@ def with_ema(
 
     blocks = blocks.add(
         {
-            "_j": f"row_number() {blocks.over()} - 1",
-            "_base": f"first(cast({value} as double)) {blocks.over()}",
-        }
-    ).add(
-        {
-            "_x": f"cast({value} as double) - _base",
+            "_x": "_value - _base",
             "_segment": f"floor(_j / {length})",
             "_k": f"cast(_j % {length} as double)",
         }
     )
+    in_segment = blocks.so_far(["_segment"])
     # Segments follow the row order, so both windows below share one sort.
-    keys, order = ", ".join([*blocks.keys, "_block", "_segment"]), ", ".join(blocks.order)
-    in_segment = f"over (partition by {keys} order by {order})"
     blocks = blocks.ordered_first_by("_segment")
     earlier = blocks.over("rows between unbounded preceding and 1 preceding")
     sums = {
@@ -207,11 +213,12 @@ def with_ema(
         name: f"_local_{name} + coalesce(_carry_{name} * pow({decay[name]}, _k + 1), 0d) + _base"
         for name in spans
     }
-    helpers = ["_j", "_base", "_x", "_k", *sums, *local, *carry]
-    return blocks.add(sums).add(local).add(carry).add(total).drop(helpers)
+    return blocks.add(sums).add(local).add(carry).add(total)
 
 
 def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout: int) -> DataFrame:
     """Candles with ``ema_<span>`` of the close for each span."""
-    blocks = candle_blocks(candles, ema_halo(spans), **layout)
-    return with_ema(blocks, {f"ema_{span}": span for span in spans}).owned().drop("_segment")
+    blocks = candle_blocks(candles, ema_halo(spans), ["close_price"], **layout)
+    blocks = blocks.add({"_value": "cast(close_price as double)"}).pack(["close_price"])
+    blocks = blocks.add(offset_columns(blocks))
+    return with_ema(blocks, {f"ema_{span}": span for span in spans}).owned()

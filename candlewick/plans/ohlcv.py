@@ -19,16 +19,28 @@ _EXPRESSIONS = {
     "close": "close_price",
     "candle_range_pct": ind.CANDLE_RANGE_PCT,
     "rsi_14": ind.RSI_14,
-    "trend_regime": ind.TREND_REGIME,
 }
 
 
 def ohlcv_indicators(klines: DataFrame, **layout: int) -> DataFrame:
     """Build the mart from staged candles in one pass of windows over ordered blocks."""
     candles = closed_candles(klines).drop("open_time", "raw_payload")
-    blocks = ind.candle_blocks(candles, ind.ema_halo(list(EMA_SPANS.values())), **layout)
-    blocks = ind.with_movement(ind.with_position(blocks))
-    blocks = ind.with_extremes(blocks)
+    blocks = ind.candle_blocks(
+        candles,
+        ind.ema_halo(list(EMA_SPANS.values())),
+        ["close_price", "high_price", "low_price", "volume"],
+        **layout,
+    )
+    blocks = blocks.add({"_value": "cast(close_price as double)"})
+    blocks = blocks.add(
+        {
+            **ind.position_columns(blocks),
+            **ind.extreme_columns(blocks),
+            **ind.offset_columns(blocks),
+        }
+    )
+    blocks = blocks.add(ind.movement_columns()).drop(["previous_close"])
+    blocks = blocks.pack(["high_price", "low_price", "rolling_high_20", "rolling_low_20"])
     blocks = ind.with_averages(blocks, {**ind.PRICE_AVERAGES, **ind.MOVEMENT_AVERAGES})
-    blocks = ind.with_ema(blocks, EMA_SPANS)
+    blocks = ind.with_ema(blocks, EMA_SPANS).add({"trend_regime": ind.TREND_REGIME})
     return choose(blocks.owned(), OHLCV_COLUMNS, _EXPRESSIONS)

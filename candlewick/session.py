@@ -16,6 +16,12 @@ _PREFERRED = {
     # join even when the aggregation above it then needs its own exchange.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Per-cell positions (operators.blocks) are a small fraction of the rows they
+    # join; a hash table per partition spares sorting the rows for a merge join.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    # Windows over decimals cost far more per byte than a scan; on small inputs
+    # keep partitions below the default minimum of 1 MB, for all cores to work.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     # Window partitions are ordered blocks of about 16k rows (operators.blocks);
     # keep one block in the in-memory row buffer.
     "spark.sql.windowExec.buffer.in.memory.threshold": "32768",

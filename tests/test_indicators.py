@@ -149,8 +149,8 @@ def test_mart_does_not_depend_on_layout_or_input_order(spark, frame):
 def test_trend_regime(spark):
     rows = spark.sql(
         f"select {ind.TREND_REGIME} as r from values "
-        "(2d, 1d, 10, 9d), (1d, 2d, 8, 9d), (2d, 1d, 8, 9d), (1d, 1d, 10, 9d) "
-        "as t(ema_20, ema_50, close_price, sma_20)"
+        "(2d, 1d, 10d, 9d), (1d, 2d, 8d, 9d), (2d, 1d, 8d, 9d), (1d, 1d, 10d, 9d) "
+        "as t(ema_20, ema_50, _value, sma_20)"
     ).collect()
     assert [r.r for r in rows] == ["bullish", "bearish", "ranging", "ranging"]
 
