@@ -214,3 +214,30 @@ def test_from_responses_to_marts(spark, landed):
     before = sorted(map(str, snapshot.collect()))
     rebuild_marts(spark, house)
     assert sorted(map(str, house.snapshot(spark).collect())) == before
+
+
+def test_commands(spark, landed, capsys):
+    from candlewick.__main__ import main, open_log
+
+    house = f"{landed}/house"
+    for kind, folder in (("ticker", "ticker"), ("kline", "klines")):
+        assert main(["ingest", "--kind", kind, "--landed", f"{landed}/{folder}", "--log", f"{landed}/log/{kind}"], spark) == 0
+        assert main(
+            ["process", "--kind", kind, "--house", house, "--log", f"{landed}/log/{kind}",
+             "--dead-letters", f"{landed}/dead", "--checkpoint", f"{landed}/checkpoint/{kind}"], spark
+        ) == 0
+    assert main(["rebuild", "--house", house], spark) == 0
+    out = capsys.readouterr().out
+    assert "Published 60 kline records" in out
+    assert "Processed 2 ticker records: 2 written, 0 invalid." in out
+    assert main(["check", "--house", house], spark) == 0
+    assert main(["check", "--house", house, "--as-of", "timestamp'2100-01-01'"], spark) == 1
+    for name in ("snapshot", "trend_vs_ema", "rsi_bands", "ema_distance", "volume_spike", "returns_long"):
+        assert main(["panel", name, "--house", house, "--intervals", "all"], spark) == 0
+    out = capsys.readouterr().out
+    assert "ABCUSD" in out and "oversold_band" in out
+    assert main(["ingest", "--kind", "ticker", "--landed", f"{landed}/ticker"], spark) == 0
+    assert '"event_id"' in capsys.readouterr().out
+    assert open_log("kafka://a:1,b:2/topic") == KafkaLog("a:1,b:2", "topic")
+    with pytest.raises(ValueError):
+        open_log("kafka://a:1")
