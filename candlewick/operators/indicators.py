@@ -44,14 +44,15 @@ TRUE_RANGE = (
 GAIN = f"greatest(close_price - {_BASE_CLOSE}, {_NOTHING})"
 LOSS = f"greatest({_BASE_CLOSE} - close_price, {_NOTHING})"
 CANDLE_RANGE_PCT = pct_of("(high_price - low_price)", "open_price")
+# Of the totals: they are exact, and so the level is where their ratio is plain.
 RSI_14 = """
-    case when avg_loss_14 = 0 and avg_gain_14 > 0 then 100d
-         when avg_loss_14 = 0 then 50d
-         else 100d - 100d / (1d + avg_gain_14 / nullif(avg_loss_14, 0d)) end"""
-# ``_value`` is the close in double.
+    case when _total_avg_loss_14 = 0 and _total_avg_gain_14 > 0 then 100d
+         when _total_avg_loss_14 = 0 then 50d
+         else 100d - 100d / (1d + _total_avg_gain_14 / nullif(_total_avg_loss_14, 0d)) end"""
+# ``_close_side`` is the side of ``sma_20`` the close is on.
 TREND_REGIME = """
-    case when ema_20 > ema_50 and _value > sma_20 then 'bullish'
-         when ema_20 < ema_50 and _value < sma_20 then 'bearish'
+    case when ema_20 > ema_50 and _close_side > 0 then 'bullish'
+         when ema_20 < ema_50 and _close_side < 0 then 'bearish'
          else 'ranging' end"""
 
 
@@ -95,10 +96,16 @@ def movement_columns() -> dict[str, str]:
 
 
 def with_averages(
-    blocks: OrderedBlocks, averages: Mapping[str, tuple[str, int]]
+    blocks: OrderedBlocks,
+    averages: Mapping[str, tuple[str, int]],
+    sides: Mapping[str, str] | None = None,
 ) -> OrderedBlocks:
-    """Add ``name: average of column over the last n rows`` for ``name: (column, n)``.
+    """Add ``name: average of column over the last n rows`` for ``name: (column, n)``,
+    and the sum behind it in double as ``_total_<name>``.
 
+    ``sides`` adds ``name: 1, 0 or -1`` as the column is above, equal to or below
+    the given average. It compares exactly, which the rounded average cannot: in
+    double, twenty times 0.07 divided by twenty is less than 0.07.
     Needs ``row_num`` and a halo of more than n rows. Packs the columns.
     """
     columns = sorted({column for column, _ in averages.values()})
@@ -113,12 +120,30 @@ def with_averages(
     }
     blocks = blocks.add(sums).drop(list(running))
     before = {f"_before_{n}": f"lag(_sums_{n}, {n}) {blocks.over()}" for n in sizes}
-    means = {
-        name: f"cast(coalesce(_sums_{n}._run_{c} - _before_{n}._run_{c}, _sums_{n}._run_{c})"
-        f" as double) / least(row_num, {n})"
+    totals = {
+        name: f"coalesce(_sums_{n}._run_{c} - _before_{n}._run_{c}, _sums_{n}._run_{c})"
         for name, (c, n) in averages.items()
     }
-    return blocks.add(before).add(means).drop([*sums, *before])
+    sums_in_double = {f"_total_{name}": f"cast({total} as double)" for name, total in totals.items()}
+    means = {
+        name: f"_total_{name} / least(row_num, {n})" for name, (_, n) in averages.items()
+    }
+    places = {
+        side: _side(f"{blocks.packs[-1]}.{averages[name][0]}", totals[name], averages[name][1])
+        for side, name in (sides or {}).items()
+    }
+    blocks = blocks.add(before).add({**sums_in_double, **places})
+    return blocks.add(means).drop([*sums, *before])
+
+
+def _side(value: str, total: str, size: int) -> str:
+    """Sign of ``value * rows - total``; the product of a narrower decimal is exact."""
+    product = f"try_cast({value} as decimal(35,18)) * cast(least(row_num, {size}) as decimal(2,0))"
+    rounded = f"cast({value} as double) * least(row_num, {size}) - cast({total} as double)"
+    return (
+        f"case when {product} > {total} then 1 when {product} < {total} then -1"
+        f" when {product} = {total} then 0 else cast(sign({rounded}) as int) end"
+    )
 
 
 def rolling_averages(candles: DataFrame, **layout: int) -> DataFrame:
@@ -132,22 +157,22 @@ def rolling_extremes(candles: DataFrame, size: int = 20, **layout: int) -> DataF
     return blocks.add(extreme_columns(blocks, size)).owned()
 
 
-def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -> DataFrame:
+def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -> OrderedBlocks:
     # One halo row more than the frame, for the previous close of its first row.
     wanted = {name: MOVEMENT_AVERAGES[name] for name in names}
     halo = max(size for _, size in wanted.values()) + 2
     blocks = candle_blocks(candles, halo, ["close_price", "high_price", "low_price"], **layout)
     blocks = blocks.add(position_columns(blocks)).add(movement_columns())
-    return with_averages(blocks, wanted).owned()
+    return with_averages(blocks, wanted)
 
 
 def true_range_atr(candles: DataFrame, **layout: int) -> DataFrame:
-    return _movement_averages(candles, ["atr_14"], layout)
+    return _movement_averages(candles, ["atr_14"], layout).owned()
 
 
 def relative_strength(candles: DataFrame, **layout: int) -> DataFrame:
-    means = _movement_averages(candles, ["avg_gain_14", "avg_loss_14"], layout)
-    return add(means, {"rsi_14": RSI_14})
+    blocks = _movement_averages(candles, ["avg_gain_14", "avg_loss_14"], layout)
+    return blocks.add({"rsi_14": RSI_14}).owned()
 
 
 # --- exponential averages ----------------------------------------------------------

@@ -83,6 +83,8 @@ ordered as (
            / count(*) over (w rows between 49 preceding and current row) as sma_50,
          cast(sum(volume) over (w rows between 19 preceding and current row) as double)
            / count(*) over (w rows between 19 preceding and current row) as volume_ma_20,
+         sum(close_price) over (w rows between 19 preceding and current row) as sum_20,
+         count(*) over (w rows between 19 preceding and current row) as count_20,
          max(high_price) over (w rows between 19 preceding and current row) as rolling_high_20,
          min(low_price) over (w rows between 19 preceding and current row) as rolling_low_20
   from closed
@@ -114,6 +116,7 @@ moves as (
 means as (
   select *,
          cast(sum(true_range) over f as double) / count(*) over f as atr_14,
+         cast(sum(gain) over f as double) as gain_sum, cast(sum(loss) over f as double) as loss_sum,
          cast(sum(gain) over f as double) / count(*) over f as avg_gain_14,
          cast(sum(loss) over f as double) / count(*) over f as avg_loss_14
   from moves
@@ -122,9 +125,9 @@ means as (
 ),
 strength as (
   select *,
-         case when avg_loss_14 = 0 and avg_gain_14 > 0 then 100.0
-              when avg_loss_14 = 0 then 50.0
-              else 100 - 100 / (1 + avg_gain_14 / nullif(avg_loss_14, 0)) end as rsi_14,
+         case when loss_sum = 0 and gain_sum > 0 then 100.0
+              when loss_sum = 0 then 50.0
+              else 100 - 100 / (1 + gain_sum / nullif(loss_sum, 0)) end as rsi_14,
          case when open_price <> 0
               then cast(high_price - low_price as double) / cast(open_price as double) * 100
               end as candle_range_pct
@@ -141,8 +144,8 @@ mart as (
          s.sma_20, s.sma_50, e.ema_20, e.ema_50, s.volume_ma_20, s.rsi_14, s.atr_14, s.candle_range_pct,
          cast(s.rolling_high_20 as double) as rolling_high_20,
          cast(s.rolling_low_20 as double) as rolling_low_20,
-         case when e.ema_20 > e.ema_50 and cast(s.close_price as double) > s.sma_20 then 'bullish'
-              when e.ema_20 < e.ema_50 and cast(s.close_price as double) < s.sma_20 then 'bearish'
+         case when e.ema_20 > e.ema_50 and s.close_price * s.count_20 > s.sum_20 then 'bullish'
+              when e.ema_20 < e.ema_50 and s.close_price * s.count_20 < s.sum_20 then 'bearish'
               else 'ranging' end as trend_regime
   from strength s join ema e using (symbol, interval, row_num)
 )"""

@@ -18,7 +18,6 @@ _EXPRESSIONS = {
     "low": "low_price",
     "close": "close_price",
     "candle_range_pct": ind.CANDLE_RANGE_PCT,
-    "rsi_14": ind.RSI_14,
 }
 
 
@@ -41,6 +40,8 @@ def ohlcv_indicators(klines: DataFrame, **layout: int) -> DataFrame:
     )
     blocks = blocks.add(ind.movement_columns()).drop(["previous_close"])
     blocks = blocks.pack(["high_price", "low_price", "rolling_high_20", "rolling_low_20"])
-    blocks = ind.with_averages(blocks, {**ind.PRICE_AVERAGES, **ind.MOVEMENT_AVERAGES})
+    averages = {**ind.PRICE_AVERAGES, **ind.MOVEMENT_AVERAGES}
+    blocks = ind.with_averages(blocks, averages, sides={"_close_side": "sma_20"})
+    blocks = blocks.add({"rsi_14": ind.RSI_14})
     blocks = ind.with_ema(blocks, EMA_SPANS).add({"trend_regime": ind.TREND_REGIME})
     return choose(blocks.owned(), OHLCV_COLUMNS, _EXPRESSIONS)

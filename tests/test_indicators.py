@@ -149,10 +149,28 @@ def test_mart_does_not_depend_on_layout_or_input_order(spark, frame):
 def test_trend_regime(spark):
     rows = spark.sql(
         f"select {ind.TREND_REGIME} as r from values "
-        "(2d, 1d, 10d, 9d), (1d, 2d, 8d, 9d), (2d, 1d, 8d, 9d), (1d, 1d, 10d, 9d) "
-        "as t(ema_20, ema_50, _value, sma_20)"
+        "(2d, 1d, 1), (1d, 2d, -1), (2d, 1d, -1), (2d, 1d, 0), (1d, 1d, 1) "
+        "as t(ema_20, ema_50, _close_side)"
     ).collect()
-    assert [r.r for r in rows] == ["bullish", "bearish", "ranging", "ranging"]
+    assert [r.r for r in rows] == ["bullish", "bearish", "ranging", "ranging", "ranging"]
+
+
+def test_rsi_of_a_plain_ratio_is_plain(spark):
+    """Gains of 3 and losses of 2 make exactly 60."""
+    closes = [10.0, 10.1, 10.3, 10.2, 10.1]
+    out = to_pandas(ind.relative_strength(candles(spark, candle_rows("AAA", "5m", closes))), "close_time")
+    assert out.rsi_14.iloc[-1] == 60
+
+
+@pytest.mark.parametrize("level", [0.07, 42.5, 1234.56, 99.99])
+def test_close_on_its_mean_is_no_trend(spark, level):
+    """A rise, then more equal closes than the mean covers: neither above nor below, exactly."""
+    rise = [round(level * n / 40, 2) for n in range(1, 40)]
+    out = to_pandas(ohlcv_indicators(candles(spark, candle_rows("AAA", "5m", rise + [level] * 45))), "candle_time")
+    late = out.tail(25)
+    assert (late.ema_20 > late.ema_50).all()
+    assert (late.trend_regime == "ranging").all()
+    assert (out.trend_regime[25:45] == "bullish").all()
 
 
 def test_live_candles_and_symbol_case(spark):
