@@ -15,16 +15,23 @@ precision for exponential averages), so a series can be cut into blocks:
 4. Run the windows per (keys, block) and keep the rows a block owns.
 
 The positions are counts, not times, so gaps in a series do not matter.
+
+A job can store the positions ahead of the join (``stage``): Spark then knows
+their size when it plans, broadcasts them if they are small enough and spares
+the rows the shuffle of step 3.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
 from candlewick.functions.columns import add
 
+# Stores a small derived table under a name and returns the stored table.
+Stage = Callable[[DataFrame, str], DataFrame]
+
 CELL_ROWS = 512
 SUPER_CELLS = 4096
 BLOCK_ROWS = 16384
@@ -83,6 +90,7 @@ class OrderedBlocks:
         block_rows: int = BLOCK_ROWS,
         cell_rows: int = CELL_ROWS,
         super_cells: int = SUPER_CELLS,
+        stage: Stage | None = None,
     ) -> "OrderedBlocks":
         """Cut ``df`` by ``time``; ``step_seconds`` is the usual distance of two rows.
 
@@ -92,7 +100,10 @@ class OrderedBlocks:
         # counts then stay the same plan, and Spark runs it once.
         cell = f"coalesce(floor(unix_micros({time}) / ({step_seconds} * {cell_rows * 1_000_000}L)), 0L)"
         celled = add(df, {"_cell": cell})
-        positions = cell_positions(celled.select(*keys, "_cell"), keys, super_cells).selectExpr(
+        positions = cell_positions(celled.select(*keys, "_cell"), keys, super_cells)
+        if stage is not None:
+            positions = stage(positions, "positions")
+        positions = positions.selectExpr(
             *keys,
             "_cell",
             "_ahead",

@@ -67,7 +67,7 @@ def candle_range(candles: DataFrame) -> DataFrame:
 
 
 def candle_blocks(
-    candles: DataFrame, halo_rows: int, loose: Sequence[str], **layout: int
+    candles: DataFrame, halo_rows: int, loose: Sequence[str], **layout
 ) -> OrderedBlocks:
     return OrderedBlocks.cut(
         candles, SERIES, "close_time", "event_id", INTERVAL_SECONDS_SQL, halo_rows, loose, **layout
@@ -146,13 +146,13 @@ def _side(value: str, total: str, size: int) -> str:
     )
 
 
-def rolling_averages(candles: DataFrame, **layout: int) -> DataFrame:
+def rolling_averages(candles: DataFrame, **layout) -> DataFrame:
     """Row number, previous close, 20- and 50-row close averages, 20-row volume average."""
     blocks = candle_blocks(candles, 51, ["close_price", "volume"], **layout)
     return with_averages(blocks.add(position_columns(blocks)), PRICE_AVERAGES).owned()
 
 
-def rolling_extremes(candles: DataFrame, size: int = 20, **layout: int) -> DataFrame:
+def rolling_extremes(candles: DataFrame, size: int = 20, **layout) -> DataFrame:
     blocks = candle_blocks(candles, size, ["high_price", "low_price"], **layout)
     return blocks.add(extreme_columns(blocks, size)).owned()
 
@@ -166,11 +166,11 @@ def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -
     return with_averages(blocks, wanted)
 
 
-def true_range_atr(candles: DataFrame, **layout: int) -> DataFrame:
+def true_range_atr(candles: DataFrame, **layout) -> DataFrame:
     return _movement_averages(candles, ["atr_14"], layout).owned()
 
 
-def relative_strength(candles: DataFrame, **layout: int) -> DataFrame:
+def relative_strength(candles: DataFrame, **layout) -> DataFrame:
     blocks = _movement_averages(candles, ["avg_gain_14", "avg_loss_14"], layout)
     return blocks.add({"rsi_14": RSI_14}).owned()
 
@@ -241,7 +241,7 @@ def with_ema(blocks: OrderedBlocks, spans: Mapping[str, int]) -> OrderedBlocks:
     return blocks.add(sums).add(local).add(carry).add(total)
 
 
-def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout: int) -> DataFrame:
+def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout) -> DataFrame:
     """Candles with ``ema_<span>`` of the close for each span."""
     blocks = candle_blocks(candles, ema_halo(spans), ["close_price"], **layout)
     blocks = blocks.add({"_value": "cast(close_price as double)"}).pack(["close_price"])

@@ -21,8 +21,11 @@ _EXPRESSIONS = {
 }
 
 
-def ohlcv_indicators(klines: DataFrame, **layout: int) -> DataFrame:
-    """Build the mart from staged candles in one pass of windows over ordered blocks."""
+def ohlcv_indicators(klines: DataFrame, **layout) -> DataFrame:
+    """Build the mart from staged candles in one pass of windows over ordered blocks.
+
+    ``layout`` is passed to ``OrderedBlocks.cut``: block sizes, and ``stage``.
+    """
     candles = closed_candles(klines).drop("open_time", "raw_payload")
     blocks = ind.candle_blocks(
         candles,

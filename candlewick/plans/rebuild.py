@@ -2,7 +2,9 @@
 
 Late and out-of-order candles change every later value of a series, so both
 marts are rebuilt in full. The candle mart is stored first: the snapshot reads
-the stored rows, and lost executors cost no recomputation of the windows.
+the stored rows, and lost executors cost no recomputation of the windows. The
+small tables that rows are joined with are stored as well, so that Spark knows
+their size and broadcasts those that fit.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators import quality
+from candlewick.operators.blocks import Stage
 from candlewick.operators.staging import stg_klines, stg_ticker
 from candlewick.plans.ohlcv import ohlcv_indicators
 from candlewick.plans.snapshot import market_snapshot
@@ -56,8 +59,24 @@ class Warehouse:
         return quality.run_suite(self.tables(spark), as_of)
 
 
+def stage_in(spark: SparkSession, path: str) -> Stage:
+    """Store small derived tables below ``path``."""
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+
+    return stage
+
+
 def rebuild_marts(spark: SparkSession, warehouse: Warehouse) -> None:
     configure(spark)
-    write_mart(ohlcv_indicators(stg_klines(warehouse.klines.read(spark))), f"{warehouse.path}/ohlcv")
+    stage = stage_in(spark, f"{warehouse.path}/staging")
+    # The marts read the candles twice; resolve their versions once.
+    warehouse.klines.settle(spark)
+    warehouse.tickers.settle(spark)
+    klines = stg_klines(warehouse.klines.read(spark))
+    write_mart(ohlcv_indicators(klines, stage=stage), f"{warehouse.path}/ohlcv")
     ticker = stg_ticker(warehouse.tickers.read(spark))
-    write_mart(market_snapshot(warehouse.ohlcv(spark), ticker), f"{warehouse.path}/snapshot")
+    snapshot = market_snapshot(warehouse.ohlcv(spark), ticker, stage=stage)
+    write_mart(snapshot, f"{warehouse.path}/snapshot")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from candlewick.functions.columns import add, choose, pct_of
+from candlewick.operators.blocks import Stage
 from candlewick.schemas import SNAPSHOT_COLUMNS
 
 SERIES = ["symbol", "interval"]
@@ -102,9 +103,14 @@ def asof_closes(targets: DataFrame, history: DataFrame) -> DataFrame:
     )
 
 
-def with_asof_closes(latest: DataFrame, history: DataFrame) -> DataFrame:
+def with_asof_closes(
+    latest: DataFrame, history: DataFrame, stage: Stage | None = None
+) -> DataFrame:
     """The newest row of each series with the closes the returns compare to."""
-    return latest.join(asof_closes(newest_times(history), history), SERIES, "left")
+    targets = newest_times(history)
+    if stage is not None:
+        targets = stage(targets, "newest_times")
+    return latest.join(asof_closes(targets, history), SERIES, "left")
 
 
 def asof_returns(latest: DataFrame, history: DataFrame) -> DataFrame:
@@ -125,13 +131,17 @@ def atr_baseline(ohlcv: DataFrame) -> DataFrame:
 
 
 def market_snapshot(
-    ohlcv: DataFrame, ticker: DataFrame, history: DataFrame | None = None
+    ohlcv: DataFrame,
+    ticker: DataFrame,
+    history: DataFrame | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """Build the snapshot mart.
 
     ``history`` (symbol, interval, candle_time, close) serves the as-of lookups;
     it defaults to ``ohlcv`` and can be the plain closed candles where the mart
-    is not stored, to keep the windows out of that branch.
+    is not stored, to keep the windows out of that branch. ``stage`` stores the
+    newest times, for the lookups' join to be planned on their size.
     """
     latest = add(latest_candles(ohlcv), {"as_of_time": "candle_time"})
     exchange = latest_ticker(ticker).selectExpr(
@@ -141,7 +151,7 @@ def market_snapshot(
         "quote_volume_24h",
     )
     history = ohlcv if history is None else history
-    placed = with_asof_closes(latest, history).join(exchange, "symbol")
+    placed = with_asof_closes(latest, history, stage).join(exchange, "symbol")
     return choose(
         placed,
         SNAPSHOT_COLUMNS,

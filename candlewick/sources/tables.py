@@ -57,36 +57,76 @@ class RawTable:
             f"{self.path}/batches/batch_id={batch_id}"
         )
 
-    def _folded_upto(self, spark: SparkSession) -> int:
+    def _folds(self, spark: SparkSession) -> list[int]:
+        """Batch numbers of the finished folds, one per maintenance run, in order."""
         folds = spark.read.schema("upto bigint").parquet(f"{self.path}/folds")
-        newest = folds.agg(F.max("upto")).first()[0]
-        return -1 if newest is None else newest
+        return sorted({row.upto for row in folds.collect()})
 
-    def versions(self, spark: SparkSession) -> DataFrame:
-        """All stored versions: the newest fold and the batches after it."""
-        upto = self._folded_upto(spark)
-        batches = (
+    def _batches(self, spark: SparkSession) -> DataFrame:
+        return (
             spark.read.schema(self._stored)
             .option("basePath", f"{self.path}/batches")
             .parquet(f"{self.path}/batches")
-            .filter(F.col("batch_id") > upto)
         )
-        if upto < 0:
-            return batches
-        folded = spark.read.schema(self._stored).parquet(f"{self.path}/folded/upto={upto}")
-        return folded.unionByName(batches)
+
+    def _folded(self, spark: SparkSession, upto: int) -> DataFrame:
+        return spark.read.schema(self._stored).parquet(f"{self.path}/folded/upto={upto}")
+
+    def versions(self, spark: SparkSession) -> DataFrame:
+        """All stored versions: the newest fold and the batches after it."""
+        folds = self._folds(spark)
+        if not folds:
+            return self._batches(spark)
+        later = self._batches(spark).filter(F.col("batch_id") > folds[-1])
+        return self._folded(spark, folds[-1]).unionByName(later)
 
     def read(self, spark: SparkSession) -> DataFrame:
+        """The newest version of each row; a plain scan if all batches are folded."""
+        folds = self._folds(spark)
+        if folds and self._batches(spark).filter(F.col("batch_id") > folds[-1]).isEmpty():
+            return self._folded(spark, folds[-1]).select(*self.schema.names)
         return latest_by_key(self.versions(spark)).select(*self.schema.names)
 
     def fold(self, spark: SparkSession, upto: int) -> None:
-        """Resolve all batches up to ``upto`` once, so that reads no longer do."""
-        if upto <= self._folded_upto(spark):
+        """Resolve all batches up to ``upto`` once, so that reads no longer do.
+
+        Drops what only readers of the fold before the last one could still need.
+        """
+        folds = self._folds(spark)
+        if folds and upto <= folds[-1]:
             return
         rows = latest_by_key(self.versions(spark).filter(F.col("batch_id") <= upto))
         rows.write.mode("overwrite").parquet(f"{self.path}/folded/upto={upto}")
         done = spark.createDataFrame([(upto,)], "upto bigint")
         done.coalesce(1).write.mode("append").parquet(f"{self.path}/folds")
+        for old in folds[:-1]:
+            _remove(spark, f"{self.path}/folded/upto={old}")
+        for kept, number in _numbered(spark, f"{self.path}/batches", "batch_id="):
+            if folds and number <= folds[-1]:
+                _remove(spark, kept)
+
+    def settle(self, spark: SparkSession) -> None:
+        """Fold everything written so far."""
+        numbers = [number for _, number in _numbered(spark, f"{self.path}/batches", "batch_id=")]
+        if numbers:
+            self.fold(spark, max(numbers))
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _numbered(spark: SparkSession, path: str, prefix: str) -> list[tuple[str, int]]:
+    """Paths and numbers of the directories ``<path>/<prefix><number>``."""
+    files, target = _file_system(spark, path)
+    found = [(f"{path}/{s.getPath().getName()}", s.getPath().getName()) for s in files.listStatus(target)]
+    return [(full, int(name.removeprefix(prefix))) for full, name in found if name.startswith(prefix)]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
 
 
 def write_dead_letters(invalid: DataFrame, path: str, event_type: str, batch_id: int) -> None:

@@ -11,6 +11,7 @@ from candlewick.operators.upsert import latest_by_key
 from candlewick.operators.validate import invalid_rows, validate
 from candlewick.plans import panels
 from candlewick.plans.ohlcv import ohlcv_indicators
+from candlewick.plans.rebuild import stage_in
 from candlewick.plans.snapshot import asof_closes, latest_candles, latest_ticker, newest_times
 from candlewick.schemas import KLINE, OHLCV, TICKER
 from candlewick.sources.tables import read_mart, write_mart
@@ -71,6 +72,22 @@ def test_candle_windows_share_one_shuffle_of_the_rows(stored):
     assert "Exchange" not in below
 
 
+def test_stored_positions_spare_a_shuffle_of_the_rows(spark, stored, tmp_path):
+    klines = stg_klines(stored["kline"])
+    text = plan(ohlcv_indicators(klines, stage=stage_in(spark, str(tmp_path))))
+    assert "SortMergeJoin" not in text
+    # Nothing but the one shuffle into blocks.
+    assert re.findall(r"hashpartitioning\(([a-z_]+)#\d+, ([a-z_]+)#\d+, ([a-z_]+)#", text) == [
+        ("symbol", "interval", "_block")
+    ]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = plan(ohlcv_indicators(klines, stage=stage_in(spark, str(tmp_path))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastExchange" not in large
+
+
 def test_counting_scan_is_narrow(stored):
     text = plan(ohlcv_indicators(stg_klines(stored["kline"])))
     scans = re.findall(r"ReadSchema: struct<(.*)>", text)

@@ -137,6 +137,20 @@ def test_fold_keeps_the_table(spark, tmp_path):
     assert table.versions(spark).count() == 4
 
 
+def test_folds_drop_what_they_replace(spark, tmp_path):
+    log = FileLog(f"{tmp_path}/log")
+    for n in range(4):
+        log.append(records(spark, event(TICKER_EVENT, last_price=str(n + 1)), event(TICKER_EVENT, event_id=str(n))))
+        table, _ = run(spark, tmp_path)
+        table.settle(spark)
+        rows = {r.event_id: r.last_price for r in table.read(spark).collect()}
+        assert len(rows) == n + 2 and rows["ticker-ABCUSD-1"] == n + 1
+    assert sorted(p.name for p in (tmp_path / "table" / "folded").iterdir()) == ["upto=2", "upto=3"]
+    assert sorted(p.name for p in (tmp_path / "table" / "batches").glob("batch_id=*")) == ["batch_id=3"]
+    table.settle(spark)
+    assert "Window" not in table.read(spark)._jdf.queryExecution().toString()
+
+
 def test_empty_log_gives_an_empty_table(spark, tmp_path):
     table = RawTable(f"{tmp_path}/table", "kline")
     table.create(spark)
