@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from candlewick.functions.columns import add, choose, pct_of
+from candlewick.functions.columns import add, choose, join_per_key, pct_of
 from candlewick.operators.blocks import Stage
 from candlewick.schemas import SNAPSHOT_COLUMNS
 
@@ -87,8 +87,7 @@ def asof_closes(targets: DataFrame, history: DataFrame) -> DataFrame:
     a series without any is left out.
 
     One pass over the history: all lags are filtered aggregates of the same
-    join, combined map-side. ``targets`` has one row per series; Spark broadcasts
-    it if its size allows and else splits hot series of the sort-merge join.
+    join, combined map-side.
     """
     candidates = history.selectExpr(*SERIES, "candle_time", "close as _close")
     closes = {
@@ -96,7 +95,7 @@ def asof_closes(targets: DataFrame, history: DataFrame) -> DataFrame:
         for name, lag in LAGS.items()
     }
     return (
-        candidates.join(targets.select(*SERIES, "as_of_time"), SERIES)
+        join_per_key(candidates, targets.select(*SERIES, "as_of_time"), SERIES)
         .filter(f"candle_time <= as_of_time - {LAGS['5m']}")
         .groupBy(*SERIES)
         .agg(*[F.expr(text).alias(name) for name, text in closes.items()])

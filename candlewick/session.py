@@ -11,11 +11,8 @@ _REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 _PREFERRED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # A symbol may hold a third of all rows. Where a per-symbol table is too
-    # large to broadcast, let AQE split the hot partition of the sort-merge
-    # join even when the aggregation above it then needs its own exchange.
+    # A symbol may hold a third of all rows (functions.columns.join_per_key).
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Per-cell positions (operators.blocks) are a small fraction of the rows they
     # join; a hash table per partition spares sorting the rows for a merge join.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from candlewick.functions.columns import add, choose
+from candlewick.functions.columns import add, choose, join_per_key
 from candlewick.schemas import KLINE, TICKER
 
 SOURCE_NAME = "testdata"
@@ -88,15 +88,8 @@ def candles(
         """,
         fine=_fine_candles(source).selectExpr("*", f"inline(array({coarser}))"),
     )
-    placed = spark.sql(
-        """
-        select rolled.*, newest_ts
-        from {rolled} as rolled
-        join (select symbol, max(ts) as newest_ts from {source} group by symbol) using (symbol)
-        """,
-        rolled=rolled,
-        source=source,
-    )
+    newest = source.groupBy("symbol").agg(F.max("ts").alias("newest_ts"))
+    placed = join_per_key(rolled, newest, ["symbol"])
     columns = {
         "event_id": "concat_ws('-', 'kline', symbol, interval, open_s * 1000)",
         "source": f"'{SOURCE_NAME}'",

@@ -128,6 +128,32 @@ def test_asof_lookup_reads_the_history_twice_and_combines_before_the_shuffle(sto
     assert "SortAggregate" not in text
 
 
+def test_hot_series_is_split_where_the_newest_times_are_not_broadcast(spark):
+    history = spark.sql(
+        "select if(id % 3 = 0, 'HOT', concat('S', id % 500)) symbol, '5m' `interval`, "
+        "timestamp_seconds(id * 300) candle_time, cast(id as decimal(37,18)) close from range(0, 120000, 1, 8)"
+    )
+    expected = sorted(asof_closes(newest_times(history), history).collect())
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = asof_closes(newest_times(history), history)
+        assert sorted(df.collect()) == expected
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_verdict_filter_stays_above_the_parsing(stored, spark):
     text = plan(invalid_rows(validate(spark.sql("select cast(id as string) as value from range(3)"), "kline")))
     assert text.lower().count("parsejson") <= 2
