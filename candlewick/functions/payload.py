@@ -27,13 +27,9 @@ def field(variant: str, path: str, kind: str = "string") -> str:
     return f"try_variant_get({variant}, '{path}', '{kind}')"
 
 
-def has_value(text: str) -> str:
-    return f"({text} is not null and {stripped(text)} != '')"
-
-
 def amount(text: str) -> str:
-    """Decimal value of a text; null for anything that is not a finite number."""
-    return f"try_cast({stripped(text)} as {AMOUNT_SQL})"
+    """Decimal value of a stripped text; null for anything that is not a finite number."""
+    return f"try_cast({text} as {AMOUNT_SQL})"
 
 
 def instant(text: str) -> str:

@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, types as T
 
 from candlewick.functions.columns import add, choose
-from candlewick.functions.payload import amount, field, has_value, instant, is_object, stripped
-from candlewick.schemas import AMOUNT, KLINE, TABLES, TICKER
-from pyspark.sql import types as T
+from candlewick.functions.payload import amount, field, instant, is_object, stripped
+from candlewick.schemas import AMOUNT, TABLES, TICKER
 
 # The required fields of each event type, in reporting order.
 REQUIRED = {
@@ -58,7 +57,7 @@ def _typed(name: str, kind: T.DataType) -> str:
         return instant(text)
     if isinstance(kind, T.BooleanType):
         return _truth(name)
-    return f"upper({stripped(text)})" if name == "symbol" else stripped(text)
+    return f"upper({text})" if name == "symbol" else text
 
 
 def _truth(name: str) -> str:
@@ -73,13 +72,12 @@ def _truth(name: str) -> str:
 
 
 def _type_rule(event_type: str) -> str:
-    given = f"lower({stripped('_event_type')})"
     shown = (
         "case when is_variant_null(try_variant_get(_event, '$.event_type', 'variant')) then 'none'"
-        f" when coalesce({given}, '') = '' then 'missing' else {given} end"
+        " when coalesce(_event_type, '') = '' then 'missing' else _event_type end"
     )
     return (
-        f"when coalesce({given}, '') != '{event_type}' then"
+        f"when coalesce(_event_type, '') != '{event_type}' then"
         f" concat('Unexpected event_type \\'', {shown}, '\\'. Expected \\'{event_type}\\'.')"
     )
 
@@ -93,11 +91,19 @@ def validate(
     parsed = add(
         events.selectExpr(*keep, f"{value} as value"), {"_event": "try_parse_json(value)"}
     )
-    texts = {f"_{name}": field("_event", f"$.{name}") for name in ("event_type", *required)}
+    # Fields are stripped once; a time is read as it stands.
+    times = {f.name for f in table if isinstance(f.dataType, T.TimestampType)}
+    texts = {"_event_type": f"lower({stripped(field('_event', '$.event_type'))})"}
+    for name in required:
+        text = field("_event", f"$.{name}")
+        texts[f"_{name}"] = text if name in times else stripped(text)
     typed = {f.name: _typed(f.name, f.dataType) for f in table if f.name != "raw_payload"}
     rows = add(add(parsed, texts), typed)
 
-    absent = ", ".join(f"if({has_value(f'_{name}')}, null, '{name}')" for name in required)
+    absent = ", ".join(
+        f"if(coalesce({stripped(f'_{name}') if name in times else f'_{name}'}, '') = '', '{name}', null)"
+        for name in required
+    )
     names = [f.name for f in table if not isinstance(f.dataType, (T.StringType, T.BooleanType))]
     untyped = " or ".join(f"{name} is null" for name in names)
     label = event_type.capitalize()
