@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, tokenfiles
+from candlewick.llm import bpe, decontaminate, tokenfiles
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": tokenfiles.query,
+        "op2_decontaminate": decontaminate.query,
         "op10_bpe": bpe.query,
     }
 
