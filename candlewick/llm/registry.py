@@ -6,16 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, decontaminate, tokenfiles
+from candlewick.llm import bpe, decontaminate, nearest, shards, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": tokenfiles.query,
         "op2_decontaminate": decontaminate.query,
+        "op6_shards": shards.query,
+        "op8_toxicity": toxicity.query,
+        "op9_nearest": nearest.query,
         "op10_bpe": bpe.query,
     }
 
 
 def statements() -> dict[str, str]:
-    return {}
+    return {
+        "op9_nearest": nearest.ORACLE,
+    }
