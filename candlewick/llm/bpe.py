@@ -27,15 +27,18 @@ from candlewick.llm.common import mapped, table
 # The pre-tokenizer pattern of the byte-level format.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-# One blank between two visible characters is always a cut of the pattern above; it is a
-# forced boundary as well after a character whose last byte precedes a blank in no token.
-_BLANK = r"(?<=[^\s{after}]) (?=\S)"
+# A blank between two visible characters, and both sides of a line end between two visible
+# characters, are cuts of the pattern above whatever stands around them. The blank is a forced
+# boundary as well after a character whose last byte precedes it in no token. A text with
+# anything else about white space is cut by the pattern alone.
+_UNUSUAL = r"\s\s|^\s|\s$|[^\S \n]{after}"
 
-_NONE = (1 << 62, -1)
+_NONE = 1 << 62
 _SHORT = 48
 
-#: Pieces and words remembered per Python worker; each memory is emptied when full.
-REMEMBERED = 500_000
+#: Pieces remembered per Python worker in each of two generations: when the younger is full, the
+#: older is dropped and replaced by it, so that frequent pieces stay.
+REMEMBERED = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -58,32 +61,46 @@ class Bpe:
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
         self.single = {b[0]: ids[t] for t, b in plain.items() if len(b) == 1}
         merges = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        self.merge = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(merges)}
+        self.rank = {(ids[a], ids[b]): rank for rank, (a, b) in enumerate(merges)}
+        self.result = [ids[a + b] for a, b in merges]
         self.joined = np.zeros((256, 256), bool)  # byte pairs that stand inside a token
         for token in plain.values():
             self.joined[list(token[:-1]), list(token[1:])] = True
         kept = [chr(c) for c in range(0x2000) if self.joined[chr(c).encode()[-1], 32] and not chr(c).isspace()]
-        self.blank = re.compile(_BLANK.format(after=re.escape("".join(kept)) + ("\u2000-\U0010ffff" if kept else "")))
+        after = "".join(kept) + ("\u2000-\U0010ffff" if kept else "")
+        self.unusual = re.compile(_UNUSUAL.format(after=f"|[{after}] " if after else ""))
         self.split_special = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)")
         self.inside = {bytes(pair) for pair in np.argwhere(self.joined).astype(np.uint8)}
         self.known: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str) -> list[int]:
-        pieces = self.blank.split(text)
-        if len(pieces) > 1:
-            pieces[1:] = [" " + p for p in pieces[1:]]
+        if not text or self.unusual.search(text):
+            return self._encode_piece(text)
+        # First words of lines stand without a blank; they are remembered with a mark.
+        lines = [line.split(" ") for line in text.split("\n")]
+        for line in lines:
+            line[0] = "\n" + line[0]
         known = self.known
-        for piece in set(pieces).difference(known):
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[piece] = tuple(self._encode_piece(piece))
-        try:
-            return list(chain.from_iterable(map(known.__getitem__, pieces)))
-        except KeyError:  # emptied on the way
-            return [i for p in pieces for i in (known.get(p) or self._encode_piece(p))]
+        for word in set(chain.from_iterable(lines)).difference(known):
+            known[word] = self.older.get(word) or self._encode_new(word)
+        ids = list(chain.from_iterable(map(known.__getitem__, chain.from_iterable(lines))))
+        if len(known) > REMEMBERED:
+            self.older, self.known = known, {}
+        return ids[1:]  # the first line has no line end before it
+
+    def _encode_new(self, word: str) -> tuple[int, ...]:
+        """Ids of a blank and ``word``, or of a line end and the rest of it."""
+        if word[0] == "\n":
+            return (self.single[10], *self._encode_piece(word[1:]))
+        if word[-1] in ",." and word[:-1].isalpha():  # a letter and a punctuation mark are always parted
+            bare = self.known.get(word[:-1]) or self.older.get(word[:-1]) or tuple(self._encode_piece(" " + word[:-1]))
+            return (*bare, self.single[ord(word[-1])])
+        return tuple(self._encode_piece(" " + word))
 
     def _encode_piece(self, piece: str) -> list[int]:
+        if piece and piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):
+            return self._encode_word(piece)
         ids, at = [], 0
         for found in self.split_special.finditer(piece):
             ids += self._encode_plain(piece[at : found.start()])
@@ -92,16 +109,10 @@ class Bpe:
         return ids + self._encode_plain(piece[at:])
 
     def _encode_plain(self, piece: str) -> list[int]:
-        ids: list[int] = []
-        words = self.words
-        for word in _WORDS.findall(piece):
-            if (found := words.get(word)) is None:
-                if len(words) >= REMEMBERED:
-                    words.clear()
-                found = [i for part in self.fragments(word.encode()) for i in self._merged(part)]
-                words[word] = tuple(found)
-            ids += found
-        return ids
+        return [i for word in _WORDS.findall(piece) for i in self._encode_word(word)]
+
+    def _encode_word(self, word: str) -> list[int]:
+        return [i for part in self.fragments(word.encode()) for i in self._merged(part)]
 
     def fragments(self, word: bytes) -> list[bytes]:
         """``word`` cut at every byte pair that no token holds."""
@@ -111,14 +122,11 @@ class Bpe:
 
     def _merged_short(self, ids: list[int]) -> list[int]:
         """The same merges by scanning for the lowest rank, which is faster on a few ids."""
-        get = self.merge.get
+        get, result = self.rank.get, self.result
         pairs = [get(pair, _NONE) for pair in zip(ids, ids[1:])]
-        while pairs:
-            best = min(pairs)
-            if best is _NONE:
-                break
+        while pairs and (best := min(pairs)) != _NONE:
             at = pairs.index(best)
-            ids[at : at + 2] = [best[1]]
+            ids[at : at + 2] = [result[best]]
             del pairs[at]
             if at:
                 pairs[at - 1] = get((ids[at - 1], ids[at]), _NONE)
@@ -129,24 +137,24 @@ class Bpe:
     def _merged(self, fragment: bytes) -> list[int]:
         """Merges in order of rank, leftmost first, over a doubly linked list."""
         ids: list[int | None] = [self.single[b] for b in fragment]
-        n, merge = len(ids), self.merge
+        n, rank = len(ids), self.rank
         if n <= _SHORT:
             return self._merged_short(ids)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        waiting = [(*merge[pair], i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in merge]
+        waiting = [(rank[pair], i, pair) for i, pair in enumerate(zip(ids, ids[1:])) if pair in rank]
         heapq.heapify(waiting)
         while waiting:
-            _, new, left, pair = heapq.heappop(waiting)
+            best, left, pair = heapq.heappop(waiting)
             right = after[left]
             if right >= n or (ids[left], ids[right]) != pair:
                 continue
-            ids[left], ids[right] = new, None
+            ids[left], ids[right] = self.result[best], None
             after[left] = after[right]
             if after[left] < n:
                 before[after[left]] = left
             for i in (before[left], left):
-                if i >= 0 and after[i] < n and (found := merge.get(pair := (ids[i], ids[after[i]]))):
-                    heapq.heappush(waiting, (*found, i, pair))
+                if i >= 0 and after[i] < n and (found := rank.get(pair := (ids[i], ids[after[i]]))) is not None:
+                    heapq.heappush(waiting, (found, i, pair))
         return [i for i in ids if i is not None]
 
     def decode(self, ids: list[int]) -> str:

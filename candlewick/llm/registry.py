@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, decontaminate, nearest, shards, tokenfiles, toxicity
+from candlewick.llm import bpe, decontaminate, minhash, nearest, shards, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_files": tokenfiles.query,
         "op2_decontaminate": decontaminate.query,
         "op6_shards": shards.query,
+        "op7_minhash": minhash.query,
         "op8_toxicity": toxicity.query,
         "op9_nearest": nearest.query,
         "op10_bpe": bpe.query,
