@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, decontaminate, minhash, nearest, shards, tokenfiles, toxicity
+from candlewick.llm import bpe, decontaminate, lines, minhash, nearest, rendering, shards, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": tokenfiles.query,
         "op2_decontaminate": decontaminate.query,
+        "op3_lines": lines.query,
+        "op4_rendering": rendering.query,
         "op6_shards": shards.query,
         "op7_minhash": minhash.query,
         "op8_toxicity": toxicity.query,
