@@ -263,6 +263,39 @@ def _against(rows: DataFrame, items: list[tuple[int | None, str | None]], window
     return mapped(rows, run, _RESULT)
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs``, all columns, without a hit word; one pass for each block of the benchmark."""
+
+    def against(rows: DataFrame, items: list[tuple[int | None, str | None]]) -> DataFrame:
+        sent = rows.sparkSession.sparkContext.broadcast(items)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bench = Benchmark(sent.value, window)
+
+            def finish(shard: _Shard, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                clean, at = _hits(shard, bench)[1] == 0, 0
+                for batch in held:
+                    yield batch.filter(pa.array(clean[at : at + batch.num_rows]))
+                    at += batch.num_rows
+
+            shard, held = _Shard(), []
+            for batch in batches:
+                held.append(batch)
+                for text in batch["text"].to_pylist():
+                    shard.add(None, text, bench)
+                if shard.words >= SHARD_WORDS:
+                    yield from finish(shard, held)
+                    shard, held = _Shard(), []
+            if shard.ids:
+                yield from finish(shard, held)
+
+        return rows.mapInArrow(run, rows.schema)
+
+    for block in _blocks(benchmark):
+        docs = against(docs, block)
+    return docs
+
+
 def longest_matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """For each suffix of each item and each shard with a match: (item_id, position, n_words, doc_id, at).
 

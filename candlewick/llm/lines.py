@@ -171,11 +171,11 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 def cleaned(docs: DataFrame) -> DataFrame:
     """``docs`` with its columns, the removed lines cut out of ``text``; a null text stays null."""
     found = removed_lines(docs).filter(F.size("removed") > 0).dropDuplicates(["doc_id", "text_key"])
-    found = stored(found.select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), F.col("removed").alias("_removed")), "removed")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_key"))
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_removed"), i)), "\n")
+    found = stored(found.select(F.col("doc_id").alias("_line_doc"), F.col("text_key").alias("_line_key"), F.col("removed").alias("_line_removed")), "removed")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_line_doc")) & (F.xxhash64("text") == F.col("_line_key"))
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(F.col("_line_removed"), i)), "\n")
     joined = docs.join(found, same, "left")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept)
+    text = F.when(F.col("_line_removed").isNull(), F.col("text")).otherwise(kept)
     return joined.withColumn("text", text).select(*docs.columns)
 
 

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from candlewick.llm.common import mapped, stored, table
 from candlewick.llm.components import components
@@ -167,6 +167,14 @@ def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
     )
 
 
+def deduplicated(docs: DataFrame, width: int = 5) -> DataFrame:
+    """The rows of ``docs``, all columns, that are kept; rows without doc_id stay, and one row of each doc_id."""
+    gone = grouped(docs, width).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return left.withColumn("_number", number).filter("_number = 1 or doc_id is null").select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: components of documents by sets of two-word shingles."""
     return grouped(table(spark, sf_dir, "documents"), width=2)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, decontaminate, lines, minhash, nearest, rendering, shards, tokenfiles, toxicity
+from candlewick.llm import bpe, decontaminate, lines, minhash, nearest, passages, rendering, shards, tokenfiles, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": decontaminate.query,
         "op3_lines": lines.query,
         "op4_rendering": rendering.query,
+        "op5_passages": passages.query,
         "op6_shards": shards.query,
         "op7_minhash": minhash.query,
         "op8_toxicity": toxicity.query,

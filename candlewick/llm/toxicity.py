@@ -165,6 +165,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return mapped(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score stays below 0.5."""
+    sent = docs.sparkSession.sparkContext.broadcast(Model(model.weights.astype(np.float32), model.bias))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, bias = _Weights(sent.value), sent.value.bias
+        for batch in batches:
+            yield batch.filter(pa.array([_score(t or "", weights, bias)[0] < 0.5 for t in batch["text"].to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 _PLACES = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("p", pa.float64())]))
 
 
