@@ -21,7 +21,7 @@ exist, which bounds the table that is broadcast) do not enter the join: the firs
 Defined results: null texts have no lines; blank lines are kept and match nothing; a document that
 is repeated with its doc_id is treated as one and every copy is cleaned alike; rows that share a
 doc_id but not the text are cleaned each, and none of them is earlier at the same line number. Null
-doc_ids come first. Line ends are "\\n".
+doc_ids come first. Line ends are "\\n"; words are parted by blanks, tabs and carriage returns.
 """
 
 from __future__ import annotations
@@ -49,13 +49,13 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _blanks(line: Column) -> Column:
-    return F.translate(line, "\t\r\f\x0b", "    ")
+    return F.replace(F.replace(line, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
 
 
 def _words(line: Column) -> Column:
     """The distinct words of a line as hashes."""
-    words = F.array_distinct(F.array_remove(F.split(_blanks(F.lower(line)), " "), ""))
-    return F.transform(words, lambda w: F.xxhash64(w))
+    hashes = F.transform(F.split(_blanks(F.lower(line)), " "), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
 def _ranks(lines: DataFrame) -> bytes:
@@ -63,12 +63,14 @@ def _ranks(lines: DataFrame) -> bytes:
     bucket = F.col("word").bitwiseAND(BUCKETS - 1)
     counts = lines.select(F.explode(_words(F.col("line"))).alias("word")).groupBy(bucket.alias("id")).agg(F.count("*").alias("n"))
     level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.col("n")))).cast("int")
-    levels = counts.select(F.floor(F.col("id") / _CHUNK).alias("chunk"), (F.col("id") % _CHUNK).cast("int").alias("at"), F.char(32 + level).alias("c"))
-    known = F.map_from_entries(F.collect_list(F.struct("at", "c")))
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(_CHUNK - 1)), lambda i: F.coalesce(F.element_at(F.col("known"), i), F.lit(" "))), "")
-    chunks = levels.groupBy("chunk").agg(known.alias("known")).select("chunk", text.alias("text")).collect()
-    found = {r["chunk"]: r["text"] for r in chunks}
-    return "".join(found.get(i, " " * _CHUNK) for i in range(BUCKETS // _CHUNK)).encode()
+    chunk = F.floor(F.col("id") / _CHUNK)
+    chunks = counts.groupBy(chunk).agg(F.array_join(F.collect_list(F.concat_ws(":", "id", level)), ",").alias("text")).collect()
+    ranks = bytearray(b" " * BUCKETS)
+    for row in chunks:
+        for entry in row["text"].split(","):
+            at, _, value = entry.partition(":")
+            ranks[int(at)] = 32 + int(value)
+    return bytes(ranks)
 
 
 def _keys(line: Column, ranks: bytes) -> Column:

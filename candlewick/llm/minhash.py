@@ -8,9 +8,10 @@ Bands of coordinates select candidates, and a link needs Jaccard similarity of a
 
 Documents with equal sets form a class first, and only its smallest doc_id is compared. In each
 bucket of a band, all members are compared with its smallest one. After their links are
-joined to components, the pairs of a bucket that still stand in different components are
-compared as well, so no candidate link between components is left out, while a large bucket of
-near copies costs one comparison a member. Pairs whose sizes, or the last bits of whose
+joined to components, members still in other components are compared with further members of
+the bucket, a round at a time while many pairs are left, and in the end all pairs of a bucket that
+stand in different components are compared, so no candidate link between components is left out,
+while a large bucket of near copies costs few comparisons a member. Pairs whose sizes, or the last bits of whose
 signatures, exclude the similarity are not read.
 
 With 24 bands of 4 coordinates a pair at similarity 0.8 is missed with probability 3e-6.
@@ -39,6 +40,8 @@ COORDINATES = BANDS * ROWS
 #: Unequal last bits of two signatures of similarity 0.8: 9.6 are expected of 96; 30 is 7 deviations more.
 MOST_UNEQUAL = 30
 _AT_ONCE = 1 << 15
+#: Further rounds of comparing buckets with one member each, while the pairs left are many more than the rows.
+_MORE_STARS = 8
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
 
@@ -126,6 +129,14 @@ def _possible(a: str, b: str):
     return sizes & (unequal <= MOST_UNEQUAL)
 
 
+def _undecided(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(key, m, component) of the buckets whose members stand in different components."""
+    placed = members.select("key", "m", F.col("m.doc_id").alias("node")).join(found, "node", "left")
+    placed = placed.select("key", "m", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return stored(placed.join(several.select("key"), "key", "left_semi"), "placed")
+
+
 def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of ``docs``; kept is the smallest doc_id of a component."""
     docs = docs.select(F.col("doc_id").cast("long"), "text")
@@ -144,17 +155,30 @@ def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
     links = stored(confirmed(stars, docs, width), "links")
     found = stored(components(links), "components")
 
-    placed = members.select("key", "m", F.col("m.doc_id").alias("node")).join(found, "node", "left")
-    placed = placed.select("key", "m", F.coalesce("component", "node").alias("component"))
-    mixed_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    placed = stored(placed.join(mixed_keys.select("key"), "key", "left_semi"), "placed")
+    tested, placed = stars, _undecided(members, found)
+    for turn in range(_MORE_STARS):
+        pairs, rows = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+            F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within")
+        ).agg(F.sum(F.col("all") * F.col("all") - F.col("within")), F.sum("all")).first()
+        if not rows or pairs <= 8 * rows:
+            break
+        chosen = F.min_by(F.struct("m", "component"), F.xxhash64(F.lit(turn), "m.doc_id")).alias("leader")
+        around = placed.join(placed.groupBy("key").agg(chosen), "key").filter("component <> leader.component")
+        around = around.select("m", F.col("leader.m").alias("l")).filter(_possible("m", "l"))
+        ends = F.col("m.doc_id"), F.col("l.doc_id")
+        around = around.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+        around = stored(around.join(tested, ["a", "b"], "left_anti"), "around")
+        tested = tested.unionByName(around)
+        links = links.unionByName(stored(confirmed(around, docs, width), "links"))
+        found = stored(components(links), "components")
+        placed = _undecided(members, found)
     x, y = placed.alias("x"), placed.alias("y")
     across = x.join(y, F.col("x.key") == F.col("y.key")).filter(
         (F.col("x.m.doc_id") < F.col("y.m.doc_id")) & (F.col("x.component") != F.col("y.component"))
     )
     across = across.filter(_possible("x.m", "y.m"))
     across = across.select(F.col("x.m.doc_id").alias("a"), F.col("y.m.doc_id").alias("b")).distinct()
-    more = stored(across.join(stars, ["a", "b"], "left_anti"), "across")
+    more = stored(across.join(tested, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
         late = confirmed(more, docs, width)
         found = stored(components(links.unionByName(late)), "components")
