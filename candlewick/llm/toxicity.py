@@ -188,7 +188,7 @@ def _score(text: str, weights: _Weights, bias: float) -> tuple[float, list[dict]
     if not kept:
         return 0.0, []
     logits = np.array([sum(sorted(map(weights.__getitem__, words[i]))) for i in kept]) + bias
-    p = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+    p = np.where(np.isneginf(logits), 0.0, 1 / (1 + np.exp(-np.clip(logits, -30, 30))))
     places = [
         {"start": spans[kept[i]][0], "stop": spans[kept[i]][1], "p": float(p[i])} for i in np.flatnonzero(p >= 0.5)
     ]
