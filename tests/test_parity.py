@@ -5,6 +5,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as contract
+from candlewick import oracle, registry
 from tests.parity import differences, duck
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,10 +18,11 @@ def connection():
 
 
 def test_each_query_has_a_statement():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.statements())
+    assert set(registry.queries()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query(spark, connection, name):
     count, problem = differences(contract.queries()[name](spark, SF_DIR), connection, contract.oracle_sql()[name])
     assert not problem
