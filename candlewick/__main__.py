@@ -16,7 +16,7 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.operators.normalize import dump_events, normalize_klines, normalize_ticker
 from candlewick.plans import panels
@@ -88,14 +88,23 @@ def rebuild(spark: SparkSession, args: argparse.Namespace) -> int:
 
 
 def check(spark: SparkSession, args: argparse.Namespace) -> int:
-    return Warehouse(args.house).check(spark, args.as_of)
+    failed, code = Warehouse(args.house).check(spark, args.as_of)
+    print_rows(failed)
+    return code
+
+
+def print_rows(df: DataFrame) -> None:
+    """All rows of ``df``, tab-separated below their names, a partition at a time."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*("" if value is None else value for value in row), sep="\t")
 
 
 def panel(spark: SparkSession, args: argparse.Namespace) -> int:
     build, mart, timed = PANELS[args.name]
     intervals = None if args.intervals == "all" else parse_intervals(args.intervals)
     zone = {"tz": args.zone} if timed else {}
-    build(getattr(Warehouse(args.house), mart)(spark), intervals, **zone).show(1000, truncate=False)
+    print_rows(build(getattr(Warehouse(args.house), mart)(spark), intervals, **zone))
     return 0
 
 

@@ -39,14 +39,22 @@ _KLINE_AMOUNTS = {
 _KLINE_MIN_FIELDS = 11
 
 
+def _ingest(responses: DataFrame, given: str | None) -> tuple[str, list[str]]:
+    """The expression of the ingest time, and the columns it needs."""
+    kept = [c for c in ("fetched_at",) if c in responses.columns]
+    return given or (kept[0] if kept else "current_timestamp()"), kept
+
+
 def normalize_ticker(
     responses: DataFrame,
     source_name: str,
-    ingest_time: str = "current_timestamp()",
+    ingest_time: str | None = None,
     on_error: str = "fail",
 ) -> DataFrame:
-    """Events from 24-hour ticker responses; ``ingest_time`` is a timestamp expression."""
-    parsed = add(responses.select("value"), {"_raw": "try_parse_json(value)"})
+    """Events from 24-hour ticker responses; ``ingest_time`` is a timestamp expression, by default
+    the response's ``fetched_at``, or the time of the job where that column is missing."""
+    ingest_time, kept = _ingest(responses, ingest_time)
+    parsed = add(responses.select("value", *kept), {"_raw": "try_parse_json(value)"})
     read = add(
         parsed,
         {
@@ -88,13 +96,15 @@ def normalize_ticker(
 def normalize_klines(
     responses: DataFrame,
     source_name: str,
-    ingest_time: str = "current_timestamp()",
+    ingest_time: str | None = None,
     on_error: str = "fail",
 ) -> DataFrame:
-    """Events from candle responses: ``value`` (array of arrays), ``symbol`` and ``interval``."""
+    """Events from candle responses: ``value`` (array of arrays), ``symbol`` and ``interval``;
+    ``ingest_time`` as for tickers."""
+    ingest_time, kept = _ingest(responses, ingest_time)
     parsed = add(
         responses.selectExpr(
-            "value", f"upper({stripped('symbol')}) as symbol", f"{stripped('interval')} as interval"
+            "value", f"upper({stripped('symbol')}) as symbol", f"{stripped('interval')} as interval", *kept
         ),
         {"_list": "try_variant_get(try_parse_json(value), '$', 'array<variant>')"},
     )

@@ -9,6 +9,7 @@ their size and broadcasts those that fit.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from candlewick.plans.ohlcv import ohlcv_indicators
 from candlewick.plans.snapshot import market_snapshot
 from candlewick.schemas import OHLCV, SNAPSHOT
 from candlewick.session import configure
-from candlewick.sources.tables import RawTable, read_mart, write_mart
+from candlewick.sources.tables import RawTable, read_mart, remove, write_mart
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,8 @@ class Warehouse:
             "snapshot": self.snapshot(spark),
         }
 
-    def check(self, spark: SparkSession, as_of: str = "current_timestamp()") -> int:
+    def check(self, spark: SparkSession, as_of: str = "current_timestamp()") -> tuple[DataFrame, int]:
+        """The failed checks and the exit code of the run."""
         return quality.run_suite(self.tables(spark), as_of)
 
 
@@ -71,7 +73,9 @@ def stage_in(spark: SparkSession, path: str) -> Stage:
 
 def rebuild_marts(spark: SparkSession, warehouse: Warehouse) -> None:
     configure(spark)
-    stage = stage_in(spark, f"{warehouse.path}/staging")
+    # A folder of its own: rebuilds that overlap do not read each other's tables.
+    staging = f"{warehouse.path}/staging/{uuid.uuid4().hex}"
+    stage = stage_in(spark, staging)
     # The marts read the candles twice; resolve their versions once.
     warehouse.klines.settle(spark)
     warehouse.tickers.settle(spark)
@@ -80,3 +84,4 @@ def rebuild_marts(spark: SparkSession, warehouse: Warehouse) -> None:
     ticker = stg_ticker(warehouse.tickers.read(spark))
     snapshot = market_snapshot(warehouse.ohlcv(spark), ticker, stage=stage)
     write_mart(snapshot, f"{warehouse.path}/snapshot")
+    remove(spark, staging)

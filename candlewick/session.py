@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Always set: timestamps in the data model are UTC instants.
-_REQUIRED = {"spark.sql.session.timeZone": "UTC"}
+# Of a key that a JSON object repeats, the last value counts.
+_REQUIRED = {"spark.sql.session.timeZone": "UTC", "spark.sql.variant.allowDuplicateKeys": "true"}
 
 # Set only where the session carries no explicit value of its own.
 _PREFERRED = {

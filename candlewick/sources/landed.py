@@ -1,5 +1,8 @@
 """Landed exchange responses: one file per response.
 
+``fetched_at`` is the time the response landed, which the events carry as ``ingest_time``: a candle
+that was open when it was fetched stays open however late it is read.
+
 Ticker responses are JSON objects. Candle responses are JSON arrays below
 ``symbol=<symbol>/interval=<interval>/`` directories, so that one scan reads
 all intervals and an interval list prunes directories.
@@ -15,15 +18,19 @@ from candlewick.operators.staging import in_intervals
 from candlewick.schemas import parse_intervals
 
 
+_FETCHED = "_metadata.file_modification_time as fetched_at"
+
+
 def read_ticker_responses(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).select("value")
+    return spark.read.text(path, wholetext=True).selectExpr("value", _FETCHED)
 
 
 def read_kline_responses(
     spark: SparkSession, path: str, intervals: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """Candle responses as (value, symbol, interval); ``intervals`` is a list or its text form."""
+    """Candle responses as (value, symbol, interval, fetched_at); ``intervals`` is a list or its text form."""
     names = parse_intervals(intervals) if isinstance(intervals, str) else intervals
     # A given schema: Spark would infer a directory ``interval=1d`` as the number 1.
     responses = spark.read.schema("value string, symbol string, interval string")
-    return in_intervals(responses.text(path, wholetext=True), names)
+    found = responses.text(path, wholetext=True).selectExpr("value", "symbol", "interval", _FETCHED)
+    return in_intervals(found, names)

@@ -47,6 +47,8 @@ class RawTable:
 
     def create(self, spark: SparkSession) -> None:
         """Make the table readable before its first batch; does nothing if it exists."""
+        if _exists(spark, f"{self.path}/folds") and _exists(spark, f"{self.path}/batches"):
+            return
         empty = spark.createDataFrame([], self._stored)
         empty.write.mode("append").partitionBy("batch_id").parquet(f"{self.path}/batches")
         spark.createDataFrame([], "upto bigint").write.mode("append").parquet(f"{self.path}/folds")
@@ -100,16 +102,24 @@ class RawTable:
         done = spark.createDataFrame([(upto,)], "upto bigint")
         done.coalesce(1).write.mode("append").parquet(f"{self.path}/folds")
         for old in folds[:-1]:
-            _remove(spark, f"{self.path}/folded/upto={old}")
+            remove(spark, f"{self.path}/folded/upto={old}")
         for kept, number in _numbered(spark, f"{self.path}/batches", "batch_id="):
             if folds and number <= folds[-1]:
-                _remove(spark, kept)
+                remove(spark, kept)
 
     def settle(self, spark: SparkSession) -> None:
-        """Fold everything written so far."""
-        numbers = [number for _, number in _numbered(spark, f"{self.path}/batches", "batch_id=")]
-        if numbers:
-            self.fold(spark, max(numbers))
+        """Fold all finished batches.
+
+        A batch that failed or is being written has no success mark yet and will be written
+        again; neither it nor anything after it is folded.
+        """
+        upto = None
+        for path, number in sorted(_numbered(spark, f"{self.path}/batches", "batch_id="), key=lambda b: b[1]):
+            if not _exists(spark, f"{path}/_SUCCESS"):
+                break
+            upto = number
+        if upto is not None:
+            self.fold(spark, upto)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -117,14 +127,22 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file_system(spark, path)
+    return files.exists(target)
+
+
 def _numbered(spark: SparkSession, path: str, prefix: str) -> list[tuple[str, int]]:
     """Paths and numbers of the directories ``<path>/<prefix><number>``."""
     files, target = _file_system(spark, path)
+    if not files.exists(target):
+        return []
     found = [(f"{path}/{s.getPath().getName()}", s.getPath().getName()) for s in files.listStatus(target)]
     return [(full, int(name.removeprefix(prefix))) for full, name in found if name.startswith(prefix)]
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory."""
     files, target = _file_system(spark, path)
     files.delete(target, True)
 
@@ -136,11 +154,35 @@ def write_dead_letters(invalid: DataFrame, path: str, event_type: str, batch_id:
     )
 
 
+def _builds(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished builds of a mart, in order."""
+    if not _exists(spark, f"{path}/builds"):
+        return []
+    return sorted({row.build for row in spark.read.schema("build bigint").parquet(f"{path}/builds").collect()})
+
+
 def write_mart(mart: DataFrame, path: str) -> None:
-    """Rebuild a mart. Files are laid out by candle interval, the column panels filter on."""
-    mart.write.mode("overwrite").partitionBy("interval").parquet(path)
+    """Write a new build of a mart beside the old one, then make it the one that is read.
+
+    ``build=<n>/`` holds build n, laid out by candle interval, the column panels filter on;
+    ``builds/`` has one record per finished build. A build that fails leaves the mart as it was. The
+    build before the new one is kept for readers that have begun with it.
+    """
+    spark = mart.sparkSession
+    finished = _builds(spark, path)
+    number = max([n for _, n in _numbered(spark, path, "build=")] + finished, default=-1) + 1
+    mart.write.mode("overwrite").partitionBy("interval").parquet(f"{path}/build={number}")
+    done = spark.createDataFrame([(number,)], "build bigint")
+    done.coalesce(1).write.mode("append").parquet(f"{path}/builds")
+    for old, n in _numbered(spark, path, "build="):
+        if n != number and (not finished or n != finished[-1]):
+            remove(spark, old)
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The newest finished build of a mart; no rows before the first."""
+    builds = _builds(spark, path)
+    if not builds:
+        return spark.createDataFrame([], schema)
     # A given schema: Spark would infer a directory ``interval=1d`` as the number 1.
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(schema).parquet(f"{path}/build={builds[-1]}").select(*schema.names)

@@ -208,6 +208,7 @@ def test_nonempty(spark, mart):
 
 
 def test_suite_of_sound_tables(spark, mart, snapshot):
-    assert quality.run_suite({"ohlcv": mart, "snapshot": snapshot}) == 0
+    assert quality.run_suite({"ohlcv": mart, "snapshot": snapshot})[1] == 0
     broken = mart.selectExpr("* except (trend_regime)", "'up' as trend_regime")
-    assert quality.run_suite({"ohlcv": broken}) == 1
+    failed, code = quality.run_suite({"ohlcv": broken})
+    assert code == 1 and failed.count() > 0 and set(failed.select("status").distinct().collect()[0]) == {"error"}

@@ -6,9 +6,9 @@ from pyspark.errors import PySparkException
 
 from candlewick.operators.normalize import dump_events, normalize_klines, normalize_ticker
 from candlewick.schemas import INTERVALS, parse_intervals
-from tests.samples import KLINE_ROW, TICKER_RESPONSE
+from tests.samples import KLINE_ROW, OPEN_MS, STEP_MS, TICKER_RESPONSE
 
-INGEST = "timestamp'2026-03-18 08:00:00'"
+INGEST = "timestamp'2025-06-11 05:00:00'"
 
 
 def responses(spark, *values):
@@ -21,27 +21,27 @@ def kline_responses(spark, *values, symbol="abcusd", interval="5m"):
 
 def test_ticker_response_becomes_an_event(spark):
     event = normalize_ticker(responses(spark, TICKER_RESPONSE), "exchange", INGEST).first()
-    assert event.event_id == "ticker-ABCUSD-1773820500000"
+    assert event.event_id == f"ticker-ABCUSD-{OPEN_MS + STEP_MS}"
     assert (event.event_type, event.source, event.symbol) == ("ticker", "exchange", "ABCUSD")
-    at = datetime.fromtimestamp(1773820500, tz=timezone.utc)
+    at = datetime.fromtimestamp((OPEN_MS + STEP_MS) // 1000, tz=timezone.utc)
     assert datetime.fromisoformat(event.event_time) == at
     payload = json.loads(event.payload)
-    assert payload["last_price"] == "73912.40"
-    assert payload["price_change_pct_24h"] == "0.16"
-    assert payload["trade_count_24h"] == 12345
+    assert payload["last_price"] == TICKER_RESPONSE["lastPrice"]
+    assert payload["price_change_pct_24h"] == TICKER_RESPONSE["priceChangePercent"]
+    assert payload["trade_count_24h"] == TICKER_RESPONSE["count"]
     assert payload["raw_payload"] == TICKER_RESPONSE
     assert len(payload) == 16
 
 
 def test_kline_rows_become_events(spark):
-    later = [KLINE_ROW[0] + 300000, *KLINE_ROW[1:]]
+    later = [KLINE_ROW[0] + STEP_MS, *KLINE_ROW[1:]]
     out = normalize_klines(kline_responses(spark, [KLINE_ROW, later]), "exchange", INGEST)
     rows = {r.event_id: r for r in out.collect()}
-    assert sorted(rows) == ["kline-ABCUSD-5m-1773819900000", "kline-ABCUSD-5m-1773820200000"]
-    payload = json.loads(rows["kline-ABCUSD-5m-1773819900000"].payload)
-    assert payload["close_price"] == "73833.51"
-    assert payload["quote_asset_volume"] == "1901727.49515800"
-    assert payload["trade_count"] == 9529
+    assert sorted(rows) == [f"kline-ABCUSD-5m-{OPEN_MS}", f"kline-ABCUSD-5m-{OPEN_MS + STEP_MS}"]
+    payload = json.loads(rows[f"kline-ABCUSD-5m-{OPEN_MS}"].payload)
+    assert payload["close_price"] == KLINE_ROW[4]
+    assert payload["quote_asset_volume"] == KLINE_ROW[7]
+    assert payload["trade_count"] == KLINE_ROW[8]
     assert payload["is_closed"] is True
     assert payload["event_time"] == payload["close_time"]
     assert payload["raw_payload"] == KLINE_ROW
@@ -69,7 +69,7 @@ def test_unreadable_ticker(spark, change, error):
 
 
 def test_ticker_without_symbol_is_rejected(spark):
-    bad = responses(spark, {"closeTime": 1773820500000, "lastPrice": "1"})
+    bad = responses(spark, {"closeTime": OPEN_MS, "lastPrice": "1"})
     kept = normalize_ticker(bad, "exchange", INGEST, on_error="quarantine").first()
     assert kept.error == "Missing required field: symbol."
 

@@ -1,13 +1,17 @@
 import json
+import os
+from datetime import datetime
 
 import pytest
+from pyspark.sql import types as T
 
+from candlewick.__main__ import print_rows
 from candlewick.operators.upsert import latest_by_key
 from candlewick.plans.rebuild import Warehouse, rebuild_marts
 from candlewick.schemas import OHLCV, SNAPSHOT
 from candlewick.sources.landed import read_kline_responses, read_ticker_responses
 from candlewick.sources.log import FileLog, KafkaLog, publish
-from candlewick.sources.tables import RawTable
+from candlewick.sources.tables import RawTable, read_mart, write_mart
 from candlewick.operators.normalize import normalize_klines, normalize_ticker
 from candlewick.streaming.processor import run_available_now, skip_replays
 from tests.samples import KLINE_EVENT, KLINE_ROW, TICKER_EVENT, TICKER_RESPONSE, event
@@ -107,7 +111,7 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
 
 def test_split_stream_equals_one_batch(spark, tmp_path):
     values = [
-        event(KLINE_EVENT, event_id=f"e{i % 7}", close_price=str(73800 + i), trade_count=i) for i in range(40)
+        event(KLINE_EVENT, event_id=f"e{i % 7}", close_price=str(4 + i / 200), trade_count=i) for i in range(40)
     ]
     for parts, name in ((1, "whole"), (8, "split")):
         log = FileLog(f"{tmp_path}/{name}/log")
@@ -151,6 +155,55 @@ def test_folds_drop_what_they_replace(spark, tmp_path):
     assert "Window" not in table.read(spark)._jdf.queryExecution().toString()
 
 
+def test_a_failed_batch_is_not_folded_and_comes_back(spark, tmp_path):
+    log = FileLog(f"{tmp_path}/log")
+    log.append(records(spark, event(TICKER_EVENT, event_id="a")))
+    table, _ = run(spark, tmp_path)
+    failed = tmp_path / "table" / "batches" / "batch_id=1"
+    failed.mkdir()  # what a batch leaves whose task fails
+    table.settle(spark)
+    (rest := [p.name for p in (tmp_path / "table" / "folded").iterdir()]).sort()
+    assert rest == ["upto=0"]
+    log.append(records(spark, event(TICKER_EVENT, event_id="b")))
+    table, _ = run(spark, tmp_path)
+    table.settle(spark)
+    assert sorted(r.event_id for r in table.read(spark).collect()) == ["a", "b"]
+
+
+def test_a_failed_rebuild_keeps_the_mart(spark, tmp_path):
+    path, schema = f"{tmp_path}/mart", T.StructType.fromDDL("price long, interval string")
+    assert read_mart(spark, path, schema).isEmpty()
+    good = spark.createDataFrame([(1, "1d")], schema)
+    write_mart(good, path)
+    with pytest.raises(Exception, match="broken"):
+        write_mart(good.selectExpr("raise_error('broken') + price as price", "interval"), path)
+    assert [tuple(r) for r in read_mart(spark, path, schema).collect()] == [(1, "1d")]
+    for n in range(3):
+        write_mart(good.selectExpr(f"price + {n} as price", "interval"), path)
+    assert read_mart(spark, path, schema).first().price == 3
+    assert len(list((tmp_path / "mart").glob("build=*"))) == 2
+
+
+def test_rows_printed_have_no_limit(spark, capsys):
+    print_rows(spark.range(1200).selectExpr("id", "if(id = 3, null, 'x') as name"))
+    assert len(capsys.readouterr().out.splitlines()) == 1201
+
+
+def test_create_does_nothing_the_second_time(spark, tmp_path):
+    table = RawTable(f"{tmp_path}/table", "kline")
+    for _ in range(3):
+        table.create(spark)
+    assert len(list((tmp_path / "table" / "folds").glob("*.parquet"))) == 1
+
+
+def test_an_open_candle_stays_open_when_read_late(spark, landed):
+    late = KLINE_ROW[0] / 1000 + 120
+    for file in (landed / "klines").rglob("*.json"):
+        os.utime(file, (late, late))
+    events = normalize_klines(read_kline_responses(spark, f"{landed}/klines", "5m"), "exchange").collect()
+    assert {datetime.fromisoformat(json.loads(e.payload)["ingest_time"]).timestamp() for e in events} == {late}
+
+
 def test_empty_log_gives_an_empty_table(spark, tmp_path):
     table = RawTable(f"{tmp_path}/table", "kline")
     table.create(spark)
@@ -222,7 +275,7 @@ def test_from_responses_to_marts(spark, landed):
     assert ohlcv.count() == 60 and snapshot.count() == 2
     assert ohlcv.schema.names == OHLCV.names and snapshot.schema.names == SNAPSHOT.names
     assert {r.interval for r in snapshot.collect()} == {"5m", "1d"}
-    assert house.check(spark, "timestamp'2027-01-01 00:10:00'") == 0
+    assert house.check(spark, "timestamp'2027-01-01 00:10:00'")[1] == 0
     assert house.check(spark, "timestamp'2027-01-03 00:00:00'") == 1
     # A rebuild of the same tables gives the same marts.
     before = sorted(map(str, snapshot.collect()))

@@ -26,7 +26,7 @@ def test_clean_events_fill_the_table_columns(spark):
         assert row.symbol == "ABCUSD"
         assert json.loads(row.raw_payload)["event_id"] == row.event_id
         price = row.last_price if kind == "ticker" else row.close_price
-        assert price == Decimal("73888.88")
+        assert price == Decimal("4.0625")
 
 
 REJECTED_TICKERS = [
@@ -60,17 +60,17 @@ def test_ticker_reasons(spark):
 
 ACCEPTED_TICKERS = [
     event(TICKER_EVENT, event_type=" Ticker "),
-    event(TICKER_EVENT, last_price=73888.5),
+    event(TICKER_EVENT, last_price=3.875),
     event(TICKER_EVENT, last_price="1e5"),
     event(TICKER_EVENT, last_price=" 12.5 "),
     event(TICKER_EVENT, trade_count_24h=12.7),
     event(TICKER_EVENT, trade_count_24h=True),
     event(TICKER_EVENT, trade_count_24h=" 7 "),
-    event(TICKER_EVENT, event_time="2026-03-18T07:55:00Z"),
-    event(TICKER_EVENT, event_time="2026-03-18T07:55:00.123456+07:00"),
-    event(TICKER_EVENT, event_time="2026-03-18 07:55"),
-    event(TICKER_EVENT, event_time="20260318T075500"),
-    event(TICKER_EVENT, event_time="2026-03-18"),
+    event(TICKER_EVENT, event_time="2025-06-11T07:55:00Z"),
+    event(TICKER_EVENT, event_time="2025-06-11T07:55:00.123456+07:00"),
+    event(TICKER_EVENT, event_time="2025-06-11 07:55"),
+    event(TICKER_EVENT, event_time="20250611T075500"),
+    event(TICKER_EVENT, event_time="2025-06-11"),
     event(TICKER_EVENT, price_change_24h="-5"),
 ]
 
@@ -80,20 +80,20 @@ def test_accepted_ticker_forms(spark):
     assert [out[i].reason for i in range(len(out))] == [None] * len(ACCEPTED_TICKERS)
     assert [out[i].trade_count_24h for i in (4, 5, 6)] == [12, 1, 7]
     assert out[2].last_price == Decimal(100000)
-    assert str(out[8].event_time) == "2026-03-18 00:55:00.123456"
-    assert str(out[10].event_time) == "2026-03-18 07:55:00"
+    assert str(out[8].event_time) == "2025-06-11 00:55:00.123456"
+    assert str(out[10].event_time) == "2025-06-11 07:55:00"
 
 
 REJECTED_KLINES = [
     (event(TICKER_EVENT), "Unexpected event_type 'ticker'. Expected 'kline'."),
     (without(KLINE_EVENT, "interval"), "Missing required kline fields: interval"),
     (event(KLINE_EVENT, close_price="x"), TYPED_K),
-    (event(KLINE_EVENT, open_time="2026-03-18T08:00:00Z"), "Kline close_time is earlier than open_time."),
-    (event(KLINE_EVENT, open_time="2026-03-18T08:00:00Z", volume="-1"),
+    (event(KLINE_EVENT, open_time="2025-06-11T05:00:00Z"), "Kline close_time is earlier than open_time."),
+    (event(KLINE_EVENT, open_time="2025-06-11T05:00:00Z", volume="-1"),
      "Kline close_time is earlier than open_time."),
     (event(KLINE_EVENT, volume="-1"), "Kline payload contains negative values."),
-    (event(KLINE_EVENT, high_price="73700"), "Kline high_price is inconsistent with candle values."),
-    (event(KLINE_EVENT, low_price="73850"), "Kline low_price is inconsistent with candle values."),
+    (event(KLINE_EVENT, high_price="3.5"), "Kline high_price is inconsistent with candle values."),
+    (event(KLINE_EVENT, low_price="4.2"), "Kline low_price is inconsistent with candle values."),
     (event(KLINE_EVENT, trade_count=-1), "Kline trade_count must be zero or greater."),
 ]
 
