@@ -7,12 +7,12 @@ Bands of coordinates select candidates, and a link needs Jaccard similarity of a
 ``SIMILAR``/100 on the full sets.
 
 Documents with equal sets form a class first, and only its smallest doc_id is compared. In each
-bucket of a band, all members are compared with its smallest one. After their links are
-joined to components, members still in other components are compared with further members of
-the bucket, a round at a time while many pairs are left, and in the end all pairs of a bucket that
-stand in different components are compared, so no candidate link between components is left out,
-while a large bucket of near copies costs few comparisons a member. Pairs whose sizes, or the last bits of whose
-signatures, exclude the similarity are not read.
+bucket of a band, all members are compared with one hub, the member that shares most buckets
+with others. After these links are joined to components, pairs of a bucket that still stand in
+different components are compared, each in the first bucket it shares. For members x and y and
+the hub h, at most |x & h| + |y - h| elements are common, and a pair that this bound excludes is not
+read: in a large bucket of near copies, one far from the hub is compared with few of those near it. Nor
+are pairs whose sizes, or the last bits of whose signatures, exclude the similarity.
 
 With 24 bands of 4 coordinates a pair at similarity 0.8 is missed with probability 3e-6.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from candlewick.llm.common import mapped, stored, table
 from candlewick.llm.components import components
@@ -40,8 +40,6 @@ COORDINATES = BANDS * ROWS
 #: Unequal last bits of two signatures of similarity 0.8: 9.6 are expected of 96; 30 is 7 deviations more.
 MOST_UNEQUAL = 30
 _AT_ONCE = 1 << 15
-#: Further rounds of comparing buckets with one member each, while the pairs left are many more than the rows.
-_MORE_STARS = 8
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
 
@@ -111,30 +109,57 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return mapped(docs, run, "doc_id long, shingles array<long>")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar; only the texts of these documents are shuffled further."""
+def measured(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(a, b, common, similar) of the pairs (a, b), by their full sets; only the texts of these documents are shuffled further."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     sets = stored(_sets(docs.join(wanted, "doc_id", "left_semi"), width), "sets")
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("common", common)
+    both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     union = F.size("sa") + F.size("sb") - F.col("common")
-    return both.filter(100 * F.col("common") >= SIMILAR * union).select("a", "b").distinct()
+    both = both.select("a", "b", "common", (100 * F.col("common") >= SIMILAR * union).alias("similar"))
+    # Rows that share a doc_id may have several sets: one similar pair links, and their overlaps are no bound.
+    common = F.when(F.count("*") == 1, F.max("common"))
+    return both.groupBy("a", "b").agg(common.alias("common"), F.max("similar").alias("similar"))
 
 
-def _possible(a: str, b: str):
+def _possible(a: str, b: str) -> Column:
     sizes = 100 * F.least(f"{a}.n", f"{b}.n") >= SIMILAR * F.greatest(f"{a}.n", f"{b}.n")
     unequal = sum(F.bit_count(F.col(f"{a}.{bits}").bitwiseXOR(F.col(f"{b}.{bits}"))) for bits in ("bits_a", "bits_b"))
     return sizes & (unequal <= MOST_UNEQUAL)
 
 
-def _undecided(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(key, m, component) of the buckets whose members stand in different components."""
-    placed = members.select("key", "m", F.col("m.doc_id").alias("node")).join(found, "node", "left")
-    placed = placed.select("key", "m", F.coalesce("component", "node").alias("component"))
+def _within_reach(a: str, b: str) -> Column:
+    """Whether the overlaps with the hub of the bucket leave room for similarity; an overlap that was not measured is no bound."""
+    least = SIMILAR * (F.col(f"{a}.m.n") + F.col(f"{b}.m.n"))
+    most = [F.col(f"{x}.common") + F.col(f"{y}.m.n") - F.col(f"{y}.common") for x, y in ((a, b), (b, a))]
+    return F.coalesce((100 + SIMILAR) * F.least(*most) >= least, F.lit(True))
+
+
+def _buckets(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, m, hub) of the members of all buckets of two or more, and (doc_id, bands) of these members."""
+    members = heads.select(F.explode("bands").alias("key"), "doc_id")
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(members.join(sizes, "key"), "shared")
+    weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
+    info = F.struct("doc_id", F.col("n_shingles").alias("n"), "bits_a", "bits_b")
+    known = stored(heads.join(weights, "doc_id").select("doc_id", "weight", info.alias("m"), "bands"), "known")
+    weighed = members.select("key", "doc_id").join(known.drop("bands"), "doc_id")
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "m")).alias("hub")).select("key", F.col("hub.m").alias("hub"))
+    return stored(weighed.select("key", "m").join(hubs, "key"), "members"), known.select("doc_id", "bands")
+
+
+def _undecided(members: DataFrame, found: DataFrame, overlaps: DataFrame, bands: DataFrame) -> DataFrame:
+    """(key, m, component, common, bands) of the buckets whose members stand in different components."""
+    placed = members.withColumn("node", F.col("m.doc_id")).join(found, "node", "left")
+    placed = placed.select("key", "m", "hub", "node", F.coalesce("component", "node").alias("component"))
     several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    return stored(placed.join(several.select("key"), "key", "left_semi"), "placed")
+    placed = placed.join(several.select("key"), "key", "left_semi")
+    ends = F.col("hub.doc_id"), F.col("node")
+    placed = placed.withColumns({"a": F.least(*ends), "b": F.greatest(*ends)}).join(overlaps, ["a", "b"], "left")
+    common = F.when(F.col("a") == F.col("b"), F.col("m.n")).otherwise(F.col("common"))
+    placed = placed.withColumn("common", common).join(bands.withColumnRenamed("doc_id", "node"), "node")
+    return stored(placed.select("key", "m", "component", "common", "bands"), "placed")
 
 
 def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
@@ -145,42 +170,26 @@ def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
     classes = stored(classes, "classes")
     named = rows.join(classes, ["set_a", "set_b"], "left")
     heads = rows.filter("n_shingles > 0").join(classes.select("set_a", "set_b", F.col("first").alias("doc_id")), ["set_a", "set_b", "doc_id"])
-    info = F.struct("doc_id", F.col("n_shingles").alias("n"), "bits_a", "bits_b")
-    members = heads.select(F.explode("bands").alias("key"), info.alias("m"))
-    leaders = members.groupBy("key").agg(F.min("m").alias("leader"), F.count("*").alias("size")).filter("size > 1").drop("size")
-    members = stored(members.join(leaders, "key"), "members")
+    members, bands = _buckets(heads.dropDuplicates(["set_a", "set_b", "doc_id"]))
 
-    stars = members.filter(F.col("m.doc_id") != F.col("leader.doc_id")).filter(_possible("m", "leader"))
-    stars = stored(stars.select(F.col("leader.doc_id").alias("a"), F.col("m.doc_id").alias("b")).distinct(), "stars")
-    links = stored(confirmed(stars, docs, width), "links")
+    ends = F.col("m.doc_id"), F.col("hub.doc_id")
+    stars = members.filter(ends[0] != ends[1]).filter(_possible("m", "hub"))
+    stars = stored(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct(), "stars")
+    overlaps = stored(measured(stars, docs, width), "overlaps")
+    links = overlaps.filter("similar").select("a", "b")
     found = stored(components(links), "components")
 
-    tested, placed = stars, _undecided(members, found)
-    for turn in range(_MORE_STARS):
-        pairs, rows = placed.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
-            F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within")
-        ).agg(F.sum(F.col("all") * F.col("all") - F.col("within")), F.sum("all")).first()
-        if not rows or pairs <= 8 * rows:
-            break
-        chosen = F.min_by(F.struct("m", "component"), F.xxhash64(F.lit(turn), "m.doc_id")).alias("leader")
-        around = placed.join(placed.groupBy("key").agg(chosen), "key").filter("component <> leader.component")
-        around = around.select("m", F.col("leader.m").alias("l")).filter(_possible("m", "l"))
-        ends = F.col("m.doc_id"), F.col("l.doc_id")
-        around = around.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
-        around = stored(around.join(tested, ["a", "b"], "left_anti"), "around")
-        tested = tested.unionByName(around)
-        links = links.unionByName(stored(confirmed(around, docs, width), "links"))
-        found = stored(components(links), "components")
-        placed = _undecided(members, found)
+    placed = _undecided(members, found, overlaps.select("a", "b", "common"), bands)
     x, y = placed.alias("x"), placed.alias("y")
+    first_shared = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.key")
     across = x.join(y, F.col("x.key") == F.col("y.key")).filter(
         (F.col("x.m.doc_id") < F.col("y.m.doc_id")) & (F.col("x.component") != F.col("y.component"))
     )
-    across = across.filter(_possible("x.m", "y.m"))
+    across = across.filter(_possible("x.m", "y.m") & _within_reach("x", "y") & first_shared)
     across = across.select(F.col("x.m.doc_id").alias("a"), F.col("y.m.doc_id").alias("b")).distinct()
-    more = stored(across.join(tested, ["a", "b"], "left_anti"), "across")
+    more = stored(across.join(stars, ["a", "b"], "left_anti"), "across")
     if not more.isEmpty():
-        late = confirmed(more, docs, width)
+        late = measured(more, docs, width).filter("similar").select("a", "b")
         found = stored(components(links.unionByName(late)), "components")
 
     of_class = found.select(F.col("node").alias("first"), "component")
