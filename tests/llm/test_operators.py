@@ -220,6 +220,32 @@ def test_passages(spark):
     assert passages.repeated(empty(spark)).count() == 0
 
 
+def _linked(rows):
+    """The documents that share a passage with an earlier one, by brute force."""
+    found = [(i, passages.tokens(t)) for i, t in sorted(rows)]
+    return {i for n, (i, b) in enumerate(found) if any(passages.similar_parts(a, b) for _, a in found[:n])}
+
+
+@pytest.mark.parametrize("few, block", [(16, 1024), (1, 4)])
+def test_passages_of_interleaved_variants(spark, monkeypatch, few, block):
+    monkeypatch.setattr(passages, "FEW", few)
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    rows = []
+    for _ in range(40):
+        one = [word() for _ in range(54)]
+        other = [w if i not in (13, 26, 40) else word() for i, w in enumerate(one)]
+        for variant in (one, other, one, other, other[:27] + one[27:]):
+            rows.append((len(rows), " ".join([word() for _ in range(9)] + variant + [word() for _ in range(9)])))
+    found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts_ = dict(rows)
+    for r in found:  # both ends of a link are near copies
+        a, b = (passages.tokens(" ".join(texts_[d].split()[x:y])) for d, x, y in ((r.of_doc_id, r.of_start, r.of_stop), (r.doc_id, r.start, r.stop)))
+        assert r.of_doc_id < r.doc_id and len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+    assert {r.doc_id for r in found} == _linked(rows) >= {n for n in range(200) if n % 5 in (2, 3)}
+
+
 # 6
 
 
