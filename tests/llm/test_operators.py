@@ -246,6 +246,19 @@ def test_passages_of_interleaved_variants(spark, monkeypatch, few, block):
     assert {r.doc_id for r in found} == _linked(rows) >= {n for n in range(200) if n % 5 in (2, 3)}
 
 
+def test_every_edited_passage_is_found(spark):
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    rows = []
+    for n in range(400):
+        one = [word() for _ in range(50)]
+        at = rng.randint(22, 27)
+        for i, variant in ((n, one), (1000 + n, one[:at] + [word()] + one[at + 1 :])):
+            rows.append((i, " ".join([word() for _ in range(5)] + variant + [word() for _ in range(5)])))
+    found = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.of_doc_id, r.doc_id) for r in found} == {(n, 1000 + n) for n in range(400)}
+
+
 # 6
 
 
