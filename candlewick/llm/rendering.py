@@ -6,9 +6,12 @@ white space collapse, blocks start new lines with blank lines where browsers put
 lists get indented markers, ``pre`` keeps its lines, and table cells are aligned in columns.
 Text is never dropped as boilerplate: everything visible is emitted.
 
-Invisible are head, script, style, template, noscript and media fallbacks; elements with the
-``hidden`` attribute, ``display:none`` or ``visibility:hidden`` in their style or in a simple rule (tag,
-.class or #id) of the page's style sheet; hidden inputs; closed details but for their summary.
+Invisible are head, script, style, template, noscript and media fallbacks; definitions and metadata in svg and
+math (their other text is shown); elements that ``display:none`` or ``visibility:hidden`` hides, in their style or in a
+simple rule (tag, .class or #id) of the page's style sheets, where the declaration counts that wins by importance,
+selector and order; elements with the ``hidden`` attribute that no display overrides; hidden inputs; closed
+details but for their summary. Rules count as on a screen ``SCREEN`` pixels wide: those in blocks for print, other
+widths, or conditions that are not known hide nothing.
 
 Defined results: null, empty and invisible pages give ''. Markup of any depth is handled without
 recursion; a page without tags is one paragraph. Repeated rows are rendered each.
@@ -30,8 +33,12 @@ from candlewick.llm.common import mapped, table
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = set("script style textarea title xmp iframe noembed noframes".split())
 _INVISIBLE = set(
-    "head title script style template noscript iframe noembed noframes object audio video canvas datalist svg math".split()
+    "head title script style template noscript iframe noembed noframes object audio video canvas datalist".split()
 )
+# Not shown inside svg and math, whose text stands apart; elements that hold HTML again.
+_FOREIGN = {"svg", "math"}
+_UNSHOWN = set("defs desc metadata symbol clippath mask pattern marker filter annotation annotation-xml".split())
+_HTML_AGAIN = set("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
 _MARGIN = set("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre table figure fieldset hr menu".split())
 _BLOCK = _MARGIN | set(
     "html body div section article aside header footer nav main address form li dt dd tr thead tbody tfoot caption "
@@ -58,8 +65,13 @@ _IN_HEAD = set("head title meta link base style script noscript template".split(
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>")
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_NONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+_SELF_CLOSED = re.compile(r"(?:^|[\s\"'])/$")
+_DECLARED = re.compile(r"\s*(display|visibility)\s*:\s*([\w-]+)\s*(!\s*important)?\s*", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|$)", re.S)
+_CSS = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.S)
+_SIMPLE = re.compile(r"[.#]?[\w-]+")
+_WIDTH = re.compile(r"\(\s*(min|max)-width\s*:\s*(\d+(?:\.\d+)?|\.\d+)(px|r?em)\s*\)")
+SCREEN = 1280
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -68,6 +80,7 @@ class Node:
     tag: str
     attributes: dict[str, str] = field(default_factory=dict)
     children: list[Node | str] = field(default_factory=list)
+    foreign: bool = False  # inside svg or math
 
 
 def parse(html: str) -> Node:
@@ -108,7 +121,9 @@ def parse(html: str) -> Node:
             continue
         node = Node(tag, _attributes(found[3]) if found[3].strip(" /\t\n") else {})
         _open(stack, node)
-        if tag in _RAW:
+        if node.foreign and _SELF_CLOSED.search(found[3]):
+            stack.pop()
+        elif tag in _RAW:
             lowered = lowered or html.lower()
             end = lowered.find(f"</{tag}", at) if len(lowered) == size else html.find(f"</{tag}", at)
             end = size if end < 0 else end
@@ -146,6 +161,7 @@ def _open(stack: list[Node], node: Node) -> None:
         row = Node("tr")
         stack[-1].children.append(row)
         stack.append(row)
+    node.foreign = tag in _FOREIGN or (stack[-1].foreign and stack[-1].tag not in _HTML_AGAIN)
     stack[-1].children.append(node)
     stack.append(node)
 
@@ -274,34 +290,103 @@ def _number(value: str | None, most: int) -> int:
     return max(1, min(int(value), most)) if value and value.strip().isdecimal() else 1
 
 
-def _hidden_selectors(root: Node) -> set[str]:
-    """Simple selectors that the page's style sheets hide."""
-    hidden: set[str] = set()
-    waiting: list[Node] = [root]
+def _on_screen(query: str) -> bool:
+    """Whether a list of media queries holds on the screen; a condition that is not known does not."""
+    for one in query.lower().split(","):
+        words = one.split()
+        negated = words[:1] == ["not"]
+        holds = True
+        for part in re.split(r"\band\b", " ".join(words[1:] if words[:1] in (["not"], ["only"]) else words)):
+            part = part.strip()
+            if width := _WIDTH.fullmatch(part):
+                limit = float(width[2]) * (1 if width[3] == "px" else 16)
+                holds &= SCREEN >= limit if width[1] == "min" else SCREEN <= limit
+            elif part not in ("", "all", "screen"):
+                if not re.fullmatch(r"[a-z]+", part):
+                    negated = holds = False
+                    break
+                holds = False
+        if holds != negated:
+            return True
+    return False
+
+
+def _applies(prelude: str) -> bool:
+    """Whether the rules in an at-block count."""
+    name, _, condition = prelude.partition(" ") if " " in prelude else prelude.partition("(")
+    if name.lower().startswith("@media"):
+        return _on_screen(prelude[len("@media") :])
+    return name.lower() == "@layer" or (name.lower() == "@supports" and not condition.strip().lower().startswith("not"))
+
+
+# For display and visibility: (important, weight of the selector, order, whether it hides).
+_Declarations = dict[str, tuple[bool, int, int, bool]]
+
+
+def _declare(found: _Declarations, text: str, weight: int, order: int) -> None:
+    """Note a declaration that outweighs the one found before."""
+    if one := _DECLARED.fullmatch(text):
+        value = one[2].lower()
+        new = (one[3] is not None, weight, order, value == "none" if one[1].lower() == "display" else value in ("hidden", "collapse"))
+        found[one[1].lower()] = max(found.get(one[1].lower(), new), new)
+
+
+def _rules(root: Node) -> dict[str, _Declarations]:
+    """What the page's style sheets declare for simple selectors."""
+    rules: dict[str, _Declarations] = {}
+    waiting, sheets = [root], []
     while waiting:
         node = waiting.pop()
-        if node.tag == "style":
-            for selectors, body in _RULE.findall("".join(c for c in node.children if isinstance(c, str))):
-                if _NONE.search(body):
-                    hidden.update(s.strip() for s in selectors.split(","))
-        waiting += [c for c in node.children if isinstance(c, Node)]
-    return {s for s in hidden if re.fullmatch(r"[.#]?[\w-]+", s)}
-
-
-def _invisible(node: Node, hidden: set[str]) -> bool:
-    if node.tag in _INVISIBLE:
+        if node.tag == "style" and _on_screen(node.attributes.get("media", "")):
+            sheets.append("".join(c for c in node.children if isinstance(c, str)))
+        if node.tag not in ("noscript", "template"):
+            waiting += [c for c in reversed(node.children) if isinstance(c, Node)]
+    order = 0
+    for sheet in sheets:
+        sheet = _COMMENT.sub(" ", sheet).replace("<!--", " ").replace("-->", " ")
+        blocks: list[tuple[bool, list[str]]] = [(True, [])]  # whether it counts, and its simple selectors
+        at = 0
+        for mark in [*_CSS.finditer(sheet), None]:
+            if mark and mark[0] not in ("{", "}", ";"):
+                continue
+            text = sheet[at : mark.start() if mark else len(sheet)].strip()
+            at = mark.end() if mark else len(sheet)
+            counts, selectors = blocks[-1]
+            if mark and mark[0] == "{":
+                if text.startswith("@"):
+                    blocks.append((counts and _applies(text), selectors))
+                else:  # a rule within a rule is no simple one
+                    simple = [] if selectors else [s for s in map(str.strip, text.split(",")) if _SIMPLE.fullmatch(s)]
+                    blocks.append((counts and (len(simple) > 0), simple))
+                continue
+            if counts:
+                for selector in selectors:
+                    order += 1
+                    name = selector if selector[0] in ".#" else selector.lower()
+                    _declare(rules.setdefault(name, {}), text, {"#": 3, ".": 2}.get(selector[0], 1), order)
+            if mark and mark[0] == "}" and len(blocks) > 1:
+                blocks.pop()
+    return {s: d for s, d in rules.items() if d}
+
+
+def _invisible(node: Node, rules: dict[str, _Declarations]) -> bool:
+    if node.tag in _INVISIBLE or (node.foreign and node.tag in _UNSHOWN):
         return True
     a = node.attributes
-    if a and (
-        "hidden" in a
-        or _NONE.search(a.get("style", ""))
-        or (node.tag == "input" and a.get("type", "").lower() == "hidden")
-        or (node.tag == "dialog" and "open" not in a)
-    ):
+    if node.tag == "input" and a.get("type", "").lower() == "hidden":
         return True
-    if not hidden:
-        return False
-    return node.tag in hidden or f"#{a.get('id')}" in hidden or any(f".{c}" in hidden for c in a.get("class", "").split())
+    found: _Declarations = {}
+    if "hidden" in a or (node.tag == "dialog" and "open" not in a):
+        found["display"] = (False, 0, 0, True)
+    if rules:
+        names = [node.tag, f"#{a['id']}"] if "id" in a else [node.tag]
+        for name in [*names, *(f".{c}" for c in a.get("class", "").split())]:
+            for what, declared in rules.get(name, {}).items():
+                found[what] = max(found.get(what, declared), declared)
+    if "style" in a:
+        for n, text in enumerate(_COMMENT.sub(" ", a["style"]).split(";")):
+            _declare(found, text, 4, n)
+    return any(hides for _, _, _, hides in found.values())
 
 
 def render(html: str | None) -> str:
@@ -309,7 +394,7 @@ def render(html: str | None) -> str:
     if not html:
         return ""
     root = parse(html)
-    hidden = _hidden_selectors(root)
+    rules = _rules(root)
     flows, grids, lists = [_Flow()], [], []
     pre = 0
     # Each entry is a node to enter, a node to leave (marked), or a text.
@@ -340,10 +425,12 @@ def render(html: str | None) -> str:
                     flow.block()
                     flow.line()  # an item without text still shows its marker
                     flow.indent.pop()
+                if node.foreign and tag == "text":
+                    flow.block()
                 if tag in _BLOCK:
                     flow.block((tag in _MARGIN) and not (tag in ("ul", "ol", "menu") and lists))
             continue
-        if _invisible(node, hidden):
+        if _invisible(node, rules):
             continue
         if tag == "br":
             flow.line(always=True)
@@ -383,6 +470,8 @@ def render(html: str | None) -> str:
             elif tag in ("blockquote", "dd"):
                 flow.indent.append("  ")
             pre += tag == "pre"
+        elif node.foreign and tag == "text":
+            flow.block()
         children = node.children
         if tag == "pre" and children and isinstance(children[0], str):  # a line end right after the tag is not shown
             children = [children[0].removeprefix("\r").removeprefix("\n"), *children[1:]]

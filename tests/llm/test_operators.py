@@ -184,6 +184,24 @@ def test_broken_pages(html, text):
     assert rendering.render(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<style>@media print{.m{display:none}}</style><p class=m>a", "a"), ("<style media=print>.m{display:none}</style><p class=m>a", "a"),
+    ("<style>@media (max-width:600px){.m{display:none}} .n{display:none}</style><p class=m>a<p class=n>b", "a"),
+    ("<style>@media screen and (min-width: 48em){.m{display:none}}</style><p class=m>a<p>b", "b"),
+    ("<style>@media not print{.m{display:none}}</style><p class=m>a<p>b", "b"), ("<style>@media(orientation:portrait){p{display:none}}</style><p>a", "a"),
+    ("<style>@keyframes k{from{visibility:hidden}} @font-face{x:y}.n{display:none}</style><p class=n>b</p>a", "a"),
+    ("<style>.x{display:none}.x{display:block}</style><p class=x>a", "a"), ("<style>.x{display:block}.x{display:none}</style><p class=x>a", ""),
+    ("<style>#i{display:block}.x{display:none}</style><p class=x id=i>a", "a"), ("<style>.x{display:none}</style><p class=x style='display:block'>a", "a"),
+    ("<style>.x{display:none!important}</style><p class=x style='display:block'>a", ""),
+    ("<style>.c{backface-visibility:hidden}</style><p class=c>a", "a"), ("<p style='-webkit-backface-visibility: hidden'>a", "a"),
+    ("<style>/* .x{ */ .x{display:none} .y{content:'}'}</style><p class=x>a<p class=y>b", "b"),
+    ("<p>a<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>tex</annotation></math> b", "ax=1 b"),
+    ("<svg><title>t</title><defs/><path d='m'/><style/><text>one</text><g><text>two</text></g><defs><text>no</text></defs></svg><p>c", "one\ntwo\n\nc"),
+])
+def test_only_what_is_hidden_on_the_screen_goes(html, text):
+    assert rendering.render(html) == text
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, "t")], "page_id long, html string, text string")
     assert Counter(tuple(r) for r in rendering.extracted(pages).collect()) == Counter([(1, "a"), (1, "a"), (None, "")])
