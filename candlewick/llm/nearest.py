@@ -8,13 +8,17 @@ vectors of the rest are read in the order of their bounds, in two passes: the k
 bounds fix a k-th exact score, and only vectors whose bound reaches it are read after that.
 Nothing that could be among the first k, ties included, is left out.
 
-Equal vectors are searched once: a class keeps its k + 1 smallest ids, as no other member can
-be among the first k of any query.
+Equal vectors are searched once: a class keeps its k + 1 smallest distinct ids and how often each occurs (k + 1
+at most), as no other member can be among the first k of any query.
+
+Vectors of very different magnitude have files of their own, so that a few large ones do not coarsen the cells of the
+others. Components are longs; scores that a long might not hold are summed as decimals. A
+component or an answer's score that does not fit a long is an error (as in the statement below), never a wrapped number.
 
 Queries and vectors meet as blocks of ``BLOCK`` vectors of the same length, never as rows.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
-part, nor do those with a component beyond 2^24, whose scores no long could hold. Vectors of
+part; all others do. Vectors of
 another length than the query's are not compared with it. A repeated vec_id stays a row of its own
 as candidate, but is never an answer to the query of its own id; a query id repeated with
 another vector is a second query under the same id.
@@ -38,83 +42,94 @@ QUERY_BLOCK = 512
 def prepared(vectors: DataFrame) -> DataFrame:
     """(vec_id, v) with integer components, of the vectors that take part."""
     wide = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("e"))
-    sound = F.forall("e", lambda x: x.isNotNull() & (F.abs(x) <= 65536.0))
+    sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     kept = wide.filter(F.col("vec_id").isNotNull() & (F.size("e") > 0) & sound)
-    return kept.select("vec_id", F.transform("e", lambda x: F.floor(x * 256)).cast("array<int>").alias("v"))
+    too_large = F.raise_error(F.lit("floor(256 * x) of a component does not fit a long")).cast("long")
+    whole = lambda x: F.when(F.abs(x * 256) < 2.0**63, F.floor(x * 256)).otherwise(too_large)
+    return kept.select("vec_id", F.transform("e", whole).alias("v"))
+
+
+def _largest(v: str) -> Column:
+    return F.array_max(F.transform(v, lambda x: F.abs(x.cast("double"))))
+
 
+def _scale(v: str) -> Column:
+    """0 up to 2^24, one more for each 8 bits."""
+    return F.greatest(F.lit(0), F.ceil((F.log2(F.greatest(_largest(v), F.lit(1.0))) - 24) / 8)).cast("int")
 
-def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(length, keys, matrix) in blocks of ``size`` vectors of equal length."""
-    waiting: dict[int, tuple[list, list]] = {}
+
+def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(length, scale, keys, matrix) in blocks of ``size`` vectors of equal length and scale."""
+    waiting: dict[tuple[int, int], tuple[list, list]] = {}
     for batch in batches:
-        for key, v in zip(batch["key"].to_pylist(), batch["v"].to_pylist()):
-            keys, rows = waiting.setdefault(len(v), ([], []))
+        for key, v, scale in zip(batch["key"].to_pylist(), batch["v"].to_pylist(), batch["scale"].to_pylist()):
+            keys, rows = waiting.setdefault((len(v), scale), ([], []))
             keys.append(key)
             rows.append(v)
             if len(keys) == size:
-                yield len(v), np.array(keys, np.int64), np.array(rows, np.int64)
-                del waiting[len(v)]
-    for length, (keys, rows) in waiting.items():
-        yield length, np.array(keys, np.int64), np.array(rows, np.int64)
+                yield len(v), scale, np.array(keys, np.int64), np.array(rows, np.int64)
+                del waiting[len(v), scale]
+    for (length, scale), (keys, rows) in waiting.items():
+        yield length, scale, np.array(keys, np.int64), np.array(rows, np.int64)
 
 
-_BLOCK_SCHEMA = "length int, block long, keys binary, body binary"
+_BLOCK_SCHEMA = "length int, scale int, block long, keys binary, body binary"
 
 
 def _blocks(vectors: DataFrame, ranges: DataFrame | None, size: int) -> DataFrame:
     """Vectors (key, v) as packed blocks: cell numbers where ``ranges`` are given, else the integers."""
-    # One row a vector length; as many rows as lengths occur.
-    grid = {r["length"]: (np.array(r["low"]), np.array(r["high"])) for r in ranges.collect()} if ranges is not None else {}
+    # One row a vector length and scale; as many rows as these occur.
+    grid = {(r["length"], r["scale"]): (np.array(r["low"], np.int64), np.array(r["high"], np.int64)) for r in ranges.collect()} if ranges is not None else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        for length, keys, rows in _packed(batches, size):
+        for length, scale, keys, rows in _packed(batches, size):
             if grid:
-                low, width = _grid(*grid[length])
-                rows = ((rows - low) // width).astype(np.uint8)
-            else:
-                rows = rows.astype(np.int32)
+                low, width = _grid(*grid[length, scale])
+                rows = ((rows.view(np.uint64) - low.view(np.uint64)) // width).astype(np.uint8)
             yield pa.RecordBatch.from_pylist(
-                [{"length": length, "block": number, "keys": keys.tobytes(), "body": rows.tobytes()}],
-                schema=pa.schema([("length", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("body", pa.binary())]),
+                [{"length": length, "scale": scale, "block": number, "keys": keys.tobytes(), "body": rows.tobytes()}],
+                schema=pa.schema([("length", pa.int32()), ("scale", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("body", pa.binary())]),
             )
             number += 1
 
-    return mapped(vectors.select("key", "v"), run, _BLOCK_SCHEMA)
+    return mapped(vectors.select("key", "v", "scale"), run, _BLOCK_SCHEMA)
 
 
 def _grid(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least value and cell width of each component."""
-    return low, np.maximum(-(-(high - low + 1) // CELLS), 1)
+    """Least value and cell width of each component; differences of longs as unsigned ones."""
+    return low, (high.view(np.uint64) - low.view(np.uint64)) // np.uint64(CELLS) + np.uint64(1)
 
 
 def _component_ranges(classes: DataFrame) -> DataFrame:
-    """(length, low, high): least and greatest value of each component, combined within tasks before the shuffle."""
-    each = classes.select(F.size("v").alias("length"), F.posexplode("v").alias("at", "x"))
-    ends = each.groupBy("length", "at").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    """(length, scale, low, high): least and greatest value of each component, combined within tasks before the shuffle."""
+    each = classes.select(F.size("v").alias("length"), "scale", F.posexplode("v").alias("at", "x"))
+    ends = each.groupBy("length", "scale", "at").agg(F.min("x").alias("low"), F.max("x").alias("high"))
     in_order = F.sort_array(F.collect_list(F.struct("at", "low", "high")))
-    return ends.groupBy("length").agg(in_order.alias("r")).select("length", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
+    return ends.groupBy("length", "scale").agg(in_order.alias("r")).select("length", "scale", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
 
 
 def _scan(pairs: DataFrame, ranges: DataFrame, k: int) -> DataFrame:
     """Per pair of blocks, for each query the vectors that can be among its first k: (q, key, lower, upper)."""
-    grid = {r["length"]: (np.array(r["low"]), np.array(r["high"])) for r in ranges.collect()}
+    grid = {(r["length"], r["scale"]): (np.array(r["low"], np.int64), np.array(r["high"], np.int64)) for r in ranges.collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 length = row["length"]
-                low, width = _grid(*grid[length])
-                queries = np.frombuffer(row["q_body"], np.int32).reshape(-1, length).astype(np.float64)
+                low, width = _grid(*grid[length, row["scale"]])
+                most = 2.0 * np.maximum(np.abs(low.astype(np.float64)), np.abs(grid[length, row["scale"]][1].astype(np.float64))).max()
+                low, width = low.astype(np.float64), width.astype(np.float64)
+                queries = np.frombuffer(row["q_body"], np.int64).reshape(-1, length).astype(np.float64)
                 cells = np.frombuffer(row["body"], np.uint8).reshape(-1, length)
-                # All values are integers (twice the cell's middle), exact in doubles up to 2^53; what lies beyond is
-                # covered by the slack.
+                # All values are integers (twice the cell's middle), exact in doubles up to 2^53; what lies beyond, and a
+                # last cell that reaches past the greatest value, is covered by the slack.
                 middle = 2.0 * low + width * (2.0 * cells + 1) - 1
                 score = queries @ middle.T
                 reach = np.abs(queries) @ (width - 1.0)
-                slack = 1e-12 * (np.abs(queries).max(initial=0) * np.abs(middle).max(initial=0) * length)
+                slack = (1e-12 + 1e-15 * length) * (np.abs(queries).max(initial=0) * max(most, np.abs(middle).max(initial=0)) * length)
                 upper, lower = score + (reach + slack)[:, None], score - (reach + slack)[:, None]
                 best = min(k, lower.shape[1])
                 bar = np.partition(lower, lower.shape[1] - best, axis=1)[:, lower.shape[1] - best] if best == k else np.full(len(queries), -np.inf)
@@ -128,11 +143,16 @@ def _scan(pairs: DataFrame, ranges: DataFrame, k: int) -> DataFrame:
     return mapped(pairs, run, "q long, key long, lower double, upper double")
 
 
+_SCORE = "decimal(38,0)"
+
+
 def _exact(wanted: DataFrame, vectors: DataFrame) -> DataFrame:
     """Exact scores of (q, key) pairs: reads the full vectors of both sides."""
     left, right = vectors.select(F.col("key").alias("q"), F.col("v").alias("qv")), vectors.select("key", "v")
-    product = F.zip_with("qv", "v", lambda a, b: a.cast("long") * b)
-    score = F.aggregate(product, F.lit(0).cast("long"), lambda s, x: s + x)
+    narrow = F.aggregate(F.zip_with("qv", "v", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, x: s + x).cast(_SCORE)
+    exact = F.zip_with("qv", "v", lambda a, b: (a.cast("decimal(19,0)") * b.cast("decimal(19,0)")).cast(_SCORE))
+    exact = F.aggregate(exact, F.lit(0).cast(_SCORE), lambda s, x: (s + x).cast(_SCORE))
+    score = F.when(_largest("qv") * _largest("v") * F.size("v") < 2.0**62, narrow).otherwise(exact)
     return wanted.select("q", "key").join(right, "key").join(left, "q").select("q", "key", score.alias("score"))
 
 
@@ -140,16 +160,21 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """The ``k`` best rows of each query row (``is_query`` over vec_id): query_id, rank, vec_id, score."""
     rows = prepared(vectors).withColumn("hash", F.xxhash64("v"))
     by_vector = Window.partitionBy("hash", "v").orderBy("vec_id")
-    # k + 1 smallest ids of each class; limited inside every task before the shuffle.
-    ids = rows.withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1)
+    # k + 1 smallest distinct ids of each class, each with its copies; counted inside every task before the shuffle.
+    ids = rows.groupBy("hash", "v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
+    ids = ids.withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1)
     classes = stored(
-        ids.groupBy("hash", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-        .withColumn("key", F.monotonically_increasing_id()),
+        ids.groupBy("hash", "v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "copies"))).alias("ids"))
+        .withColumns({"key": F.monotonically_increasing_id(), "scale": _scale("v")}),
         "classes",
     )
     asked = rows.filter(is_query).select("vec_id", "hash", "v").join(classes.select("hash", "v", "key"), ["hash", "v"])
     asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("key").alias("q")).distinct(), "asked")
 
+    # A query's own id may fill as many classes as it has vectors.
+    vectors_of_id = asked.groupBy("query_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    deep = k + vectors_of_id
+
     ranges = stored(_component_ranges(classes), "ranges")
     cells = stored(_blocks(classes, ranges, BLOCK), "cells")
     query_classes = classes.join(asked.select(F.col("q").alias("key")).distinct(), "key", "left_semi")
@@ -157,35 +182,36 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     # sent to every slot, and each block of cells stands in one.
     slots = cells.groupBy("length").agg((F.count("*") * 4).alias("slots"))
     queries = _blocks(query_classes.repartition(F.floor(F.col("key") / 8)), None, QUERY_BLOCK)
-    queries = stored(queries.withColumnsRenamed({"keys": "q_keys", "body": "q_body"}).drop("block"), "queries")
+    queries = stored(queries.withColumnsRenamed({"keys": "q_keys", "body": "q_body"}).drop("block", "scale"), "queries")
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot")
     spread = queries.join(slots, "length").select("length", "q_keys", "q_body", every)
     placed = cells.join(slots, "length").withColumn("slot", F.pmod(F.xxhash64("block"), "slots"))
-    pairs = spread.join(placed.select("length", "slot", "keys", "body"), ["length", "slot"])
-    found = stored(_scan(pairs, ranges, k + 1), "found")
+    pairs = spread.join(placed.select("length", "scale", "slot", "keys", "body"), ["length", "slot"])
+    found = stored(_scan(pairs, ranges, deep), "found")
 
-    # The (k + 1)-th lower bound over all blocks; a query's own class takes part, so one more than k.
+    # The bound of the last class needed over all blocks; the classes of a query's own id take part, so more than k.
     lower_rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lower")))
-    bar = found.withColumn("n", lower_rank).filter(F.col("n") <= k + 1).groupBy("q").agg(
+    bar = found.withColumn("n", lower_rank).filter(F.col("n") <= deep).groupBy("q").agg(
         F.min("lower").alias("bar"), F.count("*").alias("n"))
-    left = found.join(bar, "q").filter((F.col("n") <= k) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
+    left = found.join(bar, "q").filter((F.col("n") < deep) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
     upper_rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("upper"), "key"))
     left = stored(left.withColumn("n", upper_rank), "left")
 
-    first = stored(_exact(left.filter(F.col("n") <= k + 1), classes), "first")
+    first = stored(_exact(left.filter(F.col("n") <= deep), classes), "first")
     least = first.groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("read"))
-    more = left.filter(F.col("n") > k + 1).join(least, "q").filter((F.col("read") <= k) | (F.col("upper") >= F.col("least")))
+    more = left.filter(F.col("n") > deep).join(least, "q").filter((F.col("read") < deep) | (F.col("upper") >= F.col("least")))
     scored = first.unionByName(_exact(more, classes))
 
-    # k + 1 best classes of each query class hold the k best rows of each of its query rows.
+    # These best classes of each query class hold the k best rows of each of its query rows.
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0]))
-    tops = scored.join(classes.select("key", "ids"), "key").withColumn("n", best).filter(F.col("n") <= k + 1)
-    listed = tops.select("q", "score", F.explode("ids").alias("vec_id"))
+    tops = scored.join(classes.select("key", "ids"), "key").withColumn("n", best).filter(F.col("n") <= deep)
+    listed = tops.select("q", "score", F.explode("ids").alias("id")).select("q", "score", "id.*")
     few = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
-    listed = listed.withColumn("n", few).filter(F.col("n") <= F.lit(k + 1 + k)).drop("n")
+    listed = listed.withColumn("n", few).filter(F.col("n") <= deep).drop("n")
     answers = asked.join(listed, "q").filter(F.col("vec_id") != F.col("query_id"))
+    answers = answers.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
     rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
-    return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

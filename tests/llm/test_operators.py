@@ -425,6 +425,24 @@ def test_nearest(spark):
     assert nearest.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("large, first", [(1e6, 200), (1e13, 201)])  # products of two of the second are beyond a long
+def test_nearest_keeps_large_components_and_repeated_rows(spark, large, first):
+    rng = random.Random(9)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(1, 150)]
+    rows += [(first + i, [rng.uniform(-1, 1) for _ in range(5)] + [large * (i - 2) * (1 if i < 4 else 0.5)]) for i in range(6)]
+    rows += [(50, rows[8][1])] * 8 + [(300, [0.9] * 6)] * 7 + [(301, [0.9] * 6), (302, [0.9] * 6), (303, [0.9] * 6)]
+    rows += [(100, [rng.uniform(-1, 1) for _ in range(6)]) for _ in range(3)]  # one id, several vectors
+    valid = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in rows]
+    expected = set()
+    for q, a in valid:
+        if q % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in valid if i != q)[:5]
+            expected.add((q, tuple((n, i, -s) for n, (s, i) in enumerate(scores, 1))))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in nearest.nearest(table, F.expr("vec_id % 50 = 0")).collect())
+    assert found == sorted((q, *row) for q, answer in expected for row in answer)
+
+
 # 10
 
 
