@@ -105,7 +105,9 @@ def _verified(pairs: DataFrame, lines: DataFrame, ranks: bytes) -> DataFrame:
     """The pairs (x earlier, y later) whose sets are similar; only their lines are read again."""
     places = F.explode(F.array("x", "y")).alias("p")
     wanted = pairs.select(places).select("p.*").distinct()
-    sets = lines.join(wanted, list(_PLACE), "left_semi").select(F.struct(*_PLACE).alias("p"), "line").dropDuplicates(["p"])
+    at = wanted.alias("w")
+    same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.line_no") == F.col("w.line_no")) & (F.col("l.line_a") == F.col("w.line_a"))
+    sets = lines.alias("l").join(at, same, "left_semi").select(F.struct(*_PLACE).alias("p"), "line").dropDuplicates(["p"])
     sets = stored(sets.select("p", _keys(F.col("line"), ranks).alias("keys")), "sets")
     both = (
         pairs.join(sets.select(F.col("p").alias("x"), F.col("keys").alias("kx")), "x")

@@ -146,6 +146,15 @@ def test_lines(spark):
     assert lines.cleaned(empty(spark)).count() == 0
 
 
+def test_lines_of_a_document_without_id(spark):
+    one, other = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "ant bee cat dog elk fox gnu hen ibis jay")
+    rows = [(None, one + "\n" + other + "\n" + other + " kid"), (1, one + " lambda\nelse"), (2, other.replace("jay", "jackal"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {i: gone for (i, _), gone in _removed(rows).items()}
+    assert expected == {None: [2], 1: [0], 2: [0]}
+    assert {r.doc_id: list(r.removed) for r in lines.removed_lines(docs).collect()} == expected
+
+
 def test_lines_against_all_pairs(spark):
     rng = random.Random(3)
     common = ["".join(rng.choice("abcd") for _ in range(2)) for _ in range(30)]
