@@ -1,8 +1,8 @@
 """The training-corpus pipeline: stages over ``documents``, each written and read back before the next.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the
-last return the columns of ``documents``; the last returns doc_id and token ids. Null texts
-pass the filters and have no ids; an empty table passes through; what each operator does
+last return the columns of ``documents``; the last returns doc_id, token ids and the text decoded from
+them. Null texts pass the filters and have no ids; an empty table passes through; what each operator does
 with nulls, ties and repeated rows is stated in its module.
 """
 
@@ -36,10 +36,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
+    """Token ids of every document that is left, and the text they decode to."""
     import public_tokenizers
 
-    return bpe.encoded(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.decoded(bpe.encoded(docs, path), path)
 
 
 STAGES = [

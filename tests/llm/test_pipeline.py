@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 import __spark_entry__ as contract
@@ -30,6 +32,13 @@ def test_awkward_rows_pass_all_stages(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() == docs.count() > 0
 
 
+def test_last_stage_encodes_and_decodes(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).collect()
+    assert Counter((r.doc_id, r.decoded) for r in rows) == Counter((r.doc_id, r.text or "") for r in docs.collect())
+    assert all(bool(r.ids) == bool(r.decoded) for r in rows)
+
+
 def test_empty_tables_pass_all_stages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
