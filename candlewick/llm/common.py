@@ -34,11 +34,19 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: For ``stored`` tables of large rows: a task reads a row group at once.
+SMALL_ROW_GROUPS = {
+    "parquet.block.size": str(8 << 20),
+    "parquet.block.size.row.check.min": "1",
+    "parquet.page.size.row.check.min": "1",
+}
+
+
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/candlewick/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.llm import bpe, decontaminate, lines, minhash, nearest, passages, rendering, shards, tokenfiles, toxicity
+from candlewick.llm import (
+    bpe, decontaminate, lines, minhash, nearest, passages, quality, ranking, rendering, shards, tokenfiles, toxicity, variants,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,10 +23,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity.query,
         "op9_nearest": nearest.query,
         "op10_bpe": bpe.query,
+        "op11_variants": variants.query,
+        "op12_quality": quality.query,
+        "op13_ranking": ranking.query,
     }
 
 
 def statements() -> dict[str, str]:
     return {
         "op9_nearest": nearest.ORACLE,
+        "op13_ranking": ranking.ORACLE,
     }

@@ -47,7 +47,7 @@ def test_empty_tables_pass_all_stages(spark, sf_dir):
 
 
 def test_queries_are_registered():
-    assert {name.split("_")[0] for name in registry.queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in registry.queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(registry.queries()) | {"pipeline"} <= set(contract.queries())
 
 
