@@ -38,8 +38,8 @@ from candlewick.llm.common import SMALL_ROW_GROUPS, mapped, positioned, stored,
 from candlewick.llm.words import pieces
 
 BLOCK_TERMS = 1 << 17
-SEGMENT = 4096
-SEGMENT_POSTINGS = 1 << 20
+SEGMENT = 2048
+SEGMENT_POSTINGS = 1 << 18
 #: Documents of a block of a list; lists of fewer than ``SUMMED`` are cheaper to score than to bound, and have no summary.
 BLOCK = 256
 SUMMED = 64
@@ -329,8 +329,8 @@ def searched(segments: DataFrame, items: Broadcast, k: int) -> DataFrame:
         best = [Best(k) for _ in asked.numbers]
         weights = np.zeros(asked.width, np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
-                s = Segment(*(np.frombuffer(row[name], kind) for name, kind in _KINDS.items()))
+            for row in range(batch.num_rows):  # arrays over the batch's own memory
+                s = Segment(*(np.frombuffer(batch[name][row].as_buffer(), kind) for name, kind in _KINDS.items()))
                 most = largest(s, asked.width)
                 for terms, own, found in zip(asked.terms, asked.weights, best):
                     weights[terms] = own
