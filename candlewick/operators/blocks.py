@@ -152,6 +152,18 @@ class OrderedBlocks:
         """The same row order, stated with a leading column that never decreases along it."""
         return self._with(self.rows, order=[column, *self.order])
 
+    def segmented(self, rows: int, span: int) -> "OrderedBlocks":
+        """Number the rows of a block (``_j``), its segments of ``rows`` rows and its spans of ``span`` segments.
+
+        Adds ``_segment`` and ``_span``, a row's offset ``_k`` in its segment, and ``_t``, the segment's in its span.
+        Windows over blocks, spans and segments then share one sort.
+        """
+        numbered = self.add({"_j": f"row_number() {self.over()} - 1"}).add(
+            {"_segment": f"floor(_j / {rows})", "_span": f"floor(_j / {rows * span})", "_k": f"cast(_j % {rows} as int)"}
+        )
+        numbered = numbered.add({"_t": f"cast(_segment - _span * {span} as int)"})
+        return numbered.ordered_first_by("_segment").ordered_first_by("_span")
+
     def owned(self) -> DataFrame:
         """The input rows, each once, with the columns added since the cut.
 

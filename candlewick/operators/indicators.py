@@ -3,9 +3,10 @@
 Every operator takes closed candles (``KLINE`` columns) and adds columns. A
 row's value uses all rows it has: early rows average over a partial frame.
 
-Rolling averages are exact: a running decimal sum per block, the difference of
-two of its values, one conversion to double and one division by the row count.
-The cost per row does not depend on the frame length.
+Rolling averages are exact: decimal sums that start anew once a segment, so that a
+frame is the end of one segment and the beginning of the next; one conversion to
+double and one division by the row count. The cost per row does not depend on the
+frame length, and no sum holds more than one segment.
 """
 
 from __future__ import annotations
@@ -78,6 +79,10 @@ def position_columns(blocks: OrderedBlocks) -> dict[str, str]:
     return {"row_num": blocks.row_num(), "previous_close": f"lag(close_price) {blocks.over()}"}
 
 
+# Frame of the rows of a block ahead of the current one.
+EARLIER = "rows between unbounded preceding and 1 preceding"
+
+
 def extreme_columns(blocks: OrderedBlocks, size: int = 20) -> dict[str, str]:
     frame = blocks.over(f"rows between {size - 1} preceding and current row")
     return {
@@ -98,6 +103,7 @@ def movement_columns() -> dict[str, str]:
 def with_averages(
     blocks: OrderedBlocks,
     averages: Mapping[str, tuple[str, int]],
+    rows: int,
     sides: Mapping[str, str] | None = None,
 ) -> OrderedBlocks:
     """Add ``name: average of column over the last n rows`` for ``name: (column, n)``,
@@ -106,11 +112,15 @@ def with_averages(
     ``sides`` adds ``name: 1, 0 or -1`` as the column is above, equal to or below
     the given average. It compares exactly, which the rounded average cannot: in
     double, twenty times 0.07 divided by twenty is less than 0.07.
-    Needs ``row_num`` and a halo of more than n rows. Packs the columns.
+    Needs ``row_num``, segments of ``rows`` rows, n at least, and a halo of n - 1 rows or
+    more. Packs the columns.
     """
     columns = sorted({column for column, _ in averages.values()})
     sizes = sorted({size for _, size in averages.values()})
-    running = {f"_run_{c}": f"cast(sum({c}) {blocks.so_far()} as {AMOUNT_SQL})" for c in columns}
+    if sizes[-1] > rows:
+        raise ValueError("A frame cannot be longer than a segment.")
+    in_segment = blocks.so_far(["_span", "_segment"])
+    running = {f"_run_{c}": f"cast(sum({c}) {in_segment} as {AMOUNT_SQL})" for c in columns}
     blocks = blocks.add(running).pack(columns)
     sums = {
         f"_sums_{size}": "struct("
@@ -118,12 +128,11 @@ def with_averages(
         + ")"
         for size in sizes
     }
-    blocks = blocks.add(sums).drop(list(running))
+    whole = f"if(_k = {rows - 1}, struct({', '.join(running)}), null)"
+    blocks = blocks.add({**sums, "_ended": whole}).drop(list(running))
     before = {f"_before_{n}": f"lag(_sums_{n}, {n}) {blocks.over()}" for n in sizes}
-    totals = {
-        name: f"coalesce(_sums_{n}._run_{c} - _before_{n}._run_{c}, _sums_{n}._run_{c})"
-        for name, (c, n) in averages.items()
-    }
+    last = {"_last": f"last(_ended, true) {blocks.over(EARLIER)}"}
+    totals = {name: _frame_total(f"_run_{c}", n) for name, (c, n) in averages.items()}
     sums_in_double = {f"_total_{name}": f"cast({total} as double)" for name, total in totals.items()}
     means = {
         name: f"_total_{name} / least(row_num, {n})" for name, (_, n) in averages.items()
@@ -132,8 +141,17 @@ def with_averages(
         side: _side(f"{blocks.packs[-1]}.{averages[name][0]}", totals[name], averages[name][1])
         for side, name in (sides or {}).items()
     }
-    blocks = blocks.add(before).add({**sums_in_double, **places})
-    return blocks.add(means).drop([*sums, *before])
+    blocks = blocks.add({**before, **last}).add({**sums_in_double, **places})
+    return blocks.add(means).drop([*sums, *before, "_ended", "_last"])
+
+
+def _frame_total(run: str, n: int) -> str:
+    """The sum of the last n rows: of this segment alone, or with the end of the one before."""
+    ahead = f"cast(_last.{run} - _before_{n}.{run} as {AMOUNT_SQL})"
+    return (
+        f"if(_k >= {n}, _sums_{n}.{run} - _before_{n}.{run}, "
+        f"_sums_{n}.{run} + coalesce({ahead}, {_NOTHING}))"
+    )
 
 
 def _side(value: str, total: str, size: int) -> str:
@@ -148,8 +166,14 @@ def _side(value: str, total: str, size: int) -> str:
 
 def rolling_averages(candles: DataFrame, **layout) -> DataFrame:
     """Row number, previous close, 20- and 50-row close averages, 20-row volume average."""
-    blocks = candle_blocks(candles, 51, ["close_price", "volume"], **layout)
-    return with_averages(blocks.add(position_columns(blocks)), PRICE_AVERAGES).owned()
+    rows = _longest(PRICE_AVERAGES)
+    blocks = candle_blocks(candles, rows, ["close_price", "volume"], **layout)
+    blocks = blocks.add(position_columns(blocks)).segmented(rows, 1)
+    return with_averages(blocks, PRICE_AVERAGES, rows).owned()
+
+
+def _longest(averages: Mapping[str, tuple[str, int]]) -> int:
+    return max(size for _, size in averages.values())
 
 
 def rolling_extremes(candles: DataFrame, size: int = 20, **layout) -> DataFrame:
@@ -160,10 +184,10 @@ def rolling_extremes(candles: DataFrame, size: int = 20, **layout) -> DataFrame:
 def _movement_averages(candles: DataFrame, names: Sequence[str], layout: dict) -> OrderedBlocks:
     # One halo row more than the frame, for the previous close of its first row.
     wanted = {name: MOVEMENT_AVERAGES[name] for name in names}
-    halo = max(size for _, size in wanted.values()) + 2
-    blocks = candle_blocks(candles, halo, ["close_price", "high_price", "low_price"], **layout)
-    blocks = blocks.add(position_columns(blocks)).add(movement_columns())
-    return with_averages(blocks, wanted)
+    rows = _longest(wanted)
+    blocks = candle_blocks(candles, rows + 2, ["close_price", "high_price", "low_price"], **layout)
+    blocks = blocks.add(position_columns(blocks)).segmented(rows, 1).add(movement_columns())
+    return with_averages(blocks, wanted, rows)
 
 
 def true_range_atr(candles: DataFrame, **layout) -> DataFrame:
@@ -178,72 +202,92 @@ def relative_strength(candles: DataFrame, **layout) -> DataFrame:
 # --- exponential averages ----------------------------------------------------------
 
 
-def memory_rows(span: int) -> int:
-    """Rows after which the weight of older values falls below 1e-18, beyond a double."""
+# The digits of an amount and those of a double: a value this much smaller than another adds nothing to it.
+RESOLVED = 1e-54
+
+
+def _decay(span: int) -> float:
     if span < 2:
         raise ValueError("An exponential average needs a span of at least 2.")
-    return math.ceil(18 * math.log(10) / math.log((span + 1) / (span - 1)))
+    return (span - 1) / (span + 1)
 
 
-def ema_halo(spans: Sequence[int]) -> int:
-    return max(memory_rows(span) for span in spans) + 1
+def memory_rows(span: int) -> int:
+    """Rows after which the weight of older values falls below ``RESOLVED``."""
+    return math.ceil(math.log(RESOLVED) / math.log(_decay(span)))
 
 
-def offset_columns(blocks: OrderedBlocks) -> dict[str, str]:
-    """Row offset in the block and the block's first ``_value``."""
-    return {
-        "_j": f"row_number() {blocks.over()} - 1",
-        "_base": f"first(_value) {blocks.so_far()}",
-    }
+def ema_segment(spans: Sequence[int]) -> tuple[int, int]:
+    """Rows of a segment, over which weights stay within a factor of 150, and segments of a span, which covers the memory."""
+    fastest = -math.log(_decay(min(spans)))
+    rows = max(1, int(math.log(150) / fastest))
+    segments = math.ceil(memory_rows(max(spans)) / rows)
+    if rows * segments * fastest > 600:  # weights of a span are doubles
+        raise ValueError("Spans this far apart need separate calls.")
+    return rows, segments
+
+
+def ema_halo(spans: Sequence[int]) -> int:
+    return memory_rows(max(spans)) + 1
 
 
 def with_ema(blocks: OrderedBlocks, spans: Mapping[str, int]) -> OrderedBlocks:
     """Add ``name: exponential average`` of ``_value``, a double, for each ``name: span``.
 
-    The recursion ``e = a*x + (1-a)*e'`` with ``a = 2/(span+1)``, seeded with the
-    first value, unrolls to a weighted sum. Within a segment of ``memory_rows``
-    rows that sum is a running window sum of ``x * (1-a)^-k``, scaled back by
-    ``(1-a)^k``; what came before enters through the end value of the previous
-    segment alone, as older segments weigh less than double precision. Values
-    are taken relative to the first one of the block, which leaves a constant
-    series exactly constant. Needs ``offset_columns`` and a halo of ``memory_rows``.
+    The recursion ``e = a*x + d*e'`` with ``d = (span-1)/(span+1)`` and ``a = 1 - d``, seeded with the first
+    value, takes a value ``e'`` ahead of n rows to ``d^n * e' + (what the rows add)``. Such steps are composed in two
+    levels. Within a segment of few rows, what they add is a running window sum of ``x * d^-k``, scaled back by
+    ``d^k``; within a span of segments the same is done with the segments' ends. What came before a span
+    enters through the end of the span before it, as a span outlasts the memory.
+
+    Every segment is taken relative to its own first value, its centre. So a constant series stays exactly
+    constant, and after a large fall the small values are not differences of large ones: the result keeps
+    the relative precision of the recursion. What weighs less than ``RESOLVED`` counts as nothing.
+    Needs the segments of ``ema_segment`` and a halo of ``ema_halo`` rows.
     """
-    if max(spans.values()) > 10 * min(spans.values()):
-        raise ValueError("Spans this far apart need separate calls.")
-    length = max(memory_rows(span) for span in spans.values())
-    decay = {name: repr((span - 1) / (span + 1)) + "d" for name, span in spans.items()}
+    rows, segments = ema_segment(list(spans.values()))
+    decay = {name: repr(_decay(span)) + "d" for name, span in spans.items()}
     weight = {name: repr(2 / (span + 1)) + "d" for name, span in spans.items()}
+    span_so_far, span_earlier = blocks.so_far(["_span"]), blocks.over(EARLIER, ["_span"])
 
-    blocks = blocks.add(
-        {
-            "_x": "_value - _base",
-            "_segment": f"floor(_j / {length})",
-            "_k": f"cast(_j % {length} as double)",
-        }
-    )
-    in_segment = blocks.so_far(["_segment"])
-    # Segments follow the row order, so both windows below share one sort.
-    blocks = blocks.ordered_first_by("_segment")
-    earlier = blocks.over("rows between unbounded preceding and 1 preceding")
-    sums = {
-        f"_sum_{name}": f"sum(if(_j = 0, _x, _x * {weight[name]}) * pow({decay[name]}, -_k)) {in_segment}"
-        for name in spans
+    blocks = blocks.add({"_centre": f"first(_value) {blocks.so_far(['_span', '_segment'])}"})
+    in_segment = blocks.so_far(["_span", "_segment"])
+    added = {
+        f"_added_{name}": f"sum((_value - _centre) * {weight[name]} * pow({d}, -_k)) {in_segment}"
+        for name, d in decay.items()
+    }
+    centres = {
+        "_centre_before": f"lag(_centre, {rows}) {blocks.over(within=['_span'])}",
+        "_first": f"first(_value) {span_so_far}",
+    }
+    local = {f"_local_{name}": f"_added_{name} * pow({d}, _k)" for name, d in decay.items()}
+    # What a segment adds to the distance of the average from its centre; weighed for the sum over a span.
+    steps = {
+        f"_step_{name}": f"if(_k = {rows - 1}, (_local_{name} + coalesce(pow({d}, {rows}) * (_centre_before - _centre), 0d))"
+        f" * pow({d}, -{rows} * _t), 0d)"
+        for name, d in decay.items()
+    }
+    past = {f"_past_{name}": f"sum(_step_{name}) {span_earlier}" for name in spans}
+    own = {
+        f"_own_{name}": f"_centre + _local_{name} + if(_t = 0, 0d, pow({d}, _k + 1)"
+        f" * (_centre_before + _past_{name} * pow({d}, {rows} * (_t - 1)) - _centre))"
+        for name, d in decay.items()
     }
-    local = {f"_local_{name}": f"_sum_{name} * pow({decay[name]}, _k)" for name in spans}
     carry = {
-        f"_carry_{name}": f"last(if(_k = {length - 1}, _local_{name}, null), true) {earlier}"
+        f"_carry_{name}": f"last(if(_k = {rows - 1} and _t = {segments - 1}, _own_{name}, null), true) {blocks.over(EARLIER)}"
         for name in spans
     }
     total = {
-        name: f"_local_{name} + coalesce(_carry_{name} * pow({decay[name]}, _k + 1), 0d) + _base"
-        for name in spans
+        name: f"_own_{name} + coalesce(pow({d}, {rows} * _t + _k + 1) * (_carry_{name} - _first), 0d)"
+        for name, d in decay.items()
     }
-    return blocks.add(sums).add(local).add(carry).add(total)
+    blocks = blocks.add({**added, **centres}).add(local).add(steps).add(past)
+    return blocks.add(own).add(carry).add(total)
 
 
 def ema(candles: DataFrame, spans: Sequence[int] = (20, 50), **layout) -> DataFrame:
     """Candles with ``ema_<span>`` of the close for each span."""
     blocks = candle_blocks(candles, ema_halo(spans), ["close_price"], **layout)
     blocks = blocks.add({"_value": "cast(close_price as double)"}).pack(["close_price"])
-    blocks = blocks.add(offset_columns(blocks))
+    blocks = blocks.segmented(*ema_segment(spans))
     return with_ema(blocks, {f"ema_{span}": span for span in spans}).owned()

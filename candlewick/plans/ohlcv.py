@@ -38,13 +38,15 @@ def ohlcv_indicators(klines: DataFrame, **layout) -> DataFrame:
         {
             **ind.position_columns(blocks),
             **ind.extreme_columns(blocks),
-            **ind.offset_columns(blocks),
         }
     )
+    # Segments as long as the longest frame serve the averages of both kinds.
+    rows, segments = ind.ema_segment(list(EMA_SPANS.values()))
+    blocks = blocks.segmented(rows, segments)
     blocks = blocks.add(ind.movement_columns()).drop(["previous_close"])
     blocks = blocks.pack(["high_price", "low_price", "rolling_high_20", "rolling_low_20"])
     averages = {**ind.PRICE_AVERAGES, **ind.MOVEMENT_AVERAGES}
-    blocks = ind.with_averages(blocks, averages, sides={"_close_side": "sma_20"})
+    blocks = ind.with_averages(blocks, averages, rows, sides={"_close_side": "sma_20"})
     blocks = blocks.add({"rsi_14": ind.RSI_14})
     blocks = ind.with_ema(blocks, EMA_SPANS).add({"trend_regime": ind.TREND_REGIME})
     return choose(blocks.owned(), OHLCV_COLUMNS, _EXPRESSIONS)

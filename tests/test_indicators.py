@@ -1,5 +1,7 @@
 """Indicators against plain windows and sequential loops, with blocks small enough to matter."""
 
+from decimal import Decimal
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -108,6 +110,48 @@ def test_ema_equals_the_recursion(spark, frame, layout):
     assert (flat.ema_20 == 42.5).all() and (flat.ema_50 == 42.5).all()
 
 
+def amounts(spark, closes, volume=None):
+    """Candles of one series with exactly these closes (texts), and volumes."""
+    rows = candle_rows("AAA", "5m", [1.0] * len(closes))
+    exact = [Decimal(c) for c in closes]
+    return candles(spark, [(*r[:9], e, r[10] if volume is None else volume, *r[11:]) for r, e in zip(rows, exact)])
+
+
+def loop_ema(values, span):
+    e, out = values[0], []
+    for x in values:
+        e = x * (2 / (span + 1)) + e * (1 - 2 / (span + 1))
+        out.append(e)
+    return np.array(out)
+
+
+@pytest.mark.parametrize("layout", [SMALL, {}, dict(block_rows=1000)])
+@pytest.mark.parametrize("low", ["0.000001", "0.000000000000000001"])
+def test_ema_after_a_fall_keeps_its_digits(spark, layout, low):
+    rng = np.random.default_rng(4)
+    high = [f"{x:.2f}" for x in 1e12 + rng.normal(0, 1e9, 700)]
+    closes = [*high, *[low] * 1300, *high[:300], *[low] * 400, *[f"{x:.6f}" for x in rng.uniform(1e-6, 3, 300)]]
+    out = to_pandas(ind.ema(amounts(spark, closes), (20, 50), **layout), "close_time")
+    values = [float(Decimal(c)) for c in closes]
+    for span in (20, 50):
+        np.testing.assert_allclose(out[f"ema_{span}"], loop_ema(values, span), rtol=1e-12)
+
+
+@pytest.mark.parametrize("span", [2, 3, 9, 200, 3000])
+def test_ema_of_other_spans_after_a_fall(spark, span):
+    closes = [*["1000000000000"] * 60, *["0.000001"] * 900, "7", *["0.25", "0.5"] * 100]
+    out = to_pandas(ind.ema(amounts(spark, closes), (span,), block_rows=200, cell_rows=16), "close_time")
+    np.testing.assert_allclose(out[f"ema_{span}"], loop_ema([float(c) for c in closes], span), rtol=1e-12)
+
+
+def test_large_volumes_equal_a_plain_window_bit_for_bit(spark):
+    frame = amounts(spark, [f"{1 + i % 7}.{i:06d}" for i in range(20_000)], Decimal("1000000000000000.123456789012345678"))
+    w = Window.partitionBy("symbol", "interval").orderBy("close_time", "event_id").rowsBetween(-19, 0)
+    plain = frame.select("event_id", (F.sum("volume").over(w).cast("double") / F.count("*").over(w)).alias("volume_ma_20"))
+    blocked = ind.rolling_averages(frame).select("event_id", "volume_ma_20")
+    assert plain.exceptAll(blocked).isEmpty() and blocked.exceptAll(plain).isEmpty()
+
+
 @pytest.mark.parametrize("span", [2, 3, 9, 200])
 def test_ema_of_other_spans(spark, frame, span):
     pdf, groups = per_series(frame)
