@@ -1,13 +1,15 @@
 """The steps of a deployment, one command each; scheduling them is left to the caller.
 
     python -m candlewick ingest  --kind kline --landed DIR --log LOG [--intervals 1m,5m]
+                                 [--checkpoint DIR [--quarantine DIR]]
     python -m candlewick process --kind kline --log LOG --house DIR --dead-letters DIR --checkpoint DIR
     python -m candlewick rebuild --house DIR
     python -m candlewick check   --house DIR
     python -m candlewick panel   rsi_bands --house DIR [--intervals 5m,1h | all] [--zone UTC]
 
 LOG is a directory or ``kafka://servers/topic``. Order: ingest and process for
-each kind, then rebuild; check ends with a non-zero code if a check fails.
+each kind, then rebuild; check ends with a non-zero code if a check fails. With a checkpoint,
+ingest publishes what was landed since its last run, else all that is there.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from candlewick.schemas import DEFAULT_INTERVAL, parse_intervals
 from candlewick.session import configure
 from candlewick.sources.landed import read_kline_responses, read_ticker_responses
 from candlewick.sources.log import FileLog, KafkaLog, publish
+from candlewick.streaming.ingest import Ingest, ingest_available_now
 from candlewick.streaming.processor import run_available_now
 
 # name: (panel, the mart it shows, whether it shows times)
@@ -38,29 +41,45 @@ PANELS = {
 }
 
 
-def open_log(text: str) -> KafkaLog | FileLog:
+def open_log(text: str, starting: str = "earliest", options: Sequence[str] = ()) -> KafkaLog | FileLog:
+    """A log by its name; ``options`` are Kafka options as ``name=value``."""
     if text.startswith("kafka://"):
         servers, _, topic = text.removeprefix("kafka://").partition("/")
         if not servers or not topic:
             raise ValueError("A Kafka log is written as kafka://servers/topic.")
-        return KafkaLog(servers, topic)
+        named = dict(option.split("=", 1) for option in options)
+        return KafkaLog(servers, topic, starting, named)
     return FileLog(text)
 
 
 def events(spark: SparkSession, args: argparse.Namespace):
     if args.kind == "ticker":
-        return normalize_ticker(read_ticker_responses(spark, args.landed), args.source)
-    responses = read_kline_responses(spark, args.landed, args.intervals)
+        return normalize_ticker(read_ticker_responses(spark, args.landed, args.dated), args.source)
+    responses = read_kline_responses(spark, args.landed, args.intervals, args.dated)
     return normalize_klines(responses, args.source)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> int:
+    if args.checkpoint is not None:
+        if args.log is None:
+            raise SystemExit("An ingest with a checkpoint needs a log.")
+        run = Ingest(args.kind, open_log(args.log, options=args.log_option), args.source, args.quarantine)
+        done = ingest_available_now(
+            spark, run, args.landed, args.checkpoint, args.intervals, args.dated, args.max_files
+        )
+        print(f"Published {done.published} {args.kind} records to {args.log}, {done.rejected} rejected.")
+        return 0
+    if args.quarantine is not None:
+        raise SystemExit("A quarantine needs a checkpoint, whose batches name its directories.")
     batch = events(spark, args)
+    if args.dump is not None:
+        dump_events(batch).write.text(args.dump)
+        return 0
     if args.log is None:
         for row in dump_events(batch).toLocalIterator():
             print(row.value)
         return 0
-    print(f"Published {publish(batch, open_log(args.log))} {args.kind} records to {args.log}.")
+    print(f"Published {publish(batch, open_log(args.log, options=args.log_option))} {args.kind} records to {args.log}.")
     return 0
 
 
@@ -68,7 +87,7 @@ def process(spark: SparkSession, args: argparse.Namespace) -> int:
     house = Warehouse(args.house)
     counters = run_available_now(
         spark,
-        open_log(args.log),
+        open_log(args.log, args.starting, args.log_option),
         args.kind,
         house.tickers if args.kind == "ticker" else house.klines,
         args.dead_letters,
@@ -123,7 +142,14 @@ def parser() -> argparse.ArgumentParser:
 
     sub = command(ingest, "kind")
     sub.add_argument("--landed", required=True, help="directory of landed responses")
-    sub.add_argument("--log", help="event log; without it events are printed")
+    sink = sub.add_mutually_exclusive_group()
+    sink.add_argument("--log", help="event log; without it and --dump, events are printed, one task after another")
+    sink.add_argument("--dump", help="directory for the events as JSON texts, written by the tasks")
+    sub.add_argument("--checkpoint", help="directory that remembers which responses were published")
+    sub.add_argument("--quarantine", help="directory for what cannot be read; without it that fails the run")
+    sub.add_argument("--dated", action="store_true", help="responses lie in fetched_at=<time> directories")
+    sub.add_argument("--max-files", type=int, help="responses per batch")
+    sub.add_argument("--log-option", action="append", default=[], help="Kafka option as name=value")
     sub.add_argument("--source", default="exchange", help="name of the source in the events")
     sub.add_argument("--intervals", help="comma-separated candle intervals (default: all landed)")
 
@@ -132,6 +158,8 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--dead-letters", required=True)
     sub.add_argument("--checkpoint", required=True)
     sub.add_argument("--max-per-trigger", type=int, help="offsets or files per batch")
+    sub.add_argument("--starting", default="earliest", help="Kafka position of a first run")
+    sub.add_argument("--log-option", action="append", default=[], help="Kafka option as name=value")
 
     command(rebuild, "house")
     sub = command(check, "house")

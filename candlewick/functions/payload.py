@@ -27,11 +27,25 @@ def field(variant: str, path: str, kind: str = "string") -> str:
     return f"try_variant_get({variant}, '{path}', '{kind}')"
 
 
-def amount(text: str) -> str:
-    """Decimal value of a stripped text; null for anything that is not a finite number."""
+def _decimals(text: str) -> str:
+    """Decimals that a number's text needs: those written, less trailing zeros, moved by the exponent."""
+    lowered = f"lower({text})"
+    written, point = f"substring_index({lowered}, 'e', 1)", f"instr({lowered}, '.')"
+    moved = f"if(contains({lowered}, 'e'), try_cast(substring_index({lowered}, 'e', -1) as int), 0)"
+    end = f"if({point} > 0, {point}, length({written}))"
+    return f"if(translate({written}, '+-.0', '') = '', 0, length(rtrim('0', {written})) - {end} - {moved})"
+
+
+def number(text: str) -> str:
+    """Decimal value of a stripped text, rounded to 18 decimals; null for anything that is not a finite number."""
     return f"try_cast({text} as {AMOUNT_SQL})"
 
 
+def amount(text: str) -> str:
+    """As ``number``, but null for a value with more than 18 decimals, which would be rounded."""
+    return f"if({_decimals(text)} <= 18, {number(text)}, null)"
+
+
 def instant(text: str) -> str:
     """Instant of an ISO-8601 text, taken as UTC where it names no offset."""
     return (

@@ -2,7 +2,11 @@
 
 Input is one landed response per row in ``value``. A response, or a candle in
 it, that cannot be read fails the job (``on_error="fail"``) or is kept with its
-``error`` (``on_error="quarantine"``).
+``error`` and its raw text in ``value`` (``on_error="quarantine"``).
+
+Every event carries a ``version``: when its response was fetched, and its position in the
+response, as a text that sorts in this order. Of two versions of an event the larger one counts,
+however the log, its files or its partitions order them.
 """
 
 from __future__ import annotations
@@ -11,8 +15,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from candlewick.functions.columns import add
-from candlewick.functions.payload import amount, epoch_millis, field, iso, stripped
+from candlewick.functions.columns import add, choose
+from candlewick.functions.payload import epoch_millis, field, iso, number, stripped
 
 ENVELOPE = ("event_id", "event_type", "source", "symbol", "event_time", "ingest_time", "payload")
 
@@ -45,6 +49,10 @@ def _ingest(responses: DataFrame, given: str | None) -> tuple[str, list[str]]:
     return given or (kept[0] if kept else "current_timestamp()"), kept
 
 
+def _version(ingest_time: str, position: str) -> str:
+    return f"concat(date_format({ingest_time}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '#', lpad({position}, 10, '0'))"
+
+
 def normalize_ticker(
     responses: DataFrame,
     source_name: str,
@@ -73,7 +81,7 @@ def normalize_ticker(
             "Missing required field: symbol.": "coalesce(symbol, '') = ''",
             "Invalid timestamp field: closeTime.": "_time is null",
             **{
-                f"Invalid decimal field: {key}.": f"{amount(name)} is null"
+                f"Invalid decimal field: {key}.": f"{number(name)} is null"
                 for name, key in _TICKER_AMOUNTS.items()
             },
             "Invalid integer field: count.": "trade_count_24h is null",
@@ -90,7 +98,7 @@ def normalize_ticker(
         "trade_count_24h": "trade_count_24h",
         "raw_payload": "_raw",
     }
-    return _events(add(read, {"error": error}), payload, on_error)
+    return _events(add(read, {"error": error}), payload, _version(ingest_time, "'0'"), on_error)
 
 
 def normalize_klines(
@@ -108,7 +116,7 @@ def normalize_klines(
         ),
         {"_list": "try_variant_get(try_parse_json(value), '$', 'array<variant>')"},
     )
-    items = parsed.selectExpr("*", "explode_outer(_list) as _raw")
+    items = parsed.selectExpr("*", "posexplode_outer(_list) as (_position, _raw)")
     read = add(
         items,
         {
@@ -132,7 +140,7 @@ def normalize_klines(
             "Invalid timestamp field: close_time.": "close_time is null",
             "Invalid timestamp field: open_time.": "open_time is null",
             **{
-                f"Invalid decimal field: {name}.": f"{amount(name)} is null"
+                f"Invalid decimal field: {name}.": f"{number(name)} is null"
                 for name in _KLINE_AMOUNTS
             },
             "Invalid integer field: trade_count.": "trade_count is null",
@@ -153,7 +161,10 @@ def normalize_klines(
         "is_closed": "true",
         "raw_payload": "_raw",
     }
-    return _events(add(read, {"error": error}), payload, on_error)
+    read = add(read, {"error": error})
+    # A rejected candle is kept alone, not with the whole response.
+    read = choose(read, read.columns, {"value": "if(_list is null, value, coalesce(to_json(_raw), 'null'))"})
+    return _events(read, payload, _version(ingest_time, "cast(_position as string)"), on_error)
 
 
 def _text(value: str) -> str:
@@ -166,7 +177,7 @@ def _first_error(rules: Mapping[str, str]) -> str:
     return f"case {whens} end"
 
 
-def _events(read: DataFrame, payload: Mapping[str, str], on_error: str) -> DataFrame:
+def _events(read: DataFrame, payload: Mapping[str, str], version: str, on_error: str) -> DataFrame:
     if on_error not in ("fail", "quarantine"):
         raise ValueError(f"on_error must be 'fail' or 'quarantine', not {on_error!r}.")
     if on_error == "fail":
@@ -176,12 +187,18 @@ def _events(read: DataFrame, payload: Mapping[str, str], on_error: str) -> DataF
     events = read.selectExpr(
         *envelope,
         f"if(error is null, to_json(named_struct({fields})), null) as payload",
+        f"{version} as version",
         "error",
         "value",
     )
     return events.drop("error", "value") if on_error == "fail" else events
 
 
+def rejects(events: DataFrame) -> DataFrame:
+    """Quarantined responses and candles: the reason and the raw text."""
+    return events.filter("error is not null").selectExpr("error as reason", "value as payload")
+
+
 def dump_events(events: DataFrame) -> DataFrame:
     """Each event as one JSON text, with the payload as a nested object."""
     nested = events.selectExpr(*ENVELOPE[:-1], "try_parse_json(payload) as payload")

@@ -103,6 +103,20 @@ ema(symbol, interval, row_num, ema_20, ema_50) as (
     on o.symbol = e.symbol and o.interval = e.interval and o.row_num = e.row_num + 1
 )"""
 
+_FALLEN = """
+fallen as (
+  select symbol, interval, event_id, row_number() over (partition by symbol, interval order by close_time, event_id) as row_num,
+         cast(cast(close_price as decimal(18,2)) * case when day(close_time) < 16 then 10000000000 else 0.000001 end as double) as x
+  from closed
+),
+fallen_ema(symbol, interval, row_num, event_id, e20, e50) as (
+  select symbol, interval, row_num, event_id, x, x from fallen where row_num = 1
+  union all
+  select f.symbol, f.interval, f.row_num, f.event_id, f.x * (2.0::double / 21) + p.e20 * (19.0::double / 21),
+         f.x * (2.0::double / 51) + p.e50 * (49.0::double / 51)
+  from fallen_ema p join fallen f on f.symbol = p.symbol and f.interval = p.interval and f.row_num = p.row_num + 1
+)"""
+
 _MOVES = """
 moves as (
   select *,
@@ -155,7 +169,11 @@ _LAGS = (
     ("4h", "4 hours"), ("24h", "1 day"), ("1w", "7 days"),
 )
 
-_LATEST = """
+
+
+def _latest(history: str) -> str:
+    """The newest candle of each series, and the closes of ``history`` before it."""
+    return """
 latest as (
   select * from (
     select *, row_number() over (partition by symbol, interval order by close_time desc, event_id desc) as back
@@ -165,13 +183,22 @@ latest as (
 previous as (
   select l.symbol, l.interval, l.close_time as as_of_time, cast(l.close_price as double) as close,
 """ + ",\n".join(
-    f"         (select cast(h.close_price as double) from closed h where h.symbol = l.symbol and h.interval = l.interval"
+    f"         (select cast(h.close_price as double) from {history} h where h.symbol = l.symbol and h.interval = l.interval"
     f" and h.close_time <= l.close_time - interval {text} order by h.close_time desc, h.event_id desc limit 1) as close_{name}_ago"
     for name, text in _LAGS
 ) + """
   from latest l
 )"""
 
+# Candles with a second one at the same time.
+_TIED = """
+tied as (
+  from closed
+  union all
+  select * replace (event_id || '-2' as event_id, close_price + 1 as close_price) from closed
+  where (epoch_ms(close_time) // 1000) % 900 = 299 or interval <> '5m'
+)"""
+
 _PCT = ",\n".join(
     f"         round((close - close_{name}_ago) / nullif(close_{name}_ago, 0) * 100, 8) as price_change_pct_{name}"
     for name, _ in _LAGS
@@ -232,7 +259,9 @@ _PARTS = {
     "ema": (_EMA, ("ordered",)),
     "strength": (_MOVES, ("ordered",)),
     "mart": (_MART, ("strength", "ema")),
-    "asof": (_LATEST, ("closed",)),
+    "fallen": (_FALLEN, ("closed",)),
+    "asof": (_latest("closed"), ("closed",)),
+    "tied": (_TIED + "," + _latest("tied"), ("closed",)),
     "latest_ticker": (_LATEST_TICKER, ("ticker",)),
     "baseline": (_BASELINE, ("mart",)),
     "snapshot": (_SNAPSHOT, ("baseline", "asof", "latest_ticker")),
@@ -282,7 +311,7 @@ slotted as (
   select *, ((epoch_us(event_time) // 1000 + 1) // 3600000) % 16 as slot from ticker
 ),
 judged as (
-  select *, case slot
+  select * replace (case when slot = 15 then 0.000000000000000001 else cast(low_price_24h as decimal(37,18)) end as low_price_24h), case slot
       when 0 then 'Unexpected event_type ''trade''. Expected ''ticker''.'
       when 1 then 'Missing required ticker fields: symbol'
       when 2 then 'Missing required ticker fields: source, volume_24h'
@@ -294,7 +323,8 @@ judged as (
       when 8 then 'Malformed JSON.'
       when 10 then 'Unexpected event_type ''none''. Expected ''ticker''.'
       when 11 then 'Unexpected event_type ''missing''. Expected ''ticker''.'
-      when 12 then 'Ticker payload contains invalid typed values.' end as reason
+      when 12 then 'Ticker payload contains invalid typed values.'
+      when 14 then 'Ticker payload contains invalid typed values.' end as reason
   from slotted where slot <> 9
 )"""
 
@@ -312,7 +342,8 @@ judged as (
       when 7 then 'Kline trade_count must be zero or greater.'
       when 8 then 'Malformed JSON.'
       when 10 then 'Kline close_time is earlier than open_time.'
-      when 11 then 'Kline low_price is inconsistent with candle values.' end as reason
+      when 11 then 'Kline low_price is inconsistent with candle values.'
+      when 15 then 'Kline payload contains invalid typed values.' end as reason
   from slotted where slot <> 9
 )"""
 
@@ -326,10 +357,12 @@ def _judged(columns: str) -> str:
 
 _VERSIONS = """
 versions as (
-  select *, 1 as batch_id from candles
-  union all
-  select * replace (close_price + 1 as close_price), 2 as batch_id from candles
-  where close_price > open_price
+  select c.* replace (close_price + (v - 1) as close_price), v,
+         case when turn <> 3 then '2024-02-0' || v || 'T00:00:00.000000#0000000000' end as version,
+         cast(case turn when 0 then v when 2 then 3 - v else 1 end as bigint) as batch_id,
+         cast(case turn when 1 then 10 - v when 3 then v else 0 end as bigint) as log_position
+  from (select *, (open_s // width) % 4 as turn from candles) c, (values (1), (2)) as numbers(v)
+  where v = 1 or close_price > open_price
 )"""
 
 _BAD_TICKER = """
@@ -497,8 +530,13 @@ def statements() -> dict[str, str]:
                 "sma_20", "sma_50", "ema_20", "ema_50", "volume_ma_20", "rsi_14", "atr_14", "candle_range_pct"
             ) + ") from mart",
         ),
+        "ema_after_fall": _statement(
+            ("fallen",),
+            "select event_id, " + ", ".join(f"case when e{n} > 0 then round(ln(e{n}), 8) end as ln_ema_{n}" for n in (20, 50))
+            + " from fallen_ema",
+        ),
         "asof_returns": _statement(
-            ("asof",), f"select symbol, interval, as_of_time, close as last_price,\n{_PCT}\nfrom previous"
+            ("tied",), f"select symbol, interval, as_of_time, close as last_price,\n{_PCT}\nfrom previous"
         ),
         "latest_ticker": _statement(("latest_ticker",), f"select {_TICKER_COLUMNS} from latest_ticker"),
         "atr_baseline": _statement(
@@ -540,8 +578,33 @@ def statements() -> dict[str, str]:
         ),
         "upsert_latest": _statement(
             ("versions",),
-            f"select {_KLINE_COLUMNS}, cast(batch_id as bigint) as batch_id from versions v "
-            "where batch_id = (select max(batch_id) from versions w where w.event_id = v.event_id)",
+            f"select {_KLINE_COLUMNS}, version, batch_id, log_position from versions "
+            "qualify v = max(v) over (partition by event_id)",
+        ),
+        "landed_refetch": _statement(
+            ("candles",),
+            "select " + _KLINE_COLUMNS.replace("ingest_time", "timestamp '2024-02-02 00:00:00' as ingest_time")
+            + ", '2024-02-02T00:00:00.000000#' || lpad(cast(2 * row_number() over (partition by symbol, interval, response "
+            "order by open_s) - 1 as varchar), 10, '0') as version "
+            "from (select *, open_s // (width * 500) as response from candles)",
+        ),
+        "normalize_rejects": _statement(
+            ("candles", "ticker"),
+            "select event_type, reason, count(*) as n, count(*) as n_payloads from spoiled where reason is not null group by all",
+            """
+spoiled as (
+  select 'ticker' as event_type, case ((epoch_us(event_time) // 1000 + 1) // 3600000) % 8
+      when 0 then 'Missing required field: symbol.' when 1 then 'Invalid timestamp field: closeTime.'
+      when 2 then 'Invalid decimal field: lastPrice.' when 3 then 'Invalid integer field: count.'
+      when 4 then 'Malformed JSON.' when 5 then 'Missing required field: symbol.' end as reason
+  from ticker
+  union all
+  select 'kline', case (open_s // width) % 8 when 0 then 'Invalid kline payload shape.' when 1 then 'Invalid kline payload shape.'
+      when 2 then 'Invalid timestamp field: open_time.' when 3 then 'Invalid decimal field: open_price.' end
+  from candles where interval <> '1w'
+  union all
+  select distinct on (symbol, open_s // (width * 500)) 'kline', 'Kline response is not a list.' from candles where interval = '1w'
+)""",
         ),
         "panel_snapshot": _statement(
             ("snapshot",),

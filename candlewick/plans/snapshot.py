@@ -81,23 +81,32 @@ def newest_times(history: DataFrame) -> DataFrame:
     return history.groupBy(*SERIES).agg(F.max("candle_time").alias("as_of_time"))
 
 
-def asof_closes(targets: DataFrame, history: DataFrame) -> DataFrame:
+def asof_closes(targets: DataFrame, history: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Per series of ``targets`` (symbol, interval, as_of_time): the close of the newest
-    candle at least each lag older, as ``close_<lag>_ago``. Null where there is none;
-    a series without any is left out.
+    candle at least each lag older, as ``close_<lag>_ago``. Of candles at the same time the last by
+    ``event_id`` counts. Null where there is none; a series without any is left out.
 
-    One pass over the history: all lags are filtered aggregates of the same
-    join, combined map-side.
+    Two passes over the history (event_id, symbol, interval, candle_time, close): the times looked up,
+    as aggregates of fixed width that all lags share and tasks combine without sorting; then the few rows at
+    these times, of which the last is taken.
     """
-    candidates = history.selectExpr(*SERIES, "candle_time", "close as _close")
-    closes = {
-        f"close_{name}_ago": f"max_by(_close, if(candle_time <= as_of_time - {lag}, candle_time, null))"
-        for name, lag in LAGS.items()
+    times = {
+        f"_at_{name}": f"max(if(candle_time <= as_of_time - {lag}, candle_time, null))" for name, lag in LAGS.items()
     }
-    return (
-        join_per_key(candidates, targets.select(*SERIES, "as_of_time"), SERIES)
+    found = (
+        join_per_key(history.select(*SERIES, "candle_time"), targets.select(*SERIES, "as_of_time"), SERIES)
         .filter(f"candle_time <= as_of_time - {LAGS['5m']}")
         .groupBy(*SERIES)
+        .agg(*[F.expr(text).alias(name) for name, text in times.items()])
+    )
+    if stage is not None:
+        found = stage(found, "lookup_times")
+    closes = {f"close_{name}_ago": f"max_by(_close, if(candle_time = _at_{name}, event_id, null))" for name in LAGS}
+    candidates = history.selectExpr(*SERIES, "event_id", "candle_time", "close as _close")
+    return (
+        join_per_key(candidates, found, SERIES)
+        .filter(f"candle_time in ({', '.join(times)})")
+        .groupBy(*SERIES)
         .agg(*[F.expr(text).alias(name) for name, text in closes.items()])
     )
 
@@ -109,7 +118,7 @@ def with_asof_closes(
     targets = newest_times(history)
     if stage is not None:
         targets = stage(targets, "newest_times")
-    return latest.join(asof_closes(targets, history), SERIES, "left")
+    return latest.join(asof_closes(targets, history, stage), SERIES, "left")
 
 
 def asof_returns(latest: DataFrame, history: DataFrame) -> DataFrame:
@@ -137,7 +146,7 @@ def market_snapshot(
 ) -> DataFrame:
     """Build the snapshot mart.
 
-    ``history`` (symbol, interval, candle_time, close) serves the as-of lookups;
+    ``history`` (event_id, symbol, interval, candle_time, close) serves the as-of lookups;
     it defaults to ``ohlcv`` and can be the plain closed candles where the mart
     is not stored, to keep the windows out of that branch. ``stage`` stores the
     newest times, for the lookups' join to be planned on their size.

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from candlewick.functions.columns import choose
 from candlewick.operators import indicators as ind, quality
-from candlewick.operators.normalize import normalize_klines, normalize_ticker
+from candlewick.operators.normalize import normalize_klines, normalize_ticker, rejects
 from candlewick.operators.staging import closed_candles, stg_klines, stg_ticker
 from candlewick.operators.upsert import latest_by_key
-from candlewick.operators.validate import invalid_rows, validate
+from candlewick.operators.validate import clean_rows, invalid_rows, validate
 from candlewick.plans import panels, snapshot as snap
 from candlewick.plans.ohlcv import ohlcv_indicators
 from candlewick.schemas import AMOUNT, KLINE, OHLCV_COLUMNS, TICKER
@@ -66,7 +66,7 @@ def _closed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _closed(spark, sf_dir).selectExpr(
-        "symbol", "interval", "close_time as candle_time", "close_price as close"
+        "event_id", "symbol", "interval", "close_time as candle_time", "close_price as close"
     )
 
 
@@ -120,6 +120,17 @@ def ema(spark, sf_dir):
     return report(out, rounded=["ema_20", "ema_50"])
 
 
+@query
+def ema_after_fall(spark, sf_dir):
+    """Averages of closes that fall by sixteen digits in the middle of the month, as logarithms, which
+    show the relative precision."""
+    plain = "cast(close_price as decimal(18,2))"
+    fallen = f"cast(if(day(close_time) < 16, {plain} * 10000000000bd, {plain} * 0.000001bd) as {AMOUNT.simpleString()})"
+    candles = choose(_closed(spark, sf_dir), KLINE.names, {"close_price": fallen})
+    names = ["ema_20", "ema_50"]
+    return ind.ema(candles).selectExpr("event_id", *[f"round(ln(nullif({n}, 0d)), 8) as ln_{n}" for n in names])
+
+
 @query
 def true_range_atr(spark, sf_dir):
     out = ind.true_range_atr(_closed(spark, sf_dir)).select("event_id", "true_range", "atr_14")
@@ -157,7 +168,10 @@ def ohlcv_indicators_(spark, sf_dir):
 
 @query
 def asof_returns(spark, sf_dir):
+    """Every third candle has a second one at the same time, whose later id counts."""
     history = _history(spark, sf_dir)
+    again = history.filter("pmod(unix_seconds(candle_time), 900) = 299 or interval != '5m'")
+    history = history.unionByName(choose(again, history.columns, {"event_id": "concat(event_id, '-2')", "close": "close + 1"}))
     candles = _closed(spark, sf_dir).selectExpr(
         "event_id", "symbol", "interval", "close_time as as_of_time", "close_price as close"
     )
@@ -256,9 +270,34 @@ def dead_letter(spark, sf_dir):
     return rejected[0].unionByName(rejected[1])
 
 
+@query
+def normalize_rejects(spark, sf_dir):
+    """What the quarantine holds, counted by reason."""
+    quarantined = [
+        normalize_ticker(testdata.dirty_ticker_json(spark, sf_dir), "testdata", _INGEST, on_error="quarantine"),
+        normalize_klines(testdata.dirty_klines_json(spark, sf_dir), "testdata", _INGEST, on_error="quarantine"),
+    ]
+    counted = [
+        rejects(events).groupBy("reason").agg(F.count("*").alias("n"), F.count("payload").alias("n_payloads"))
+        .selectExpr(f"'{kind}' as event_type", "*")
+        for kind, events in zip(("ticker", "kline"), quarantined)
+    ]
+    return counted[0].unionByName(counted[1])
+
+
 @query
 def upsert_latest(spark, sf_dir):
-    return report(latest_by_key(testdata.versions(spark, sf_dir)), drop=["raw_payload", "log_position"])
+    return report(latest_by_key(testdata.versions(spark, sf_dir)), drop=["raw_payload"])
+
+
+@query
+def landed_refetch(spark, sf_dir):
+    """Responses fetched twice, the later fetch first: the candles it gave last."""
+    events = normalize_klines(testdata.refetched_klines_json(spark, sf_dir), "testdata")
+    records = events.selectExpr("payload as value", "version", "0L as batch_id")
+    rows = validate(records, "kline", keep=["version", "batch_id"])
+    newest = latest_by_key(clean_rows(rows, "kline", keep=["version", "batch_id"]))
+    return report(newest, drop=["raw_payload", "batch_id"])
 
 
 # --- panels ------------------------------------------------------------------------

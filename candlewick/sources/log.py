@@ -1,9 +1,11 @@
 """The event log between normalization and validation.
 
-A log holds (key, value) records: the event id and the JSON payload. It is a
-Kafka topic where a broker and the connector are at hand, else a directory of
-parquet files, appended to batch by batch. Both are read as (key, value,
-log_position); the position orders the versions of one event.
+A log holds (key, value, version) records: the event id, the JSON payload and the
+version of the event (operators.normalize). It is a Kafka topic where a broker and the
+connector are at hand, with the version in a header, else a directory of parquet files,
+appended to batch by batch. Both are read as (key, value, version, log_position). The version
+orders the versions of one event; the position does so only for records without one,
+which other producers may write.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-RECORD_SCHEMA = "key string, value string"
+RECORD_SCHEMA = "key string, value string, version string"
 
 
 @dataclass(frozen=True)
@@ -46,15 +48,19 @@ class KafkaLog:
         }
 
     def read_stream(self, spark: SparkSession, max_per_trigger: int | None = None) -> DataFrame:
-        records = spark.readStream.format("kafka").options(**self.read_options(max_per_trigger)).load()
-        return records.selectExpr(
+        reader = spark.readStream.format("kafka").options(**self.read_options(max_per_trigger))
+        return reader.option("includeHeaders", "true").load().selectExpr(
             "cast(key as string) as key",
             "cast(value as string) as value",
+            "cast(get(filter(headers, h -> h.key = 'version'), 0).value as string) as version",
             "struct(lpad(cast(partition as string), 10, '0') as part, offset) as log_position",
         )
 
     def append(self, records: DataFrame) -> None:
-        records.write.format("kafka").options(**self.write_options()).save()
+        headed = records.selectExpr(
+            "key", "value", "array(named_struct('key', 'version', 'value', cast(version as binary))) as headers"
+        )
+        headed.write.format("kafka").options(**self.write_options()).save()
 
 
 @dataclass(frozen=True)
@@ -81,6 +87,7 @@ class FileLog:
         return records.selectExpr(
             "key",
             "value",
+            "version",
             f"struct(concat({written}, _metadata.file_name) as part, _metadata.row_index as offset)"
             " as log_position",
         )
@@ -89,7 +96,7 @@ class FileLog:
 def publish(events: DataFrame, log: KafkaLog | FileLog) -> int:
     """Append normalized events to the log; the number of records written."""
     published = Observation()
-    records = events.selectExpr("event_id as key", "payload as value").observe(
+    records = events.selectExpr("event_id as key", "payload as value", "version").observe(
         published, F.count("*").alias("records")
     )
     log.append(records)

@@ -8,7 +8,7 @@ written again after a failure and gives the same table:
 ``folds/``                  one record per finished fold
 
 Reading takes the newest finished fold and the batches after it, and resolves
-each key to the version written last. Batch numbers come from the checkpoint
+each key to its newest version. Batch numbers come from the checkpoint
 of the streaming query: a table belongs to one checkpoint.
 """
 
@@ -26,6 +26,10 @@ _POSITION = T.StructType(
 )
 
 
+# What a stored row carries beside the columns of its table.
+CARRIED = ("version", "log_position")
+
+
 @dataclass(frozen=True)
 class RawTable:
     path: str
@@ -40,6 +44,7 @@ class RawTable:
         return T.StructType(
             [
                 *self.schema.fields,
+                T.StructField("version", T.StringType()),
                 T.StructField("log_position", _POSITION),
                 T.StructField("batch_id", T.LongType()),
             ]
@@ -54,8 +59,8 @@ class RawTable:
         spark.createDataFrame([], "upto bigint").write.mode("append").parquet(f"{self.path}/folds")
 
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Store clean rows (table columns and ``log_position``) as one batch, replacing an earlier try."""
-        rows.select(*self.schema.names, "log_position").write.mode("overwrite").parquet(
+        """Store clean rows (table columns, ``version`` and ``log_position``) as one batch, replacing an earlier try."""
+        rows.select(*self.schema.names, *CARRIED).write.mode("overwrite").parquet(
             f"{self.path}/batches/batch_id={batch_id}"
         )
 

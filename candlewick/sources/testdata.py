@@ -171,22 +171,81 @@ def raw_ticker_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed candle responses: a JSON array of at most 500 candles per row."""
-    width = "unix_seconds(close_time) + 1 - unix_seconds(open_time)"
-    items = candles(spark, sf_dir).selectExpr(
-        "symbol",
-        "interval",
-        f"floor(unix_seconds(open_time) / (({width}) * {RESPONSE_CANDLES})) as response",
-        """concat('[', unix_millis(open_time), ',"', open_price, '","', high_price, '","', low_price,
+_KLINE_ITEM = """concat('[', unix_millis(open_time), ',"', open_price, '","', high_price, '","', low_price,
             '","', close_price, '","', volume, '",', unix_millis(close_time), ',"',
-            quote_asset_volume, '",', trade_count, ',"0","0","0"]') as item""",
-    )
+            quote_asset_volume, '",', trade_count, ',"0","0","0"]')"""
+_WIDTH = "(unix_seconds(close_time) + 1 - unix_seconds(open_time))"
+_SLOT = f"floor(unix_seconds(open_time) / {_WIDTH})"
+
+
+def _kline_responses(items: DataFrame) -> DataFrame:
+    """Responses of (symbol, interval, response, nr, item), with the items in the order of their numbers."""
+    listed = "transform(array_sort(collect_list(struct(nr, item))), i -> i.item)"
     return items.groupBy("symbol", "interval", "response").agg(
-        F.expr("concat('[', concat_ws(',', array_sort(collect_list(item))), ']')").alias("value")
+        F.expr(f"concat('[', concat_ws(',', {listed}), ']')").alias("value")
     ).drop("response")
 
 
+def _kline_items(rows: DataFrame, item: str = _KLINE_ITEM) -> DataFrame:
+    return rows.selectExpr(
+        "symbol",
+        "interval",
+        f"floor(unix_seconds(open_time) / ({_WIDTH} * {RESPONSE_CANDLES})) as response",
+        "unix_millis(open_time) as nr",
+        f"{item} as item",
+    )
+
+
+def raw_klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed candle responses: a JSON array of at most 500 candles per row."""
+    return _kline_responses(_kline_items(candles(spark, sf_dir)))
+
+
+def refetched_klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The responses fetched twice, with ``fetched_at``. The first time every close is one higher, the
+    second time every candle comes twice in its response, first with its close two higher."""
+    rows = candles(spark, sf_dir)
+    higher = [rows.withColumn("close_price", F.expr(f"cast(close_price + {n} as {KLINE['close_price'].dataType.simpleString()})")) for n in (1, 2)]
+    first = _kline_responses(_kline_items(higher[0]))
+    again = _kline_items(higher[1]).unionByName(_kline_items(rows).withColumn("nr", F.expr("nr + 1")))
+    fetched = "timestamp'2024-02-0{} 00:00:00' as fetched_at"
+    return (
+        _kline_responses(again).selectExpr("*", fetched.format(2))
+        .unionByName(first.selectExpr("*", fetched.format(1)))
+    )
+
+
+# --- responses that cannot be read -------------------------------------------------
+
+
+def dirty_ticker_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed ticker responses with one defect per slot of eight hours."""
+    slot = "pmod(floor((unix_seconds(event_time) + 1) / 3600), 8)"
+    return tickers(spark, sf_dir).selectExpr(
+        f"""case {slot} when 4 then '{{"symbol":' when 5 then '[]' else to_json(named_struct(
+            'symbol', if({slot} = 0, ' ', symbol),
+            'closeTime', if({slot} = 1, 'soon', cast(unix_millis(event_time) as string)),
+            'lastPrice', if({slot} = 2, 'abc', cast(last_price as string)),
+            'priceChange', cast(price_change_24h as string),
+            'priceChangePercent', cast(price_change_pct_24h as string),
+            'volume', cast(volume_24h as string), 'quoteVolume', cast(quote_volume_24h as string),
+            'openPrice', cast(open_price_24h as string), 'highPrice', cast(high_price_24h as string),
+            'lowPrice', cast(low_price_24h as string),
+            'count', if({slot} = 3, 'many', cast(trade_count_24h as string)))) end as value"""
+    )
+
+
+def dirty_klines_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed candle responses with one defect per slot of eight candles; those of weeks are no lists."""
+    defect = f"pmod({_SLOT}, 8)"
+    item = f"""case {defect} when 0 then '["short"]' when 1 then '{{"not":"a list"}}'
+        when 2 then replace({_KLINE_ITEM}, concat('[', unix_millis(open_time)), '["soon"')
+        when 3 then replace({_KLINE_ITEM}, concat(',"', open_price, '"'), ',"abc"')
+        else {_KLINE_ITEM} end"""
+    responses = _kline_responses(_kline_items(candles(spark, sf_dir), item))
+    return responses.withColumn("value", F.expr("""if(interval = '1w', '{"code":-1}', value)"""))
+
+
 # --- events with defects -----------------------------------------------------------
 
 # One defect per slot of 16 consecutive buckets; slots not named are clean.
@@ -202,6 +261,9 @@ _TICKER_DEFECTS = {
     11: {"event_type": "null"},
     12: {"trade_count_24h": "'12.0'"},
     13: {"symbol": "concat(' ', lower(symbol), '\\t')"},
+    # Nineteen decimals do not fit an amount; zeros behind the eighteenth do, whatever the notation.
+    14: {"last_price": "concat(last_price, '1')"},
+    15: {"last_price": "concat(last_price, '0000')", "low_price_24h": "'0.00000000000000000100e0'"},
 }
 _KLINE_DEFECTS = {
     0: {"event_type": "'ticker'"},
@@ -215,6 +277,7 @@ _KLINE_DEFECTS = {
     10: {"open_time": "'2030-01-01T00:00:00Z'"},
     11: {"open_price": "'5'", "high_price": "'9'", "low_price": "'5.5'", "close_price": "'6'"},
     12: {"is_closed": "'false'"},
+    15: {"volume": "'12e-20'"},
 }
 
 
@@ -276,18 +339,24 @@ def dirty_kline_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every candle as batch 1; each rising one again as batch 2 with a close one higher."""
-    rows = candles(spark, sf_dir)
-    again = "filter(array(1L, 2L), b -> b = 1 or close_price > open_price)"
-    return rows.selectExpr("*", f"explode({again}) as batch_id").selectExpr(
-        *[
-            f"cast(close_price + (batch_id - 1) as {KLINE['close_price'].dataType.simpleString()}) as close_price"
-            if name == "close_price"
-            else name
-            for name in KLINE.names
-        ],
-        "batch_id",
-        "0L as log_position",
+    """Every candle as version 1, each rising one also as version 2 with a close one higher.
+
+    By the candle's slot of four, the two are written in order, in reverse order within a batch, in
+    reverse order of batches, or by a producer that gives no versions.
+    """
+    slot = f"pmod({_SLOT}, 4)"
+    again = "filter(array(1L, 2L), v -> v = 1 or close_price > open_price)"
+    numbered = candles(spark, sf_dir).selectExpr("*", f"explode({again}) as v")
+    amount_type = KLINE["close_price"].dataType.simpleString()
+    return choose(
+        numbered,
+        [*KLINE.names, "version", "batch_id", "log_position"],
+        {
+            "close_price": f"cast(close_price + (v - 1) as {amount_type})",
+            "version": f"if({slot} = 3, null, concat('2024-02-0', v, 'T00:00:00.000000#0000000000'))",
+            "batch_id": f"case {slot} when 0 then v when 2 then 3 - v else 1L end",
+            "log_position": f"case {slot} when 1 then 10 - v when 3 then v else 0L end",
+        },
     )
 
 

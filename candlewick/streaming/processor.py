@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from candlewick.operators.validate import clean_rows, invalid_rows, validate
 from candlewick.sources.log import FileLog, KafkaLog
-from candlewick.sources.tables import RawTable, write_dead_letters
+from candlewick.sources.tables import CARRIED, RawTable, write_dead_letters
 
 
 @dataclass
@@ -39,10 +39,10 @@ class Processor:
     counters: Counters = field(default_factory=Counters)
 
     def process(self, records: DataFrame, batch_id: int) -> None:
-        """Validate one batch of (key, value, log_position) and store both outcomes."""
+        """Validate one batch of (key, value, version, log_position) and store both outcomes."""
         counts = Observation()
         validated = (
-            validate(records, self.event_type, keep=["log_position"])
+            validate(records, self.event_type, keep=CARRIED)
             .observe(
                 counts,
                 F.count("*").alias("read"),
@@ -53,7 +53,7 @@ class Processor:
         )
         try:
             self.table.write_batch(
-                clean_rows(validated, self.event_type, keep=["log_position"]), batch_id
+                clean_rows(validated, self.event_type, keep=CARRIED), batch_id
             )
             found = counts.get
             if found["invalid"]:
