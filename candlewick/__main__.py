@@ -30,14 +30,14 @@ from candlewick.sources.log import FileLog, KafkaLog, publish
 from candlewick.streaming.ingest import Ingest, ingest_available_now
 from candlewick.streaming.processor import run_available_now
 
-# name: (panel, the mart it shows, whether it shows times)
+# name: (panel, the newest candles it shows or None for the snapshot, whether it shows times)
 PANELS = {
-    "snapshot": (panels.panel_snapshot, "snapshot", True),
-    "trend_vs_ema": (panels.panel_trend_vs_ema, "ohlcv", True),
-    "rsi_bands": (panels.panel_rsi_bands, "ohlcv", True),
-    "ema_distance": (panels.panel_ema_distance, "ohlcv", True),
-    "volume_spike": (panels.panel_volume_spike, "ohlcv", True),
-    "returns_long": (panels.panel_returns_long, "snapshot", False),
+    "snapshot": (panels.panel_snapshot, None, True),
+    "trend_vs_ema": (panels.panel_trend_vs_ema, panels.LINE_ROWS, True),
+    "rsi_bands": (panels.panel_rsi_bands, panels.LINE_ROWS, True),
+    "ema_distance": (panels.panel_ema_distance, panels.LINE_ROWS, True),
+    "volume_spike": (panels.panel_volume_spike, panels.BAR_ROWS, True),
+    "returns_long": (panels.panel_returns_long, None, False),
 }
 
 
@@ -120,10 +120,12 @@ def print_rows(df: DataFrame) -> None:
 
 
 def panel(spark: SparkSession, args: argparse.Namespace) -> int:
-    build, mart, timed = PANELS[args.name]
+    build, rows, timed = PANELS[args.name]
     intervals = None if args.intervals == "all" else parse_intervals(args.intervals)
     zone = {"tz": args.zone} if timed else {}
-    print_rows(build(getattr(Warehouse(args.house), mart)(spark), intervals, **zone))
+    house = Warehouse(args.house)
+    mart = house.snapshot(spark) if rows is None else house.recent(spark, rows, intervals)
+    print_rows(build(mart, intervals, **zone))
     return 0
 
 

@@ -10,6 +10,7 @@ their size and broadcasts those that fit.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from candlewick.plans.ohlcv import ohlcv_indicators
 from candlewick.plans.snapshot import market_snapshot
 from candlewick.schemas import OHLCV, SNAPSHOT
 from candlewick.session import configure
-from candlewick.sources.tables import RawTable, read_mart, remove, write_mart
+from candlewick.sources.tables import RawTable, read_ends, read_mart, remove, write_mart
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,10 @@ class Warehouse:
     def ohlcv(self, spark: SparkSession) -> DataFrame:
         return read_mart(spark, f"{self.path}/ohlcv", OHLCV)
 
+    def recent(self, spark: SparkSession, rows: int, intervals: Sequence[str] | None = None) -> DataFrame:
+        """The candle mart as far as a panel of the ``rows`` newest candles needs it."""
+        return read_ends(spark, f"{self.path}/ohlcv", OHLCV, rows, intervals)
+
     def snapshot(self, spark: SparkSession) -> DataFrame:
         return read_mart(spark, f"{self.path}/snapshot", SNAPSHOT)
 
@@ -80,7 +85,7 @@ def rebuild_marts(spark: SparkSession, warehouse: Warehouse) -> None:
     warehouse.klines.settle(spark)
     warehouse.tickers.settle(spark)
     klines = stg_klines(warehouse.klines.read(spark))
-    write_mart(ohlcv_indicators(klines, stage=stage), f"{warehouse.path}/ohlcv")
+    write_mart(ohlcv_indicators(klines, stage=stage), f"{warehouse.path}/ohlcv", time="candle_time")
     ticker = stg_ticker(warehouse.tickers.read(spark))
     snapshot = market_snapshot(warehouse.ohlcv(spark), ticker, stage=stage)
     write_mart(snapshot, f"{warehouse.path}/snapshot")

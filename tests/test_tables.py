@@ -1,5 +1,6 @@
 import json
 import os
+import re
 from datetime import datetime
 
 import pytest
@@ -11,7 +12,9 @@ from candlewick.plans.rebuild import Warehouse, rebuild_marts
 from candlewick.schemas import OHLCV, SNAPSHOT
 from candlewick.sources.landed import read_kline_responses, read_ticker_responses
 from candlewick.sources.log import FileLog, KafkaLog, publish
-from candlewick.sources.tables import RawTable, read_mart, write_mart
+from candlewick.plans import panels
+from candlewick.sources import tables
+from candlewick.sources.tables import RawTable, read_ends, read_mart, write_mart
 from candlewick.operators.normalize import normalize_klines, normalize_ticker
 from candlewick.streaming.processor import run_available_now, skip_replays
 from tests.samples import KLINE_EVENT, KLINE_ROW, TICKER_EVENT, TICKER_RESPONSE, event
@@ -184,6 +187,79 @@ def test_a_failed_rebuild_keeps_the_mart(spark, tmp_path):
     assert len(list((tmp_path / "mart").glob("build=*"))) == 2
 
 
+def mart_rows(spark, tmp_path):
+    """Candles of several intervals over some months, with few rows in some days."""
+    import random
+
+    rng = random.Random(6)
+    rows, start = [], 1_700_000_000
+    for interval, step, n in (("5m", 300, 4000), ("1h", 3600, 900), ("1d", 86400, 120), ("1w", 604800, 20)):
+        for i in range(n):
+            if rng.random() < 0.7:
+                rows.append((f"{interval}-{i}", interval, datetime.fromtimestamp(start + i * step), float(len(rows)), 1.0, 50.0))
+    schema = T.StructType.fromDDL("event_id string, interval string, candle_time timestamp, close double, ema_20 double, rsi_14 double")
+    frame = spark.createDataFrame(rows, schema)
+    write_mart(frame, f"{tmp_path}/mart", time="candle_time")
+    return frame, f"{tmp_path}/mart", schema
+
+
+@pytest.mark.parametrize("intervals", [["5m"], ["1h"], ["1d"], ["5m", "1w"], ["1d", "1h"], None, ["1m"]])
+def test_panels_over_the_periods_they_need(spark, tmp_path, intervals):
+    frame, path, schema = mart_rows(spark, tmp_path)
+    for rows, panel in ((panels.LINE_ROWS, panels.panel_rsi_bands), (panels.LINE_ROWS, panels.panel_trend_vs_ema)):
+        ends = read_ends(spark, path, schema, rows, intervals)
+        assert panel(ends, intervals).collect() == panel(frame, intervals).collect()
+        if intervals == ["5m"]:
+            scanned = set(re.findall(r"period=([0-9-]+)", " ".join(ends.inputFiles())))
+            whole = set(re.findall(r"interval=5m/period=([0-9-]+)", " ".join(read_mart(spark, path, schema).inputFiles())))
+            text = ends._jdf.queryExecution().executedPlan().toString()
+            assert "PartitionFilters: [" in text and "period" in text.split("PartitionFilters: [")[1].split("]")[0]
+            assert len(whole) >= 14 and ends.select("candle_time").distinct().count() < 800 and scanned
+    assert read_mart(spark, path, schema).exceptAll(frame).isEmpty() and read_mart(spark, path, schema).count() == frame.count()
+
+
+def test_builds_at_the_same_time_have_different_numbers(spark, tmp_path):
+    numbers = {tables._begin_build(spark, f"{tmp_path}/mart", []) for _ in range(3)}
+    assert len(numbers) == 3
+
+
+def kline_log(spark, tmp_path, days, close="4", name="log"):
+    day = 86_400_000
+    rows = [
+        (f"kline-ABCUSD-1d-{d * day}", event(KLINE_EVENT, event_id=f"kline-ABCUSD-1d-{d * day}", close_price=close)) for d in days
+    ]
+    FileLog(f"{tmp_path}/{name}").append(spark.createDataFrame(rows, "key string, value string").coalesce(1))
+
+
+def test_a_fold_reads_and_writes_the_parts_it_touches(spark, tmp_path):
+    kline_log(spark, tmp_path, range(20_000, 20_012))
+    table, _ = run(spark, tmp_path, "kline")
+    table.settle(spark)
+    kline_log(spark, tmp_path, [20_003], "4.125")
+    table, _ = run(spark, tmp_path, "kline")
+    merged, parts = table.merge(spark, 1)
+    assert {f.split("folded/")[1].split("/part-")[0] for f in merged.inputFiles() if "folded" in f} == {"upto=0/part=d20003"}
+    assert len(parts) == 12 and {p for p, at in parts.items() if at == 1} == {"d20003"}
+    table.settle(spark)
+    assert [p.name for p in (tmp_path / "table" / "folded" / "upto=1").glob("part=*")] == ["part=d20003"]
+    rows = {r.event_id: r.close_price for r in table.read(spark).collect()}
+    assert len(rows) == 12 and [k.split("-")[-1] for k, v in rows.items() if v == 4.125] == [str(20_003 * 86_400_000)]
+    # The replaced directory goes with the fold after the next.
+    for n, day in enumerate((20_005, 20_006)):
+        kline_log(spark, tmp_path, [day, 21_000 + n], "4.0625")
+        table, _ = run(spark, tmp_path, "kline")
+        table.settle(spark)
+    left = {p.name for p in (tmp_path / "table" / "folded" / "upto=0").glob("part=*")}
+    assert "part=d20003" not in left and len(left) >= 9
+    assert table.read(spark).count() == 14
+
+
+def test_versions_of_a_key_share_a_part(spark):
+    keys = ["kline-A-5m-1736900000000", "ticker-A-1736900000000", "kline-A-5m--5", "x", "a-12345678901234567890", "-86399999999"]
+    found = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k string").selectExpr(tables.part_of("k")).collect()]
+    assert found == ["d20103", "d20103", "other", "other", "other", "d999"]
+
+
 def test_rows_printed_have_no_limit(spark, capsys):
     print_rows(spark.range(1200).selectExpr("id", "if(id = 3, null, 'x') as name"))
     assert len(capsys.readouterr().out.splitlines()) == 1201
