@@ -20,7 +20,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.functions import pandas_udf
 
 from candlewick.llm.bpe import vocabulary
 from candlewick.llm.common import looked_up, mapped, part_offsets, shared_folder, table
@@ -176,20 +175,19 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
         for row, ids, cuts in _pieces(batches):
             n = len(row["docs"])
             crcs = [zlib.crc32(ids[a:b]) for a, b in zip(cuts, cuts[1:])]
+            # Only the ends of a block can belong to a document that has more pieces.
+            shifts = [_power(4 * m) if i in (0, n - 1) else 0 for i, m in enumerate(row["lengths"])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["part"]] * n, pa.int32()), pa.array(row["docs"], pa.int64()), pa.array(row["pieces"], pa.int64()),
-                 pa.array(row["doc_ids"], pa.int64()), pa.array(row["lengths"], pa.int64()), pa.array(crcs, pa.int64())],
-                ["part", "doc", "piece", "doc_id", "n", "crc"],
+                 pa.array(row["doc_ids"], pa.int64()), pa.array(row["lengths"], pa.int64()), pa.array(crcs, pa.int64()),
+                 pa.array(shifts, pa.int64())],
+                ["part", "doc", "piece", "doc_id", "n", "crc", "shift"],
             )
 
     blocks = spark.read.schema(BLOCK_SCHEMA).parquet(path)
     lengths = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
     offsets = part_offsets(blocks.select(F.col("part").alias("_part"), lengths.alias("n")), F.sum("n"))
-    pieces = mapped(blocks, run, "part int, doc long, piece long, doc_id long, n long, crc long")
-
-    @pandas_udf("long")
-    def combined(rows):
-        return rows.map(lambda found: crc_of_pieces([(p["crc"], p["n"]) for p in found]))
+    pieces = mapped(blocks, run, "part int, doc long, piece long, doc_id long, n long, crc long, shift long")
 
     from pyspark.sql import Window
 
@@ -197,33 +195,40 @@ def digests(spark: SparkSession, path: str) -> DataFrame:
     whole = pieces.groupBy("part", "doc").agg(
         F.first("doc_id").alias("doc_id"),
         F.sum("n").alias("n_tokens"),
-        F.sort_array(F.collect_list(F.struct("piece", "crc", "n"))).alias("found"),
+        F.sort_array(F.collect_list(F.struct("piece", "crc", "shift"))).alias("found"),
     )
     return whole.select(
         "doc_id",
         (F.coalesce(F.sum("n_tokens").over(before), F.lit(0)) + looked_up(offsets, F.col("part"))).alias("start"),
         "n_tokens",
-        F.when(F.size("found") == 1, F.col("found")[0]["crc"]).otherwise(combined("found")).alias("ids_crc32"),
+        F.when(F.size("found") == 1, F.col("found")[0]["crc"]).otherwise(F.expr(_COMBINED)).alias("ids_crc32"),
     )
 
 
+#: The checksum of ``found``, a document's pieces in order: as ``crc_of_pieces``, with the product bit by bit.
+_PRODUCT = """aggregate(sequence(31, 0, -1), named_struct('p', 0L, 'b', x.shift), (s, bit) -> named_struct(
+    'p', if(shiftright(crc, bit) & 1L = 1L, s.p ^ s.b, s.p),
+    'b', if(s.b & 1L = 1L, shiftright(s.b, 1) ^ 3988292384L, shiftright(s.b, 1))), s -> s.p)"""
+_COMBINED = f"aggregate(found, 0L, (crc, x) -> {_PRODUCT} ^ x.crc)"
+
+
 def crc_of_pieces(pieces: list[tuple[int, int]]) -> int:
     """The crc32 of ids whose consecutive pieces have the given (crc32, number of 4-byte ids)."""
     crc = 0
     for own, n in pieces:
-        crc = _after_zeros(crc, 4 * n) ^ own
+        crc = _times(crc, _power(4 * n)) ^ own
     return crc
 
 
-def _after_zeros(crc: int, n: int) -> int:
-    """``crc`` moved on by n zero bytes: its polynomial times x^(8n), by repeated squaring."""
+def _power(n: int) -> int:
+    """x^(8n), by repeated squaring: the factor that moves a crc32 on by n zero bytes."""
     power, factor = 0x80000000, 0x00800000  # x^0 and x^8, bits reversed
     while n:
         if n & 1:
             power = _times(power, factor)
         factor = _times(factor, factor)
         n >>= 1
-    return _times(crc, power)
+    return power
 
 
 def _times(a: int, b: int) -> int:
