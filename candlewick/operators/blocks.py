@@ -11,21 +11,24 @@ precision for exponential averages), so a series can be cut into blocks:
    sum in two levels, so no window there spans a series cell by cell.
 3. Attach the positions to the rows. A cell goes to the block its position
    falls in and, where it holds some of the last ``halo_rows`` rows ahead of a
-   later block, to that block as well.
+   later block that owns rows, to that block as well.
 4. Run the windows per (keys, block) and keep the rows a block owns.
 
 The positions are counts, not times, so gaps in a series do not matter.
 
 A job can store the positions ahead of the join (``stage``): Spark then knows
 their size when it plans, broadcasts them if they are small enough and spares
-the rows the shuffle of step 3.
+the rows the shuffle of step 3. It can then also see whether a cell has more rows than a block, as
+many rows at one time make it. Such cells are split by (time, tie): a sample of their keys
+gives the boundaries, a count of the rows between them the positions. Without stored positions such a cell makes
+its block as large as it is, and goes to at most two others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from candlewick.functions.columns import add
 
@@ -55,6 +58,44 @@ def cell_positions(cells: DataFrame, keys: Sequence[str], super_cells: int) -> D
     )
 
 
+# Boundaries of a split cell at most, and keys sampled for each.
+MOST_SPLITS = 4095
+SAMPLED = 8
+
+
+def split_cells(
+    celled: DataFrame, positions: DataFrame, keys: Sequence[str], time: str, tie: str, block_rows: int, stage: Stage
+) -> tuple[DataFrame, DataFrame]:
+    """Rows and positions by (keys, _cell, _sub): cells with more rows than a block are cut into parts of about a quarter block.
+
+    A cell of so many rows that it takes more than ``MOST_SPLITS`` boundaries has larger parts. Rows equal in time
+    and tie stay together.
+    """
+    names = [*keys, "_cell"]
+    large = stage(positions.filter(f"_n > {block_rows}"), "large_cells")
+    inside = celled.select(*names, time, tie).join(large, names)
+    wanted = f"least({MOST_SPLITS}, ceil(4 * _n / {block_rows}))"
+    every = f"greatest(1, floor(_n / ({SAMPLED} * {wanted})))"
+    sample = inside.filter(f"pmod(xxhash64({time}, {tie}), {every}) = 0").selectExpr(*names, f"struct({time}, {tie}) as _key", "_n")
+    listed = sample.groupBy(*names).agg(F.expr("array_sort(collect_set(_key))").alias("_keys"), F.first("_n").alias("_n"))
+    # Evenly spaced keys of the sample.
+    spaced = f"transform(sequence(1, least({wanted}, size(_keys))), i -> _keys[cast(floor((i - 1) * size(_keys) / least({wanted}, size(_keys))) as int)])"
+    splits = stage(listed.selectExpr(*names, f"{spaced} as _splits"), "splits")
+
+    steps = ", ".join(str(1 << bit) for bit in reversed(range(MOST_SPLITS.bit_length())))
+    number = (
+        f"aggregate(array({steps}), 0, (at, step) -> if(at + step <= size(_splits)"
+        f" and get(_splits, at + step - 1) <= struct({time}, {tie}), at + step, at))"
+    )
+    sub = f"if(_splits is null, 0, {number}) as _sub"
+    parts = inside.drop("_n", "_ahead").join(splits, names).selectExpr(*names, sub).groupBy(*names, "_sub").count()
+    before = f"sum(count) over (partition by {', '.join(names)} order by _sub) - count"
+    placed = parts.join(large, names).selectExpr(*names, "_sub", "count as _n", f"_ahead + {before} as _ahead")
+    whole = positions.filter(f"_n <= {block_rows}").selectExpr(*names, "0 as _sub", "_n", "_ahead")
+    rows = celled.join(splits, names, "left").selectExpr("* except (_splits)", sub)
+    return rows, stage(whole.unionByName(placed), "split_positions")
+
+
 class OrderedBlocks:
     """Rows of many series, cut into overlapping ordered blocks.
 
@@ -101,17 +142,19 @@ class OrderedBlocks:
         cell = f"coalesce(floor(unix_micros({time}) / ({step_seconds} * {cell_rows * 1_000_000}L)), 0L)"
         celled = add(df, {"_cell": cell})
         positions = cell_positions(celled.select(*keys, "_cell"), keys, super_cells)
+        names = [*keys, "_cell"]
         if stage is not None:
             positions = stage(positions, "positions")
-        positions = positions.selectExpr(
-            *keys,
-            "_cell",
-            "_ahead",
-            f"sequence(floor(_ahead / {block_rows}), "
-            f"floor((_ahead + _n + {halo_rows - 1}L) / {block_rows})) as _blocks",
-        )
-        rows = celled.join(positions, [*keys, "_cell"]).selectExpr(
-            "* except (_cell, _blocks)", "_blocks[0] as _home", "explode(_blocks) as _block"
+            if not positions.filter(f"_n > {block_rows}").isEmpty():
+                celled, positions = split_cells(celled, positions, keys, time, tie, block_rows, stage)
+                names = [*names, "_sub"]
+        # The block of the cell, and those that begin within the halo behind it. Blocks between own no rows.
+        home, behind = f"floor(_ahead / {block_rows})", f"floor((_ahead + _n) / {block_rows})"
+        last = f"floor((_ahead + _n + {halo_rows - 1}L) / {block_rows})"
+        later = f"if({last} > {home}, sequence(greatest({home} + 1, {behind}), {last}), array())"
+        positions = positions.selectExpr(*names, "_ahead", f"concat(array({home}), {later}) as _blocks")
+        rows = celled.join(positions, names).selectExpr(
+            f"* except ({', '.join(names[len(keys):])}, _blocks)", "_blocks[0] as _home", "explode(_blocks) as _block"
         )
         rows = rows.selectExpr("* except (_home)", "_block = _home as _owned")
         blocks = cls(rows, keys, [time, tie], df.columns)

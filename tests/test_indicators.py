@@ -11,6 +11,7 @@ from candlewick.operators import indicators as ind
 from candlewick.operators.blocks import OrderedBlocks, cell_positions
 from candlewick.operators.staging import closed_candles, stg_klines
 from candlewick.plans.ohlcv import ohlcv_indicators
+from candlewick.plans.rebuild import stage_in
 from candlewick.schemas import OHLCV
 from tests.series import candle_rows, candles, gappy_slots, random_closes, to_pandas
 
@@ -246,3 +247,45 @@ def test_blocks_own_each_row_once_and_carry_the_halo(spark, frame):
     # Of the rows ahead in the series, a block holds the last 50 or all.
     assert (owned.n - 1 >= np.minimum(owned.row_num - 1, halo)).all()
     assert pdf.groupby(["symbol", "interval", "_block"]).size().max() <= 128 + halo + 2 * 16
+
+
+def crowded(spark, equal, others):
+    """Many candles at one time, between others; ids tell their order."""
+    rows = candle_rows("AAA", "5m", random_closes(equal + others, 8), [0] * equal + list(range(1, others + 1)))
+    return candles(spark, [(f"{i:07d}", *r[1:]) for i, r in enumerate(rows)], candle_rows("BBB", "5m", random_closes(300, 9)))
+
+
+@pytest.mark.parametrize("staged", [False, True])
+@pytest.mark.parametrize("layout", [SMALL, dict(block_rows=300, cell_rows=7, super_cells=3)])
+def test_many_candles_at_one_time(spark, tmp_path, staged, layout):
+    frame = crowded(spark, 3000, 500)
+    stage = {"stage": stage_in(spark, str(tmp_path))} if staged else {}
+    w = Window.partitionBy("symbol", "interval").orderBy("close_time", "event_id")
+    plain = frame.select(
+        "event_id", F.row_number().over(w).cast("long").alias("row_num"), F.lag("close_price").over(w).alias("previous_close"),
+        (F.sum("close_price").over(w.rowsBetween(-49, 0)).cast("double") / F.count("*").over(w.rowsBetween(-49, 0))).alias("sma_50"),
+    )
+    blocked = ind.rolling_averages(frame, **layout, **stage).select(*plain.columns)
+    assert plain.exceptAll(blocked).isEmpty() and blocked.exceptAll(plain).isEmpty()
+    blocks = OrderedBlocks.cut(frame, ind.SERIES, "close_time", "event_id", ind.INTERVAL_SECONDS_SQL, 50, **layout, **stage)
+    sizes = [r["count"] for r in blocks.rows.groupBy("symbol", "interval", "_block").count().collect()]
+    if staged:
+        assert max(sizes) < 3 * layout["block_rows"]
+        assert blocks.rows.filter("_owned").groupBy("symbol", "interval", "_block").count().count() > 3000 // layout["block_rows"]
+    else:
+        assert sum(sizes) < 3 * frame.count()
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_copies_of_400_000_candles_at_one_time(spark, tmp_path, staged):
+    frame = spark.range(400_100).selectExpr(
+        "'AAA' as symbol", "'5m' as interval", "timestamp_seconds(if(id < 400000, 0, id) * 300) as close_time",
+        "lpad(id, 8, '0') as event_id", "id as close_price",
+    )
+    stage = {"stage": stage_in(spark, str(tmp_path))} if staged else {}
+    blocks = OrderedBlocks.cut(frame, ind.SERIES, "close_time", "event_id", "300", 51, ["close_price"], **stage)
+    assert blocks.rows.count() <= 2 * 400_100
+    if staged:
+        assert blocks.rows.groupBy("_block").count().agg(F.max("count")).first()[0] < 30_000
+        placed = blocks.add({"n": blocks.row_num()}).rows.filter("_owned")
+        assert placed.filter("n != close_price + 1").isEmpty() and placed.count() == 400_100
