@@ -84,7 +84,8 @@ def newest_times(history: DataFrame) -> DataFrame:
 def asof_closes(targets: DataFrame, history: DataFrame, stage: Stage | None = None) -> DataFrame:
     """Per series of ``targets`` (symbol, interval, as_of_time): the close of the newest
     candle at least each lag older, as ``close_<lag>_ago``. Of candles at the same time the last by
-    ``event_id`` counts. Null where there is none; a series without any is left out.
+    ``event_id`` counts, or the largest close where the history has no ids. Null where there is none; a
+    series without any is left out.
 
     Two passes over the history (event_id, symbol, interval, candle_time, close): the times looked up,
     as aggregates of fixed width that all lags share and tasks combine without sorting; then the few rows at
@@ -101,8 +102,9 @@ def asof_closes(targets: DataFrame, history: DataFrame, stage: Stage | None = No
     )
     if stage is not None:
         found = stage(found, "lookup_times")
-    closes = {f"close_{name}_ago": f"max_by(_close, if(candle_time = _at_{name}, event_id, null))" for name in LAGS}
-    candidates = history.selectExpr(*SERIES, "event_id", "candle_time", "close as _close")
+    last = "event_id" if "event_id" in history.columns else "close"
+    closes = {f"close_{name}_ago": f"max_by(_close, if(candle_time = _at_{name}, _last, null))" for name in LAGS}
+    candidates = history.selectExpr(*SERIES, "candle_time", "close as _close", f"{last} as _last")
     return (
         join_per_key(candidates, found, SERIES)
         .filter(f"candle_time in ({', '.join(times)})")

@@ -120,12 +120,17 @@ def test_newest_rows_are_limited_before_the_shuffle(stored):
         assert "WindowGroupLimit" in partial
 
 
-def test_asof_lookup_reads_the_history_twice_and_combines_before_the_shuffle(stored):
+def test_asof_lookup_combines_before_the_shuffle(stored):
+    """The newest times, the times looked up, the rows at these times: one narrow scan each. Only the last,
+    a handful of rows a series, are sorted, as their ids decide among equal times."""
     history = stored["ohlcv"]
     text = plan(asof_closes(newest_times(history), history))
-    assert len(re.findall(r"\(\d+\) Scan parquet", text)) == 2
-    assert "partial_max_by" in text
-    assert "SortAggregate" not in text
+    scans = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert sorted(s.count(":") for s in scans) == [2, 2, 4]
+    assert "partial_max(" in text and "partial_max_by" in text
+    times = plan(asof_closes(newest_times(history), history.drop("event_id")))
+    assert "SortAggregate" not in times
+    assert text.split("\n\n")[0].count("SortAggregate") == 2
 
 
 def test_hot_series_is_split_where_the_newest_times_are_not_broadcast(spark):
