@@ -162,7 +162,9 @@ class OrderedBlocks:
 
     def over(self, frame: str = "", within: Sequence[str] = ()) -> str:
         """Window clause of a block (``within``: of a part of it), optionally with a row frame."""
-        keys, order = ", ".join([*self.keys, "_block", *within]), ", ".join(self.order)
+        # A column that is equal throughout a part orders nothing in it; named twice, it would cost a sort of its own.
+        keys = ", ".join([*self.keys, "_block", *within])
+        order = ", ".join(c for c in self.order if c not in within)
         return f"over (partition by {keys} order by {order} {frame})"
 
     def so_far(self, within: Sequence[str] = ()) -> str:
