@@ -10,7 +10,8 @@ rows, the first by hash of doc_id) to the driver; scoring covers all rows and wh
 
 Defined results: null and empty texts have no sentence and score 0. A table without labels
 of both kinds gives a model that scores every text 0. Labelled rows without doc_id or label
-are left out; a doc_id labelled twice is fitted twice. Repeated documents are scored each.
+are left out; a doc_id labelled twice is fitted twice. Repeated documents are scored each. ``held_out`` is null
+for a null doc_id, which no label can refer to.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from candlewick.llm.common import mapped, table
+from candlewick.llm.common import mapped, stored, table
 
 FIT_POSITIVE = 1500
 FIT_NEGATIVE = 3000
@@ -64,11 +65,10 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, positive: int = FIT_POSITIVE, negative: int = FIT_NEGATIVE) -> Model:
     """A model from at most ``positive`` + ``negative`` labelled documents, whole texts."""
-    from pyspark.sql import Window
-
     known = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).filter("doc_id is not null and toxic in (0, 1)")
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    sample = known.withColumn("rank", rank).filter(F.col("rank") <= F.when(F.col("toxic") == 1, positive).otherwise(negative))
+    of_label = [known.filter(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for toxic, n in ((1, positive), (0, negative))]
+    # Stored, so that the size of this short list is known where it is joined.
+    sample = stored(of_label[0].unionByName(of_label[1]), "sample")
     rows = docs.select(F.col("doc_id").cast("long"), "text").join(sample, "doc_id")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
