@@ -18,7 +18,7 @@ component or an answer's score that does not fit a long is an error (as in the s
 Queries and vectors meet as blocks of ``BLOCK`` vectors of the same length, never as rows.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
-part; all others do. Vectors of
+part; all others do. A row without vec_id is a candidate, after all ids among equal scores, and never a query. Vectors of
 another length than the query's are not compared with it. A repeated vec_id stays a row of its own
 as candidate, but is never an answer to the query of its own id; a query id repeated with
 another vector is a second query under the same id.
@@ -43,7 +43,7 @@ def prepared(vectors: DataFrame) -> DataFrame:
     """(vec_id, v) with integer components, of the vectors that take part."""
     wide = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("e"))
     sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    kept = wide.filter(F.col("vec_id").isNotNull() & (F.size("e") > 0) & sound)
+    kept = wide.filter((F.size("e") > 0) & sound)
     too_large = F.raise_error(F.lit("floor(256 * x) of a component does not fit a long")).cast("long")
     whole = lambda x: F.when(F.abs(x * 256) < 2.0**63, F.floor(x * 256)).otherwise(too_large)
     return kept.select("vec_id", F.transform("e", whole).alias("v"))
@@ -159,16 +159,16 @@ def _exact(wanted: DataFrame, vectors: DataFrame) -> DataFrame:
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """The ``k`` best rows of each query row (``is_query`` over vec_id): query_id, rank, vec_id, score."""
     rows = prepared(vectors).withColumn("hash", F.xxhash64("v"))
-    by_vector = Window.partitionBy("hash", "v").orderBy("vec_id")
+    by_vector = Window.partitionBy("hash", "v").orderBy(F.asc_nulls_last("vec_id"))
     # k + 1 smallest distinct ids of each class, each with its copies; counted inside every task before the shuffle.
     ids = rows.groupBy("hash", "v", "vec_id").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("copies"))
     ids = ids.withColumn("n", F.row_number().over(by_vector)).filter(F.col("n") <= k + 1)
     classes = stored(
-        ids.groupBy("hash", "v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "copies"))).alias("ids"))
+        ids.groupBy("hash", "v").agg(F.sort_array(F.collect_list(F.struct(F.isnull("vec_id").alias("no_id"), "vec_id", "copies"))).alias("ids"))
         .withColumns({"key": F.monotonically_increasing_id(), "scale": _scale("v")}),
         "classes",
     )
-    asked = rows.filter(is_query).select("vec_id", "hash", "v").join(classes.select("hash", "v", "key"), ["hash", "v"])
+    asked = rows.filter(is_query & F.col("vec_id").isNotNull()).select("vec_id", "hash", "v").join(classes.select("hash", "v", "key"), ["hash", "v"])
     asked = stored(asked.select(F.col("vec_id").alias("query_id"), F.col("key").alias("q")).distinct(), "asked")
 
     # A query's own id may fill as many classes as it has vectors.
@@ -206,11 +206,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.col("ids")[0]))
     tops = scored.join(classes.select("key", "ids"), "key").withColumn("n", best).filter(F.col("n") <= deep)
     listed = tops.select("q", "score", F.explode("ids").alias("id")).select("q", "score", "id.*")
-    few = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))
+    few = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     listed = listed.withColumn("n", few).filter(F.col("n") <= deep).drop("n")
-    answers = asked.join(listed, "q").filter(F.col("vec_id") != F.col("query_id"))
+    answers = asked.join(listed, "q").filter(~F.col("vec_id").eqNullSafe(F.col("query_id")))
     answers = answers.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
-    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "q").orderBy(F.desc("score"), F.asc_nulls_last("vec_id")))
     return answers.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
 
 
@@ -230,7 +230,7 @@ q as (select vec_id as query_id, c as qc from v where vec_id % 50 = 0),
 s as (
   select query_id, vec_id,
          cast(list_inner_product(cast(qc as double[]), cast(c as double[])) as bigint) as score
-  from q join v on vec_id <> query_id),
-r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+  from q join v on vec_id is distinct from query_id),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id nulls last) as integer) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 5
 """
