@@ -3,7 +3,7 @@
 A forgiving tree builder (implied start and end tags, void and raw-text elements, stray end
 tags) makes a tree; invisible elements are left out; the rest is rendered top to bottom: runs of
 white space collapse, blocks start new lines with blank lines where browsers put margins,
-lists get indented markers, ``pre`` keeps its lines, and table cells are aligned in columns.
+lists get indented markers, ``pre`` keeps its lines, and table cells are aligned in columns of at most ``WIDEST`` characters.
 Text is never dropped as boilerplate: everything visible is emitted.
 
 Invisible are head, script, style, template, noscript and media fallbacks; definitions and metadata in svg and
@@ -20,6 +20,7 @@ recursion; a page without tags is one paragraph. Repeated rows are rendered each
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -72,6 +73,8 @@ _CSS = re.compile(r"\"(?:[^\"\\]|\\.)*\"|'(?:[^'\\]|\\.)*'|[{};]", re.S)
 _SIMPLE = re.compile(r"[.#]?[\w-]+")
 _WIDTH = re.compile(r"\(\s*(min|max)-width\s*:\s*(\d+(?:\.\d+)?|\.\d+)(px|r?em)\s*\)")
 SCREEN = 1280
+#: Longer lines of a cell stand as they are and do not widen the column for the other rows.
+WIDEST = 120
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -83,10 +86,35 @@ class Node:
     foreign: bool = False  # inside svg or math
 
 
+class _Stack(list[Node]):
+    """The open elements, with the places of each tag among them; place 0 is the root's."""
+
+    def __init__(self, root: Node):
+        super().__init__([root])
+        self.places: dict[str, list[int]] = {}
+
+    def append(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self))
+        super().append(node)
+
+    def pop(self) -> Node:
+        node = super().pop()
+        self.places[node.tag].pop()
+        return node
+
+    def cut(self, at: int) -> None:
+        while len(self) > at:
+            self.pop()
+
+    def last(self, tags: set[str]) -> int:
+        """Place of the innermost open element of ``tags``, 0 if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("#root")
-    stack, at, size = [root], 0, len(html)
+    stack, at, size = _Stack(root), 0, len(html)
     lowered: str | None = None
 
     def text(piece: str) -> None:
@@ -148,7 +176,7 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _open(stack: list[Node], node: Node) -> None:
+def _open(stack: _Stack, node: Node) -> None:
     tag = node.tag
     if tag not in _IN_HEAD and len(stack) > 1 and stack[-1].tag == "head":
         stack.pop()  # the body begins without its tag
@@ -166,31 +194,22 @@ def _open(stack: list[Node], node: Node) -> None:
     stack.append(node)
 
 
-def _end(stack: list[Node], ends: set[str], shields: set[str]) -> None:
+def _end(stack: _Stack, ends: set[str], shields: set[str]) -> None:
     """Close the outermost open element of ``ends`` that no shield stands before."""
-    cut = len(stack)
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in shields:
-            break
-        if stack[i].tag in ends:
-            cut = i
-        elif cut == len(stack) and len(stack) - i > 64:
-            break  # an end tag left out is never that far away
-    del stack[cut:]
+    shield = stack.last(shields)
+    open_ = [places[bisect_right(places, shield)] for tag in ends if (places := stack.places.get(tag)) and places[-1] > shield]
+    if open_:
+        stack.cut(min(open_))
 
 
-def _close(stack: list[Node], tag: str) -> None:
+def _close(stack: _Stack, tag: str) -> None:
     if tag == "br":
         stack[-1].children.append(Node("br"))
         return
     shields = {"td", "th", "table"} if tag not in _ROW_GROUPS | {"table", "tr", "td", "th", "body", "html"} else {"table"}
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == tag:
-            if tag not in ("body", "html"):  # what follows still belongs to the page
-                del stack[i:]
-            return
-        if stack[i].tag in shields:
-            return
+    at = stack.last({tag})
+    if at and at >= stack.last(shields) and tag not in ("body", "html"):  # what follows these still belongs to the page
+        stack.cut(at)
 
 
 class _Flow:
@@ -275,7 +294,7 @@ class _Grid:
         widths: dict[int, int] = {}
         for row in self.rows:
             for column, cell in row:
-                widths[column] = max(widths.get(column, 0), *map(len, cell), 0)
+                widths[column] = max(widths.get(column, 0), *(min(len(line), WIDEST) for line in cell), 0)
         columns = sorted(widths)
         out = []
         for row in self.rows:
