@@ -3,7 +3,9 @@
 Equal texts form a group that no shard may split. Groups are ordered by their smallest
 doc_id, and the ordered groups are cut into ``shards`` runs so that the largest run has as
 few bytes as possible: a binary search finds the smallest capacity for which cutting
-greedily (each shard takes groups while they fit) needs no more than ``shards`` runs.
+greedily (each shard takes groups while they fit) needs no more than ``shards`` runs. Within this
+capacity each run then ends at the known group end nearest to an equal share of the bytes that are left, as long as
+the rest still fits; the known ends are some ``CELLS`` or more, those of the greedy runs and the last ones among them.
 
 Greedy cutting asks for the last group that ends at or below some number of bytes. The
 driver answers from a summary of at most ``CELLS`` cells of the byte line (least and greatest
@@ -12,13 +14,13 @@ Each round narrows the capacity with the summary, then asks Spark for finer cell
 was undecided, until the capacity is exact. What the driver holds is bounded by ``CELLS``.
 
 Defined results: a null text has no bytes and forms one group with other null texts; null
-doc_ids come first; repeated rows are kept and numbered; with fewer groups than shards, or
-a group larger than all others together, some shards stay empty; an empty table gives no rows.
+doc_ids come first; repeated rows are kept and numbered; only with fewer groups than shards
+do some (the last ones) stay empty; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -43,6 +45,10 @@ class _Line:
         self.cells.update({start: (width, least, most) for start, width, least, most in new})
         self.starts = sorted(self.cells)
 
+    def ends(self) -> set[int]:
+        """All group ends known exactly."""
+        return {end for _, least, most in self.cells.values() for end in (least, most)}
+
     def last_end(self, at: int) -> tuple[int, int, int | None]:
         """Bounds on the greatest group end at or below ``at``, and the cell to refine if they differ."""
         i = bisect_right(self.starts, at) - 1
@@ -68,6 +74,33 @@ class _Line:
         return ends, open_cells
 
 
+def spread_cuts(known: set[int], last: list[int], capacity: int, shards: int) -> list[int]:
+    """Ends of runs of at most ``capacity``, near equal, chosen among the ``known`` group ends.
+
+    ``known`` holds the ends of some feasible runs and the ``last`` ends (descending, up to ``shards`` of them).
+    """
+    ends = sorted(known - {0})
+    total = ends[-1]
+    # least[k]: the first end from which k runs reach the total.
+    least = [total]
+    for _ in range(shards):
+        least.append(0 if least[-1] <= capacity else ends[bisect_left(ends, least[-1] - capacity)])
+    cuts, position = [], 0
+    for left in range(shards, 0, -1):
+        if position < total:
+            following = ends[bisect_right(ends, position)]
+            low = max(least[left - 1], following)
+            # Every later run finds a group of its own while there are as many.
+            high = ends[bisect_right(ends, position + capacity) - 1]
+            high = max(low, min(high, last[left - 1] if left <= len(last) else following))
+            share = position + (total - position) // left
+            at = bisect_left(ends, share)
+            near = min(ends[max(at - 1, 0) : at + 1], key=lambda e: abs(e - share))
+            position = min(max(near, low), high)
+        cuts.append(position)
+    return cuts
+
+
 def _smallest(low: int, high: int, holds) -> int:
     """The smallest number in low..high for which ``holds`` (monotone, true at high)."""
     while low < high:
@@ -90,7 +123,8 @@ def capacity_and_cuts(ends: DataFrame, total: int, largest: int, shards: int) ->
         maybe = _smallest(least, sure, lambda c: line.cuts(c, shards, upper=True)[0][-1] >= total)
         found, open_cells = line.cuts(sure, shards, upper=False)
         if sure == maybe and not open_cells:
-            return found
+            last = [r["end"] for r in ends.orderBy(F.desc("end")).limit(shards).collect()]
+            return spread_cuts({*found, *last, *line.ends()}, last, sure, shards)
         least, most = maybe, sure
         wanted = {c for probe in {sure, maybe, sure - 1} if probe >= least for up in (False, True) for c in line.cuts(probe, shards, up)[1]}
         wanted |= _between(line, least, most, shards)
