@@ -6,19 +6,22 @@ the signature as the least value over the set. Two permutations so make all coor
 Bands of coordinates select candidates, and a link needs Jaccard similarity of at least
 ``SIMILAR``/100 on the full sets.
 
-Documents with equal sets form a class first, and only its smallest doc_id is compared. In each
+Documents with equal sets form a class first, and the classes are the nodes of the graph. In each
 bucket of a band, all members are compared with one hub, the member that shares most buckets
-with others. After these links are joined to components, pairs of a bucket that still stand in
-different components are compared, each in the first bucket it shares. For members x and y and
+with others. After these links are joined to components, members outside the component of their bucket's hub are
+compared with the members of other components, in rounds: first those next to them in the order of the bucket, then four times as far
+around, up to all of them, and components are joined after each round. Near copies so mostly find a partner
+early, and no pair of different components is left out. For members x and y and
 the hub h, at most |x & h| + |y - h| elements are common, and a pair that this bound excludes is not
-read: in a large bucket of near copies, one far from the hub is compared with few of those near it. Nor
-are pairs whose sizes, or the last bits of whose signatures, exclude the similarity.
+read. Nor are pairs whose sizes, or the last bits of whose signatures, exclude the similarity.
 
 With 24 bands of 4 coordinates a pair at similarity 0.8 is missed with probability 3e-6.
 
 Defined results: null and empty texts have empty sets and are linked with nothing. Fewer words than a
-shingle make one shingle. Rows that share a doc_id are one document. A row without doc_id
-takes the component of its copies, or stays alone.
+shingle make one shingle. Rows that share a doc_id are one document: whatever one of their texts is linked with
+is reached through it; a row without words stays alone under its doc_id. A row without doc_id
+takes the component of its copies, or stays alone. ``deduplicated`` judges texts, not doc_ids: there, rows that
+share a doc_id but not the set are two documents.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from candlewick.llm.common import mapped, stored, table
 from candlewick.llm.components import components
@@ -40,6 +43,9 @@ COORDINATES = BANDS * ROWS
 #: Unequal last bits of two signatures of similarity 0.8: 9.6 are expected of 96; 30 is 7 deviations more.
 MOST_UNEQUAL = 30
 _AT_ONCE = 1 << 15
+_SALTS = 64
+#: Places around a member that the first round of comparisons reaches.
+_FIRST = 4
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
 
@@ -98,29 +104,35 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
     return mapped(docs, run, _SIGNED)
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the classes ``wanted`` (node, first, set_a, set_b); only texts of their first documents go to Python."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingles(word_hashes(t), width)).view(np.int64) for t in batch["text"].to_pylist()]
+            sets = [np.unique(shingles(word_hashes(t), width)) for t in batch["text"].to_pylist()]
+            names = np.array([np.frombuffer(xxhash.xxh3_128_digest(s), np.int64) for s in sets], np.int64).reshape(-1, 2)
             offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.ListArray.from_arrays(offsets, values)], ["doc_id", "shingles"])
+            values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], pa.array(names[:, 0]), pa.array(names[:, 1]), pa.ListArray.from_arrays(offsets, values)],
+                ["first", "set_a", "set_b", "shingles"],
+            )
 
-    return mapped(docs, run, "doc_id long, shingles array<long>")
+    owners = stored(wanted.select(F.col("first").alias("doc_id")).distinct(), "owners")
+    texts = docs.join(owners, "doc_id", "left_semi")
+    found = mapped(texts.select("doc_id", "text"), run, "first long, set_a long, set_b long, shingles array<long>")
+    # Rows that share a doc_id may have several sets, each a node of its own.
+    return found.join(wanted, ["first", "set_a", "set_b"]).select("node", "shingles")
 
 
-def measured(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """(a, b, common, similar) of the pairs (a, b), by their full sets; only the texts of these documents are shuffled further."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = stored(_sets(docs.join(wanted, "doc_id", "left_semi"), width), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, common, similar) of the pairs (a, b) of nodes, by their full sets."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
     union = F.size("sa") + F.size("sb") - F.col("common")
     both = both.select("a", "b", "common", (100 * F.col("common") >= SIMILAR * union).alias("similar"))
-    # Rows that share a doc_id may have several sets: one similar pair links, and their overlaps are no bound.
-    common = F.when(F.count("*") == 1, F.max("common"))
-    return both.groupBy("a", "b").agg(common.alias("common"), F.max("similar").alias("similar"))
+    return both.groupBy("a", "b").agg(F.max("common").alias("common"), F.max("similar").alias("similar"))  # of repeated rows
 
 
 def _possible(a: str, b: str) -> Column:
@@ -136,76 +148,153 @@ def _within_reach(a: str, b: str) -> Column:
     return F.coalesce((100 + SIMILAR) * F.least(*most) >= least, F.lit(True))
 
 
-def _buckets(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, m, hub) of the members of all buckets of two or more, and (doc_id, bands) of these members."""
-    members = heads.select(F.explode("bands").alias("key"), "doc_id")
+def _buckets(heads: DataFrame) -> DataFrame:
+    """(key, m, hub) of the members of all buckets of two or more; m and hub are (node, n, bits_a, bits_b)."""
+    members = heads.select(F.explode("bands").alias("key"), "node")
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     members = stored(members.join(sizes, "key"), "shared")
-    weights = members.groupBy("doc_id").agg(F.sum("size").alias("weight"))
-    info = F.struct("doc_id", F.col("n_shingles").alias("n"), "bits_a", "bits_b")
-    known = stored(heads.join(weights, "doc_id").select("doc_id", "weight", info.alias("m"), "bands"), "known")
-    weighed = members.select("key", "doc_id").join(known.drop("bands"), "doc_id")
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    info = F.struct("node", F.col("n_shingles").alias("n"), "bits_a", "bits_b")
+    known = heads.join(weights, "node").select("node", "weight", info.alias("m"))
+    weighed = members.select("key", "node").join(known, "node")
     hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "m")).alias("hub")).select("key", F.col("hub.m").alias("hub"))
-    return stored(weighed.select("key", "m").join(hubs, "key"), "members"), known.select("doc_id", "bands")
+    return stored(weighed.select("key", "m").join(hubs, "key"), "members")
 
 
-def _undecided(members: DataFrame, found: DataFrame, overlaps: DataFrame, bands: DataFrame) -> DataFrame:
-    """(key, m, component, common, bands) of the buckets whose members stand in different components."""
-    placed = members.withColumn("node", F.col("m.doc_id")).join(found, "node", "left")
-    placed = placed.select("key", "m", "hub", "node", F.coalesce("component", "node").alias("component"))
-    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    placed = placed.join(several.select("key"), "key", "left_semi")
-    ends = F.col("hub.doc_id"), F.col("node")
-    placed = placed.withColumns({"a": F.least(*ends), "b": F.greatest(*ends)}).join(overlaps, ["a", "b"], "left")
+def _ordered(members: DataFrame, found: DataFrame, overlaps: DataFrame) -> DataFrame:
+    """The members (key, m, hub, common, size, at) of the buckets that hold several components, at their places 0 to size - 1."""
+    placed = _with_components(members, found)
+    several = placed.filter("component <> of_hub").select("key").distinct()
+    ends = F.col("hub.node"), F.col("m.node")
+    placed = members.join(several, "key", "left_semi").withColumns({"a": F.least(*ends), "b": F.greatest(*ends)})
+    placed = placed.join(overlaps, ["a", "b"], "left").withColumn("salt", F.pmod(F.xxhash64("m.node"), F.lit(_SALTS)))
     common = F.when(F.col("a") == F.col("b"), F.col("m.n")).otherwise(F.col("common"))
-    placed = placed.withColumn("common", common).join(bands.withColumnRenamed("doc_id", "node"), "node")
-    return stored(placed.select("key", "m", "component", "common", "bands"), "placed")
-
-
-def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``; kept is the smallest doc_id of a component."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    placed = stored(placed.select("key", "salt", "m", "hub", common.alias("common")), "placed")
+    # Places are counted in two levels, so that a large bucket is not sorted in one task.
+    whole = Window.partitionBy("key")
+    counts = placed.groupBy("key", "salt").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(whole.orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.select("key", "salt", before.alias("before"), F.sum("n").over(whole).alias("size"))
+    within = F.row_number().over(Window.partitionBy("key", "salt").orderBy("m.node")) - 1
+    return stored(placed.withColumn("within", within).join(counts, ["key", "salt"]).select(
+        "key", "m", "hub", "common", "size", (F.col("before") + F.col("within")).alias("at")), "ordered")
+
+
+def _with_components(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Adds the component of each member, and that of its bucket's hub."""
+    for name, node in (("component", "m.node"), ("of_hub", "hub.node")):
+        known = found.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
+        members = members.join(known, F.col(node) == F.col("_node"), "left")
+        members = members.withColumn(name, F.coalesce("_component", node)).drop("_node", "_component")
+    return members
+
+
+def _around(ordered: DataFrame, found: DataFrame, low: int, high: int) -> DataFrame | None:
+    """Pairs (a, b) of members ``low`` to ``high`` places apart in a bucket's circle, in different components, that may be similar;
+    None where no bucket has places that far apart and members outside its hub's component."""
+    now = stored(_with_components(ordered, found), "now")
+    outside = now.filter("component <> of_hub and size >= 2 * %d" % low)
+    if outside.isEmpty():
+        return None
+    distance = F.explode(F.sequence(F.lit(low).cast("long"), F.least(F.lit(high).cast("long"), F.floor(F.col("size") / 2))))
+    way = F.explode(F.array(F.lit(-1), F.lit(1)))
+    x = outside.withColumn("distance", distance).withColumn("way", way)
+    x = x.withColumn("other", F.pmod(F.col("at") + F.col("way") * F.col("distance"), F.col("size")))
+    x, y = x.alias("x"), now.alias("y")
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.other") == F.col("y.at")))
+    met = met.filter((F.col("x.component") != F.col("y.component")) & _possible("x.m", "y.m") & _within_reach("x", "y"))
+    ends = F.col("x.m.node"), F.col("y.m.node")
+    return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
+
+
+def linked(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows (doc_id, n_shingles, set_a, set_b, node, first); the classes (node, first, set_a, set_b) of equal sets, first
+    being the smallest doc_id; and (node, component) of the classes that are linked with others."""
     rows = stored(signed(docs, width), "signed")
-    classes = rows.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("first"))
+    worded = rows.filter("n_shingles > 0")
+    classes = worded.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("first")).withColumn("node", F.monotonically_increasing_id())
     classes = stored(classes, "classes")
-    named = rows.join(classes, ["set_a", "set_b"], "left")
-    heads = rows.filter("n_shingles > 0").join(classes.select("set_a", "set_b", F.col("first").alias("doc_id")), ["set_a", "set_b", "doc_id"])
-    members, bands = _buckets(heads.dropDuplicates(["set_a", "set_b", "doc_id"]))
+    named = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left")
+    heads = worded.join(classes.withColumnRenamed("first", "doc_id"), ["set_a", "set_b", "doc_id"]).dropDuplicates(["node"])
+    members = _buckets(heads)
+    wanted = stored(members.select(F.col("m.node").alias("node")).distinct().join(classes, "node"), "wanted")
+    sets = stored(_sets(docs, wanted, width), "sets")
 
-    ends = F.col("m.doc_id"), F.col("hub.doc_id")
+    ends = F.col("m.node"), F.col("hub.node")
     stars = members.filter(ends[0] != ends[1]).filter(_possible("m", "hub"))
     stars = stored(stars.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct(), "stars")
-    overlaps = stored(measured(stars, docs, width), "overlaps")
-    links = overlaps.filter("similar").select("a", "b")
-    found = stored(components(links), "components")
-
-    placed = _undecided(members, found, overlaps.select("a", "b", "common"), bands)
-    x, y = placed.alias("x"), placed.alias("y")
-    first_shared = F.element_at(F.array_intersect("x.bands", "y.bands"), 1) == F.col("x.key")
-    across = x.join(y, F.col("x.key") == F.col("y.key")).filter(
-        (F.col("x.m.doc_id") < F.col("y.m.doc_id")) & (F.col("x.component") != F.col("y.component"))
-    )
-    across = across.filter(_possible("x.m", "y.m") & _within_reach("x", "y") & first_shared)
-    across = across.select(F.col("x.m.doc_id").alias("a"), F.col("y.m.doc_id").alias("b")).distinct()
-    more = stored(across.join(stars, ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        late = measured(more, docs, width).filter("similar").select("a", "b")
-        found = stored(components(links.unionByName(late)), "components")
-
-    of_class = found.select(F.col("node").alias("first"), "component")
-    placed_rows = named.join(of_class, "first", "left")
-    component = F.coalesce("component", "first", "doc_id")
-    return placed_rows.select(
+    overlaps = stored(measured(stars, sets), "overlaps")
+    found = stored(components(overlaps.filter("similar").select("a", "b")), "components")
+
+    ordered = _ordered(members, found, overlaps.select("a", "b", "common"))
+    compared, low, high = stars, 1, _FIRST
+    while (pairs := _around(ordered, found, low, high)) is not None:
+        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+        late = stored(measured(pairs, sets).filter("similar").select("a", "b"), "late")
+        if not late.isEmpty():
+            found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)), "components")
+        compared, low, high = compared.unionByName(pairs), high + 1, 4 * high
+    return named, classes, found
+
+
+def grouped(docs: DataFrame, width: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of ``docs``; kept is the smallest doc_id of a component."""
+    named, classes, found = linked(docs.select(F.col("doc_id").cast("long"), "text"), width)
+    # Several sets under one doc_id belong together.
+    known = named.filter("doc_id is not null and node is not null").select("doc_id", "node")
+    ends = known.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high")).filter("a <> high").select("doc_id", "a")
+    same = stored(known.join(ends, "doc_id").select("a", F.col("node").alias("b")).filter("a <> b").distinct(), "same")
+    if not same.isEmpty():
+        found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(same)), "components")
+    placed = found.join(classes.select("node", "first"), "node")
+    least = placed.groupBy("component").agg(F.min("first").alias("component_id"))
+    of_node = placed.join(least, "component").select("node", "component_id")
+    component = F.coalesce("component_id", "first", "doc_id")
+    return named.join(of_node, "node", "left").select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
 def deduplicated(docs: DataFrame, width: int = 5) -> DataFrame:
-    """The rows of ``docs``, all columns, that are kept; rows without doc_id stay, and one row of each doc_id."""
-    gone = grouped(docs, width).filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return left.withColumn("_number", number).filter("_number = 1 or doc_id is null").select(*docs.columns)
+    """One row of each group of near copies, all columns: of the set with the smallest doc_id, the row of that doc_id.
+
+    Rows without words or without doc_id stay. Of rows with the same doc_id and set the one with the smallest text stays.
+    """
+    narrow = docs.select(F.col("doc_id").cast("long"), "text")
+    named, classes, found = linked(narrow, width)
+    placed = found.join(classes.select("node", "first"), "node")
+    heads = placed.groupBy("component").agg(F.min(F.struct("first", "node")).alias("head"))
+    gone = placed.join(heads, "component").filter(F.col("node") != F.col("head.node")).select("node", F.lit(True).alias("gone"))
+    judged = named.filter("doc_id is not null").join(gone, "node", "left")
+    goes = F.coalesce("gone", F.lit(False)) | F.coalesce(F.col("doc_id") != F.col("first"), F.lit(False))
+    again = F.when(F.max("n_shingles") > 0, F.count("*") - 1).otherwise(0).alias("again")
+    judged = stored(judged.groupBy("doc_id", "set_a", "set_b").agg(F.max(goes).alias("goes"), again), "judged")
+    by_doc = judged.groupBy("doc_id").agg(F.min("goes").alias("all_go"), F.max("goes").alias("some_go"), F.max("again").alias("again"))
+    touched = stored(by_doc.filter("some_go or again > 0"), "touched")
+    left = docs.alias("d").join(touched.alias("t"), F.col("d.doc_id").cast("long") == F.col("t.doc_id"), "left_anti")
+
+    # Documents of which one text goes and another stays, or that are repeated: chosen by their sets.
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").cast("long"), "text")
+    packed = packed.join(touched.filter("not all_go"), "doc_id", "left_semi").select("doc_id", "text", "row")
+    names = _named(packed, width).join(judged.filter("not goes"), ["doc_id", "set_a", "set_b"])
+    wordless = names.filter("n_shingles = 0").select("row.*")
+    one = names.filter("n_shingles > 0").groupBy("doc_id", "set_a", "set_b").agg(F.min_by("row", "text").alias("row")).select("row.*")
+    return left.select(*(F.col(f"d.`{c}`") for c in docs.columns)).union(wordless).union(one)
+
+
+def _named(packed: DataFrame, width: int) -> DataFrame:
+    """Adds the size and the name of the set of each row's text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingles(word_hashes(t), width)) for t in batch["text"].to_pylist()]
+            names = [np.frombuffer(xxhash.xxh3_128_digest(s), np.int64) if len(s) else np.zeros(2, np.int64) for s in sets]
+            names = np.array(names, np.int64).reshape(-1, 2)
+            columns = [*batch.columns, pa.array([len(s) for s in sets], pa.int64()), pa.array(names[:, 0]), pa.array(names[:, 1])]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "n_shingles", "set_a", "set_b"])
+
+    added = T.StructType().add("n_shingles", "long").add("set_a", "long").add("set_b", "long")
+    return packed.mapInArrow(run, T.StructType([*packed.schema.fields, *added.fields]))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

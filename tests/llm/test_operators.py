@@ -5,10 +5,13 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +214,14 @@ def test_only_what_is_hidden_on_the_screen_goes(html, text):
     assert rendering.render(html) == text
 
 
+def test_stray_end_tags_and_long_cells():
+    start = time.process_time()
+    assert rendering.render("<b>" * 20_000 + "x" + "</i>" * 20_000 + "<li>" + "<div>" * 100 + "a<li>b") == "x\n- a\n- b"
+    assert time.process_time() - start < 5
+    page = "<table>" + "<tr><td>a<td>b" * 500 + f"<tr><td>{'c' * 200_000}<td>d</table>"
+    assert 200_000 < len(rendering.render(page)) < 200_000 + 501 * 130
+
+
 def test_pages(spark):
     pages = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, "t")], "page_id long, html string, text string")
     assert Counter(tuple(r) for r in rendering.extracted(pages).collect()) == Counter([(1, "a"), (1, "a"), (None, "")])
@@ -337,11 +348,39 @@ def test_shards_with_a_coarse_summary(spark, monkeypatch):
     assert max(total.values()) == next(c for c in range(max(sizes), sum(sizes)) if runs(c) <= 9)
 
 
+def test_shards_beside_a_large_group_are_near_equal(spark):
+    rows = [(i, "y" * 3000) for i in range(300)] + [(1000 + i, f"{i:04d}" * 700) for i in range(600)]
+    sizes = Counter()
+    for r in shards.sharded(spark.createDataFrame(rows, "doc_id long, text string"), 40).collect():
+        sizes[r.shard] += r.size
+    others = sorted(sizes.values())[:-1]
+    assert len(sizes) == 40 and max(sizes.values()) == 300 * 3016 and others[-1] - others[0] <= 2 * 2816
+
+
+def test_spread_cuts_keep_the_capacity_and_leave_no_shard_empty():
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = [rng.choice([rng.randint(1, 9), rng.randint(1, 60)]) for _ in range(rng.randint(1, 14))]
+        ends, n = np.cumsum(sizes).tolist(), rng.randint(1, 8)
+
+        def fits(capacity):
+            count, filled = 1, 0
+            for size in sizes:
+                count, filled = (count + 1, size) if filled + size > capacity else (count, filled + size)
+            return count <= n
+
+        best = next(c for c in range(max(sizes), sum(sizes) + 1) if fits(c))
+        cuts = shards.spread_cuts(set(ends), ends[::-1][:n], best, n)
+        runs = np.diff([0, *cuts])
+        assert set(cuts) <= set(ends) and cuts[-1] == ends[-1] and runs.max() == best
+        assert np.count_nonzero(runs) == min(n, len(ends)), (sizes, n, cuts)
+
+
 # 7
 
 
 def _components(rows, width):
-    sets: dict = {}
+    sets: dict = {}  # by (doc_id, text): rows of one doc_id are one document
     for doc_id, text in rows:
         w = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
         sets[doc_id, text] = {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
@@ -375,10 +414,41 @@ def test_near_copies(spark, width):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+def test_components_across_rows_of_one_document(spark):
+    a, b, c = ("".join(f" {x}{i}" for i in range(30)) for x in "abc")
+    rows = [(14, a), (15, a), (15, b), (16, b), (15, c), (15, ""), (None, b), (20, c + " more"), (21, "x y z")]
+    found = minhash.grouped(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in found) == Counter(
+        [(14, 14, True), *[(15, 14, False)] * 3, (15, 15, True), (16, 14, False), (None, 14, False), (20, 14, False), (21, 21, True)]
+    )
+
+
+def test_texts_without_a_copy_stay_whatever_their_id(spark):
+    a, b, c = ("".join(f" {x}{i}" for i in range(30)) for x in "abc")
+    rows = [(15, a, 1), (15, b, 2), (15, b, 3), (16, b, 4), (16, c, 5), (None, c, 6), (14, a + " z", 7), (17, None, 8), (17, None, 9), (18, c, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node int")
+    kept = minhash.deduplicated(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in kept.collect()) == [(0, " c0"), (14, " a0"), (15, " b0"), (16, " c0"), (17, ""), (17, "")]
+
+
+def test_rounds_compare_all_members_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "_FIRST", 1)
+    rng = random.Random(6)
+    rows = []
+    for g in range(2):
+        base = [str(rng.randint(0, 999)) for _ in range(150)]
+        for i in range(8):  # a chain: each one is similar to its neighbours only
+            base = [w if rng.random() > 0.04 else f"v{g}.{i}" for w in base]
+            rows.append((100 * g + rng.randint(0, 10**6) * 1000 + i, " ".join(base)))
+    found = minhash.grouped(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == _components(rows, 2)
+
+
 def test_one_of_each_group_stays(spark):
     kept = minhash.deduplicated(documents(spark))
     assert kept.columns == documents(spark).columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, 18]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [1, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, 15, 18]
     assert kept.filter("doc_id is null").count() == 2
     assert minhash.deduplicated(empty(spark)).count() == 0
 
@@ -421,16 +491,16 @@ def test_nearest(spark):
     rows = [(i, [rng.uniform(-1, 1) for _ in range(8)], 0) for i in range(260)]
     rows += [(300 + i, rows[50][1], 0) for i in range(30)]  # equal vectors, some of them queries
     rows += [(400, None, 0), (450, [], 0), (500, [float("nan")] * 8, 0), (550, [0.5, None] * 4, 0), (600, [0.1, 0.2], 0), (601, [0.3, 0.4], 0)]
-    rows += [(None, [0.1] * 8, 0), (7, [0.9] * 8, 0)]
+    rows += [(None, [0.9] * 8, 0), (None, [9.0, 0, 0, 0, 0, 0, 0, 0], 0), (7, [0.9] * 8, 0), (None, rows[50][1], 0)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, key int")
-    valid = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    valid = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows if v and all(x is not None and np.isfinite(x) for x in v)]
     expected = []
     for q, a in valid:
-        if q % 50 == 0:
-            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in valid if i != q and len(a) == len(b))[:5]
-            expected += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+        if q is not None and q % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i is None, i or 0) for i, b in valid if i != q and len(a) == len(b))[:5]
+            expected += [(q, n, None if no_id else i, -s) for n, (s, no_id, i) in enumerate(scores, 1)]
     found = nearest.nearest(table, F.expr("vec_id % 50 = 0")).collect()
-    assert sorted(tuple(r) for r in found) == sorted(expected)
+    assert Counter(tuple(r) for r in found) == Counter(expected) and any(r.vec_id is None for r in found)
     assert nearest.nearest(table.limit(0), F.lit(True)).count() == 0
 
 
@@ -480,5 +550,37 @@ def test_forced_boundaries_keep_the_ids(tokenizer):
     assert [i for part in own.fragments(word) for i in own._merged(part)] == own._merged(word)
 
 
-def test_digests():
-    assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+def test_words_are_cut_as_the_library_cuts_them():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    library, own = ByteLevel(add_prefix_space=False, use_regex=True), bpe.Bpe(bpe.vocabulary(BYTES))
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    known = [c for c in every if not bpe._unsettled().match(c)]
+    for group in (known, ["\U0001915a", "\U000e0fff", "\u0378"]):
+        text = "\n".join(f"a{c}\u9031{c}1{c}! {c}" for c in group)
+        assert own._split(text) == [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
+
+
+def test_bpe_query(spark, tokenizer, tmp_path):
+    documents(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    library = tokenizer(BYTES)
+    expected = Counter()
+    for doc_id, text in texts():
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (",".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))]
+        expected[doc_id, len(ids), *digests] += 1
+    found = bpe.query(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()
+    assert Counter(tuple(r) for r in found) == expected
+
+
+def test_merging_in_step_and_forgetting(tokenizer, monkeypatch):
+    library, own = tokenizer(BYTES), bpe.Bpe(bpe.vocabulary(BYTES))
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    rng = random.Random(8)
+    rows = [" ".join("".join(rng.choice("abcdefinorst,.'9é日\u0378") for _ in range(rng.randint(1, 60))) for _ in range(30)) for _ in range(100)]
+    rows += ["", "a  b", " a", "a\n\nb\tc<|endoftext|> d", "x<|endoftext|>y z", "1915\U0001915a"]
+    for at in range(0, len(rows), 7):
+        part = rows[at : at + 7]
+        assert own.encode_all(part).to_pylist() == [library.encode(t, add_special_tokens=False).ids for t in part]
+    split = pa.array([[own.single[0xE6]], None, [], own.encode("日本")], pa.list_(pa.int32()))
+    assert own.decode_all(split).to_pylist() == ["\ufffd", "", "", "日本"]
