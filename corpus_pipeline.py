@@ -40,7 +40,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.decoded(bpe.encoded(docs, path), path)
+    return bpe.round_trip(docs, path)
 
 
 STAGES = [
