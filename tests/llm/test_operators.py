@@ -491,7 +491,7 @@ def test_nearest(spark):
     rows = [(i, [rng.uniform(-1, 1) for _ in range(8)], 0) for i in range(260)]
     rows += [(300 + i, rows[50][1], 0) for i in range(30)]  # equal vectors, some of them queries
     rows += [(400, None, 0), (450, [], 0), (500, [float("nan")] * 8, 0), (550, [0.5, None] * 4, 0), (600, [0.1, 0.2], 0), (601, [0.3, 0.4], 0)]
-    rows += [(None, [0.9] * 8, 0), (None, [9.0, 0, 0, 0, 0, 0, 0, 0], 0), (7, [0.9] * 8, 0), (None, rows[50][1], 0)]
+    rows += [(None, [0.9] * 8, 0), (None, [9.0] + [0.0] * 7, 0), (7, [0.9] * 8, 0), (None, rows[50][1], 0)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, key int")
     valid = [(i, [int(np.floor(256 * x)) for x in v]) for i, v, _ in rows if v and all(x is not None and np.isfinite(x) for x in v)]
     expected = []
