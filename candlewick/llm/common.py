@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -42,14 +43,38 @@ SMALL_ROW_GROUPS = {
 }
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Jobs started inside remove their shuffle files when they end, so that the disk holds one job's at a time."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` below the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/candlewick/{uuid.uuid4().hex}/{name}"
-    df.write.options(**(options or {})).parquet(path)
+    with shuffles_removed(spark):
+        df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that no later job reads."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def mapped(df: DataFrame, batches: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` over the columns of ``df``."""
     return df.mapInArrow(batches, schema)

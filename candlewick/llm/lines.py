@@ -10,10 +10,12 @@ number), in its own document or another. Equal lines are found by their hash; th
   hash bits (two sets differ in at least as many words as their parities do) exclude the similarity;
 * the pairs left are verified on the full sets.
 
-Rarity is counted over all lines in ``BUCKETS`` hashed counters, a fixed size, kept as a byte each
-(steps of a third of an octave); any order gives the same result, a rough one only more pairs. A large group that shares a prefix word first
-compares each line with the group's earliest one; only lines that found no match there are compared
-with all earlier lines of the group, so variants of one line cost one comparison each.
+Rarity is counted over all texts in ``BUCKETS`` hashed counters, a fixed size, kept as a byte each
+(steps of a third of an octave); any order gives the same result, a rough one only more pairs. The lines that
+share a prefix word, one for each text of a line, are first compared with the earliest one of them; only lines
+that match nothing earlier there are compared with all earlier ones, so variants of one line cost
+one comparison each. That second comparison takes the words in ``ROUNDS`` parts, one after the other, and each
+job removes its shuffle files, which bounds the disk in use; intermediate tables are deleted when their last reader is done.
 
 Copies of very frequent lines (at least one in ``SHARE`` lines; at most ``SHARE`` such lines
 exist, which bounds the table that is broadcast) do not enter the join: the first one stands for them.
@@ -26,16 +28,19 @@ doc_ids come first. Line ends are "\\n"; words are parted by blanks, tabs and ca
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewick.llm.common import stored, table
+from candlewick.llm.common import dropped, shuffles_removed, stored, table
 
 BUCKETS = 1 << 18
 SHARE = 10_000
 # Keys are a rank of 7 bits before 56 bits of the word's hash.
 _HASH_BITS = 56
 _CHUNK = 1 << 10
-_PLACE = ("doc_id", "line_no", "line_a")
+ROUNDS = 4
+_PACKED = {"compression": "zstd"}
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -48,8 +53,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     ).filter(F.trim(_blanks(F.col("line"))) != "")
 
 
-def _blanks(line: Column) -> Column:
-    return F.replace(F.replace(line, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
+def _blanks(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\t"), F.lit(" ")), F.lit("\r"), F.lit(" "))
 
 
 def _words(line: Column) -> Column:
@@ -58,28 +63,29 @@ def _words(line: Column) -> Column:
     return F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _ranks(lines: DataFrame) -> bytes:
-    """A printable character for each counter that grows with its count: ``BUCKETS`` bytes, whatever the input."""
-    bucket = F.col("word").bitwiseAND(BUCKETS - 1)
-    counts = lines.select(F.explode(_words(F.col("line"))).alias("word")).groupBy(bucket.alias("id")).agg(F.count("*").alias("n"))
+def _ranks(docs: DataFrame) -> Column:
+    """A printable character for each counter that grows with the count of its words: ``BUCKETS`` bytes, whatever the input."""
+    word = F.explode(F.split(F.replace(_blanks(F.lower("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")
+    bucket = F.xxhash64("word").bitwiseAND(BUCKETS - 1)
+    counts = docs.select(word).filter("word <> ''").groupBy(bucket.alias("id")).agg(F.count("*").alias("n"))
     level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.col("n")))).cast("int")
     chunk = F.floor(F.col("id") / _CHUNK)
-    chunks = counts.groupBy(chunk).agg(F.array_join(F.collect_list(F.concat_ws(":", "id", level)), ",").alias("text")).collect()
+    chunks = counts.groupBy(chunk).agg(F.array_join(F.collect_list(F.concat_ws(":", "id", level)), ",").alias("text"))
     ranks = bytearray(b" " * BUCKETS)
-    for row in chunks:
-        for entry in row["text"].split(","):
-            at, _, value = entry.partition(":")
-            ranks[int(at)] = 32 + int(value)
-    return bytes(ranks)
+    with shuffles_removed(docs.sparkSession):
+        for row in chunks.collect():
+            for entry in row["text"].split(","):
+                at, _, value = entry.partition(":")
+                ranks[int(at)] = 32 + int(value)
+    return F.lit(bytes(ranks))
 
 
-def _keys(line: Column, ranks: bytes) -> Column:
+def _keys(line: Column, ranks: Column) -> Column:
     """The words of a line in order of rarity, as numbers that sort by it."""
-    table_ = F.lit(ranks)
 
     def key(word: Column) -> Column:
         at = word.bitwiseAND(BUCKETS - 1).cast("int") + 1
-        rank = F.ascii(F.substr(table_, at, F.lit(1)).cast("string")) - 32
+        rank = F.ascii(F.substr(ranks, at, F.lit(1)).cast("string")) - 32
         return F.shiftleft(rank.cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(word, 64 - _HASH_BITS))
 
     return F.sort_array(F.transform(_words(line), key))
@@ -93,75 +99,92 @@ def _parity(keys: Column) -> Column:
 
 
 def _fits(x: str, y: str) -> Column:
-    """Length and positional filters for lines x and y that share the word at places x.i and y.i."""
-    nx, ny, ix, iy = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.i"), F.col(f"{y}.i")
+    """Length, positional and parity filters for lines x and y that share the word at places x.i and y.i."""
+    nx, ny, ix, iy = (F.col(f"{side}.{c}") for c in ("n", "i") for side in (x, y))
     lengths = 5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)
     # An overlap of o makes similarity 4/5 if 9 o >= 4 (nx + ny); this word and what follows it bound the overlap.
     differing = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
     return lengths & (9 * F.least(nx - ix, ny - iy) >= 4 * (nx + ny)) & (9 * differing <= nx + ny)
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, ranks: bytes) -> DataFrame:
-    """The pairs (x earlier, y later) whose sets are similar; only their lines are read again."""
-    places = F.explode(F.array("x", "y")).alias("p")
-    wanted = pairs.select(places).select("p.*").distinct()
-    at = wanted.alias("w")
-    same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("l.line_no") == F.col("w.line_no")) & (F.col("l.line_a") == F.col("w.line_a"))
-    sets = lines.alias("l").join(at, same, "left_semi").select(F.struct(*_PLACE).alias("p"), "line").dropDuplicates(["p"])
-    sets = stored(sets.select("p", _keys(F.col("line"), ranks).alias("keys")), "sets")
-    both = (
-        pairs.join(sets.select(F.col("p").alias("x"), F.col("keys").alias("kx")), "x")
-        .join(sets.select(F.col("p").alias("y"), F.col("keys").alias("ky")), "y")
-        .withColumn("common", F.size(F.array_intersect("kx", "ky")))
-    )
-    return both.filter(9 * F.col("common") >= 4 * (F.size("kx") + F.size("ky"))).select("x", "y")
+def _shared(lines: DataFrame, frequent: DataFrame, ranks: Column) -> DataFrame:
+    """(word, doc_id, line_no, line_a, n, i, parity, leader, size): the prefix words that different lines share.
+
+    Of the copies of a line the earliest one stands for them; leader is the earliest of the ``size`` lines of a word.
+    """
+    at_first = F.col("kept").isNull() | (F.struct("doc_id", "line_no") == F.col("kept"))
+    single = lines.join(F.broadcast(frequent), ["line_a", "line_b"], "left").filter(at_first)
+    keyed = single.select("doc_id", "line_no", "line_a", _keys(F.col("line"), ranks).alias("keys"))
+    keyed = keyed.withColumns({"n": F.size("keys"), "parity": _parity(F.col("keys"))})
+    prefix = F.expr("slice(keys, 1, n - (4 * n + 4) div 5 + 1)")
+    postings = keyed.select("doc_id", "line_no", "line_a", "n", "parity", F.posexplode(prefix).alias("i", "word"))
+    of_word = Window.partitionBy("word")
+    copy = F.coalesce(F.lag("line_a").over(of_word.orderBy("line_a", "doc_id", "line_no")) == F.col("line_a"), F.lit(False))
+    firsts = postings.withColumn("copy", copy).filter("not copy").drop("copy")
+    entry = F.struct("doc_id", "line_no", "line_a", "n", "i", "parity")
+    shared = firsts.withColumns({"leader": F.min(entry).over(of_word), "size": F.count("*").over(of_word)})
+    return shared.filter("size > 1")
+
+
+def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, ranks: Column) -> DataFrame:
+    """The line_a of the later line of each pair (x, y) whose sets are similar; only their lines are read again."""
+    wanted = pairs.select(F.explode(F.array("x", "y")).alias("line_a")).distinct()
+    at = classes.join(wanted, "line_a").select("line_a", "line_b", "first.doc_id", "first.line_no").alias("w")
+    same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
+    for column in ("line_no", "line_a", "line_b"):
+        same = same & (F.col(f"l.{column}") == F.col(f"w.{column}"))
+    found = lines.alias("l").join(at, same, "left_semi").select("line_a", F.struct("doc_id", "line_no").alias("at"), _keys(F.col("line"), ranks).alias("keys"))
+    sets = stored(found.dropDuplicates(["line_a"]), "sets", _PACKED)
+    x, y = (sets.select(F.col("line_a").alias(s), F.col("at").alias(f"{s}_at"), F.col("keys").alias(f"{s}_keys")) for s in "xy")
+    common = F.size(F.array_intersect("x_keys", "y_keys"))
+    similar = (9 * common >= 4 * (F.size("x_keys") + F.size("y_keys"))) & (F.col("x_at") != F.col("y_at"))
+    both = pairs.join(x, "x").join(y, "y").filter(similar)
+    later = stored(both.select(F.when(F.col("x_at") < F.col("y_at"), F.col("y")).otherwise(F.col("x")).alias("line_a")).distinct(), "later")
+    dropped(sets)
+    return later
+
+
+def _similar(lines: DataFrame, classes: DataFrame, frequent: DataFrame, ranks: Column) -> DataFrame:
+    """(line_a) of the lines that match an earlier one of another text."""
+    shared = stored(_shared(lines, frequent, ranks), "shared", _PACKED)
+    led = shared.withColumn("e", F.struct("line_a", "n", "i", "parity")).filter((F.col("e.line_a") != F.col("leader.line_a")) & _fits("leader", "e"))
+    stars = stored(led.select(F.col("leader.line_a").alias("x"), F.col("e.line_a").alias("y")).distinct(), "stars", _PACKED)
+    matched = _verified(stars, lines, classes, ranks)
+
+    # Lines that go already need no second comparison; the leader has been compared with all.
+    others = shared.filter("size > 2 and line_a <> leader.line_a").drop("leader", "size")
+    parts = []
+    for part in range(ROUNDS):
+        some = others.filter(F.pmod("word", F.lit(ROUNDS)) == part)
+        x, y = some.alias("x"), some.join(matched, "line_a", "left_anti").alias("y")
+        earlier = F.struct("x.doc_id", "x.line_no") < F.struct("y.doc_id", "y.line_no")
+        met = x.join(y, F.col("x.word") == F.col("y.word")).filter(earlier & _fits("x", "y"))
+        parts.append(stored(met.select(F.col("x.line_a").alias("x"), F.col("y.line_a").alias("y")).distinct(), "rest", _PACKED))
+    dropped(shared)
+    rest = functools.reduce(DataFrame.unionByName, parts).distinct().join(stars, ["x", "y"], "left_anti")
+    pairs = stored(rest, "pairs", _PACKED)
+    dropped(stars, *parts)
+    later = _verified(pairs, lines, classes, ranks)
+    similar = stored(matched.union(later).distinct(), "similar")
+    dropped(pairs, matched, later)
+    return similar
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, n_lines, removed): for each distinct document, its lines and the numbers of those that go."""
     docs = docs.select("doc_id", "text")
     lines = _lines(docs)
-    place = F.struct(*_PLACE)
     classes = lines.groupBy("line_a", "line_b").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("copies"))
-    classes = stored(classes, "classes")
+    classes = stored(classes, "classes", _PACKED)
     total = classes.agg(F.sum("copies")).first()[0] or 0
     frequent = classes.filter(F.col("copies") * SHARE >= max(total, 1)).select("line_a", "line_b", F.col("first").alias("kept"))
-    ranks = _ranks(lines)
-
-    at_first = F.col("kept").isNull() | (F.struct("doc_id", "line_no") == F.col("kept"))
-    single = lines.join(F.broadcast(frequent), ["line_a", "line_b"], "left").filter(at_first)
-    keyed = single.select(place.alias("p"), _keys(F.col("line"), ranks).alias("keys")).withColumns({"n": F.size("keys"), "parity": _parity(F.col("keys"))})
-    prefix = F.expr("slice(keys, 1, n - (4 * n + 4) div 5 + 1)")
-    postings = keyed.select("p", "n", "parity", F.posexplode(prefix).alias("i", "word"))
-    entry = F.struct(F.col("p.doc_id").alias("doc_id"), F.col("p.line_no").alias("line_no"), F.col("p.line_a").alias("line_a"), "n", "i", "parity")
-    of_word = Window.partitionBy("word")
-    shared = postings.select("word", entry.alias("e")).withColumns({"leader": F.min("e").over(of_word), "last": F.max("e.line_a").over(of_word), "least": F.min("e.line_a").over(of_word)})
-    # Words of one line only, or of copies of one line, link nothing.
-    shared = stored(shared.filter("last <> least").select("word", "e", "leader"), "shared")
-
-    def pairs(found: DataFrame, x: str, y: str) -> DataFrame:
-        earlier = [F.struct(*[F.col(f"{side}.{c}").alias(c) for c in _PLACE]).alias(name) for side, name in ((x, "x"), (y, "y"))]
-        kept = F.col(f"{x}.line_a") != F.col(f"{y}.line_a")
-        return found.filter(kept & _fits(x, y)).select(*earlier).distinct()
-
-    stars = stored(pairs(shared, "leader", "e"), "stars")
-    matched = stored(_verified(stars, lines, ranks), "matched")
-
-    # Lines that go already, as copies or by the first comparison, need no second one.
-    gone = matched.select(F.col("y.line_a").alias("line_a")).distinct()
-    open_ = shared.withColumn("line_a", F.col("e.line_a")).join(gone, "line_a", "left_anti").select("word", F.col("e").alias("later"))
-    once = open_.groupBy("word", F.col("later.line_a").alias("of")).agg(F.min("later").alias("later")).drop("of")
-    both = shared.select("word", "e").join(once, "word").filter(
-        F.struct("e.doc_id", "e.line_no") < F.struct("later.doc_id", "later.line_no")
-    )
-    rest = pairs(both, "e", "later").join(stars, ["x", "y"], "left_anti")
-    later = _verified(stored(rest, "rest"), lines, ranks)
-    similar = stored(matched.unionByName(later).select(F.col("y.line_a").alias("line_a"), F.struct("y.doc_id", "y.line_no").alias("at")).groupBy("line_a").agg(F.min("at").alias("at")), "similar")
+    similar = _similar(lines, classes, frequent, _ranks(docs))
 
     # A copy that is not the first goes, and so does a first one that an earlier line matches.
+    marked = classes.join(similar.withColumn("goes", F.lit(True)), "line_a", "left").filter("goes or copies > 1").drop("copies")
     numbered = lines.select("doc_id", "text_key", "line_no", "line_a", "line_b")
-    judged = numbered.join(classes.drop("copies"), ["line_a", "line_b"]).join(similar, "line_a", "left")
-    goes = (F.struct("doc_id", "line_no") > F.col("first")) | F.col("at").isNotNull()
+    judged = numbered.join(marked, ["line_a", "line_b"])
+    goes = (F.struct("doc_id", "line_no") > F.col("first")) | F.col("goes")
     removed = judged.filter(goes).groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set("line_no")).alias("removed"))
     counted = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), F.size(F.split("text", "\n")).alias("n_lines"))
     same = F.col("c.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("c.text_key") == F.col("r.text_key"))
