@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 import sys
@@ -16,6 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick.llm import bpe, decontaminate, lines, minhash, nearest, passages, rangecoder, rendering, shards, tokenfiles, toxicity
+from candlewick.llm.common import dropped, stored
 from tests.llm.tables import documents, empty, texts
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -149,6 +151,26 @@ def test_lines(spark):
     assert lines.cleaned(empty(spark)).count() == 0
 
 
+def test_lines_of_infrequent_copies_and_two_texts_of_a_doc_id(spark, monkeypatch):
+    monkeypatch.setattr(lines, "SHARE", 1)  # no line is frequent: copies meet in the join
+    one = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(i, one + (" lambda" if i % 3 else "") + f"\nown line {i}") for i in range(12)]
+    rows += [(20, one + " mu"), (20, one + " nu"), (21, one + " mu")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {(i, t): gone for (i, t), gone in _removed(rows).items()}
+    keys = docs.selectExpr("doc_id as d", "text", "xxhash64(text) as k")
+    found = lines.removed_lines(docs).join(keys, F.expr("doc_id = d and text_key = k")).collect()
+    assert {(r.doc_id, r.text): list(r.removed) for r in found} == expected
+
+
+def test_stored_tables_can_be_dropped(spark):
+    kept, gone = (stored(spark.range(5).groupBy("id").count(), n) for n in ("kept", "gone"))
+    file = gone.inputFiles()[0].removeprefix("file://")
+    dropped(gone)
+    assert kept.count() == 5 and not os.path.exists(file)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_lines_of_a_document_without_id(spark):
     one, other = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "ant bee cat dog elk fox gnu hen ibis jay")
     rows = [(None, one + "\n" + other + "\n" + other + " kid"), (1, one + " lambda\nelse"), (2, other.replace("jay", "jackal"))]
