@@ -306,6 +306,27 @@ def test_passages_of_interleaved_variants(spark, monkeypatch, few, block):
     assert {r.doc_id for r in found} == _linked(rows) >= {n for n in range(200) if n % 5 in (2, 3)}
 
 
+@pytest.mark.parametrize("few, block", [(16, 4096), (1, 4)])
+def test_links_of_a_large_group_of_different_passages(spark, monkeypatch, few, block):
+    monkeypatch.setattr(passages, "FEW", few)
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rng = random.Random(13)
+    word = lambda: f"w{rng.randint(0, 10**9)}"
+    one = [word() for _ in range(90)]
+    around = lambda passage: " ".join([word() for _ in range(9)] + passage + [word() for _ in range(9)])
+    rows = [(n, around(one[:30] + [word()] + one[31:])) for n in range(20)]
+    # The more words are changed, the less is shared: what one shares with the first of these the next one shares, too.
+    rows += [(n, around(one[:50] + [word() for _ in range(n - 20)] + one[n + 30 :])) for n in range(25, 20, -1)]
+    pieces = {n: passages.tokens(t) for n, t in rows}
+    expected = {(a, b) for b in pieces for a in pieces if a < b and passages.similar_parts(pieces[a], pieces[b])}
+    assert len(expected) > 200
+    # Copies in other surroundings are linked with the earliest, also where their document holds another kind before.
+    rows += [(n, around(one[:30])) for n in range(30, 40)] + [(n, around(one)) for n in range(40, 60)] + [(60, around(one) + " " + around(one[:44] + [word()] + one[45:]))]
+    found = {(r.of_doc_id, r.doc_id) for r in passages.repeated(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert expected <= found and {(40, n) for n in range(41, 61)} <= found
+    assert not any(n in pair for pair in found for n in range(30, 40))
+
+
 def test_every_edited_passage_is_found(spark):
     rng = random.Random(12)
     word = lambda: f"w{rng.randint(0, 10**9)}"
