@@ -6,7 +6,7 @@ their noisy-or, 1 - prod(1 - p). The weights are fitted to the document labels t
 noisy-or, so the model learns which sentences make a document toxic and can point at them.
 
 ``fit`` takes a bounded sample of labelled documents (``FIT_POSITIVE`` and ``FIT_NEGATIVE``
-rows, the first by hash of doc_id) to the driver; scoring covers all rows and whole texts.
+rows, the first by hash of doc_id); the driver gets their features that toxic and clean documents hold at different rates. Scoring covers all rows and whole texts.
 
 Defined results: null and empty texts have no sentence and score 0. A table without labels
 of both kinds gives a model that scores every text 0. Labelled rows without doc_id or label
@@ -30,6 +30,8 @@ from candlewick.llm.common import mapped, stored, table
 FIT_POSITIVE = 1500
 FIT_NEGATIVE = 3000
 BUCKETS = 1 << 18
+#: Documents that hold a feature with a weight, at least.
+LEAST = 4
 
 _SENTENCE = re.compile(r"[^.!?\n]*(?:[.!?\n]+|$)")
 _WORD = re.compile(r"\w+")
@@ -78,13 +80,43 @@ def fit(docs: DataFrame, labels: DataFrame, positive: int = FIT_POSITIVE, negati
                 ["doc_id", "toxic", "bag"],
             )
 
-    found = mapped(rows.select("doc_id", "text", "toxic"), bags, "doc_id long, toxic int, bag array<array<int>>")
-    gathered = found.toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
+    schema = "doc_id long, toxic int, bag array<array<int>>"
+    found = stored(mapped(rows.select("doc_id", "text", "toxic"), bags, schema), "bags")
+    telling = _telling_of(found)
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [[[f for f in sentence if telling[f]] for sentence in bag] for bag in batch["bag"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["toxic"], pa.array(kept, pa.list_(pa.list_(pa.int32())))], ["doc_id", "toxic", "bag"])
+
+    # The driver gets every sentence, with those of its features that can have a weight.
+    gathered = mapped(found, told, schema).toArrow().sort_by([("doc_id", "ascending"), ("toxic", "ascending")])
     return train(gathered["bag"].combine_chunks(), gathered["toxic"].to_numpy().astype(float))
 
 
+def _telling(documents: np.ndarray, of_toxic: np.ndarray, n: int, toxic: float, least: int) -> np.ndarray:
+    """Which features at least ``least`` of ``n`` documents hold, toxic and clean ones at clearly different rates; ``toxic`` is the share of toxic ones."""
+    expected = documents * toxic
+    spread = np.sqrt(np.maximum(expected * (1 - toxic) * (1 - documents / n), 1e-9))
+    return (documents >= least) & (np.abs(of_toxic - expected) >= 2.5 * spread)
+
+
+def _telling_of(bags: DataFrame) -> np.ndarray:
+    """``_telling`` of the stored bags, whose features are counted by Spark; the driver gets two numbers a bucket."""
+    of_label = {r["toxic"]: r["count"] for r in bags.groupBy("toxic").count().collect()}
+    if len(of_label) < 2:
+        return np.zeros(BUCKETS, bool)
+    held = bags.select("toxic", F.explode(F.array_distinct(F.flatten("bag"))).alias("feature"))
+    counts = held.groupBy("feature").agg(F.count("*").alias("n"), F.sum("toxic").alias("of_toxic")).filter(F.col("n") >= LEAST).toArrow()
+    documents, of_toxic = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS)
+    at = counts["feature"].to_numpy()
+    documents[at], of_toxic[at] = counts["n"].to_numpy(), counts["of_toxic"].to_numpy()
+    n = sum(of_label.values())
+    return _telling(documents, of_toxic, n, of_label[1] / n, LEAST)
+
+
 def train(
-    bags: pa.ListArray, labels: np.ndarray, epochs: int = 300, rate: float = 0.1, sparsity: float = 3e-4, least: int = 4
+    bags: pa.ListArray, labels: np.ndarray, epochs: int = 300, rate: float = 0.1, sparsity: float = 3e-4, least: int = LEAST
 ) -> Model:
     """Proximal Adam on the log-likelihood of the document labels under noisy-or, all documents at each step.
 
@@ -102,10 +134,7 @@ def train(
     pairs = np.unique(bag[sentence] * BUCKETS + words)
     documents = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
     of_toxic = np.bincount(pairs % BUCKETS, labels[pairs // BUCKETS], BUCKETS)
-    rate_of_all = documents / len(labels)
-    expected = documents * labels.mean()
-    spread = np.sqrt(np.maximum(expected * (1 - labels.mean()) * (1 - rate_of_all), 1e-9))
-    often = ((documents >= least) & (np.abs(of_toxic - expected) >= 2.5 * spread))[words]
+    often = _telling(documents, of_toxic, len(labels), labels.mean(), least)[words]
     sentence, words = sentence[often], words[often]
     used, column = np.unique(words, return_inverse=True)
     w, b = np.zeros(len(used)), -5.0

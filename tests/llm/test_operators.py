@@ -526,6 +526,20 @@ def test_toxicity(spark):
     assert toxicity.scored(empty(spark), model).count() == 0
 
 
+def test_toxicity_is_fitted_from_telling_features_alone(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, f"word{rng.randrange(10**6)} seldom{i} and all. {'vile' if i % 3 == 0 else 'calm'} day") for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    got = {}
+    monkeypatch.setattr(toxicity, "train", lambda bags, of, train=toxicity.train: got.update(bags=bags.to_pylist(), labels=of) or train(bags, of))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    sent = {f for bag in got["bags"] for sentence in bag for f in sentence}
+    assert sent == set(toxicity.features("vile")) | set(toxicity.features("calm"))
+    assert [len(bag) for bag in got["bags"]] == [2] * 90
+    whole = toxicity.train(pa.array([toxicity._bag(t) for _, t in rows], pa.list_(pa.list_(pa.int32()))), got["labels"])
+    assert (whole.weights == model.weights).all() and whole.bias == model.bias
+
+
 # 9
 
 
