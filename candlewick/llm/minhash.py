@@ -9,11 +9,13 @@ Bands of coordinates select candidates, and a link needs Jaccard similarity of a
 Documents with equal sets form a class first, and the classes are the nodes of the graph. In each
 bucket of a band, all members are compared with one hub, the member that shares most buckets
 with others. After these links are joined to components, members outside the component of their bucket's hub are
-compared with the members of other components, in rounds: first those next to them in the order of the bucket, then four times as far
-around, up to all of them, and components are joined after each round. Near copies so mostly find a partner
-early, and no pair of different components is left out. For members x and y and
-the hub h, at most |x & h| + |y - h| elements are common, and a pair that this bound excludes is not
-read. Nor are pairs whose sizes, or the last bits of whose signatures, exclude the similarity.
+compared with the members of other components next to them in the order of the bucket, and components are joined again. Near copies
+so mostly find a partner early. Of the pairs of a bucket that are still in different components, those are compared that share one of the
+rarest shingles of either: of similar sets, the part that is left out of both in order of rarity cannot hold all they share. So
+no pair of similar sets is left out, and members that differ in shingles of their own do not meet. For members x and y and
+the hub h, at most |x & h| + |y - h| elements are common, and a neighbour that this bound excludes is not
+read. Nor are pairs whose sizes, the last bits of whose signatures, or, in the last step, whose shingles counted modulo 2 by their
+last bits exclude the similarity.
 
 With 24 bands of 4 coordinates a pair at similarity 0.8 is missed with probability 3e-6.
 
@@ -26,6 +28,7 @@ share a doc_id but not the set are two documents.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +47,10 @@ COORDINATES = BANDS * ROWS
 MOST_UNEQUAL = 30
 _AT_ONCE = 1 << 15
 _SALTS = 64
-#: Places around a member that the first round of comparisons reaches.
-_FIRST = 4
+#: Places around a member whose members it is compared with first.
+_FIRST = 1
+#: Numbers of 64 bits that say, for each of their bits, whether an odd number of shingles has it.
+_PARITIES = 4
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bits_a long, bits_b long"
 
@@ -189,14 +194,11 @@ def _with_components(members: DataFrame, found: DataFrame) -> DataFrame:
     return members
 
 
-def _around(ordered: DataFrame, found: DataFrame, low: int, high: int) -> DataFrame | None:
-    """Pairs (a, b) of members ``low`` to ``high`` places apart in a bucket's circle, in different components, that may be similar;
-    None where no bucket has places that far apart and members outside its hub's component."""
+def _around(ordered: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members up to ``_FIRST`` places apart in a bucket's circle, in different components, that may be similar."""
     now = stored(_with_components(ordered, found), "now")
-    outside = now.filter("component <> of_hub and size >= 2 * %d" % low)
-    if outside.isEmpty():
-        return None
-    distance = F.explode(F.sequence(F.lit(low).cast("long"), F.least(F.lit(high).cast("long"), F.floor(F.col("size") / 2))))
+    outside = now.filter("component <> of_hub and size > 1")
+    distance = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(_FIRST).cast("long"), F.floor(F.col("size") / 2))))
     way = F.explode(F.array(F.lit(-1), F.lit(1)))
     x = outside.withColumn("distance", distance).withColumn("way", way)
     x = x.withColumn("other", F.pmod(F.col("at") + F.col("way") * F.col("distance"), F.col("size")))
@@ -207,6 +209,38 @@ def _around(ordered: DataFrame, found: DataFrame, low: int, high: int) -> DataFr
     return met.select(F.least(*ends).alias("a"), F.greatest(*ends).alias("b")).distinct()
 
 
+def _by_rarest(ordered: DataFrame, found: DataFrame, sets: DataFrame, heads: DataFrame) -> DataFrame:
+    """Pairs (a, b) of members of a bucket, in different components, that may be similar and share a shingle of the rarest ones of both."""
+    now = _with_components(ordered, found)
+    several = now.filter("component <> of_hub").select("key").distinct()
+    nodes = stored(now.join(several, "key", "left_semi").select("m.node", "component").distinct(), "nodes")
+    shingle = sets.dropDuplicates(["node"]).join(nodes, "node").select("node", F.explode("shingles").alias("shingle"))
+    shingle = stored(shingle, "shingles")
+    bit = F.expr("shiftleft(1L, cast(pmod(shiftrightunsigned(shingle, 8), 64) as int))")
+    parity = [F.bit_xor(F.when(F.pmod("shingle", F.lit(_PARITIES)) == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"parity_{k}") for k in range(_PARITIES)]
+    parities = shingle.groupBy("node").agg(*parity)
+    counts = shingle.groupBy("shingle").agg(F.count("*").alias("count")).filter("count > 1")
+    shared = shingle.join(counts, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("count", "shingle"))).alias("rare"))
+    info = heads.select("node", F.col("n_shingles").alias("n"), "bits_a", "bits_b")
+    known = shared.join(nodes, "node").join(info, "node").join(parities, "node").withColumn("own", F.col("n") - F.size("rare"))  # those of no other set come first
+    # Two similar sets share SIMILAR/100 of the larger one, so more than either has after its first n - SIMILAR n / 100 + 1 shingles.
+    first = known.withColumn("first", F.expr(f"n - ({SIMILAR} * n + 99) div 100 + 1 - own").cast("int")).filter("first > 0")
+    entry = F.struct("node", "component", "n", "bits_a", "bits_b", *(f"parity_{k}" for k in range(_PARITIES))).alias("m")
+    postings = first.select(entry, "own", F.posexplode(F.expr("slice(rare, 1, first)")).alias("place", "word"))
+    postings = postings.select(F.col("word.shingle").alias("shingle"), "m", (F.col("m.n") - F.col("own") - F.col("place")).alias("left"))
+    postings = stored(postings, "postings")
+    x, y = postings.alias("x"), postings.alias("y")
+    # Two sets differ in at least as many shingles as their parities do.
+    differing = sum(F.bit_count(F.col(f"x.m.parity_{k}").bitwiseXOR(F.col(f"y.m.parity_{k}"))) for k in range(_PARITIES))
+    near = (100 + SIMILAR) * differing <= (100 - SIMILAR) * (F.col("x.m.n") + F.col("y.m.n"))
+    fits = (100 + SIMILAR) * F.least("x.left", "y.left") >= SIMILAR * (F.col("x.m.n") + F.col("y.m.n"))
+    met = x.join(y, F.col("x.shingle") == F.col("y.shingle"))
+    met = met.filter((F.col("x.m.node") < F.col("y.m.node")) & (F.col("x.m.component") != F.col("y.m.component")) & fits & near & _possible("x.m", "y.m"))
+    met = stored(met.select(F.col("x.m.node").alias("a"), F.col("y.m.node").alias("b")).distinct(), "met")
+    bands = [heads.select(F.col("node").alias(c), F.col("bands").alias(f"{c}_bands")) for c in "ab"]
+    return met.join(bands[0], "a").join(bands[1], "b").filter(F.arrays_overlap("a_bands", "b_bands")).select("a", "b")
+
+
 def linked(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows (doc_id, n_shingles, set_a, set_b, node, first); the classes (node, first, set_a, set_b) of equal sets, first
     being the smallest doc_id; and (node, component) of the classes that are linked with others."""
@@ -216,6 +250,7 @@ def linked(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame
     classes = stored(classes, "classes")
     named = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left")
     heads = worded.join(classes.withColumnRenamed("first", "doc_id"), ["set_a", "set_b", "doc_id"]).dropDuplicates(["node"])
+    heads = stored(heads.select("node", "n_shingles", "bands", "bits_a", "bits_b"), "heads")
     members = _buckets(heads)
     wanted = stored(members.select(F.col("m.node").alias("node")).distinct().join(classes, "node"), "wanted")
     sets = stored(_sets(docs, wanted, width), "sets")
@@ -227,13 +262,13 @@ def linked(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame
     found = stored(components(overlaps.filter("similar").select("a", "b")), "components")
 
     ordered = _ordered(members, found, overlaps.select("a", "b", "common"))
-    compared, low, high = stars, 1, _FIRST
-    while (pairs := _around(ordered, found, low, high)) is not None:
-        pairs = stored(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+    compared = stars
+    for step in (_around, functools.partial(_by_rarest, sets=sets, heads=heads)):
+        pairs = stored(step(ordered, found).join(compared, ["a", "b"], "left_anti"), "pairs")
         late = stored(measured(pairs, sets).filter("similar").select("a", "b"), "late")
         if not late.isEmpty():
             found = stored(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(late)), "components")
-        compared, low, high = compared.unionByName(pairs), high + 1, 4 * high
+        compared = compared.unionByName(pairs)
     return named, classes, found
 
 

@@ -475,6 +475,22 @@ def test_texts_without_a_copy_stay_whatever_their_id(spark):
     assert sorted((r.doc_id or 0, (r.text or "")[:3]) for r in kept.collect()) == [(0, " c0"), (14, " a0"), (15, " b0"), (16, " c0"), (17, ""), (17, "")]
 
 
+def test_members_below_the_threshold_are_not_all_compared(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(90):  # each one is too far from the others; every tenth has a partner
+        own = [w if rng.random() > 0.12 else f"v{i}.{n}" for n, w in enumerate(base)]
+        rows.append((i, " ".join(own)))
+        if i % 10 == 0:
+            rows.append((100 + i, " ".join(own[:70] + ["x"] + own[71:])))
+    compared = []
+    monkeypatch.setattr(minhash, "measured", lambda pairs, sets, measured=minhash.measured: compared.append(pairs.count()) or measured(pairs, sets))
+    found = minhash.grouped(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in found) == _components(rows, 2)
+    assert sum(compared) < 10 * len(rows), compared
+
+
 def test_rounds_compare_all_members_of_a_bucket(spark, monkeypatch):
     monkeypatch.setattr(minhash, "_FIRST", 1)
     rng = random.Random(6)
