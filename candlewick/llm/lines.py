@@ -8,13 +8,16 @@ number), in its own document or another. Equal lines are found by their hash; th
   first word that two matching lines share, so lines meet on prefix words alone;
 * a pair is dropped if the lengths, the places of the shared word, or the parity of the words'
   hash bits (two sets differ in at least as many words as their parities do) exclude the similarity;
+  lines of more than ``LONG`` words have two words of parity bits, as one would exclude few of them;
 * the pairs left are verified on the full sets.
 
 Rarity is counted over all texts in ``BUCKETS`` hashed counters, a fixed size, kept as a byte each
-(steps of a third of an octave); any order gives the same result, a rough one only more pairs. The lines that
+(steps of a third of an octave); any order gives the same result, a rough one only more pairs. The counters are one row of a
+stored table: no plan holds them. The lines that
 share a prefix word, one for each text of a line, are first compared with the earliest one of them; only lines
 that match nothing earlier there are compared with all earlier ones, so variants of one line cost
-one comparison each. That second comparison takes the words in ``ROUNDS`` parts, one after the other, and each
+one comparison each. (In groups of up to ``FEW`` lines all are compared, in one shuffle for both sides, and pairs of lines that go
+already are left out before they are verified: to look up their words first costs more.) That second comparison takes the words in ``ROUNDS`` parts, one after the other, and each
 job removes its shuffle files, which bounds the disk in use; intermediate tables are deleted when their last reader is done.
 
 Copies of very frequent lines (at least one in ``SHARE`` lines; at most ``SHARE`` such lines
@@ -29,10 +32,11 @@ doc_ids come first. Line ends are "\\n"; words are parted by blanks, tabs and ca
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewick.llm.common import dropped, shuffles_removed, stored, table
+from candlewick.llm.common import dropped, stored, table
 
 BUCKETS = 1 << 18
 SHARE = 10_000
@@ -40,6 +44,8 @@ SHARE = 10_000
 _HASH_BITS = 56
 _CHUNK = 1 << 10
 ROUNDS = 4
+FEW = 1024
+LONG = 64
 _PACKED = {"compression": "zstd"}
 
 
@@ -63,21 +69,17 @@ def _words(line: Column) -> Column:
     return F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
-def _ranks(docs: DataFrame) -> Column:
-    """A printable character for each counter that grows with the count of its words: ``BUCKETS`` bytes, whatever the input."""
+def _ranks(docs: DataFrame) -> DataFrame:
+    """(ranks): a printable character for each counter that grows with the count of its words; one row of ``BUCKETS`` bytes, whatever the input."""
     word = F.explode(F.split(F.replace(_blanks(F.lower("text")), F.lit("\n"), F.lit(" ")), " ")).alias("word")
     bucket = F.xxhash64("word").bitwiseAND(BUCKETS - 1)
     counts = docs.select(word).filter("word <> ''").groupBy(bucket.alias("id")).agg(F.count("*").alias("n"))
-    level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.col("n")))).cast("int")
+    level = F.least(F.lit(94), F.floor(3 * F.log2(1 + F.coalesce("n", F.lit(0))))).cast("int")
     chunk = F.floor(F.col("id") / _CHUNK)
-    chunks = counts.groupBy(chunk).agg(F.array_join(F.collect_list(F.concat_ws(":", "id", level)), ",").alias("text"))
-    ranks = bytearray(b" " * BUCKETS)
-    with shuffles_removed(docs.sparkSession):
-        for row in chunks.collect():
-            for entry in row["text"].split(","):
-                at, _, value = entry.partition(":")
-                ranks[int(at)] = 32 + int(value)
-    return F.lit(bytes(ranks))
+    levels = docs.sparkSession.range(BUCKETS).join(counts, "id", "left").select("id", F.char(32 + level).alias("c"))
+    joined = lambda entries: F.array_join(F.sort_array(F.collect_list(entries))["c"], "")
+    chunks = levels.groupBy(chunk.alias("id")).agg(joined(F.struct("id", "c")).alias("c"))
+    return stored(chunks.agg(joined(F.struct("id", "c")).cast("binary").alias("ranks")), "ranks")
 
 
 def _keys(line: Column, ranks: Column) -> Column:
@@ -91,80 +93,94 @@ def _keys(line: Column, ranks: Column) -> Column:
     return F.sort_array(F.transform(_words(line), key))
 
 
-def _parity(keys: Column) -> Column:
-    """For each of 64 hash values, whether an odd number of the words has it."""
-    one = F.lit(1).cast("long")
-    bit = lambda key: F.call_function("shiftleft", one, key.bitwiseAND(63).cast("int"))
+def _parity(keys: Column, of: Callable[[Column], Column] = lambda key: F.lit(1).cast("long")) -> Column:
+    """For each of 64 hash values, whether an odd number of the words has it; ``of`` is 1 for words that count, 0 for others."""
+    bit = lambda key: F.call_function("shiftleft", of(key), key.bitwiseAND(63).cast("int"))
     return F.aggregate(keys, F.lit(0).cast("long"), lambda bits, key: bits.bitwiseXOR(bit(key)))
 
 
+def _upper(key: Column) -> Column:
+    """One more hash bit of a word."""
+    return F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(1).cast("long"))
+
+
 def _fits(x: str, y: str) -> Column:
     """Length, positional and parity filters for lines x and y that share the word at places x.i and y.i."""
     nx, ny, ix, iy = (F.col(f"{side}.{c}") for c in ("n", "i") for side in (x, y))
     lengths = 5 * F.least(nx, ny) >= 4 * F.greatest(nx, ny)
     # An overlap of o makes similarity 4/5 if 9 o >= 4 (nx + ny); this word and what follows it bound the overlap.
-    differing = F.bit_count(F.col(f"{x}.parity").bitwiseXOR(F.col(f"{y}.parity")))
+    all_, upper = (F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}")) for c in ("parity", "upper"))
+    of_long = F.bit_count(upper) + F.bit_count(all_.bitwiseXOR(upper))  # of the words with the bit, and of those without it
+    differing = F.when(F.least(nx, ny) > LONG, of_long).otherwise(F.bit_count(all_))
     return lengths & (9 * F.least(nx - ix, ny - iy) >= 4 * (nx + ny)) & (9 * differing <= nx + ny)
 
 
-def _shared(lines: DataFrame, frequent: DataFrame, ranks: Column) -> DataFrame:
-    """(word, doc_id, line_no, line_a, n, i, parity, leader, size): the prefix words that different lines share.
+def _shared(lines: DataFrame, frequent: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(word, doc_id, line_no, line_a, n, i, parity, upper, leader_a, led, size): the prefix words that different lines share.
 
-    Of the copies of a line the earliest one stands for them; leader is the earliest of the ``size`` lines of a word.
+    Of the copies of a line the earliest one stands for them; leader_a is the earliest of the ``size`` lines of a word, and led
+    tells that a line may match it.
     """
     at_first = F.col("kept").isNull() | (F.struct("doc_id", "line_no") == F.col("kept"))
     single = lines.join(F.broadcast(frequent), ["line_a", "line_b"], "left").filter(at_first)
-    keyed = single.select("doc_id", "line_no", "line_a", _keys(F.col("line"), ranks).alias("keys"))
-    keyed = keyed.withColumns({"n": F.size("keys"), "parity": _parity(F.col("keys"))})
+    ranked = single.withColumn("ranks", ranks.scalar())
+    keyed = ranked.select("doc_id", "line_no", "line_a", _keys(F.col("line"), F.col("ranks")).alias("keys")).withColumn("n", F.size("keys"))
+    upper = F.when(F.col("n") > LONG, _parity(F.col("keys"), _upper)).otherwise(0)
+    keyed = keyed.withColumns({"parity": _parity(F.col("keys")), "upper": upper})
     prefix = F.expr("slice(keys, 1, n - (4 * n + 4) div 5 + 1)")
-    postings = keyed.select("doc_id", "line_no", "line_a", "n", "parity", F.posexplode(prefix).alias("i", "word"))
+    postings = keyed.select("doc_id", "line_no", "line_a", "n", "parity", "upper", F.posexplode(prefix).alias("i", "word"))
     of_word = Window.partitionBy("word")
     copy = F.coalesce(F.lag("line_a").over(of_word.orderBy("line_a", "doc_id", "line_no")) == F.col("line_a"), F.lit(False))
     firsts = postings.withColumn("copy", copy).filter("not copy").drop("copy")
-    entry = F.struct("doc_id", "line_no", "line_a", "n", "i", "parity")
-    shared = firsts.withColumns({"leader": F.min(entry).over(of_word), "size": F.count("*").over(of_word)})
-    return shared.filter("size > 1")
+    entry = F.struct("doc_id", "line_no", "line_a", "n", "i", "parity", "upper")
+    grouped = firsts.withColumns({"leader": F.min(entry).over(of_word), "size": F.count("*").over(of_word)}).filter("size > 1")
+    led = (F.col("line_a") != F.col("leader.line_a")) & _fits("leader", "own")
+    own = F.struct("n", "i", "parity", "upper")
+    return grouped.withColumn("own", own).withColumns({"led": led, "leader_a": F.col("leader.line_a")}).drop("leader", "own")
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame, ranks: Column) -> DataFrame:
+def _verified(pairs: DataFrame, lines: DataFrame, classes: DataFrame) -> DataFrame:
     """The line_a of the later line of each pair (x, y) whose sets are similar; only their lines are read again."""
     wanted = pairs.select(F.explode(F.array("x", "y")).alias("line_a")).distinct()
     at = classes.join(wanted, "line_a").select("line_a", "line_b", "first.doc_id", "first.line_no").alias("w")
     same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
     for column in ("line_no", "line_a", "line_b"):
         same = same & (F.col(f"l.{column}") == F.col(f"w.{column}"))
-    found = lines.alias("l").join(at, same, "left_semi").select("line_a", F.struct("doc_id", "line_no").alias("at"), _keys(F.col("line"), ranks).alias("keys"))
+    found = lines.alias("l").join(at, same, "left_semi").select("line_a", F.struct("doc_id", "line_no").alias("at"), _words(F.col("line")).alias("words"))
     sets = stored(found.dropDuplicates(["line_a"]), "sets", _PACKED)
-    x, y = (sets.select(F.col("line_a").alias(s), F.col("at").alias(f"{s}_at"), F.col("keys").alias(f"{s}_keys")) for s in "xy")
-    common = F.size(F.array_intersect("x_keys", "y_keys"))
-    similar = (9 * common >= 4 * (F.size("x_keys") + F.size("y_keys"))) & (F.col("x_at") != F.col("y_at"))
+    x, y = (sets.select(F.col("line_a").alias(s), F.col("at").alias(f"{s}_at"), F.col("words").alias(f"{s}_words")) for s in "xy")
+    common = F.size(F.array_intersect("x_words", "y_words"))
+    similar = (9 * common >= 4 * (F.size("x_words") + F.size("y_words"))) & (F.col("x_at") != F.col("y_at"))
     both = pairs.join(x, "x").join(y, "y").filter(similar)
     later = stored(both.select(F.when(F.col("x_at") < F.col("y_at"), F.col("y")).otherwise(F.col("x")).alias("line_a")).distinct(), "later")
     dropped(sets)
     return later
 
 
-def _similar(lines: DataFrame, classes: DataFrame, frequent: DataFrame, ranks: Column) -> DataFrame:
+def _similar(lines: DataFrame, classes: DataFrame, frequent: DataFrame, ranks: DataFrame) -> DataFrame:
     """(line_a) of the lines that match an earlier one of another text."""
     shared = stored(_shared(lines, frequent, ranks), "shared", _PACKED)
-    led = shared.withColumn("e", F.struct("line_a", "n", "i", "parity")).filter((F.col("e.line_a") != F.col("leader.line_a")) & _fits("leader", "e"))
-    stars = stored(led.select(F.col("leader.line_a").alias("x"), F.col("e.line_a").alias("y")).distinct(), "stars", _PACKED)
-    matched = _verified(stars, lines, classes, ranks)
+    stars = stored(shared.filter("led").select(F.col("leader_a").alias("x"), F.col("line_a").alias("y")).distinct(), "stars", _PACKED)
+    matched = _verified(stars, lines, classes)
 
     # Lines that go already need no second comparison; the leader has been compared with all.
-    others = shared.filter("size > 2 and line_a <> leader.line_a").drop("leader", "size")
+    def earlier(x: DataFrame, y: DataFrame) -> DataFrame:
+        before = F.struct("x.doc_id", "x.line_no") < F.struct("y.doc_id", "y.line_no")
+        met = x.alias("x").join(y.alias("y"), F.col("x.word") == F.col("y.word")).filter(before & _fits("x", "y"))
+        return met.select(F.col("x.line_a").alias("x"), F.col("y.line_a").alias("y"))
+
+    others = shared.filter("size > 2 and line_a <> leader_a").drop("leader_a", "led")
     parts = []
     for part in range(ROUNDS):
-        some = others.filter(F.pmod("word", F.lit(ROUNDS)) == part)
-        x, y = some.alias("x"), some.join(matched, "line_a", "left_anti").alias("y")
-        earlier = F.struct("x.doc_id", "x.line_no") < F.struct("y.doc_id", "y.line_no")
-        met = x.join(y, F.col("x.word") == F.col("y.word")).filter(earlier & _fits("x", "y"))
-        parts.append(stored(met.select(F.col("x.line_a").alias("x"), F.col("y.line_a").alias("y")).distinct(), "rest", _PACKED))
+        few, many = (others.filter((F.pmod("word", F.lit(ROUNDS)) == part) & size).drop("size") for size in (F.col("size") <= FEW, F.col("size") > FEW))
+        met = earlier(few, few).union(earlier(many, many.join(matched, "line_a", "left_anti")))
+        parts.append(stored(met.distinct(), "rest", _PACKED))
     dropped(shared)
     rest = functools.reduce(DataFrame.unionByName, parts).distinct().join(stars, ["x", "y"], "left_anti")
+    rest = rest.join(matched, F.col("y") == F.col("line_a"), "left_anti")
     pairs = stored(rest, "pairs", _PACKED)
     dropped(stars, *parts)
-    later = _verified(pairs, lines, classes, ranks)
+    later = _verified(pairs, lines, classes)
     similar = stored(matched.union(later).distinct(), "similar")
     dropped(pairs, matched, later)
     return similar
@@ -178,7 +194,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     classes = stored(classes, "classes", _PACKED)
     total = classes.agg(F.sum("copies")).first()[0] or 0
     frequent = classes.filter(F.col("copies") * SHARE >= max(total, 1)).select("line_a", "line_b", F.col("first").alias("kept"))
-    similar = _similar(lines, classes, frequent, _ranks(docs))
+    ranks = _ranks(docs)
+    similar = _similar(lines, classes, frequent, ranks)
+    dropped(ranks)
 
     # A copy that is not the first goes, and so does a first one that an earlier line matches.
     marked = classes.join(similar.withColumn("goes", F.lit(True)), "line_a", "left").filter("goes or copies > 1").drop("copies")

@@ -198,6 +198,49 @@ def test_lines_against_all_pairs(spark):
     assert {r.doc_id: list(r.removed) for r in lines.removed_lines(docs).collect()} == expected
 
 
+@pytest.mark.parametrize("few, long_", [(1024, 64), (2, 3)])
+def test_lines_of_large_groups_and_long_lines_against_all_pairs(spark, monkeypatch, few, long_):
+    monkeypatch.setattr(lines, "FEW", few)
+    monkeypatch.setattr(lines, "LONG", long_)
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(40):
+        text = []
+        for _ in range(4):
+            line = rng.sample(vocabulary, rng.choice([5, 12, 60, 70, 150]))
+            if rows and rng.random() < 0.6:
+                line = rng.choice(rng.choice(rows)[1].split("\n")).split()
+                line = [w if rng.random() > 0.07 else rng.choice(vocabulary) for w in line]
+            text.append(" ".join(line))
+        rows.append((i, "\n".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = {i: gone for (i, _), gone in _removed(rows).items()}
+    assert sum(map(len, expected.values())) > 20
+    assert {r.doc_id: list(r.removed) for r in lines.removed_lines(docs).collect()} == expected
+
+
+def _shared_of_long_lines(spark):
+    """The prefix words of 60 long lines that have few words in common."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.sample([f"w{j}" for j in range(3000)], 150))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lines._lines(docs)
+    frequent = found.limit(0).select("line_a", "line_b", F.struct("doc_id", "line_no").alias("kept"))
+    return lines._shared(found, frequent, lines._ranks(docs))
+
+
+def test_counters_of_words_are_in_no_plan(spark):
+    assert len(_shared_of_long_lines(spark)._jdf.queryExecution().toString()) < lines.BUCKETS
+
+
+def test_long_lines_that_share_few_words_are_no_candidates(spark):
+    found = _shared_of_long_lines(spark).withColumns({"word": F.lit(1), "i": F.lit(0)}).dropDuplicates(["line_a"])  # as if the first word were the same
+    x, y = found.alias("x"), found.alias("y")
+    pairs = x.join(y, F.expr("x.word = y.word and x.line_a < y.line_a"))
+    assert pairs.count() > 1000 and pairs.filter(lines._fits("x", "y")).count() == 0
+
+
 # 4
 
 PAGE = """<head><title>T</title><style>.x{display:none}</style></head><h1>Head &amp; <b>bold</b></h1><div>a  b
