@@ -16,8 +16,9 @@ Rarity is counted over all texts in ``BUCKETS`` hashed counters, a fixed size, k
 stored table: no plan holds them. The lines that
 share a prefix word, one for each text of a line, are first compared with the earliest one of them; only lines
 that match nothing earlier there are compared with all earlier ones, so variants of one line cost
-one comparison each. (In groups of up to ``FEW`` lines all are compared, in one shuffle for both sides, and pairs of lines that go
-already are left out before they are verified: to look up their words first costs more.) That second comparison takes the words in ``ROUNDS`` parts, one after the other, and each
+one comparison each. (In groups of up to ``FEW`` lines all are compared that may not match the earliest one, in one shuffle for both sides,
+and lines that go already are left out of the pairs: to look them up first costs more. Lines that may match the earliest one but
+match none are compared with the others after that.) That second comparison takes the words in ``ROUNDS`` parts, one after the other, and each
 job removes its shuffle files, which bounds the disk in use; intermediate tables are deleted when their last reader is done.
 
 Copies of very frequent lines (at least one in ``SHARE`` lines; at most ``SHARE`` such lines
@@ -166,16 +167,23 @@ def _similar(lines: DataFrame, classes: DataFrame, frequent: DataFrame, ranks: D
     # Lines that go already need no second comparison; the leader has been compared with all.
     def earlier(x: DataFrame, y: DataFrame) -> DataFrame:
         before = F.struct("x.doc_id", "x.line_no") < F.struct("y.doc_id", "y.line_no")
-        met = x.alias("x").join(y.alias("y"), F.col("x.word") == F.col("y.word")).filter(before & _fits("x", "y"))
+        # Asked in this form, both sides keep the same columns and rows, and are one shuffle.
+        waits = F.when(F.col("x.led").isNotNull(), ~F.col("y.led"))
+        met = x.alias("x").join(y.alias("y"), F.col("x.word") == F.col("y.word")).filter(waits & before & _fits("x", "y"))
         return met.select(F.col("x.line_a").alias("x"), F.col("y.line_a").alias("y"))
 
-    others = shared.filter("size > 2 and line_a <> leader_a").drop("leader_a", "led")
+    others = shared.filter("size > 2 and line_a <> leader_a").drop("leader_a")
+    # Led lines that match no leader after all, compared as those that are not led.
+    refused = others.filter((F.col("size") <= FEW) & F.col("led")).join(matched, "line_a", "left_anti")
+    refused = stored(refused.drop("size").withColumn("led", F.lit(False)), "refused", _PACKED)
     parts = []
     for part in range(ROUNDS):
-        few, many = (others.filter((F.pmod("word", F.lit(ROUNDS)) == part) & size).drop("size") for size in (F.col("size") <= FEW, F.col("size") > FEW))
-        met = earlier(few, few).union(earlier(many, many.join(matched, "line_a", "left_anti")))
+        here = F.pmod("word", F.lit(ROUNDS)) == part
+        few, many = (others.filter(here & size).drop("size") for size in (F.col("size") <= FEW, F.col("size") > FEW))
+        left = many.join(matched, "line_a", "left_anti").withColumn("led", F.lit(False))
+        met = earlier(few, few).union(earlier(few, refused.filter(here))).union(earlier(many, left))
         parts.append(stored(met.distinct(), "rest", _PACKED))
-    dropped(shared)
+    dropped(shared, refused)
     rest = functools.reduce(DataFrame.unionByName, parts).distinct().join(stars, ["x", "y"], "left_anti")
     rest = rest.join(matched, F.col("y") == F.col("line_a"), "left_anti")
     pairs = stored(rest, "pairs", _PACKED)
