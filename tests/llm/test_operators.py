@@ -312,6 +312,42 @@ def test_compact_windows(n, least, most):
     assert set(zip(*(x.tolist() for x in passages.compact_windows(values, least, n)))) == expected
 
 
+@pytest.mark.parametrize("alphabet", [60, 300, 1 << 62])
+def test_pairs_verified_together_as_one_by_one(alphabet):
+    rng = np.random.default_rng(alphabet % 1009)
+    pairs = []
+    for n in range(200):
+        a = rng.integers(0, alphabet, rng.integers(0, 300))
+        b = np.concatenate((rng.integers(0, alphabet, rng.integers(0, 20)), a))
+        for _ in range(n % 12):
+            at, size = rng.integers(len(b) + 1), rng.integers(1, 25)
+            b = np.concatenate((b[:at], rng.integers(0, alphabet, size), b[at + size * (n % 2) :]))
+        pairs.append((np.concatenate((a, a)) if n % 5 == 0 else a, a.copy() if n % 7 == 0 else b))
+    columns = [x for side in zip(*pairs) for x in (np.concatenate(side), np.cumsum([0, *map(len, side)]))]
+    expected = {(k, *part) for k, (a, b) in enumerate(pairs) for part in passages.similar_parts(a, b)}
+    assert set(zip(*(c.tolist() for c in passages.all_similar_parts(*columns)))) == expected and len(expected) > 50
+
+
+def test_tokens_and_seeds_of_many_texts_as_one_by_one():
+    rng = random.Random(3)
+    some = [" ".join(rng.choice("abcdefghij"[:k]) for _ in range(n)) for n, k in ((0, 1), (3, 2), (400, 1), (70, 2), (5, 9), (300, 9), (50, 4))]
+    some = [None, *some, *texts_of_one_token(), None]
+    found, at = passages.all_tokens(some)
+    parts = [found[a:b] for a, b in zip(at, at[1:])]
+    assert [p.tolist() for p in parts] == [passages.tokens(t).tolist() for t in some]
+    parts = [p for p in parts if len(p) >= passages.LEAST]
+    at = np.cumsum([0, *map(len, parts)])
+    together = passages.seeds(np.concatenate(parts), at)
+    assert together.tolist() == [int(c + b) for p, b in zip(parts, at) for c in passages.seeds(p)]
+    of = np.searchsorted(at, together, side="right") - 1
+    around = passages._surroundings(np.concatenate(parts), together, at[of], at[of + 1])
+    assert around.tolist() == [n for p in parts for n in passages._surroundings(p, passages.seeds(p)).tolist()]
+
+
+def texts_of_one_token():
+    return ["a a a a a", "x " * 60, "x " * 60]
+
+
 def test_passages(spark):
     rows = passages.repeated(documents(spark)).collect()
     found = defaultdict(set)
