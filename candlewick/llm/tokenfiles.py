@@ -12,10 +12,9 @@ documents, ordered by text (null first). Null doc_ids come first. An empty table
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +40,8 @@ class _Words:
 
     A text is cut at blanks and line ends. That gives the ids of the whole text where the
     vocabulary drops white space, as its pre-tokenizer then ends every word there;
-    ``drops_white_space`` tells so, and other vocabularies see whole texts.
+    ``drops_white_space`` tells so, and other vocabularies see whole texts. New words go to the library
+    in lines, a ``MARK`` between two of them, whose id tells where a word's ids end.
     """
 
     def __init__(self, vocabulary_text: str):
@@ -51,30 +51,88 @@ class _Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.alphabet = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, list[int]] = {}
         probe = ["a", "b.c", "Ab", "1"]
         self.drops_white_space = self._library([" ".join(probe), "\n".join(probe), " \n "]) == [
             [i for ids in self._library(probe) for i in ids]
         ] * 2 + [[]]
+        mark = self._library([MARK])[0]
+        self.mark = mark[0] if len(mark) == 1 else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Numbers()
+        self.ids, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # ids of all words, and where each one's begin
 
     def _library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        parts, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for first in range(0, len(words), _LINE):
+            line = words[first : first + _LINE]
+            if self.mark is not None:
+                ids = np.array(self._library([_BETWEEN.join(line)])[0], np.uint32)
+                marks = np.flatnonzero(ids == self.mark)
+                if len(marks) == len(line) - 1:  # else the words have marks of their own
+                    parts.append(np.delete(ids, marks))
+                    sizes.append(np.diff(marks, prepend=-1, append=len(ids)) - 1)
+                    continue
+            each = self._library(line)
+            parts.append(np.fromiter(chain.from_iterable(each), np.uint32))
+            sizes.append(np.array([len(ids) for ids in each], np.int64))
+        return np.concatenate(parts), np.concatenate(sizes)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.drops_white_space:
             return [np.array(ids, np.uint32) for ids in self._library(texts)]
-        split = [_GAP.split(t) for t in texts]
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*split)
-        new_words = list(new)
-        self.known.update(zip(new_words, self._library(new_words)))
-        get = self.known.__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, words)), np.uint32) for words in split]
-
-
-_GAP = re.compile(r"[ \n]")
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        return [ids for part in _in_parts(texts) for ids in self._encode(part)]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        before = len(self.known)
+        words = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64)
+        if len(self.known) > before:
+            ids, sizes = self._ids_of(list(islice(self.known, before, None)))
+            self.at = np.concatenate((self.at, len(self.ids) + np.cumsum(sizes)))
+            self.ids = np.concatenate((self.ids, ids))
+        begins = self.at[words]
+        sizes = self.at[words + 1] - begins
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(begins - ends + sizes, sizes)]
+        return np.split(ids, ends[np.cumsum([len(words) for words in split])[:-1] - 1])
+
+
+class _Numbers(dict):
+    """Words by the order in which they came."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+#: Stands between words that the library sees together; U+0001 is no white space and no part of a word in texts.
+MARK = "\x01"
+_BETWEEN = f" {MARK} "
+_LINE = 512
+
+
+def _in_parts(texts: list[str]) -> Iterator[list[str]]:
+    """Texts of some ``_AT_ONCE`` characters together; a longer one is with those before it."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text)
+        if size >= _AT_ONCE:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
+_AT_ONCE = 1 << 20
 
 
 def _words(vocabulary_text: str) -> _Words:

@@ -56,6 +56,21 @@ def test_checksums_of_pieces():
     assert tokenfiles.crc_of_pieces(pieces) == zlib.crc32(ids)
 
 
+def test_new_words_go_to_the_library_together(monkeypatch):
+    words = tokenfiles._Words(open(WORDS).read())
+    rng = random.Random(4)
+    some = [" ".join("".join(rng.choice("abcé.'1ſK") for _ in range(rng.randint(1, 9))) for _ in range(200)) for _ in range(20)]
+    some += ["", " \n ", "a\x01b \x01 c", "x <|endoftext|> y<|startoftext|>z", "\u0301a b\u0301 ÀÉ", "\x00 \x02 日本 😀", "a\tb\r\nc"]
+    expected = words._library(some)
+    library, lines = words._library, []
+    monkeypatch.setattr(words, "_library", lambda texts: lines.extend(texts) or library(texts))
+    for _ in "twice":
+        assert [ids.tolist() for ids in words.encode(some)] == expected
+    assert len(lines) < 600 < len(words.known)  # one call a line, one a word for the line that holds a mark
+    monkeypatch.setattr(tokenfiles, "REMEMBERED", 10)
+    assert [ids.tolist() for ids in words.encode(some)] == expected
+
+
 def test_token_files(spark, tmp_path, tokenizer, monkeypatch):
     path = tokenfiles.write(documents(spark), str(tmp_path / "full"), WORDS, end_id=2)
     rows = [tuple(r) for r in tokenfiles.digests(spark, path).collect()]
