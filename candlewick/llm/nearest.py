@@ -15,7 +15,10 @@ Vectors of very different magnitude have files of their own, so that a few large
 others. Components are longs; scores that a long might not hold are summed as decimals. A
 component or an answer's score that does not fit a long is an error (as in the statement below), never a wrapped number.
 
-Queries and vectors meet as blocks of ``BLOCK`` vectors of the same length, never as rows.
+Queries and vectors meet as blocks of ``QUERY_BLOCK`` and ``BLOCK`` vectors of the same length, never as rows. Every task scans a part of
+the cells for a part of the queries, without a shuffle, and goes on with the k-th best lower bounds it has met; the first of about
+``ROUNDS`` parts of the cells is scanned ahead, and its bounds hold for the others. What a vector length and scale
+have in common stands beside each block of cells; the driver gets two numbers, and no rows.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
 part; all others do. A row without vec_id is a candidate, after all ids among equal scores, and never a query. Vectors of
@@ -30,13 +33,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from candlewick.llm.common import mapped, stored, table
+from candlewick.llm.common import SMALL_ROW_GROUPS, dropped, mapped, stored, table
 
 CELLS = 64
 BLOCK = 4096
-QUERY_BLOCK = 512
+QUERY_BLOCK = 2048
+ROUNDS = 8
+_TILE = 512  # queries whose scores are held at once
+_HELD = 1 << 21  # bounds held by a task
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
@@ -58,44 +65,59 @@ def _scale(v: str) -> Column:
     return F.greatest(F.lit(0), F.ceil((F.log2(F.greatest(_largest(v), F.lit(1.0))) - 24) / 8)).cast("int")
 
 
-def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(length, scale, keys, matrix) in blocks of ``size`` vectors of equal length and scale."""
-    waiting: dict[tuple[int, int], tuple[list, list]] = {}
+def _packed(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """(length, scale, [matrix and the other columns]) in blocks of ``size`` vectors of equal length and scale."""
+    waiting: dict[tuple[int, int], list[list[np.ndarray]]] = {}
     for batch in batches:
-        for key, v, scale in zip(batch["key"].to_pylist(), batch["v"].to_pylist(), batch["scale"].to_pylist()):
-            keys, rows = waiting.setdefault((len(v), scale), ([], []))
-            keys.append(key)
-            rows.append(v)
-            if len(keys) == size:
-                yield len(v), scale, np.array(keys, np.int64), np.array(rows, np.int64)
-                del waiting[len(v), scale]
-    for (length, scale), (keys, rows) in waiting.items():
-        yield length, scale, np.array(keys, np.int64), np.array(rows, np.int64)
+        kinds = np.stack((pc.list_value_length(batch["v"]).to_numpy(), batch["scale"].to_numpy()))
+        for length, scale in np.unique(kinds, axis=1).T.tolist():
+            own = pa.array(np.flatnonzero((kinds[0] == length) & (kinds[1] == scale)))
+            columns = [c.take(own).to_numpy() for n, c in zip(batch.schema.names, batch.columns) if n not in ("v", "scale")]
+            parts = waiting.setdefault((length, scale), [])
+            parts.append([batch["v"].take(own).flatten().to_numpy().reshape(-1, length), *columns])
+            if sum(len(p[0]) for p in parts) >= size:
+                whole = [np.concatenate(x) for x in zip(*parts)]
+                last = len(whole[0]) // size * size
+                for at in range(0, last, size):
+                    yield length, scale, [x[at : at + size] for x in whole]
+                waiting[length, scale] = [[x[last:] for x in whole]]
+    for (length, scale), parts in waiting.items():
+        whole = [np.concatenate(x) for x in zip(*parts)]
+        if len(whole[0]):
+            yield length, scale, whole
 
 
-_BLOCK_SCHEMA = "length int, scale int, block long, keys binary, body binary"
+def _narrow(rows: np.ndarray) -> bytes:
+    """Integers in as few bytes as hold them all."""
+    for kind in (np.int16, np.int32):
+        if np.iinfo(kind).min <= rows.min() and rows.max() <= np.iinfo(kind).max:
+            return rows.astype(kind).tobytes()
+    return rows.tobytes()
 
 
-def _blocks(vectors: DataFrame, ranges: DataFrame | None, size: int) -> DataFrame:
-    """Vectors (key, v) as packed blocks: cell numbers where ``ranges`` are given, else the integers."""
-    # One row a vector length and scale; as many rows as these occur.
-    grid = {(r["length"], r["scale"]): (np.array(r["low"], np.int64), np.array(r["high"], np.int64)) for r in ranges.collect()} if ranges is not None else {}
+def _wide(body: bytes, length: int, vectors: int) -> np.ndarray:
+    return np.frombuffer(body, f"i{len(body) // (length * vectors)}").reshape(-1, length).astype(np.int64)
+
+
+_BLOCK_SCHEMA = "length int, scale int, block long, body binary, keys binary"
+
+
+def _blocks(vectors: DataFrame, size: int, more: str = "") -> DataFrame:
+    """Vectors (key, v, scale) as packed blocks of integers; ``more`` names a column of doubles that is packed, too."""
+    names = ["key", more] if more else ["key"]
+    schema = pa.schema([("length", pa.int32()), ("scale", pa.int32()), ("block", pa.int64()), ("body", pa.binary()), ("keys", pa.binary())])
+    schema = schema.append(pa.field(more, pa.binary())) if more else schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        for length, scale, keys, rows in _packed(batches, size):
-            if grid:
-                low, width = _grid(*grid[length, scale])
-                rows = ((rows.view(np.uint64) - low.view(np.uint64)) // width).astype(np.uint8)
-            yield pa.RecordBatch.from_pylist(
-                [{"length": length, "scale": scale, "block": number, "keys": keys.tobytes(), "body": rows.tobytes()}],
-                schema=pa.schema([("length", pa.int32()), ("scale", pa.int32()), ("block", pa.int64()), ("keys", pa.binary()), ("body", pa.binary())]),
-            )
+        for length, scale, (rows, *columns) in _packed(batches, size):
+            values = [length, scale, number, _narrow(rows), *(x.tobytes() for x in columns)]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, values))], schema=schema)
             number += 1
 
-    return mapped(vectors.select("key", "v", "scale"), run, _BLOCK_SCHEMA)
+    return mapped(vectors.select("v", "scale", *names), run, _BLOCK_SCHEMA + (f", {more} binary" if more else ""))
 
 
 def _grid(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -103,6 +125,21 @@ def _grid(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, (high.view(np.uint64) - low.view(np.uint64)) // np.uint64(CELLS) + np.uint64(1)
 
 
+def _cells(blocks: DataFrame) -> DataFrame:
+    """Blocks of cell numbers from blocks of integers; ``low`` and ``high`` of their length and scale go with them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bodies = []
+            for row in batch.to_pylist():
+                low, width = _grid(np.array(row["low"], np.int64), np.array(row["high"], np.int64))
+                rows = _wide(row["body"], row["length"], len(row["keys"]) // 8)
+                bodies.append(((rows.view(np.uint64) - low.view(np.uint64)) // width).astype(np.uint8).tobytes())
+            yield batch.set_column(batch.schema.names.index("body"), "body", pa.array(bodies, pa.binary()))
+
+    return mapped(blocks, run, _BLOCK_SCHEMA + ", low array<long>, high array<long>")
+
+
 def _component_ranges(classes: DataFrame) -> DataFrame:
     """(length, scale, low, high): least and greatest value of each component, combined within tasks before the shuffle."""
     each = classes.select(F.size("v").alias("length"), "scale", F.posexplode("v").alias("at", "x"))
@@ -111,38 +148,107 @@ def _component_ranges(classes: DataFrame) -> DataFrame:
     return ends.groupBy("length", "scale").agg(in_order.alias("r")).select("length", "scale", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
 
 
-def _scan(pairs: DataFrame, ranges: DataFrame, k: int) -> DataFrame:
-    """Per pair of blocks, for each query the vectors that can be among its first k: (q, key, lower, upper)."""
-    grid = {(r["length"], r["scale"]): (np.array(r["low"], np.int64), np.array(r["high"], np.int64)) for r in ranges.collect()}
+def _met(queries: DataFrame, cells: DataFrame) -> DataFrame:
+    """Every block of queries with every block of cells of its length, as the exact search asks for it."""
+    q = queries.withColumnsRenamed({"length": "q_length", "block": "q_block", "body": "q_body", "keys": "q_keys"}).drop("scale")
+    # Not an equality, by which Spark would shuffle both sides to one task a length: parts of the two stored tables meet in place.
+    return q.join(cells.drop("block"), F.expr("q_length <= length and q_length >= length"))
+
+
+class _Best:
+    """Of a block of queries, the vectors met that can be among the first ``k``; ``bars`` are lower bounds of the k-th scores, where known."""
+
+    def __init__(self, keys: np.ndarray, bars: np.ndarray, k: int) -> None:
+        self.keys, self.bars, self.k = keys, bars.copy(), k
+        self.tops = np.full((len(keys), k if k <= BLOCK else 0), -np.inf)  # the k best lower bounds met, ascending
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = self.tops.size
+
+    def meet(self, queries: np.ndarray, middle: np.ndarray, reach: np.ndarray, keys: np.ndarray) -> None:
+        """``queries @ middle.T`` are the scores, each right within the query's ``reach``."""
+        for at in range(0, len(queries), _TILE):
+            tile = slice(at, at + _TILE)
+            score, bar = queries[tile] @ middle.T, self.bars[tile]
+            fresh = np.flatnonzero(np.isneginf(bar))
+            if len(fresh) and self.k <= len(keys):
+                bar[fresh] = np.partition(score[fresh], len(keys) - self.k, axis=1)[:, len(keys) - self.k] - reach[tile][fresh]
+            least = bar - reach[tile]
+            rounded = least.astype(score.dtype)
+            rounded = np.where(rounded > least, np.nextafter(rounded, score.dtype.type(-np.inf)), rounded)
+            hits = np.flatnonzero(score >= rounded[:, None])
+            q, c = np.divmod(hits, len(keys))
+            value = score.ravel()[hits].astype(np.float64)
+            q += at
+            self.parts.append((q, keys[c], value - reach[q], value + reach[q]))
+            self.size += len(q)
+            self._raise(q, value - reach[q])
+
+    def _raise(self, q: np.ndarray, lower: np.ndarray) -> None:
+        """The bars after ``lower`` bounds of the queries numbered ``q``, which ascend."""
+        if not self.tops.size:
+            return
+        better = lower > self.tops[q, 0]
+        q, lower = q[better], lower[better]
+        if not len(q):
+            return
+        order = np.lexsort((-lower, q))
+        q, lower = q[order], lower[order]
+        own, first, of = np.unique(q, return_index=True, return_inverse=True)
+        place = np.arange(len(q)) - first[of]
+        best = place < self.k
+        met = np.full((len(own), self.k), -np.inf)
+        met[of[best], place[best]] = lower[best]
+        self.tops[own] = np.sort(np.concatenate((self.tops[own], met), axis=1), axis=1)[:, -self.k :]
+        self.bars[own] = np.maximum(self.bars[own], self.tops[own, 0])
+
+    def rows(self) -> pa.RecordBatch:
+        """(q, key, lower, upper) of those not excluded, which are then no longer held."""
+        q, keys, lower, upper = (np.concatenate(x) for x in zip(*self.parts))
+        left = np.flatnonzero(upper >= self.bars[q])
+        self.parts, self.size = [], self.tops.size
+        columns = (self.keys[q[left]], keys[left], lower[left] / 2, upper[left] / 2)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["q", "key", "lower", "upper"])
+
+
+def _scan(pairs: DataFrame, k: int) -> DataFrame:
+    """For each query the vectors that can be among its first ``k``: (q, key, lower, upper)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, _Best] = {}
         for batch in batches:
             for row in batch.to_pylist():
                 length = row["length"]
-                low, width = _grid(*grid[length, row["scale"]])
-                most = 2.0 * np.maximum(np.abs(low.astype(np.float64)), np.abs(grid[length, row["scale"]][1].astype(np.float64))).max()
-                low, width = low.astype(np.float64), width.astype(np.float64)
-                queries = np.frombuffer(row["q_body"], np.int64).reshape(-1, length).astype(np.float64)
-                cells = np.frombuffer(row["body"], np.uint8).reshape(-1, length)
+                keys, q_keys = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["q_keys"], np.int64)
+                high = np.array(row["high"], np.float64)
+                low, width = (x.astype(np.float64) for x in _grid(*(np.array(row[n], np.int64) for n in ("low", "high"))))
+                queries = _wide(row["q_body"], length, len(q_keys)).astype(np.float64)
                 # All values are integers (twice the cell's middle), exact in doubles up to 2^53; what lies beyond, and a
                 # last cell that reaches past the greatest value, is covered by the slack.
-                middle = 2.0 * low + width * (2.0 * cells + 1) - 1
-                score = queries @ middle.T
-                reach = np.abs(queries) @ (width - 1.0)
-                slack = (1e-12 + 1e-15 * length) * (np.abs(queries).max(initial=0) * max(most, np.abs(middle).max(initial=0)) * length)
-                upper, lower = score + (reach + slack)[:, None], score - (reach + slack)[:, None]
-                best = min(k, lower.shape[1])
-                bar = np.partition(lower, lower.shape[1] - best, axis=1)[:, lower.shape[1] - best] if best == k else np.full(len(queries), -np.inf)
-                q, c = np.nonzero(upper >= bar[:, None])
-                keys, q_keys = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["q_keys"], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_keys[q]), pa.array(keys[c]), pa.array(lower[q, c] / 2), pa.array(upper[q, c] / 2)],
-                    ["q", "key", "lower", "upper"],
-                )
+                middle = 2.0 * low + width * (2.0 * np.frombuffer(row["body"], np.uint8).reshape(-1, length) + 1) - 1
+                most = max(2.0 * np.abs(low).max(), 2.0 * np.abs(high).max(), np.abs(middle).max())
+                largest = np.abs(queries).max()
+                slack = (1e-12 + 1e-15 * length) * (largest * most * length)
+                reach = np.abs(queries) @ (width - 1.0) + slack
+                if largest * most * length < 2.0**24:  # exact in floats, too
+                    queries, middle = queries.astype(np.float32), middle.astype(np.float32)
+                best = held.get(row["q_block"])
+                if best is None:
+                    best = held[row["q_block"]] = _Best(q_keys, 2 * np.frombuffer(row["bar"], np.float64), k)
+                best.meet(queries, middle, reach, keys)
+                if sum(b.size for b in held.values()) > _HELD:
+                    yield from (b.rows() for b in held.values() if b.parts)
+                    held = {row["q_block"]: best}
+        yield from (b.rows() for b in held.values() if b.parts)
 
     return mapped(pairs, run, "q long, key long, lower double, upper double")
 
 
+def _bars(found: DataFrame, k: int) -> DataFrame:
+    """(q, bar, n): the k-th best lower bound of each query, or the last one of ``n`` where there are fewer."""
+    rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lower")))
+    return found.withColumn("n", rank).filter(F.col("n") <= k).groupBy("q").agg(F.min("lower").alias("bar"), F.count("*").alias("n"))
+
+
 _SCORE = "decimal(38,0)"
 
 
@@ -176,26 +282,31 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     deep = k + vectors_of_id
 
     ranges = stored(_component_ranges(classes), "ranges")
-    cells = stored(_blocks(classes, ranges, BLOCK), "cells")
-    query_classes = classes.join(asked.select(F.col("q").alias("key")).distinct(), "key", "left_semi")
-    # Every block of queries goes to every block of cells, as the exact search asks for it: queries are
-    # sent to every slot, and each block of cells stands in one.
-    slots = cells.groupBy("length").agg((F.count("*") * 4).alias("slots"))
-    queries = _blocks(query_classes.repartition(F.floor(F.col("key") / 8)), None, QUERY_BLOCK)
-    queries = stored(queries.withColumnsRenamed({"keys": "q_keys", "body": "q_body"}).drop("block", "scale"), "queries")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot")
-    spread = queries.join(slots, "length").select("length", "q_keys", "q_body", every)
-    placed = cells.join(slots, "length").withColumn("slot", F.pmod(F.xxhash64("block"), "slots"))
-    pairs = spread.join(placed.select("length", "scale", "slot", "keys", "body"), ["length", "slot"])
-    found = stored(_scan(pairs, ranges, deep), "found")
+    cells = stored(_cells(_blocks(classes, BLOCK).join(ranges, ["length", "scale"]).select("length", "scale", "block", "body", "keys", "low", "high")), "cells", SMALL_ROW_GROUPS)
+    query_classes = classes.join(asked.select(F.col("q").alias("key")).distinct(), "key", "left_semi").select("key", "v", "scale")
+    query_classes = stored(query_classes.repartition(F.floor(F.col("key") / 8)), "query_classes")
+
+    def scanned(queries: DataFrame, part: DataFrame, name: str) -> DataFrame:
+        blocks = stored(_blocks(queries, QUERY_BLOCK, "bar"), "queries", SMALL_ROW_GROUPS)
+        rows = stored(_scan(_met(blocks, part), deep), name)
+        dropped(blocks)
+        return rows
+
+    # Whole files of cells, so that a task of the first round has as long a scan as one of the second.
+    ahead = F.pmod(F.shiftright("block", 32), F.lit(ROUNDS)) == 0
+    unknown = F.lit(float("-inf"))
+    found = scanned(query_classes.withColumn("bar", unknown), cells.filter(ahead), "ahead")
+    bars = _bars(found, deep).select(F.col("q").alias("key"), F.when(F.col("n") == deep, F.col("bar")).alias("bar"))
+    barred = query_classes.join(bars, "key", "left").withColumn("bar", F.coalesce("bar", unknown))
+    later = scanned(barred, cells.filter(~ahead), "found")
 
     # The bound of the last class needed over all blocks; the classes of a query's own id take part, so more than k.
-    lower_rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("lower")))
-    bar = found.withColumn("n", lower_rank).filter(F.col("n") <= deep).groupBy("q").agg(
-        F.min("lower").alias("bar"), F.count("*").alias("n"))
-    left = found.join(bar, "q").filter((F.col("n") < deep) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
+    both = found.unionByName(later)
+    bar = _bars(both, deep)
+    left = both.join(bar, "q").filter((F.col("n") < deep) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
     upper_rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("upper"), "key"))
     left = stored(left.withColumn("n", upper_rank), "left")
+    dropped(cells, query_classes, found, later)
 
     first = stored(_exact(left.filter(F.col("n") <= deep), classes), "first")
     least = first.groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("read"))

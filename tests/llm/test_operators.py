@@ -689,6 +689,36 @@ def test_nearest_keeps_large_components_and_repeated_rows(spark, large, first):
     assert found == sorted((q, *row) for q, answer in expected for row in answer)
 
 
+@pytest.mark.parametrize("held", [50, 1 << 21])
+def test_nearest_sends_no_rows_to_the_driver_and_keeps_few_bounds(spark, monkeypatch, held):
+    rng = random.Random(12)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(2600)]
+    rows += [(3000 + i, [rng.uniform(-1, 1) for _ in range(9 + i % 40)]) for i in range(200)]  # many lengths, a file each
+    expected = []
+    for q, a in rows:
+        if q % 50 == 0:
+            cells = [(i, [int(np.floor(256 * x)) for x in b]) for i, b in rows if len(a) == len(b)]
+            own = dict(cells)[q]
+            scores = sorted((-sum(x * y for x, y in zip(own, b)), i) for i, b in cells if i != q)[:5]
+            expected += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    tables, collected, collect, keep = {}, [], type(spark.range(0)).collect, nearest.stored
+    monkeypatch.setattr(nearest, "BLOCK", 64)
+    monkeypatch.setattr(nearest, "_HELD", held, raising=False)
+    monkeypatch.setattr(nearest, "dropped", lambda *tables: None, raising=False)
+    monkeypatch.setattr(nearest, "stored", lambda df, name, *options: tables.setdefault((name, len(tables)), keep(df, name, *options)))
+    monkeypatch.setattr(type(spark.range(0)), "collect", lambda df: (collected.append(found := collect(df)), found)[1])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files of cells
+    try:
+        result = nearest.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.expr("vec_id % 50 = 0"))
+        assert all(len(found) <= 1 for found in collected)
+        assert Counter(tuple(r) for r in collect(result)) == Counter(expected)
+        bounds = sum(df.filter("lower > 0").count() for (name, _), df in tables.items() if name in ("ahead", "found"))
+        blocks = next(df for (name, _), df in tables.items() if name == "cells").filter("length = 8").count()
+        assert blocks >= 40 and bounds < 52 * blocks * 6 / (2 if held > 50 else 1)  # six a query of every block, by blocks alone
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # 10
 
 
