@@ -343,6 +343,20 @@ def test_pairs_verified_together_as_one_by_one(alphabet):
     assert set(zip(*(c.tolist() for c in passages.all_similar_parts(*columns)))) == expected and len(expected) > 50
 
 
+def test_tokens_of_pairs_are_numbered_by_a_table():
+    rng = np.random.default_rng(5)
+    for n, alphabet in ((0, 1), (1, 1), (500, 3), (3000, 1 << 62), (3000, 40)):
+        pair = np.sort(rng.integers(0, 20, n))
+        values = rng.integers(-alphabet, alphabet, n)
+        values[n // 2 :] = values[: n - n // 2]
+        half = slice(0, n, 2)  # tokens that agree in every round of the table, each of another pair
+        values[half] = (np.uint64(77) - pair[half].astype(np.uint64) * np.uint64(passages._BASE)).view(np.int64)
+        codes = passages._codes(values, pair)
+        assert ((codes >= 0) & (codes < max(n, 1))).all()
+        assert (values[codes] == values).all() and (pair[codes] == pair).all()
+        assert len(set(codes.tolist())) == len(set(zip(pair.tolist(), values.tolist())))
+
+
 def test_tokens_and_seeds_of_many_texts_as_one_by_one():
     rng = random.Random(3)
     some = [" ".join(rng.choice("abcdefghij"[:k]) for _ in range(n)) for n, k in ((0, 1), (3, 2), (400, 1), (70, 2), (5, 9), (300, 9), (50, 4))]
