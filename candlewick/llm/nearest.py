@@ -16,9 +16,9 @@ others. Components are longs; scores that a long might not hold are summed as de
 component or an answer's score that does not fit a long is an error (as in the statement below), never a wrapped number.
 
 Queries and vectors meet as blocks of ``QUERY_BLOCK`` and ``BLOCK`` vectors of the same length, never as rows. Every task scans a part of
-the cells for a part of the queries, without a shuffle, and goes on with the k-th best lower bounds it has met; the first of about
-``ROUNDS`` parts of the cells is scanned ahead, and its bounds hold for the others. What a vector length and scale
-have in common stands beside each block of cells; the driver gets two numbers, and no rows.
+the cells for a part of the queries, without a shuffle, and goes on with the k-th best lower bounds it has met. The cells are scanned in
+rounds, a few of their files first, and the bounds found so far hold for those that follow. What a vector length and scale have in
+common stands beside each block of cells, so the driver gets no rows.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components take no
 part; all others do. A row without vec_id is a candidate, after all ids among equal scores, and never a query. Vectors of
@@ -29,6 +29,7 @@ another vector is a second query under the same id.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ from candlewick.llm.common import SMALL_ROW_GROUPS, dropped, mapped, stored, tab
 CELLS = 64
 BLOCK = 4096
 QUERY_BLOCK = 2048
-ROUNDS = 8
+ROUNDS = 64, 8, 1  # in each, one of so many files of cells, without those scanned before
 _TILE = 512  # queries whose scores are held at once
 _HELD = 1 << 21  # bounds held by a task
 
@@ -282,31 +283,34 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     deep = k + vectors_of_id
 
     ranges = stored(_component_ranges(classes), "ranges")
-    cells = stored(_cells(_blocks(classes, BLOCK).join(ranges, ["length", "scale"]).select("length", "scale", "block", "body", "keys", "low", "high")), "cells", SMALL_ROW_GROUPS)
+    blocks = _blocks(classes, BLOCK).join(ranges, ["length", "scale"])
+    cells = stored(_cells(blocks.select("length", "scale", "block", "body", "keys", "low", "high")), "cells", SMALL_ROW_GROUPS)
     query_classes = classes.join(asked.select(F.col("q").alias("key")).distinct(), "key", "left_semi").select("key", "v", "scale")
     query_classes = stored(query_classes.repartition(F.floor(F.col("key") / 8)), "query_classes")
 
-    def scanned(queries: DataFrame, part: DataFrame, name: str) -> DataFrame:
-        blocks = stored(_blocks(queries, QUERY_BLOCK, "bar"), "queries", SMALL_ROW_GROUPS)
-        rows = stored(_scan(_met(blocks, part), deep), name)
-        dropped(blocks)
-        return rows
-
-    # Whole files of cells, so that a task of the first round has as long a scan as one of the second.
-    ahead = F.pmod(F.shiftright("block", 32), F.lit(ROUNDS)) == 0
-    unknown = F.lit(float("-inf"))
-    found = scanned(query_classes.withColumn("bar", unknown), cells.filter(ahead), "ahead")
-    bars = _bars(found, deep).select(F.col("q").alias("key"), F.when(F.col("n") == deep, F.col("bar")).alias("bar"))
-    barred = query_classes.join(bars, "key", "left").withColumn("bar", F.coalesce("bar", unknown))
-    later = scanned(barred, cells.filter(~ahead), "found")
+    number, unknown = F.shiftright("block", 32), F.lit(float("-inf"))  # whole files, so that a task scans as long in each round
+    before, rounds = F.lit(False), []
+    for each in ROUNDS:
+        now = F.pmod(number, F.lit(each)) == 0
+        part, before = cells.filter(now & ~before), before | now
+        if rounds and part.isEmpty():
+            continue
+        barred = query_classes.withColumn("bar", unknown)
+        if rounds:
+            known = _bars(functools.reduce(DataFrame.unionByName, rounds), deep).filter(F.col("n") == deep)
+            barred = query_classes.join(known.select(F.col("q").alias("key"), "bar"), "key", "left").withColumn("bar", F.coalesce("bar", unknown))
+        queries = stored(_blocks(barred, QUERY_BLOCK, "bar"), "queries", SMALL_ROW_GROUPS)
+        rounds.append(stored(_scan(_met(queries, part), deep), "found"))
+        dropped(queries)
+    dropped(cells, query_classes)
 
     # The bound of the last class needed over all blocks; the classes of a query's own id take part, so more than k.
-    both = found.unionByName(later)
-    bar = _bars(both, deep)
-    left = both.join(bar, "q").filter((F.col("n") < deep) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
+    found = functools.reduce(DataFrame.unionByName, rounds)
+    bar = _bars(found, deep)
+    left = found.join(bar, "q").filter((F.col("n") < deep) | (F.col("upper") >= F.col("bar"))).select("q", "key", "upper")
     upper_rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("upper"), "key"))
     left = stored(left.withColumn("n", upper_rank), "left")
-    dropped(cells, query_classes, found, later)
+    dropped(*rounds)
 
     first = stored(_exact(left.filter(F.col("n") <= deep), classes), "first")
     least = first.groupBy("q").agg(F.min("score").alias("least"), F.count("*").alias("read"))
