@@ -290,6 +290,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     number, unknown = F.shiftright("block", 32), F.lit(float("-inf"))  # whole files, so that a task scans as long in each round
     before, rounds = F.lit(False), []
+    # Parts of queries times files of cells are the tasks of a round: their number follows the input, not its square.
+    files = 1 + (cells.agg(F.max(number)).first()[0] or 0)
+    parts = 1 + 2 * int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")) // files
     for each in ROUNDS:
         now = F.pmod(number, F.lit(each)) == 0
         part, before = cells.filter(now & ~before), before | now
@@ -300,7 +303,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
             known = _bars(functools.reduce(DataFrame.unionByName, rounds), deep).filter(F.col("n") == deep)
             barred = query_classes.join(known.select(F.col("q").alias("key"), "bar"), "key", "left").withColumn("bar", F.coalesce("bar", unknown))
         queries = stored(_blocks(barred, QUERY_BLOCK, "bar"), "queries", SMALL_ROW_GROUPS)
-        rounds.append(stored(_scan(_met(queries, part), deep), "found"))
+        rounds.append(stored(_scan(_met(queries.coalesce(parts), part), deep), "found"))
         dropped(queries)
     dropped(cells, query_classes)
 
