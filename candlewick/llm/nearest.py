@@ -44,7 +44,7 @@ BLOCK = 4096
 QUERY_BLOCK = 2048
 ROUNDS = 64, 8, 1  # in each, one of so many files of cells, without those scanned before
 _TILE = 512  # queries whose scores are held at once
-_HELD = 1 << 21  # bounds held by a task
+_HELD = 1 << 19  # bounds held by a task
 
 
 def prepared(vectors: DataFrame) -> DataFrame:
